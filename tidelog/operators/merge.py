@@ -65,14 +65,16 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
     """
     events = _batch_lane(batch)
     rows = _open_lane(history).unionByName(events).withColumn("_rank", F.when(F.col("_kind") == _OPEN, 0).otherwise(1))
-    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events).withColumn(
-        "_open_from", F.when(F.col("_kind") == _OPEN, F.col("_at"))
+    is_open = F.col("_kind") == _OPEN
+    # the open version precedes every event of its key, however late its start
+    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events).withColumns(
+        {"_open_from": F.when(is_open, F.col("_at")), "_slice": F.when(is_open, 0).otherwise(F.col("_slice"))}
     )
     # Border rows of hot keys: the start of the open version for every later slice, and the
     # first event of the next slice that is not too old.  A hot key has one open version,
     # so at most MAX_HOT_KEYS rows are broadcast.
     hot = marked.filter(F.col("_hot_n").isNotNull())
-    hot_open = F.broadcast(hot.filter(F.col("_kind") == _OPEN).select("customer_id", "_open_from"))
+    hot_open = F.broadcast(hot.filter(is_open).select("customer_id", "_open_from"))
     starts = (
         hot.filter("_slice > 0").select("customer_id", "_slice").distinct().join(hot_open, "customer_id")
         .select("customer_id", "_slice", F.lit(-1).alias("_rank"), F.col("_open_from").alias("_at"),

@@ -61,9 +61,11 @@ def mark_slices(
         "_hot_width", F.greatest(F.lit(1), F.ceil((F.col("_hot_to") - F.col("_hot_from") + 1) / slices))
     )
     offset = F.floor((second - F.col("_hot_from")) / F.col("_hot_width")).cast("long")
+    # the condition spares all other rows the time arithmetic
+    in_hot_key = F.when(F.col("_hot_n").isNotNull(), F.greatest(offset, F.lit(0).cast("long")))
     return (
         rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_slice", F.greatest(F.coalesce(offset, F.lit(0)), F.lit(0)).cast("long"))
+        .withColumn("_slice", F.coalesce(in_hot_key, F.lit(0).cast("long")))
         .drop("_hot_key", "_hot_from", "_hot_to", "_hot_width")
     )
 

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from tidelog import schemas as S
 from tidelog.operators.skew import HOT_ROWS, spread_lookup
 
-NOT_NULL = {
-    "stg_customers": ["customer_id"],
-    "stg_orders": ["order_id"],
-    "silver_customers": ["customer_sk"],
-    "silver_orders": ["order_id"],
-    "dim_customers": ["customer_sk"],
-    "fact_orders": ["order_id", "customer_sk"],
+# Tests of single rows: table -> (column, test). UNIQUE and the relationship need a shuffle.
+ROW_TESTS = {
+    "stg_customers": [("customer_id", "not_null")],
+    "stg_orders": [("order_id", "not_null")],
+    "silver_customers": [("customer_sk", "not_null")],
+    "silver_orders": [("order_id", "not_null"), ("order_amount", "non_negative")],
+    "dim_customers": [("customer_sk", "not_null")],
+    "fact_orders": [("order_id", "not_null"), ("customer_sk", "not_null"), ("order_status", "accepted_values")],
 }
 UNIQUE = {
     "silver_customers": ["customer_sk"],
@@ -24,6 +25,11 @@ UNIQUE = {
     "dim_customers": ["customer_sk"],
     "fact_orders": ["order_id"],
 }
+_FAILS = {
+    "not_null": lambda c: F.col(c).isNull(),
+    "non_negative": lambda c: F.col(c) < 0,
+    "accepted_values": lambda c: ~F.col(c).isin(S.ORDER_STATUSES),
+}
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -37,15 +43,34 @@ def _result(table: str, column: str, kind: str, failures: Column) -> list[Column
     ]
 
 
-def not_null(tables: dict[str, DataFrame]) -> DataFrame:
-    """All columns of a table in one pass."""
+def row_tests(tables: dict[str, DataFrame], kinds: set[str]) -> DataFrame:
+    """Failing rows per test; all tests of a table are counted in one pass over it."""
     found = []
-    for table, columns in NOT_NULL.items():
-        counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        found += [counts.select(_result(table, c, "not_null", F.col(c))) for c in columns]
+    for table, tests in ROW_TESTS.items():
+        chosen = [(c, kind) for c, kind in tests if kind in kinds]
+        if not chosen:
+            continue
+        counts = tables[table].agg(*[F.count_if(_FAILS[kind](c)).alias(f"{c}/{kind}") for c, kind in chosen])
+        rows = counts.unpivot([], [F.col(f"`{n}`") for n in counts.columns], "test", "failures")
+        found.append(
+            rows.select(
+                F.lit(table).alias("table_name"),
+                F.split_part("test", F.lit("/"), F.lit(1)).alias("column_name"),
+                F.split_part("test", F.lit("/"), F.lit(2)).alias("test_name"),
+                "failures",
+            )
+        )
     return _union(found)
 
 
+def not_null(tables: dict[str, DataFrame]) -> DataFrame:
+    return row_tests(tables, {"not_null"})
+
+
+def accepted_status(facts: DataFrame) -> DataFrame:
+    return row_tests({"fact_orders": facts}, {"accepted_values"})
+
+
 def unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Values that occur more than once; NULL is not tested."""
     found = []
@@ -71,24 +96,16 @@ def relationship(facts: DataFrame, dimension: DataFrame) -> DataFrame:
     return missing.select(_result("fact_orders", "customer_sk", "relationships", F.col("f")))
 
 
-def accepted_status(facts: DataFrame) -> DataFrame:
-    bad = facts.agg(F.count_if(~F.col("order_status").isin(S.ORDER_STATUSES)).alias("f"))
-    return bad.select(_result("fact_orders", "order_status", "accepted_values", F.col("f")))
-
-
 def negative_amounts(orders: DataFrame) -> DataFrame:
     """The offending rows."""
     return orders.filter(F.col("order_amount") < 0).select("order_id", "order_amount")
 
 
 def summary(tables: dict[str, DataFrame]) -> DataFrame:
-    negative = negative_amounts(tables["silver_orders"]).agg(F.count(F.lit(1)).alias("f")).select(
-        _result("silver_orders", "order_amount", "non_negative", F.col("f"))
-    )
     every = _union(
         [
-            not_null(tables), unique(tables), relationship(tables["fact_orders"], tables["dim_customers"]),
-            accepted_status(tables["fact_orders"]), negative,
+            row_tests(tables, set(_FAILS)), unique(tables),
+            relationship(tables["fact_orders"], tables["dim_customers"]),
         ]
     )
     return every.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
@@ -101,10 +118,10 @@ def orphaned_facts(facts: DataFrame, dimension: DataFrame) -> DataFrame:
     fact.  Counting per key first and anti-joining on non-NULL keys keeps this a
     shuffled hash or sort-merge join; a literal NOT IN would broadcast the dimension.
     """
-    missing = _keys_without_parent(facts, dimension).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("missing"))
-    holes = dimension.agg(F.count_if(F.col("customer_sk").isNull()).alias("holes"))
-    return missing.withColumn("_k", F.lit(1)).join(holes.withColumn("_k", F.lit(1)), "_k").select(
-        F.when(F.col("holes") > 0, F.lit(0)).otherwise(F.col("missing")).cast("long").alias("orphaned_count")
+    holes = dimension.agg(F.count_if(F.col("customer_sk").isNull())).scalar()
+    missing = F.coalesce(F.sum("n"), F.lit(0))
+    return _keys_without_parent(facts, dimension).agg(missing.alias("missing")).select(
+        F.when(holes > 0, F.lit(0)).otherwise(F.col("missing")).cast("long").alias("orphaned_count")
     )
 
 

@@ -162,11 +162,11 @@ def sales_by_quarter(facts: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _listed(rows: DataFrame, rank: list[Column], fields: list[str], name: str) -> DataFrame:
-    """A small result as one sorted array."""
-    item = F.struct(*[c.alias(f"_r{i}") for i, c in enumerate(rank)], F.struct(*fields).alias("item"))
-    sorted_items = F.transform(F.sort_array(F.collect_list(item)), lambda x: x["item"])
-    return rows.agg(sorted_items.alias(name))
+def _listed(rows: DataFrame, rank: list[Column]) -> Column:
+    """A small result as one array, sorted by ``rank``."""
+    ranks = [c.alias(f"_r{i}") for i, c in enumerate(rank)]
+    ranked = F.sort_array(F.collect_list(F.struct(*ranks, F.struct(*rows.columns).alias("item"))))
+    return rows.agg(F.transform(ranked, lambda x: x["item"])).scalar()
 
 
 def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame, generated_at: Column) -> DataFrame:
@@ -182,7 +182,7 @@ def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame,
     )
     keyed = base.groupBy("customer_sk").agg(*[F.sum(c).alias(c) for c in ("_sum", "_orders", "_rows")])
     unresolved = F.sum(F.when(F.col("customer_sk") == S.UNKNOWN_KEY, F.col("_orders")))
-    summary = keyed.agg(
+    totals = keyed.agg(
         F.struct(
             F.coalesce(F.sum("_sum"), F.lit(0)).cast(two_places).alias("total_sales"),
             F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
@@ -200,20 +200,15 @@ def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame,
         .agg(F.sum("_sum").cast(two_places).alias("sales_amount"), F.sum("_orders").alias("order_count"))
     )
     statuses = base.groupBy("order_status").agg(F.sum("_orders").alias("order_count"))
-    latest = runs.orderBy(F.desc("start_time"), "run_id").limit(10)
-    at = F.date_format("start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    latest = latest.withColumn("start_time", at).select("run_id", "pipeline_name", "start_time", "status", "records_processed")
-    sections = [
-        summary,
-        _listed(states, [-F.col("sales_amount"), F.col("state_code")], states.columns, "sales_by_state"),
-        _listed(statuses, [-F.col("order_count"), F.col("order_status")], statuses.columns, "order_status_breakdown"),
-        _listed(
-            latest, [F.col("start_time"), F.col("run_id")], latest.columns, "pipeline_runs",
-        ).withColumn("pipeline_runs", F.reverse("pipeline_runs")),
-    ]
-    one = sections[0]
-    for section in sections[1:]:
-        one = one.withColumn("_k", F.lit(1)).join(section.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    order = ["executive_summary", "sales_by_state", "order_status_breakdown", "unresolved_orders", "pipeline_runs"]
-    body = F.struct(*order, F.date_format(generated_at, "yyyy-MM-dd HH:mm:ss").alias("generated_at"))
-    return one.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))
+    latest = runs.orderBy(F.desc("start_time"), "run_id").limit(10).select(
+        "run_id", "pipeline_name", C.instant_text("start_time").alias("start_time"), "status", "records_processed"
+    )
+    body = F.struct(
+        "executive_summary",
+        _listed(states, [-F.col("sales_amount"), F.col("state_code")]).alias("sales_by_state"),
+        _listed(statuses, [-F.col("order_count"), F.col("order_status")]).alias("order_status_breakdown"),
+        "unresolved_orders",
+        F.reverse(_listed(latest, [F.col("start_time"), F.col("run_id")])).alias("pipeline_runs"),
+        F.date_format(generated_at, "yyyy-MM-dd HH:mm:ss").alias("generated_at"),
+    )
+    return totals.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))

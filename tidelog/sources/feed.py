@@ -15,11 +15,11 @@ FIRST_ID = 0
 def changes_after(log: DataFrame, mark: DataFrame, ordered: bool = False) -> DataFrame:
     """Events above the high-water mark (a frame of one row).
 
+    The mark is a scalar subquery, whose value reaches the scan as a pushed filter.
     Event order lives in the sequence column, and later steps order per key, so a
     sort of the whole increment is only made when a consumer asks for it.
     """
-    last = F.broadcast(mark.select(F.col("last_processed_id").alias("_last")))
-    rows = log.join(last, F.col("_row_sequence_id") > F.col("_last")).drop("_last")
+    rows = log.filter(F.col("_row_sequence_id") > mark.select("last_processed_id").scalar())
     return rows.orderBy("_row_sequence_id") if ordered else rows
 
 

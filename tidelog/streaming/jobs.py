@@ -50,8 +50,7 @@ def ingest_available(
     """Land new change files as raw rows under ``raw_root/<entity>/batch=<n>/ingest_date=<d>``."""
 
     def land(events: DataFrame, epoch: int) -> None:
-        batch = bronze.stamped(events, ingested_at, F.lit(f"stream-{epoch}"))
-        batch.persist()
+        batch = bronze.stamped(events, ingested_at, F.lit(f"stream-{epoch}")).persist()
         try:
             drift = bronze.filled_drift(batch)
             for entity in S.ENTITY_COLUMNS:
@@ -102,8 +101,11 @@ def apply_batch(batch: DataFrame, epoch: int, root: str, hot_rows: int = HOT_ROW
 
 def apply_available(spark: SparkSession, source: str, root: str, checkpoint: str, hot_rows: int = HOT_ROWS) -> None:
     def apply(events: DataFrame, epoch: int) -> None:
-        stamped = bronze.stamped(events, F.col("_commit_timestamp"), F.lit(f"stream-{epoch}"))
-        apply_batch(stamped, epoch, root, hot_rows)
+        batch = bronze.stamped(events, F.col("_commit_timestamp"), F.lit(f"stream-{epoch}")).persist()
+        try:
+            apply_batch(batch, epoch, root, hot_rows)
+        finally:
+            batch.unpersist()
 
     run_available(change_stream(spark, source), apply, checkpoint)
 
