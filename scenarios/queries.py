@@ -86,7 +86,7 @@ def bronze_json_ingest(lake: Lake) -> DataFrame:
     _write_array_files(lake, files)
     events = feed.read_change_files(lake.spark, files)
     stamped = bronze.stamped(events, ntz(STAMP), F.lit("batch-one"))
-    bronze.write_entities(stamped, raw, bronze.filled_drift(stamped))
+    bronze.write_entities(stamped, lambda entity: f"{raw}/{entity}")
     landed = [bronze.read_merged(lake.spark, f"{raw}/{e}") for e in S.ENTITY_COLUMNS]
     return landed[0].unionByName(landed[1], allowMissingColumns=True)
 
@@ -355,7 +355,7 @@ def late_dimension_resolution(lake: Lake) -> DataFrame:
 @query
 def clustered_fact_write(lake: Lake) -> DataFrame:
     path = workspace.new_dir(lake.spark, "clustered")
-    bronze.clustered(lake.fact_orders, ["customer_sk", "created_at"], 8).write.parquet(path)
+    bronze.clustered(lake.fact_orders, ["customer_sk", "created_at"]).write.parquet(path)
     return lake.spark.read.parquet(path)
 
 

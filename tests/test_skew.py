@@ -115,3 +115,13 @@ def test_at_most_the_limit_is_broadcast(spark, monkeypatch, rows_of):
     assert marked.filter("_hot_n is not null").select("k").distinct().count() == 3
     cut = rows_of(skew.with_neighbour(rows, "k", ["at", "seq"], ["seq"], hot_rows=4), ["k", "seq", "next_seq"])
     assert cut == plain
+
+
+@pytest.mark.parametrize("one_in", [1, 3])
+def test_finding_hot_keys_on_a_sample_changes_nothing(one_in, monkeypatch, lake, duck):
+    monkeypatch.setattr(skew, "_counted_one_in", lambda hot_rows: one_in)
+    got = gold.order_facts(lake.silver_orders, lake.dim_customers, 6)
+    assert difference(got, duck, entry.oracle_sql()["fact_orders"]) == ""
+    got = history.customer_history(lake.stg_customers, hot_rows=6)
+    assert difference(_shown(got), duck, entry.oracle_sql()["silver_customers"]) == ""
+    assert skew._counted_one_in(skew.HOT_ROWS) == one_in

@@ -73,7 +73,7 @@ def test_drift_is_per_entity(spark, lake, rows_of):
 def test_unknown_entities_are_not_written(spark, lake, tmp_path):
     events = lake.change_log.limit(5).withColumn("entity_type", F.lit("suppliers"))
     stamped = bronze.stamped(lake.change_log.unionByName(events), ntz(AT), F.lit("b"))
-    bronze.write_entities(stamped, str(tmp_path), bronze.filled_drift(stamped))
+    bronze.write_entities(stamped, lambda entity: str(tmp_path / entity))
     assert sorted(p.name for p in tmp_path.iterdir()) == ["customers", "orders"]
     landed = sum(bronze.read_merged(spark, str(tmp_path / e)).count() for e in ("customers", "orders"))
     assert landed == lake.change_log.count()

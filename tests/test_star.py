@@ -47,10 +47,9 @@ def test_point_in_time_join_equals_all_pairs(seed, hot, closed, spark, rows_of):
     for order, key, when in facts:
         hits = [sk for k, sk, a, z in versions if k == key and a <= when and (when <= z if closed else when < z)]
         want += [(order, sk) for sk in hits] or [(order, None)]
-    join = asof.asof_versions_closed if closed else asof.asof_versions
-    got = join(
+    got = asof.asof_versions(
         spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS), "customer_id", "created_at",
-        ["customer_sk"], hot,
+        ["customer_sk"], hot, closed,
     )
     assert rows_of(got, ["order_id", "customer_sk"]) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
 

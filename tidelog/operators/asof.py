@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.skew import HOT_ROWS, mark_slices
 
+_VERSION, _FACT = 0, 1
+
 
 def asof_versions(
     facts: DataFrame,
@@ -15,6 +17,7 @@ def asof_versions(
     at: str,
     take: list[str],
     hot_rows: int = HOT_ROWS,
+    closed: bool = False,
 ) -> DataFrame:
     """Left join: each fact gets ``take`` of the version with valid_from <= at < valid_to.
 
@@ -23,20 +26,31 @@ def asof_versions(
     seen is carried forward: linear in their number, where a range join would
     test every version of a key against every fact of it.  Facts without a key
     match nothing and skip the shuffle.
+
+    With ``closed`` the end belongs to the interval too: a fact also matches,
+    with a row of its own, every version that ends at its very instant.
     """
     keyed = facts.filter(F.col(key).isNotNull())
     unkeyed = facts.filter(F.col(key).isNull())
-    version = F.struct("valid_from", "valid_to", *take).alias("_version")
-    lane_versions = versions.filter((F.col("valid_from") < F.col("valid_to")) & F.col(key).isNotNull()).select(
-        key, F.col("valid_from").alias("_at"), F.lit(0).alias("_lane"), version
-    )
     payload = [c for c in facts.columns if c != key]
-    lane_facts = keyed.select(
-        key, F.col(at).alias("_at"), F.lit(1).alias("_lane"), F.struct(*payload).alias("_fact")
-    )
-    rows = lane_versions.unionByName(lane_facts, allowMissingColumns=True)
+    taken = F.struct(*take)
+
+    known = versions.filter(F.col(key).isNotNull())
+    lanes = [
+        known.filter(F.col("valid_from") < F.col("valid_to")).select(
+            key, F.col("valid_from").alias("_at"), F.lit(_VERSION).alias("_lane"),
+            F.struct("valid_from", "valid_to", taken.alias("taken")).alias("_version"),
+        ),
+        keyed.select(key, F.col(at).alias("_at"), F.lit(_FACT).alias("_lane"), F.struct(*payload).alias("_fact")),
+    ]
+    if closed:
+        lanes.append(known.select(key, F.col("valid_to").alias("_at"), F.lit(_VERSION).alias("_lane"), taken.alias("_ended")))
+    rows = lanes[0]
+    for lane in lanes[1:]:
+        rows = rows.unionByName(lane, allowMissingColumns=True)
     marked = mark_slices(rows, key, "_at", hot_rows)
 
+    # border rows of hot keys: the version in force when a slice begins
     in_slice_order = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         marked.filter(F.col("_hot_n").isNotNull())
@@ -44,36 +58,23 @@ def asof_versions(
         .agg(F.max("_version").alias("_version"))
         .withColumn("_version", F.max("_version").over(in_slice_order))
         .filter(F.col("_version").isNotNull())
-        .select(key, "_slice", F.col("_version.valid_from").alias("_at"), F.lit(0).alias("_lane"), "_version")
+        .select(key, "_slice", F.col("_version.valid_from").alias("_at"), F.lit(_VERSION).alias("_lane"), "_version")
     )
     both = marked.drop("_hot_n").unionByName(carried, allowMissingColumns=True)
-    so_far = (
-        Window.partitionBy(key, "_slice").orderBy("_at", "_lane").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    seen = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).filter("_lane = 1")
-    valid = F.col("_at") < F.col("_version.valid_to")
-    matched = seen.select(
-        key,
-        *[F.col("_fact")[c].alias(c) for c in payload],
-        *[F.when(valid, F.col("_version")[c]).alias(c) for c in take],
-    )
-    return matched.unionByName(unkeyed, allowMissingColumns=True)
-
+    in_order = Window.partitionBy(key, "_slice").orderBy("_at", "_lane")
+    found = {"_version": F.last("_version", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))}
+    if closed:
+        same_instant = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(0, 0)
+        found["_ended"] = F.collect_list("_ended").over(same_instant)
+    seen = both.withColumns(found).filter(F.col("_lane") == _FACT)
+    in_force = F.when(F.col("_at") < F.col("_version.valid_to"), F.col("_version.taken"))
 
-def asof_versions_closed(
-    facts: DataFrame, versions: DataFrame, key: str, at: str, take: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """The same with valid_from <= at <= valid_to: a fact on a border matches every version that touches it.
+    def result(match: Column) -> list[Column]:
+        return [F.col(key), *[F.col("_fact")[c].alias(c) for c in payload], *[match[c].alias(c) for c in take]]
 
-    The additional matches have valid_to = at, which is an equi-join.  ``take`` must
-    start with a column that is never NULL in a version.
-    """
-    ending = versions.filter(F.col(key).isNotNull()).select(key, F.col("valid_to").alias(at), *[c for c in take if c != key])
-    touched = ending.select(key, at).distinct().withColumn("_touches", F.lit(True))
-    flagged = facts.join(touched, [key, at], "left").select(*facts.columns, "_touches")
-    # a fact that only touches a border must not also keep its unmatched row
-    inside = asof_versions(flagged, versions, key, at, take, hot_rows).filter(
-        F.col(take[0]).isNotNull() | F.col("_touches").isNull()
-    )
-    on_border = facts.join(ending, [key, at]).select(*facts.columns, *take)
-    return inside.drop("_touches").unionByName(on_border)
+    if closed:
+        matches = F.array_compact(F.concat(F.array(in_force), F.col("_ended")))
+        matched = seen.withColumn("_match", F.explode_outer(matches)).select(result(F.col("_match")))
+    else:
+        matched = seen.select(result(in_force))
+    return matched.unionByName(unkeyed, allowMissingColumns=True)

@@ -67,7 +67,9 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
     rows = _open_lane(history).unionByName(events).withColumn("_rank", F.when(F.col("_kind") == _OPEN, 0).otherwise(1))
     is_open = F.col("_kind") == _OPEN
     # the open version precedes every event of its key, however late its start
-    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events).withColumns(
+    marked = mark_slices(
+        rows, "customer_id", "_at", hot_rows, counted=events, sample_by=["_at", "_seq"]
+    ).withColumns(
         {"_open_from": F.when(is_open, F.col("_at")), "_slice": F.when(is_open, 0).otherwise(F.col("_slice"))}
     )
     # Border rows of hot keys: the start of the open version for every later slice, and the

@@ -7,10 +7,11 @@ slice is one row per border, found with a partial aggregation and added to the
 slice as a *border row* before the shuffle.  Keys that are not hot keep slice 0
 and need no border rows, so the usual case costs one narrow count.
 
-The set of hot keys is broadcast.  Its size is bounded twice: a hot key has more
-than ``hot_rows`` rows, and at most ``MAX_HOT_KEYS`` of the largest are taken, so
-every other key holds less than one part in ``MAX_HOT_KEYS`` of the rows and goes
-the ordinary way.  Both ways give the same result.
+Which keys are hot decides how the work is cut, never what comes out: both ways
+give the same result.  So large keys may be found on a sample (of the count only;
+every row is processed).  The set of hot keys is broadcast; at most
+``MAX_HOT_KEYS`` of the largest are taken, which bounds its size, and leaves to the
+ordinary way only keys with less than one part in ``MAX_HOT_KEYS`` of the rows.
 """
 
 from __future__ import annotations
@@ -24,15 +25,25 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS, measures: list[Column] | None = None) -> DataFrame:
+def _counted_one_in(hot_rows: int) -> int:
+    """How many rows one counted row stands for: a hot key keeps some ten thousand counted rows."""
+    return max(1, min(64, hot_rows // 10_000))
+
+
+def hot_keys(
+    rows: DataFrame, key: str, sample_by: list[str], hot_rows: int = HOT_ROWS, measures: list[Column] | None = None
+) -> DataFrame:
     """The at most MAX_HOT_KEYS largest keys above ``hot_rows``, NULL included.
 
-    Ties at the limit are broken on the key, so that the same input always gives
-    the same set, also when a lost executor has it computed again.
+    Rows are counted where a hash of ``sample_by`` says so.  That, and breaking
+    ties at the limit on the key, makes every evaluation give the same set, also
+    when a lost executor has it computed again.
     """
+    one_in = _counted_one_in(hot_rows)
+    counted = rows if one_in == 1 else rows.filter(F.pmod(F.xxhash64(*sample_by), F.lit(one_in)) == 0)
     return (
-        rows.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_hot_n"), *(measures or []))
+        counted.groupBy(F.col(key).alias("_hot_key"))
+        .agg((F.count(F.lit(1)) * one_in).alias("_hot_n"), *(measures or []))
         .filter(F.col("_hot_n") > hot_rows)
         .orderBy(F.desc("_hot_n"), "_hot_key")
         .limit(MAX_HOT_KEYS)
@@ -44,8 +55,8 @@ def mark_slices(
     key: str,
     at: str,
     hot_rows: int = HOT_ROWS,
-    measures: list[Column] | None = None,
     counted: DataFrame | None = None,
+    sample_by: list[str] | None = None,
 ) -> DataFrame:
     """Add ``_slice`` (0 unless the key is hot) and ``_hot_n`` (NULL unless hot).
 
@@ -54,8 +65,8 @@ def mark_slices(
     what is hot and how long a slice is; rows before its range fall in slice 0.
     """
     second = epoch_seconds(at)
-    span = [F.min(second).alias("_hot_from"), F.max(second).alias("_hot_to"), *(measures or [])]
-    hot = hot_keys(rows if counted is None else counted, key, hot_rows, span)
+    span = [F.min(second).alias("_hot_from"), F.max(second).alias("_hot_to")]
+    hot = hot_keys(rows if counted is None else counted, key, sample_by or [key, at], hot_rows, span)
     slices = F.ceil(F.col("_hot_n") / F.lit(float(hot_rows)))
     hot = hot.withColumn(
         "_hot_width", F.greatest(F.lit(1), F.ceil((F.col("_hot_to") - F.col("_hot_from") + 1) / slices))
@@ -102,7 +113,7 @@ def with_neighbour(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add, under ``prefix``, the ``carry`` columns of the next or previous row of the key."""
-    marked = mark_slices(rows, key, order[0], hot_rows)
+    marked = mark_slices(rows, key, order[0], hot_rows, sample_by=order)
     borders = border_rows(marked, key, order, carry, step).withColumn("_border", F.lit(True))
     both = marked.drop("_hot_n").withColumn("_border", F.lit(False)).unionByName(borders, allowMissingColumns=True)
     in_order = Window.partitionBy(key, "_slice").orderBy(*order)
@@ -124,7 +135,7 @@ def spread_lookup(
     per bucket.  NULL keys are spread as well; they match nothing.
     """
     buckets = F.ceil(F.col("_hot_n") / F.lit(float(hot_rows))).cast("int")
-    hot = hot_keys(left, key, hot_rows).select("_hot_key", buckets.alias("_buckets"))
+    hot = hot_keys(left, key, [spread_by], hot_rows).select("_hot_key", buckets.alias("_buckets"))
     salted = (
         left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
         .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_buckets")).cast("int"), F.lit(0)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog import schemas as S
 from tidelog.functions import columns as C
-from tidelog.operators.asof import asof_versions, asof_versions_closed
+from tidelog.operators.asof import asof_versions
 from tidelog.operators.skew import HOT_ROWS, spread_lookup
 
 DIM_COLUMNS = [
@@ -60,9 +60,9 @@ def order_facts_by_commit(orders: DataFrame, history: DataFrame, hot_rows: int =
     border of two versions gives two rows.
     """
     versions = history.withColumn("_matched", F.col("customer_id"))
-    facts = asof_versions_closed(
+    facts = asof_versions(
         orders.select("order_id", "customer_id", "order_amount", "order_status", "_commit_timestamp"),
-        versions, "customer_id", "_commit_timestamp", ["_matched"], hot_rows,
+        versions, "customer_id", "_commit_timestamp", ["_matched"], hot_rows, closed=True,
     )
     return facts.select(
         "order_id", F.col("_matched").alias("customer_sk"), "order_amount", "order_status",
@@ -80,9 +80,9 @@ def refreshed_facts(
     stale = spread_lookup(
         orders.filter(F.col("customer_id").isNotNull()), touched, "customer_id", "left_semi", "order_id", hot_rows
     )
-    again = order_facts(stale, dimension, hot_rows)
-    replaced = again.select(F.col("order_id").alias("_again"))
-    return facts.join(replaced, F.col("order_id").eqNullSafe(F.col("_again")), "left_anti").unionByName(again)
+    replaced = stale.select(F.col("order_id").alias("_again"))
+    kept = facts.join(replaced, F.col("order_id").eqNullSafe(F.col("_again")), "left_anti")
+    return kept.unionByName(order_facts(stale, dimension, hot_rows))
 
 
 def date_dimension(first: Column, last: Column, rows: DataFrame) -> DataFrame:

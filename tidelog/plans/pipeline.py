@@ -59,8 +59,7 @@ def _row_count(spark: SparkSession, table: str) -> DataFrame:
 
 
 def refresh(
-    spark: SparkSession, raw_customers: DataFrame, raw_orders: DataFrame, schema: str, audit_path: str,
-    fact_partitions: int = 8,
+    spark: SparkSession, raw_customers: DataFrame, raw_orders: DataFrame, schema: str, audit_path: str
 ) -> list[str]:
     """Build or rebuild every table of ``schema``; returns the names of its tables."""
 
@@ -82,9 +81,7 @@ def refresh(
         dimension = gold.customer_dimension(history)
         tables.create_or_replace(dimension, name("dim_customers"))
         facts = gold.order_facts(orders, spark.table(name("dim_customers")))
-        tables.create_or_replace(
-            clustered(facts, ["customer_sk", "created_at"], fact_partitions), name("fact_orders")
-        )
+        tables.create_or_replace(clustered(facts, ["customer_sk", "created_at"]), name("fact_orders"))
         tables.create_or_replace(gold.date_dimension_for(spark.table(name("fact_orders"))), name("dim_date"))
 
     def measures() -> None:

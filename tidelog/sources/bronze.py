@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelog import schemas as S
 
@@ -60,14 +61,21 @@ def filled_drift(events: DataFrame) -> dict[str, list[str]]:
     return {e: sorted(r.column_name for r in found if r.entity_type == e) for e in S.ENTITY_COLUMNS}
 
 
-def write_entities(events: DataFrame, root: str, drift: dict[str, list[str]], mode: str = "append") -> None:
+def write_entities(events: DataFrame, path_of: Callable[[str], str], mode: str = "append") -> None:
     """Route a stamped feed to one folder per known entity; other entities are not written.
 
-    Each entity gets its own drifted columns only (see ``filled_drift``).
+    Each entity gets its own drifted columns only.  The feed is read for the drift
+    and for each entity, so it is kept between (in memory or on executor disks; what
+    is lost with an executor is parsed again).
     """
-    for entity in S.ENTITY_COLUMNS:
-        rows = entity_rows(events, entity).select(*S.landed_columns(entity), *drift[entity], "ingest_date")
-        write_partitioned(rows, f"{root}/{entity}", mode)
+    events.persist()
+    try:
+        drift = filled_drift(events)
+        for entity in S.ENTITY_COLUMNS:
+            rows = entity_rows(events, entity).select(*S.landed_columns(entity), *drift[entity], "ingest_date")
+            write_partitioned(rows, path_of(entity), mode)
+    finally:
+        events.unpersist()
 
 
 def read_raw(spark: SparkSession, path: str, entity: str, extra: list[str] | None = None) -> DataFrame:
@@ -98,9 +106,11 @@ def pending_batches(batches: DataFrame, processed: DataFrame) -> DataFrame:
     return batches.join(processed, "_bronze_batch_id", "left_anti")
 
 
-def clustered(rows: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+def clustered(rows: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort, so that file statistics let readers skip files.
 
-    A value that fills several ranges is split by the columns after it.
+    A value that fills several ranges is split by the columns after it.  Without a
+    number, the session's shuffle partitions are used and AQE merges small ones.
     """
-    return rows.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
+    ranges = [partitions, *columns] if partitions else columns
+    return rows.repartitionByRange(*ranges).sortWithinPartitions(*columns)

@@ -50,15 +50,8 @@ def ingest_available(
     """Land new change files as raw rows under ``raw_root/<entity>/batch=<n>/ingest_date=<d>``."""
 
     def land(events: DataFrame, epoch: int) -> None:
-        batch = bronze.stamped(events, ingested_at, F.lit(f"stream-{epoch}")).persist()
-        try:
-            drift = bronze.filled_drift(batch)
-            for entity in S.ENTITY_COLUMNS:
-                rows = bronze.entity_rows(batch, entity)
-                columns = S.landed_columns(entity) + drift[entity] + ["ingest_date"]
-                bronze.write_partitioned(rows.select(columns), f"{raw_root}/{entity}/batch={epoch}", "overwrite")
-        finally:
-            batch.unpersist()
+        batch = bronze.stamped(events, ingested_at, F.lit(f"stream-{epoch}"))
+        bronze.write_entities(batch, lambda entity: f"{raw_root}/{entity}/batch={epoch}", "overwrite")
 
     run_available(change_stream(spark, source, archive=archive), land, checkpoint)
 
