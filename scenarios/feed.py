@@ -133,16 +133,24 @@ class Lake:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = workspace.new_dir(spark, "lake")
         self._written: set[str] = set()
+        self._frames: dict[str, DataFrame] = {}
+
+    def _frame(self, name: str, read: Callable[[], DataFrame]) -> DataFrame:
+        """A scan, listed once: the files of a lake do not change after they are written."""
+        if name not in self._frames:
+            self._frames[name] = read()
+        return self._frames[name]
 
     def source(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._frame(f"source/{table}", lambda: self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet"))
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self.root}/{name}"
-        if name not in self._written:
-            build().write.mode("overwrite").parquet(path)
-            self._written.add(name)
-        return self.spark.read.parquet(path)
+        def write_and_read() -> DataFrame:
+            rows, path = build(), f"{self.root}/{name}"
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        return self._frame(name, write_and_read)
 
     # raw layer -------------------------------------------------------------------
 
@@ -162,11 +170,13 @@ class Lake:
 
     @property
     def raw_customers(self) -> DataFrame:
-        return bronze.read_raw(self.spark, self.raw_path("customers"), "customers", ["loyalty_tier"])
+        path = self.raw_path("customers")
+        return self._frame("raw/customers", lambda: bronze.read_raw(self.spark, path, "customers", ["loyalty_tier"]))
 
     @property
     def raw_orders(self) -> DataFrame:
-        return bronze.read_raw(self.spark, self.raw_path("orders"), "orders")
+        path = self.raw_path("orders")
+        return self._frame("raw/orders", lambda: bronze.read_raw(self.spark, path, "orders"))
 
     @property
     def change_log(self) -> DataFrame:

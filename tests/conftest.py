@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
     made = session(
-        "local[8]", "tests", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
+        "local[8]", "tests", spark__sql__shuffle__partitions="3", spark__driver__memory="6g",
         spark__checkpoint__dir=shared, spark__sql__warehouse__dir=shared + "/warehouse",
     )
     made.sparkContext.setLogLevel("ERROR")

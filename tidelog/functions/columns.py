@@ -6,48 +6,51 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# valid_to of a version nobody has closed yet (one typed constant), and the start of the unknown member
+END_OF_TIME = "timestamp_ntz'9999-12-31 23:59:59'"
+START_OF_TIME = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
 def end_of_time() -> Column:
-    """``valid_to`` of a version nobody has closed yet (one typed constant)."""
-    return F.expr("timestamp_ntz'9999-12-31 23:59:59'")
+    return F.expr(END_OF_TIME)
 
 
 def start_of_time() -> Column:
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    return F.expr(START_OF_TIME)
 
 
-def epoch_seconds(at: str | Column) -> Column:
-    """Seconds since 1970 of a zone-less timestamp, without going through a session zone."""
-    at = F.col(at) if isinstance(at, str) else at
-    days = F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("long")
-    return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+def epoch_seconds(at: str) -> str:
+    """SQL for the seconds since 1970 of a zone-less timestamp, without going through a session zone."""
+    return (
+        f"(datediff(to_date({at}), date'1970-01-01') * 86400L"
+        f" + hour({at}) * 3600 + minute({at}) * 60 + second({at}))"
+    )
 
 
 def seconds_between(start: str, end: str) -> Column:
     """Duration in seconds, with microseconds kept."""
-    return F.try_divide(
-        F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)).cast("double"), F.lit(1e6)
-    )
+    return F.expr(f"timestampdiff(MICROSECOND, {start}, {end}) / 1e6D")
 
 
 def date_key(at: str) -> Column:
     """yyyyMMdd as an integer."""
-    return F.year(at) * 10000 + F.month(at) * 100 + F.dayofmonth(at)
+    return F.expr(f"year({at}) * 10000 + month({at}) * 100 + day({at})")
 
 
 def cleaned(text: str) -> Column:
-    return F.trim(F.coalesce(F.col(text), F.lit("")))
+    return F.expr(f"trim(coalesce({text}, ''))")
 
 
 def masked_last_name(name: str) -> Column:
     """First letter and a dot."""
-    return F.concat(F.substring(name, 1, 1), F.lit("."))
+    return F.expr(f"substring({name}, 1, 1) || '.'")
 
 
 def masked_email(email: str) -> Column:
     """Two leading characters, stars, then everything from the first at-sign on."""
-    domain = F.regexp_replace(F.col(email), "^[^@]*@", "")
-    masked = F.concat(F.substring(email, 1, 2), F.lit("***@"), domain)
-    return F.when(F.col(email).contains("@"), masked).otherwise(F.lit("***"))
+    return F.expr(
+        f"if(contains({email}, '@'), substring({email}, 1, 2) || '***@' || regexp_replace({email}, '^[^@]*@', ''), '***')"
+    )
 
 
 def instant_text(at: str) -> Column:

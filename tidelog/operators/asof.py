@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.skew import HOT_ROWS, mark_slices
@@ -30,51 +30,41 @@ def asof_versions(
     With ``closed`` the end belongs to the interval too: a fact also matches,
     with a row of its own, every version that ends at its very instant.
     """
-    keyed = facts.filter(F.col(key).isNotNull())
-    unkeyed = facts.filter(F.col(key).isNull())
     payload = [c for c in facts.columns if c != key]
-    taken = F.struct(*take)
-
-    known = versions.filter(F.col(key).isNotNull())
-    lanes = [
-        known.filter(F.col("valid_from") < F.col("valid_to")).select(
-            key, F.col("valid_from").alias("_at"), F.lit(_VERSION).alias("_lane"),
-            F.struct("valid_from", "valid_to", taken.alias("taken")).alias("_version"),
+    taken = f"struct({', '.join(take)})"
+    versions = versions.filter(f"{key} is not null")
+    rows = versions.filter("valid_from < valid_to").selectExpr(
+        key, "valid_from as _at", f"{_VERSION} as _lane", f"struct(valid_from, valid_to, {taken} as taken) as _version"
+    ).unionByName(
+        facts.filter(f"{key} is not null").selectExpr(
+            key, f"{at} as _at", f"{_FACT} as _lane", f"struct({', '.join(payload)}) as _fact"
         ),
-        keyed.select(key, F.col(at).alias("_at"), F.lit(_FACT).alias("_lane"), F.struct(*payload).alias("_fact")),
-    ]
+        allowMissingColumns=True,
+    )
     if closed:
-        lanes.append(known.select(key, F.col("valid_to").alias("_at"), F.lit(_VERSION).alias("_lane"), taken.alias("_ended")))
-    rows = lanes[0]
-    for lane in lanes[1:]:
-        rows = rows.unionByName(lane, allowMissingColumns=True)
+        ends = versions.selectExpr(key, "valid_to as _at", f"{_VERSION} as _lane", f"{taken} as _ended")
+        rows = rows.unionByName(ends, allowMissingColumns=True)
     marked = mark_slices(rows, key, "_at", hot_rows)
 
     # border rows of hot keys: the version in force when a slice begins
-    in_slice_order = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    in_force = f"max(_version) over (partition by {key} order by _slice rows between unbounded preceding and 1 preceding)"
     carried = (
-        marked.filter(F.col("_hot_n").isNotNull())
-        .groupBy(key, "_slice")
-        .agg(F.max("_version").alias("_version"))
-        .withColumn("_version", F.max("_version").over(in_slice_order))
-        .filter(F.col("_version").isNotNull())
-        .select(key, "_slice", F.col("_version.valid_from").alias("_at"), F.lit(_VERSION).alias("_lane"), "_version")
+        marked.filter("_hot_n is not null").groupBy(key, "_slice").agg(F.expr("max(_version) as _version"))
+        .selectExpr(key, "_slice", f"{in_force} as _version")
+        .filter("_version is not null")
+        .selectExpr("*", "_version.valid_from as _at", f"{_VERSION} as _lane")
     )
     both = marked.drop("_hot_n").unionByName(carried, allowMissingColumns=True)
-    in_order = Window.partitionBy(key, "_slice").orderBy("_at", "_lane")
-    found = {"_version": F.last("_version", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))}
-    if closed:
-        same_instant = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(0, 0)
-        found["_ended"] = F.collect_list("_ended").over(same_instant)
-    seen = both.withColumns(found).filter(F.col("_lane") == _FACT)
-    in_force = F.when(F.col("_at") < F.col("_version.valid_to"), F.col("_version.taken"))
-
-    def result(match: Column) -> list[Column]:
-        return [F.col(key), *[F.col("_fact")[c].alias(c) for c in payload], *[match[c].alias(c) for c in take]]
-
+    last = f"last(_version, true) over (partition by {key}, _slice order by _at, _lane rows unbounded preceding)"
+    same_instant = f"over (partition by {key}, _slice order by _at range between current row and current row)"
+    seen = both.selectExpr(
+        key, "_at", "_lane", "_fact", f"{last} as _version",
+        *([f"collect_list(_ended) {same_instant} as _ended"] if closed else []),
+    ).filter(f"_lane = {_FACT}")
+    match = "if(_at < _version.valid_to, _version.taken, null)"
     if closed:
-        matches = F.array_compact(F.concat(F.array(in_force), F.col("_ended")))
-        matched = seen.withColumn("_match", F.explode_outer(matches)).select(result(F.col("_match")))
-    else:
-        matched = seen.select(result(in_force))
-    return matched.unionByName(unkeyed, allowMissingColumns=True)
+        match = f"explode_outer(array_compact(concat(array({match}), _ended)))"
+    matched = seen.selectExpr(key, "_fact", f"{match} as _match").selectExpr(
+        key, *[f"_fact.{c}" for c in payload], *[f"_match.{c}" for c in take]
+    )
+    return matched.unionByName(facts.filter(f"{key} is null"), allowMissingColumns=True)

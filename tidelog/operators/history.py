@@ -17,24 +17,22 @@ HISTORY_COLUMNS = [
 
 def _intervals(changes: DataFrame, hot_rows: int) -> DataFrame:
     """Every change opens an interval that the next change of the key closes."""
-    images = changes.filter(F.col("_change_type") != S.UPDATE_BEFORE)
+    images = changes.filter(f"_change_type != '{S.UPDATE_BEFORE}'")
     timed = with_neighbour(
         images, "customer_id", ["_commit_timestamp", "_row_sequence_id"], ["_commit_timestamp"], "next", "_next",
         hot_rows,
     )
-    deleted = F.col("_change_type") == S.DELETE
-    open_ended = F.col("_next_commit_timestamp").isNull()
-    return timed.select(
+    return timed.selectExpr(
         "*",
-        F.col("_commit_timestamp").alias("valid_from"),
-        F.coalesce("_next_commit_timestamp", C.end_of_time()).alias("valid_to"),
-        (open_ended & ~deleted).cast("int").alias("is_current"),
-        deleted.cast("int").alias("is_deleted"),
+        "_commit_timestamp as valid_from",
+        f"coalesce(_next_commit_timestamp, {C.END_OF_TIME}) as valid_to",
+        f"cast(_next_commit_timestamp is null and _change_type != '{S.DELETE}' as int) as is_current",
+        f"cast(_change_type = '{S.DELETE}' as int) as is_deleted",
     )
 
 
 def _conformed(intervals: DataFrame, masked: bool) -> DataFrame:
-    changed = {"state": F.upper(F.trim("state"))}
+    changed = {"state": F.expr("upper(trim(state))")}
     if masked:
         changed |= {"last_name": C.masked_last_name("last_name"), "email": C.masked_email("email")}
     return intervals.withColumns(changed)

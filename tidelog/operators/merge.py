@@ -8,7 +8,7 @@ are, so the cost follows the batch and the open rows, not the length of history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
@@ -22,39 +22,38 @@ _OPEN, _WRITE, _DELETE = 0, 1, 2
 
 def _batch_lane(batch: DataFrame) -> DataFrame:
     """Events that can change history: no before-images, no blank keys, unknown kinds ignored."""
-    kind = (
-        F.when(F.col("_change_type").isin(S.INSERT, S.UPDATE_AFTER), _WRITE)
-        .when(F.col("_change_type") == S.DELETE, _DELETE)
-    )
-    lane = batch.withColumn("customer_id", C.cleaned("customer_id")).withColumn("_kind", kind)
-    return lane.filter((F.col("customer_id") != "") & F.col("_kind").isNotNull()).select(
-        "customer_id",
-        F.col("_commit_timestamp").alias("_at"),
-        F.col("_row_sequence_id").alias("_seq"),
-        "_kind",
-        C.digest_key("customer_id", "_commit_timestamp").alias("customer_sk"),
-        *[C.cleaned(c).alias(c) for c in ["first_name", "last_name", "email"]],
-        F.upper(C.cleaned("state")).alias("state"),
-        "_bronze_batch_id",
+    kinds = {S.INSERT: _WRITE, S.UPDATE_AFTER: _WRITE, S.DELETE: _DELETE}
+    kind = "case _change_type " + " ".join(f"when '{k}' then {v}" for k, v in kinds.items()) + " end"
+    text = ["first_name", "last_name", "email"]
+    return (
+        batch.withColumn("customer_id", C.cleaned("customer_id"))
+        .filter(f"customer_id != '' and _change_type in ({', '.join(repr(k) for k in kinds)})")
+        .select(
+            "customer_id", C.digest_key("customer_id", "_commit_timestamp").alias("customer_sk"),
+            *[C.cleaned(c).alias(c) for c in text], F.upper(C.cleaned("state")).alias("state"), "_bronze_batch_id",
+            F.expr("_commit_timestamp as _at"), F.expr("_row_sequence_id as _seq"), F.expr(f"{kind} as _kind"),
+            F.expr("1 as _rank"),
+        )
     )
 
 
 def _open_lane(history: DataFrame) -> DataFrame:
-    return history.filter("is_current = 1").select(
-        "customer_id", F.col("valid_from").alias("_at"), F.lit(-1).cast("long").alias("_seq"),
-        F.lit(_OPEN).alias("_kind"), "customer_sk", "first_name", "last_name", "email", "state", "_bronze_batch_id",
+    """The open version of each key; its rank puts it before every event, however late its start."""
+    return history.filter("is_current = 1").selectExpr(
+        "customer_id", "customer_sk", "first_name", "last_name", "email", "state", "_bronze_batch_id",
+        "valid_from as _at", "-1L as _seq", f"{_OPEN} as _kind", "0 as _rank",
     )
 
 
 _ORDER = ["_rank", "_at", "_seq"]
+_IN_ORDER = f"partition by customer_id, _slice order by {', '.join(_ORDER)}"
 
-
-def _too_old():
-    """Why an event comes before the open version of its key, NULL where it does not."""
-    write, delete = F.col("_kind") == _WRITE, F.col("_kind") == _DELETE
-    return F.when(write & (F.col("_at") <= F.col("_open_from")), "NOT_AFTER_OPEN_VERSION").when(
-        delete & (F.col("_at") < F.col("_open_from")), "BEFORE_OPEN_VERSION"
-    )
+# why an event comes before the open version of its key, NULL where it does not
+_TOO_OLD = (
+    f"case when _kind = {_WRITE} and _at <= _open_from then 'NOT_AFTER_OPEN_VERSION'"
+    f" when _kind = {_DELETE} and _at < _open_from then 'BEFORE_OPEN_VERSION' end"
+)
+_REPEATED = f"if(_kind = {_WRITE} and _before_kind = {_WRITE} and _before_at = _at, 'SAME_INSTANT', null)"
 
 
 def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
@@ -64,50 +63,45 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
     it, and every write but the first of several at the same instant.
     """
     events = _batch_lane(batch)
-    rows = _open_lane(history).unionByName(events).withColumn("_rank", F.when(F.col("_kind") == _OPEN, 0).otherwise(1))
-    is_open = F.col("_kind") == _OPEN
-    # the open version precedes every event of its key, however late its start
-    marked = mark_slices(
-        rows, "customer_id", "_at", hot_rows, counted=events, sample_by=["_at", "_seq"]
-    ).withColumns(
-        {"_open_from": F.when(is_open, F.col("_at")), "_slice": F.when(is_open, 0).otherwise(F.col("_slice"))}
+    rows = _open_lane(history).unionByName(events)
+    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events, sample_by=["_at", "_seq"]).withColumns(
+        {
+            "_open_from": F.expr(f"if(_kind = {_OPEN}, _at, null)"),
+            "_slice": F.expr(f"if(_kind = {_OPEN}, 0L, _slice)"),
+        }
     )
     # Border rows of hot keys: the start of the open version for every later slice, and the
     # first event of the next slice that is not too old.  A hot key has one open version,
     # so at most MAX_HOT_KEYS rows are broadcast.
-    hot = marked.filter(F.col("_hot_n").isNotNull())
-    hot_open = F.broadcast(hot.filter(is_open).select("customer_id", "_open_from"))
+    hot = marked.filter("_hot_n is not null")
+    hot_open = F.broadcast(hot.filter(f"_kind = {_OPEN}").select("customer_id", "_open_from"))
     starts = (
         hot.filter("_slice > 0").select("customer_id", "_slice").distinct().join(hot_open, "customer_id")
-        .select("customer_id", "_slice", F.lit(-1).alias("_rank"), F.col("_open_from").alias("_at"),
-                F.lit(-1).cast("long").alias("_seq"), "_open_from")
+        .selectExpr("*", "-1 as _rank", "_open_from as _at", "-1L as _seq", "true as _border")
     )
-    in_time = hot.drop("_open_from").join(hot_open, "customer_id", "left").filter(_too_old().isNull())
+    in_time = hot.drop("_open_from").join(hot_open, "customer_id", "left").filter(f"({_TOO_OLD}) is null")
     heads = border_rows(in_time, "customer_id", _ORDER, ["_kind", "_bronze_batch_id"], "next")
     both = (
-        marked.drop("_hot_n").withColumn("_border", F.lit(False))
-        .unionByName(starts.withColumn("_border", F.lit(True)), allowMissingColumns=True)
-        .unionByName(heads.withColumn("_border", F.lit(True)), allowMissingColumns=True)
+        marked.drop("_hot_n").selectExpr("*", "false as _border")
+        .unionByName(starts, allowMissingColumns=True)
+        .unionByName(heads.selectExpr("*", "true as _border"), allowMissingColumns=True)
     )
-    in_order = Window.partitionBy("customer_id", "_slice").orderBy(*_ORDER)
     placed = both.withColumns(
         {
-            "_open_from": F.max("_open_from").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
-            "_before_kind": F.lag("_kind").over(in_order),
-            "_before_at": F.lag("_at").over(in_order),
+            "_open_from": F.expr(f"max(_open_from) over ({_IN_ORDER} rows unbounded preceding)"),
+            "_before_kind": F.expr(f"lag(_kind) over ({_IN_ORDER})"),
+            "_before_at": F.expr(f"lag(_at) over ({_IN_ORDER})"),
         }
-    ).filter(F.col("_kind").isNotNull())
-    repeated = (F.col("_kind") == _WRITE) & (F.col("_before_kind") == _WRITE) & (F.col("_before_at") == F.col("_at"))
-    return placed.withColumn("_late", F.coalesce(_too_old(), F.when(repeated, "SAME_INSTANT"))).drop(
+    ).filter("_kind is not null")
+    return placed.withColumn("_late", F.expr(f"coalesce({_TOO_OLD}, {_REPEATED})")).drop(
         "_open_from", "_before_kind", "_before_at"
     )
 
 
 def late_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The events of the batch that ``apply_changes`` leaves out, with the reason."""
-    return _ruled(history, batch, hot_rows).filter(F.col("_late").isNotNull()).select(
-        F.col("_seq").alias("_row_sequence_id"), "customer_id", F.col("_at").alias("_commit_timestamp"),
-        F.col("_late").alias("late_reason"), "_bronze_batch_id",
+    return _ruled(history, batch, hot_rows).filter("_late is not null").selectExpr(
+        "_seq as _row_sequence_id", "customer_id", "_at as _commit_timestamp", "_late as late_reason", "_bronze_batch_id"
     )
 
 
@@ -118,23 +112,21 @@ def apply_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS
     and does nothing where none is open.  Closed versions of ``history`` are not
     part of the result.
     """
-    kept = _ruled(history, batch, hot_rows).filter(F.col("_late").isNull())
-    in_order = Window.partitionBy("customer_id", "_slice").orderBy(*_ORDER)
-    closed = kept.withColumns(
+    closed = _ruled(history, batch, hot_rows).filter("_late is null").withColumns(
         {
-            "_end": F.lead("_at").over(in_order),
-            "_end_kind": F.lead("_kind").over(in_order),
-            "_end_batch": F.lead("_bronze_batch_id").over(in_order),
+            "_end": F.expr(f"lead(_at) over ({_IN_ORDER})"),
+            "_end_kind": F.expr(f"lead(_kind) over ({_IN_ORDER})"),
+            "_end_batch": F.expr(f"lead(_bronze_batch_id) over ({_IN_ORDER})"),
         }
-    ).filter(~F.col("_border") & (F.col("_kind") != _DELETE))
-    deleted = F.coalesce(F.col("_end_kind") == _DELETE, F.lit(False))
+    ).filter(f"not _border and _kind != {_DELETE}")
+    deleted = f"coalesce(_end_kind = {_DELETE}, false)"
     return closed.withColumns(
         {
             "valid_from": F.col("_at"),
-            "valid_to": F.coalesce("_end", C.end_of_time()),
-            "is_current": F.col("_end").isNull().cast("int"),
-            "is_deleted": deleted.cast("int"),
-            "_bronze_batch_id": F.when(deleted, F.col("_end_batch")).otherwise(F.col("_bronze_batch_id")),
+            "valid_to": F.expr(f"coalesce(_end, {C.END_OF_TIME})"),
+            "is_current": F.expr("cast(_end is null as int)"),
+            "is_deleted": F.expr(f"cast({deleted} as int)"),
+            "_bronze_batch_id": F.expr(f"if({deleted}, _end_batch, _bronze_batch_id)"),
         }
     ).select(HISTORY_COLUMNS)
 

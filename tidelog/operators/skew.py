@@ -16,7 +16,7 @@ ordinary way only keys with less than one part in ``MAX_HOT_KEYS`` of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import epoch_seconds
@@ -31,7 +31,7 @@ def _counted_one_in(hot_rows: int) -> int:
 
 
 def hot_keys(
-    rows: DataFrame, key: str, sample_by: list[str], hot_rows: int = HOT_ROWS, measures: list[Column] | None = None
+    rows: DataFrame, key: str, sample_by: list[str], hot_rows: int = HOT_ROWS, measures: tuple[str, ...] = ()
 ) -> DataFrame:
     """The at most MAX_HOT_KEYS largest keys above ``hot_rows``, NULL included.
 
@@ -40,11 +40,11 @@ def hot_keys(
     when a lost executor has it computed again.
     """
     one_in = _counted_one_in(hot_rows)
-    counted = rows if one_in == 1 else rows.filter(F.pmod(F.xxhash64(*sample_by), F.lit(one_in)) == 0)
+    counted = rows if one_in == 1 else rows.filter(f"pmod(xxhash64({', '.join(sample_by)}), {one_in}) = 0")
     return (
         counted.groupBy(F.col(key).alias("_hot_key"))
-        .agg((F.count(F.lit(1)) * one_in).alias("_hot_n"), *(measures or []))
-        .filter(F.col("_hot_n") > hot_rows)
+        .agg(F.expr(f"count(*) * {one_in}L as _hot_n"), *map(F.expr, measures))
+        .filter(f"_hot_n > {hot_rows}")
         .orderBy(F.desc("_hot_n"), "_hot_key")
         .limit(MAX_HOT_KEYS)
     )
@@ -65,19 +65,15 @@ def mark_slices(
     what is hot and how long a slice is; rows before its range fall in slice 0.
     """
     second = epoch_seconds(at)
-    span = [F.min(second).alias("_hot_from"), F.max(second).alias("_hot_to")]
-    hot = hot_keys(rows if counted is None else counted, key, sample_by or [key, at], hot_rows, span)
-    slices = F.ceil(F.col("_hot_n") / F.lit(float(hot_rows)))
-    hot = hot.withColumn(
-        "_hot_width", F.greatest(F.lit(1), F.ceil((F.col("_hot_to") - F.col("_hot_from") + 1) / slices))
+    span = (f"min({second}) as _hot_from", f"max({second}) as _hot_to")
+    hot = hot_keys(rows if counted is None else counted, key, sample_by or [key, at], hot_rows, span).selectExpr(
+        "_hot_key", "_hot_n", "_hot_from",
+        f"greatest(1L, ceil((_hot_to - _hot_from + 1) / ceil(_hot_n / {hot_rows}))) as _hot_width",
     )
-    offset = F.floor((second - F.col("_hot_from")) / F.col("_hot_width")).cast("long")
-    # the condition spares all other rows the time arithmetic
-    in_hot_key = F.when(F.col("_hot_n").isNotNull(), F.greatest(offset, F.lit(0).cast("long")))
-    return (
-        rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_slice", F.coalesce(in_hot_key, F.lit(0).cast("long")))
-        .drop("_hot_key", "_hot_from", "_hot_to", "_hot_width")
+    # the condition spares the rows of all other keys the time arithmetic
+    number = f"if(_hot_n is null, 0L, greatest(0L, cast(floor(({second} - _hot_from) / _hot_width) as bigint)))"
+    return rows.join(F.broadcast(hot), F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
+        *rows.columns, "_hot_n", f"{number} as _slice"
     )
 
 
@@ -87,20 +83,13 @@ def border_rows(marked: DataFrame, key: str, order: list[str], carry: list[str],
     ``step='next'`` gives the first row of the following slice, ``'previous'`` the
     last row of the preceding one.  One row per slice, built map-side first.
     """
-    edge_of = F.min if step == "next" else F.max
-    shift = F.lead if step == "next" else F.lag
-    fields = list(dict.fromkeys(order + carry))
-    edges = (
-        marked.filter(F.col("_hot_n").isNotNull())
-        .groupBy(key, "_slice")
-        .agg(edge_of(F.struct(*fields)).alias("_edge"))
-    )
-    in_slice_order = Window.partitionBy(key).orderBy("_slice")
-    return (
-        edges.withColumn("_edge", shift("_edge").over(in_slice_order))
-        .filter(F.col("_edge").isNotNull())
-        .select(key, "_slice", *[F.col("_edge")[f].alias(f) for f in fields if f != key])
+    edge_of, shift = ("min", "lead") if step == "next" else ("max", "lag")
+    fields = [f for f in dict.fromkeys(order + carry) if f != key]
+    edges = marked.filter("_hot_n is not null").groupBy(key, "_slice").agg(
+        F.expr(f"{edge_of}(struct({', '.join(fields)})) as _edge")
     )
+    shifted = edges.selectExpr(key, "_slice", f"{shift}(_edge) over (partition by {key} order by _slice) as _edge")
+    return shifted.filter("_edge is not null").select(key, "_slice", "_edge.*")
 
 
 def with_neighbour(
@@ -114,15 +103,12 @@ def with_neighbour(
 ) -> DataFrame:
     """Add, under ``prefix``, the ``carry`` columns of the next or previous row of the key."""
     marked = mark_slices(rows, key, order[0], hot_rows, sample_by=order)
-    borders = border_rows(marked, key, order, carry, step).withColumn("_border", F.lit(True))
-    both = marked.drop("_hot_n").withColumn("_border", F.lit(False)).unionByName(borders, allowMissingColumns=True)
-    in_order = Window.partitionBy(key, "_slice").orderBy(*order)
-    shift = F.lead if step == "next" else F.lag
-    return (
-        both.withColumns({prefix + c: shift(c).over(in_order) for c in carry})
-        .filter(~F.col("_border"))
-        .drop("_border", "_slice")
-    )
+    borders = border_rows(marked, key, order, carry, step).selectExpr("*", "true as _border")
+    both = marked.drop("_hot_n").selectExpr("*", "false as _border").unionByName(borders, allowMissingColumns=True)
+    in_order = f"over (partition by {key}, _slice order by {', '.join(order)})"
+    shift = "lead" if step == "next" else "lag"
+    shifted = both.selectExpr(*rows.columns, "_border", *[f"{shift}({c}) {in_order} as {prefix}{c}" for c in carry])
+    return shifted.filter("not _border").drop("_border")
 
 
 def spread_lookup(
@@ -134,16 +120,15 @@ def spread_lookup(
     ``spread_by``; only their right rows (at most MAX_HOT_KEYS) are repeated, once
     per bucket.  NULL keys are spread as well; they match nothing.
     """
-    buckets = F.ceil(F.col("_hot_n") / F.lit(float(hot_rows))).cast("int")
-    hot = hot_keys(left, key, [spread_by], hot_rows).select("_hot_key", buckets.alias("_buckets"))
-    salted = (
-        left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_buckets")).cast("int"), F.lit(0)))
-        .drop("_hot_key", "_buckets")
+    hot = F.broadcast(
+        hot_keys(left, key, [spread_by], hot_rows).selectExpr(
+            "_hot_key", f"cast(ceil(_hot_n / {hot_rows}) as int) as _buckets"
+        )
+    )
+    salted = left.join(hot, F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
+        *left.columns, f"if(_buckets is null, 0, cast(pmod(xxhash64({spread_by}), _buckets) as int)) as _salt"
     )
-    repeated = (
-        right.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
-        .drop("_hot_key", "_buckets")
+    repeated = right.join(hot, F.expr(f"{key} = _hot_key"), "left").selectExpr(
+        *right.columns, "explode(sequence(0, coalesce(_buckets, 1) - 1)) as _salt"
     )
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
