@@ -61,6 +61,15 @@ def test_refused_records_keep_null_fields(spark):
     assert record == {"customer_id": None, "state": "x"}
 
 
+def test_refused_documents_of_a_repeated_batch_are_replaced(spark, lake, tmp_path):
+    documents = quality.key_quarantine(lake.raw_orders, "orders", ntz(STAMP))
+    for _ in range(2):
+        quality.write_documents(documents, str(tmp_path), "b1")
+    stored = spark.read.json(str(tmp_path))
+    assert stored.count() == documents.count() > 0
+    assert {"entity_type", "reason", "record", "quarantined_at"} <= set(stored.columns)
+
+
 def test_unknown_entity_passes_through(spark):
     rows = spark.range(3)
     clean, bad = quality.split_by_rules(rows, "suppliers", ntz(STAMP))

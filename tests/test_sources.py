@@ -92,11 +92,11 @@ def test_clustering_bounds_are_disjoint(spark, lake):
 
 
 def test_stream_resumes_and_archives(spark, lake, tmp_path):
-    topic, raw, mark = (str(tmp_path / n) for n in ("topic", "raw", "mark"))
+    topic, raw, mark, archive = (str(tmp_path / n) for n in ("topic", "raw", "mark", "archive"))
     log = lake.change_log
 
     def run():
-        jobs.ingest_available(spark, topic, raw, mark, ntz(AT))
+        jobs.ingest_available(spark, topic, raw, mark, ntz(AT), archive)
         return jobs.read_landed(spark, raw, "orders").count()
 
     feed.append_topic(log.filter("entity_type = 'orders'").limit(10), topic)
@@ -105,6 +105,9 @@ def test_stream_resumes_and_archives(spark, lake, tmp_path):
     assert run() == 10
     feed.append_topic(log.filter("entity_type = 'orders'").limit(7), topic)
     assert run() == 17
+    # files of the first batch were moved when the second began
+    assert any(p.name == "broken.json" for p in (tmp_path / "archive").rglob("*.json"))
+    assert not (tmp_path / "topic" / "broken.json").exists()
 
 
 def test_a_replayed_batch_counts_once(spark, lake, tmp_path, rows_of):

@@ -100,6 +100,11 @@ def key_quarantine(rows: DataFrame, entity: str, quarantined_at: Column) -> Data
     )
 
 
+def write_documents(documents: DataFrame, path: str, batch: str) -> None:
+    """Refused rows of a batch as JSON lines in a folder of their own, so that a repeated batch replaces them."""
+    documents.write.mode("overwrite").json(f"{path}/batch={batch}")
+
+
 def keyed_rows(rows: DataFrame, entity: str) -> DataFrame:
     """The rows ``key_quarantine`` lets through."""
     return rows.filter(key_problem(entity).isNull())
