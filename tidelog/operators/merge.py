@@ -15,7 +15,7 @@ from tidelog import schemas as S
 from tidelog.functions import columns as C
 from tidelog.operators.history import HISTORY_COLUMNS
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.skew import HOT_ROWS, border_rows, mark_slices, with_neighbour
+from tidelog.operators.skew import HOT_ROWS, mark_slices, with_neighbour
 
 _OPEN, _WRITE, _DELETE = 0, 1, 2
 
@@ -75,15 +75,22 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
     # so at most MAX_HOT_KEYS rows are broadcast.
     hot = marked.filter("_hot_n is not null")
     hot_open = F.broadcast(hot.filter(f"_kind = {_OPEN}").select("customer_id", "_open_from"))
-    starts = (
-        hot.filter("_slice > 0").select("customer_id", "_slice").distinct().join(hot_open, "customer_id")
-        .selectExpr("*", "-1 as _rank", "_open_from as _at", "-1L as _seq", "true as _border")
+    head = f"struct({', '.join(_ORDER)}, _kind, _bronze_batch_id)"
+    slices = (
+        hot.drop("_open_from").join(hot_open, "customer_id", "left").groupBy("customer_id", "_slice")
+        .agg(F.expr(f"min(if(({_TOO_OLD}) is null, {head}, null)) as _head"), F.max("_open_from").alias("_open_from"))
+    )
+    starts = slices.filter("_slice > 0 and _open_from is not null").selectExpr(
+        "customer_id", "_slice", "_open_from", "-1 as _rank", "_open_from as _at", "-1L as _seq"
+    )
+    heads = (
+        slices.selectExpr(
+            "customer_id", "_slice", "lead(_head) ignore nulls over (partition by customer_id order by _slice) as _head"
+        ).filter("_head is not null").select("customer_id", "_slice", "_head.*")
     )
-    in_time = hot.drop("_open_from").join(hot_open, "customer_id", "left").filter(f"({_TOO_OLD}) is null")
-    heads = border_rows(in_time, "customer_id", _ORDER, ["_kind", "_bronze_batch_id"], "next")
     both = (
         marked.drop("_hot_n").selectExpr("*", "false as _border")
-        .unionByName(starts, allowMissingColumns=True)
+        .unionByName(starts.selectExpr("*", "true as _border"), allowMissingColumns=True)
         .unionByName(heads.selectExpr("*", "true as _border"), allowMissingColumns=True)
     )
     placed = both.withColumns(
@@ -100,7 +107,7 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
 
 def late_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The events of the batch that ``apply_changes`` leaves out, with the reason."""
-    return _ruled(history, batch, hot_rows).filter("_late is not null").selectExpr(
+    return _ruled(history, batch, hot_rows).filter("_late is not null and not _border").selectExpr(
         "_seq as _row_sequence_id", "customer_id", "_at as _commit_timestamp", "_late as late_reason", "_bronze_batch_id"
     )
 
