@@ -28,7 +28,9 @@ SYMBOLS = b"#*$%&|<>"
 KEEP_FROM = 0.5
 #: The share of good documents before any vote is a parameter, as votes alone cannot tell it.
 CLASS_BALANCE = 0.9
-START, START_ACCURACY, MIN_ACCURACY, MAX_ACCURACY = 10, 0.9, 0.55, 0.995
+START, START_ACCURACY = 10, 0.9
+#: The most that one vote can say, in log-odds.
+MOST = 8.0
 
 _UPPER = bytes(range(65, 91))
 _ENDS = tuple(mark + space for mark in (b".", b"?", b"!") for space in (b" ", b"\n"))
@@ -38,7 +40,7 @@ _NOT_LETTERS = bytes(b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 1
 
 STATS = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-    "n_lines bigint, n_letters bigint, n_upper bigint, n_bangs bigint, n_bare bigint, n_runs bigint, n_distinct bigint, n_stops bigint"
+    "n_lines bigint, n_letters bigint, n_upper bigint, n_bangs bigint, n_bare bigint, n_runs bigint, n_distinct bigint, n_stops bigint, n_marked bigint"
 )
 STAT_NAMES = [s.split()[0] for s in STATS.split(", ")]
 
@@ -46,6 +48,8 @@ STAT_NAMES = [s.split()[0] for s in STATS.split(", ")]
 #: Between the two the rule abstains.  A symptom that is absent says nothing: most rules vote bad or abstain.
 RULES = (
     ("symbols", "n_symbols", "n_words", 0.10, None),
+    ("symbol_characters", "n_symbols", "word_chars", 0.05, None),
+    ("marked_words", "n_marked", "n_words", 0.15, 0.02),
     ("repeated_windows", "n_repeat_words", "n_words", 0.30, None),
     ("repeated_lines", "n_dup_lines", "n_lines", 0.50, None),
     ("capitals", "n_upper", "n_letters", 0.40, None),
@@ -87,14 +91,15 @@ def stats_of(text: bytes) -> tuple:
     words = text.split()
     lines = [line for line in text.split(b"\n") if line.strip()]
     letters = text.translate(None, _NOT_LETTERS)
-    distinct = set(words)
+    distinct, n_symbols = set(words), len(text) - len(text.translate(None, SYMBOLS))
     return (
-        len(words), len(b"".join(words).decode()), sum(text.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS))),
+        len(words), len(b"".join(words).decode()), n_symbols,
         len(lines) - len(set(lines)), repeated_words(words), len(lines), len(letters),
         len(letters) - len(letters.translate(None, _UPPER)), text.count(b"!!"),
         sum(words.count(w) for w in distinct if len(w) <= 3 and not w.translate(None, _SIGNS)),
         sum(map(bytes.__eq__, words, words[1:])), len(distinct),
         sum(text.count(end) for end in _ENDS) + text.endswith((b".", b"?", b"!")),
+        sum(len(w) > len(w.translate(None, SYMBOLS)) for w in words) if n_symbols else 0,
     )
 
 
@@ -144,39 +149,36 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def _logit(p: float | np.ndarray) -> np.ndarray:
-    return np.log(p) - np.log1p(-np.asarray(p))
-
-
-def fit_counts(pattern: list[int], count: list[int], rounds: int = 200) -> LabelModel:
+def fit_counts(pattern: list[int], count: list[int], rounds: int = 300) -> LabelModel:
     """Expectation-maximisation over vote patterns and how many documents have each.
 
-    An abstention says nothing.  A vote moves the log-odds by the difference
-    between the log-odds that it is right and those of any document.  A rule is
-    taken to be at least as good as a coin (MIN_ACCURACY), so "good" stays the class
-    that good votes stand for; START documents for each rule and vote carry the
-    starting accuracy, which also defines rules that never vote.
+    An abstention says nothing.  A vote moves the log-odds by how much more often
+    good documents get it than bad ones, but never against its own sense, so "good"
+    stays the class that good votes stand for.  The estimate starts from "bad if
+    any rule says so"; START documents for each vote, right in START_ACCURACY of
+    them, define rules that never vote and vanish against large counts.
     """
     n_rules = len(RULES)
     codes, weight = np.asarray(pattern, np.int64), np.asarray(count, float)
     cast = np.stack([(codes // 3**r) % 3 for r in range(n_rules)], axis=1) if len(codes) else np.zeros((0, n_rules), int)
     good = np.where((cast == 0).any(1), 1 - START_ACCURACY, CLASS_BALANCE)
+    prior = np.log(CLASS_BALANCE) - np.log(1 - CLASS_BALANCE)
     for _ in range(rounds):
-        accuracy = np.empty((n_rules, 2))
+        table, accuracy = np.zeros((n_rules, 3)), np.empty((n_rules, 2))
+        of_good, of_bad = weight @ good + START * CLASS_BALANCE, weight @ (1 - good) + START * (1 - CLASS_BALANCE)
         for r in range(n_rules):
-            for side, right in ((0, 1 - good), (1, good)):
+            for side, right in ((0, 1 - START_ACCURACY), (1, START_ACCURACY)):
                 cases = weight * (cast[:, r] == 2 * side)
-                accuracy[r, side] = (cases @ right + START * START_ACCURACY) / (cases.sum() + START)
-        accuracy = np.clip(accuracy, MIN_ACCURACY, MAX_ACCURACY)
-        table = np.zeros((n_rules, 3))
-        table[:, 0] = -_logit(accuracy[:, 0]) - _logit(CLASS_BALANCE)
-        table[:, 2] = np.maximum(_logit(accuracy[:, 1]) - _logit(CLASS_BALANCE), 0)
-        new = 1 / (1 + np.exp(-(_logit(CLASS_BALANCE) + table[np.arange(n_rules), cast].sum(1))))
+                hits, misses = cases @ good + START * right, cases @ (1 - good) + START * (1 - right)
+                odds = np.log(hits / of_good) - np.log(misses / of_bad)
+                table[r, 2 * side] = np.clip(odds, 0, MOST) if side else np.clip(odds, -MOST, 0)
+                accuracy[r, side] = (hits if side else misses) / (hits + misses)
+        new = 1 / (1 + np.exp(-(prior + table[np.arange(n_rules), cast].sum(1))))
         moved = np.abs(new - good).max() if len(new) else 0.0
         good = new
         if moved < 1e-9:
             break
-    return LabelModel(float(_logit(CLASS_BALANCE)), tuple(map(tuple, table.tolist())), tuple(map(tuple, accuracy.tolist())))
+    return LabelModel(float(prior), tuple(map(tuple, table.tolist())), tuple(map(tuple, accuracy.tolist())))
 
 
 def fit(judged: DataFrame) -> LabelModel:
