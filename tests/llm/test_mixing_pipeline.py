@@ -1,0 +1,201 @@
+"""Mixing against SQL and a plain recursion; the pipeline stage by stage against brute force."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from scenarios.compare import difference
+from tests.llm.conftest import rows_of_table
+from tests.llm.test_copies import slow_components, slow_fingerprint
+from tests.llm.test_filters import base_counts
+from tidelog.llm import mixing, quality_classifier, quality_rules, queries
+from tidelog.llm.common import stored
+
+
+def test_registered():
+    assert [n for n in entry.queries() if n.startswith("op")] == list(queries.QUERIES)[:10] and "pipeline" in entry.queries()
+
+
+def test_mixing_query_equals_sql(spark, sf_dir, duck):
+    assert difference(queries.op4_mixing(spark, sf_dir), duck, queries.ORACLES["op4_mixing"]) == ""
+
+
+def slow_budgets(leaves, weights, share, epochs):
+    """Top down; children below the water level are full, shortages go to siblings."""
+    out = {}
+
+    def limit(prefix):
+        return sum(t for p, t in leaves.items() if p[: len(prefix)] == prefix) * epochs
+
+    def give(prefix, budget):
+        if prefix in leaves:
+            out[prefix] = budget
+            return
+        rest = {p[: len(prefix) + 1] for p in leaves if p[: len(prefix)] == prefix}
+        while rest:
+            weight = sum(weights.get(c, 1) for c in rest)
+            full = [c for c in rest if limit(c) * weight <= budget * weights.get(c, 1)]
+            if not full:
+                for c in rest:
+                    give(c, int(budget / weight * weights.get(c, 1)))
+                return
+            c = min(full, key=lambda c: limit(c) / weights.get(c, 1))
+            give(c, limit(c))
+            budget -= limit(c)
+            rest.remove(c)
+
+    give((), int(sum(leaves.values()) * share))
+    return out
+
+
+@pytest.mark.parametrize("share,epochs", [(0.3, 1), (1.0, 2), (1.0, 1), (5.0, 3), (0.0, 2)])
+def test_budgets_against_recursion(spark, share, epochs):
+    rng = np.random.default_rng(int(share * 10) + epochs)
+    leaves = {(f"d{i % 3}", f"l{i % 4}", f"s{i}"): int(10 ** rng.uniform(0, 5)) for i in range(40)} | {("d0", "l9", "empty"): 0}
+    weights = {("d0",): 5, ("d1", "l1"): 3, ("d2", "l2", "s2"): 7}
+    frame = spark.createDataFrame([(*p, t) for p, t in leaves.items()], "_l0 string, _l1 string, _l2 string, _tokens long")
+    got = {tuple(r)[:3]: r._given for r in mixing.budgets(frame, 3, weights, share, epochs).collect()}
+    want = slow_budgets(leaves, weights, share, epochs)
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) <= 2 for p in want)
+
+
+def test_shortage_goes_to_siblings_before_ancestors(spark):
+    """s1 is short; its sibling takes what it leaves, and the other domain gets no more than its weight."""
+    rows = [("a", "x", "s1", 10), ("a", "x", "s2", 1000), ("b", "x", "s3", 1000)]
+    frame = spark.createDataFrame(rows, "_l0 string, _l1 string, _l2 string, _tokens long")
+    got = {r._l2: r._given for r in mixing.budgets(frame, 3, {}, 0.5, 1).collect()}
+    assert got == {"s1": 10, "s2": 492, "s3": 502}
+
+
+def test_prefix_ends_with_the_budget(spark, sf_dir):
+    """Per leaf: what is taken reaches the budget, and without the last document it would not."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = mixing.mix(docs, queries.mix_levels(), queries.MIX_WEIGHTS, share=0.5).collect()
+    tokens = {r.doc_id: len((r.text or "").split()) for r in docs.collect()}
+    leaf_of, leaves = {}, Counter()
+    for r in docs.select("doc_id", *[level.alias(f"l{i}") for i, level in enumerate(queries.mix_levels())]).collect():
+        leaf_of[r.doc_id] = (r.l0, r.l1, r.l2)
+        leaves[leaf_of[r.doc_id]] += tokens[r.doc_id]
+    given = slow_budgets(dict(leaves), queries.MIX_WEIGHTS, 0.5, 2)
+    taken = defaultdict(list)
+    for r in rows:
+        taken[r._l0, r._l1, r._l2].append((r._epoch, r._doc.doc_id))
+    for leaf, budget in given.items():
+        picks = taken[leaf]
+        whole = budget // leaves[leaf] if leaves[leaf] else 0
+        assert Counter(e for e, _ in picks if e < whole) == {e: sum(v == leaf for v in leaf_of.values()) for e in range(whole)}
+        last = [d for e, d in picks if e == whole]
+        last.sort(key=lambda d: hashlib.md5(f"{mixing.SEED}:{whole}:{d}".encode()).hexdigest())
+        part = budget - whole * leaves[leaf]
+        if last:
+            assert sum(tokens[d] for d in last) >= part - 2 and sum(tokens[d] for d in last[:-1]) < part + 2
+
+
+def test_mixing_edges(odd, none):
+    levels = [F.col("lang"), F.col("source")]
+    rows = mixing.mix(odd, levels, share=5.0, max_epochs=2).collect()
+    counts = Counter((r._doc.doc_id, r._epoch) for r in rows)
+    assert counts[1, 0] == counts[1, 1] == 2 and counts[4, 1] == 1 and counts[3, 0] == 0
+    assert mixing.mix(odd, levels).select("_doc.*").schema == odd.schema
+    assert mixing.mix(none, levels).count() == 0 and mixing.mix(odd, levels, share=0.0).count() == 0
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows of every stage over the small table, each written and read again."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, folder), "stage")
+        out.append(docs)
+    return out
+
+
+def ids(frame):
+    return [r.doc_id for r in frame.select("doc_id").collect()]
+
+
+def test_stage_rules(spark, stages):
+    before, after = stages[0], stages[1]
+    assert after.schema == before.schema
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    counts = quality_rules.stats([(t or "").encode() for _, t in rows])
+    codes = quality_rules.patterns(quality_rules.votes(counts))
+    model = quality_rules.fit_counts(codes.tolist(), [1] * len(codes))
+    want = [d for (d, t), p in zip(rows, model.posterior(codes)) if not base_counts(t)[5] and p >= 0.5]
+    assert sorted(ids(after)) == sorted(want)
+
+
+def test_stage_classifier(spark, stages):
+    folder = "/root/testdata/sf0.01"
+    model = quality_classifier.fit(stages[0], spark.read.parquet(f"{folder}/labels.parquet"), "quality", quality_classifier.training_rows())
+    scorer = quality_classifier.Scorer(*model.word_logits())
+    want = [r.doc_id for r in stages[1].collect() if scorer.score((r.text or "").encode()) >= 0.3]
+    assert stages[2].schema == stages[0].schema and sorted(ids(stages[2])) == sorted(want)
+
+
+def test_stage_near_copies(stages):
+    rows = sorted((r.doc_id, r.text) for r in stages[2].collect())
+    roots = slow_components([slow_fingerprint(t) for _, t in rows], 2)
+    first = {}
+    for (doc_id, _), r in zip(rows, roots):
+        first.setdefault(r, doc_id)
+    assert stages[3].schema == stages[0].schema and sorted(ids(stages[3])) == sorted(first.values())
+    assert len(first) < len(rows)
+
+
+def test_stage_mixing_equals_sql(stages):
+    con = duckdb.connect()
+    con.register("docs", stages[3].toPandas())
+    want = Counter(r[0] for r in con.execute(queries.ORACLES["op4_mixing"].replace("from documents)", "from docs)")).fetchall())
+    assert stages[4].schema == stages[0].schema and Counter(ids(stages[4])) == want
+
+
+def test_stage_encoding(stages):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(queries.BPE_RANKS), "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = sorted((r.doc_id, library.encode_ordinary(r.text)) for r in stages[4].collect())
+    assert sorted((r.doc_id, r.ids) for r in stages[5].collect()) == want
+    assert all(r.n_tokens == len(r.ids) for r in stages[5].collect())
+
+
+def test_good_labels_survive_the_filters(stages):
+    labels = dict(duckdb.sql("select doc_id, quality from '/root/testdata/sf0.01/labels.parquet'").fetchall())
+    long_enough = {r.doc_id for r in stages[0].collect() if not base_counts(r.text)[5]}
+    kept = set(ids(stages[2]))
+    good = [d in kept for d, q in labels.items() if q == 1 and d in long_enough]
+    bad = [d in kept for d, q in labels.items() if q == 0]
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.03
+
+
+def test_pipeline_edges(spark, odd, none, sf_dir):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES:
+        for frame in (docs, none):
+            out = stage(spark, frame, sf_dir)
+            assert "encoding" in name or out.schema == frame.schema
+            assert out.count() >= 0
+    assert zlib.crc32(b"") % 5 == 0  # a null id is in the held-out fold
+
+
+def test_run_equals_the_stages(spark, sf_dir):
+    folder = sf_dir
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, folder), "stage")
+    got = entry.queries()["pipeline"](spark, folder)
+    assert sorted((r.doc_id, r.ids) for r in got.collect()) == sorted((r.doc_id, r.ids) for r in docs.collect())
+    assert got.count() > len(rows_of_table("documents", "doc_id")) // 3

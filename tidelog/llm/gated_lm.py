@@ -44,6 +44,8 @@ HEAD, CLASSES, TAIL, HIDDEN = 512, 16, 32, 16
 KNOWN = 200_000
 SHARE, ROUNDS, EPOCHS = 16, 2, 1
 TASK_TOKENS, LANES, WINDOW, RATE = 1_000_000, 64, 24, 0.01
+#: In an average of trained copies the weights before it count as so many tokens, so few texts move them little.
+START_TOKENS = 20_000
 SCORE_LANES = 512
 END = b"\n"
 _IN_CLASS = HEAD // CLASSES
@@ -367,9 +369,10 @@ def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) ->
                 yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * trainer.tokens, "n": np.float64(trainer.tokens)})
 
         trained = part.repartition(tasks, "_row").sortWithinPartitions("_row", "_text").mapInPandas(run, "i bigint, v double, n double")
-        mean = trained.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
-        if len(mean):
-            flat = mean.sort_values("i")["v"].to_numpy(np.float32)
+        total = trained.groupBy("i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toPandas().sort_values("i")
+        if len(total):
+            before = np.concatenate([p[k].ravel() for k in names])
+            flat = ((total["v"] + START_TOKENS * before) / (total["n"] + START_TOKENS)).to_numpy(np.float32)
             cuts = np.cumsum([int(np.prod(shapes[k])) for k in names])[:-1]
             p = {k: v.reshape(shapes[k]) for k, v in zip(names, np.split(flat, cuts))}
     return p
