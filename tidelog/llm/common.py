@@ -47,6 +47,16 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_HELD: list = [None, None]
+
+
+def held(token: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the worker process for later tasks with an equal ``token``; one thing at a time."""
+    if _HELD[0] != token:
+        _HELD[:] = [token, make()]
+    return _HELD[1]
+
+
 def slices(batch: pa.RecordBatch, text: int = 0) -> Iterator[pa.RecordBatch]:
     """The batch in parts of at most BATCH_ROWS rows and about BATCH_BYTES of text (one row at least)."""
     start, size = 0, 0

@@ -3,8 +3,8 @@
 Documents are encoded in ascending id order and their ids, each document's end id
 included, form one long stream.  The stream is cut into blocks of documents, one
 Arrow IPC file each: record batches with the columns ``ids``
-(``fixed_size_list<uint32>[SEQUENCE]``) and ``mask``
-(``fixed_size_list<uint8>[SEQUENCE]``, 1 for an id, 0 for padding, which only ends a
+(``fixed_size_list<uint16>[SEQUENCE]``, uint32 for a vocabulary above 65,536) and
+``mask`` (``fixed_size_list<bool>[SEQUENCE]``, false for padding, which only ends a
 file).  A fixed-size list has no offsets, so sequence i of a memory-mapped file is a
 slice of its buffer, and any run of ids can be read without copying the file.
 
@@ -19,9 +19,12 @@ id are ordered by text.  An empty table gives no files and an empty index.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,22 +32,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.byte_bpe import chunks
-from tidelog.llm.common import stored
+from tidelog.llm.byte_bpe import SPACE, chunks
+from tidelog.llm.common import held, stored
 from tidelog.workspace import new_dir
 
 SEQUENCE, RECORD, END_ID = 2_048, 256, 2
 BLOCK_ROWS, MAX_BLOCKS = 500, 10_000
-_MEMO = 400_000
-
-SCHEMA = pa.schema([("ids", pa.list_(pa.uint32(), SEQUENCE)), ("mask", pa.list_(pa.uint8(), SEQUENCE))])
-
+_MEMO, _JOINED = 500_000, 256
+_ANY_SPACE = re.compile(f"[{SPACE}]")
+#: How a byte-level vocabulary writes a space (fixed value).
+_SPACE_MARK = "Ġ"
 
 class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct chunk between single spaces once.
 
     No pre-token of a byte-level tokenizer crosses such a space, so the ids are
-    those of the whole text.
+    those of the whole text.  Ids are kept as the bytes that the files hold; the
+    memo takes new chunks until it is full.
     """
 
     def __init__(self, path: str):
@@ -53,36 +57,61 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, np.ndarray] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.after_space = np.array([(self.tokenizer.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
+        self.memo: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_chunks(self, chunks_: list[str]) -> dict[str, bytes]:
+        """Ids of chunks, each with a space before it.
+
+        Chunks without white space are encoded many in one text: an id that begins
+        with a space then begins a chunk.
+        """
+        plain = [c for c in chunks_ if _ANY_SPACE.search(c) is None]
+        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        out: dict[str, bytes] = {}
+        alone = [c for c in chunks_ if _ANY_SPACE.search(c) is not None]
+        for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
+            starts = np.flatnonzero(self.after_space[ids])
+            if len(starts) == len(group) and starts[0] == 0:
+                raw, cuts = ids.tobytes(), [*(starts * self.kind.itemsize).tolist(), ids.nbytes]
+                out.update(zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+            else:
+                alone += group
+        out.update(zip(alone, (ids.tobytes() for ids in self._encode([" " + c for c in alone]))))
+        return out
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
         """The ids of each text, followed by ``end`` if given."""
-        memo = self.memo
-        if len(memo) > _MEMO:
-            memo.clear()
         parts = [chunks(t) for t in texts]
-        new = {p for part in parts for p in part[1:]}.difference(memo)
-        firsts = self._encode([p[0] for p in parts])
-        names = list(new)
-        memo.update(zip(names, self._encode([" " + n for n in names])))
-        tail = [] if end is None else [end]
-        out = []
-        for first, part in zip(firsts, parts):
-            ids = list(first)
-            for found in map(memo.__getitem__, part[1:]):
-                ids += found
-            out.append(np.array(ids + tail, np.uint32))
-        return out
+        firsts = [p.pop(0) for p in parts]
+        found = self._encode_chunks(list(set(chain.from_iterable(parts)).difference(self.memo)))
+        if len(self.memo) < _MEMO:
+            self.memo.update(found)
+            found = {}
+        # of a full memo and new chunks, most are in the memo
+        known = ChainMap(self.memo, found).__getitem__ if found else self.memo.__getitem__
+        tail = b"" if end is None else np.array([end], self.kind).tobytes()
+        return [
+            np.frombuffer(b"".join([first.tobytes(), *map(known, part), tail]), self.kind)
+            for first, part in zip(self._encode(firsts), parts)
+        ]
+
+
+def sequence_schema(kind: np.dtype) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), SEQUENCE)), ("mask", pa.list_(pa.bool_(), SEQUENCE))])
 
 
 class SequenceWriter:
     """Appends runs of ids to one Arrow file; holds one record batch at most."""
 
-    def __init__(self, sink):
-        self.writer = pa.ipc.new_file(sink, SCHEMA)
+    def __init__(self, sink, kind: np.dtype):
+        self.kind, self.schema = kind, sequence_schema(kind)
+        self.writer = pa.ipc.new_file(sink, self.schema)
         self.waiting: list[np.ndarray] = []
         self.size = self.total = 0
 
@@ -99,15 +128,14 @@ class SequenceWriter:
         return start
 
     def _write(self, ids: np.ndarray, used: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:used] = 1
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(c), SEQUENCE) for c in (ids.astype(np.uint32), mask)]
-        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=SCHEMA))
+        mask = np.arange(len(ids)) < used
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(c), SEQUENCE) for c in (ids, mask)]
+        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
     def close(self) -> None:
         if self.size:
             ids = np.concatenate(self.waiting)
-            self._write(np.concatenate([ids, np.zeros(-len(ids) % SEQUENCE, np.uint32)]), len(ids))
+            self._write(np.concatenate([ids, np.zeros(-len(ids) % SEQUENCE, self.kind)]), len(ids))
         self.writer.close()
 
 
@@ -126,7 +154,7 @@ class SequenceFile:
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence ``i``."""
         batch, at = self._batch(i // RECORD), i % RECORD
-        return tuple(batch.column(c)[at].values.to_numpy() for c in (0, 1))
+        return tuple(batch.column(c)[at].values.to_numpy(zero_copy_only=c == 0) for c in (0, 1))
 
     def run(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ``n`` ids from ``start`` on, in one part for each batch they touch."""
@@ -134,9 +162,10 @@ class SequenceFile:
         while n > 0:
             at = start % size
             ids = self._batch(start // size).column(0).flatten().to_numpy()
-            mask = self._batch(start // size).column(1).flatten().to_numpy()
+            mask = self._batch(start // size).column(1).flatten()
             part = ids[at : at + n]
-            if not len(part) or not mask[at : at + len(part)].all():
+            # masks only end a file, so the last id of the part decides
+            if not len(part) or not mask[at + len(part) - 1].as_py():
                 raise ValueError("run reaches into the padding")
             yield part
             start, n = start + len(part), n - len(part)
@@ -171,7 +200,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
     names = [id_, "block", "path", "first", "n_tokens"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = LibraryEncoder(tokenizer)
+        encoder = held(("tokenizers", tokenizer), lambda: LibraryEncoder(tokenizer))
         system, root = _place(folder)
         system.create_dir(root, recursive=True)
         block = writer = sink = None
@@ -194,7 +223,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
                         name = f"block-{number:05d}.arrow"
                         made = [f"{root}/.{name}.{uuid.uuid4().hex}", f"{root}/{name}"]
                         sink = system.open_output_stream(made[0])
-                        writer = SequenceWriter(sink)
+                        writer = SequenceWriter(sink, encoder.kind)
                     out.append((None if pd.isna(own) else int(own), int(number), f"{folder}/{name}", writer.append(ids_), len(ids_)))
             indexed = pd.DataFrame(out, columns=names)
             indexed[id_] = indexed[id_].astype("Int64")
