@@ -108,10 +108,10 @@ def test_bpe_on_odd_strings(reference):
     for _ in range(5000):
         text = "".join(draw.choice(letters) for _ in range(draw.randint(0, 14)))
         ids = encoder.encode(text)
-        assert ids == reference.encode_ordinary(text), repr(text)
+        assert list(ids) == reference.encode_ordinary(text), repr(text)
         assert encoder.decode(ids).decode() == text
     for text in ("aé" * 20_000, " " * 5000, "<|endoftext|>", "x" * 30_000):
-        assert encoder.encode(text) == reference.encode_ordinary(text)
+        assert list(encoder.encode(text)) == reference.encode_ordinary(text)
 
 
 def test_bpe_edges(odd, none):

@@ -17,7 +17,6 @@ import base64
 import re
 from array import array
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import per_text
+from tidelog.llm.common import held, per_text
 
 _MIX, _SPREAD, _WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0xFFFFFFFFFFFFFFFF
 _MEMO = 400_000
@@ -137,16 +136,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of the chunks and merged pre-tokens it met, up to a bound."""
+    """Encodes texts; remembers the ids of the first chunks and merged pre-tokens it met, up to a bound.
+
+    Frequent ones come early, so a full memo is left as it is.
+    """
 
     def __init__(self, tokens: list[bytes], whole: PerfectHash, pattern: str):
         self.tokens, self.whole = tokens, whole
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.pieces = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
         self.merged: dict[str, list[int]] = {}
 
-    def chunk(self, text: str) -> tuple[int, ...]:
+    def chunk(self, text: str) -> np.ndarray:
         out: list[int] = []
         for piece in self.pieces(text):
             ids = self.merged.get(piece)
@@ -156,40 +158,38 @@ class Encoder:
                 if found >= 0:
                     out.append(found)
                     continue
-                if len(self.merged) > _MEMO // 4:
-                    self.merged.clear()
-                ids = self.merged[piece] = merge(raw, self.ranks)
+                ids = merge(raw, self.ranks)
+                if len(self.merged) < _MEMO // 4:
+                    self.merged[piece] = ids
             out += ids
-        return tuple(out)
+        return np.array(out, np.int32)
 
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
+    def encode(self, text: str) -> np.ndarray:
         parts, memo = chunks(text), self.memo
-        found = list(map(memo.get, parts[1:]))
+        found = list(map(memo.get, parts))
+        found[0] = self.chunk(parts[0]).tobytes()
         if None in found:
-            if len(memo) > _MEMO:
-                memo.clear()
             for i, ids in enumerate(found):
                 if ids is None:
-                    part = parts[i + 1]
-                    found[i] = memo[part] = memo.get(part) or self.chunk(" " + part)
-        return [*self.chunk(parts[0]), *chain.from_iterable(found)]
+                    part = parts[i]
+                    found[i] = memo.get(part) or self.chunk(" " + part).tobytes()
+                    if len(memo) < _MEMO:
+                        memo[part] = found[i]
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return b"".join(map(self.tokens.__getitem__, list(ids)))
 
 
 def encode(documents: DataFrame, ranks: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``ids array<int>`` of every text, after the ``keep`` columns; ``ranks`` is the path of the rank file."""
     tokens = read_ranks(ranks)
     whole = PerfectHash(tokens)
-    held: list[Encoder] = []
+    token = ("bpe", ranks, pattern)
 
     def work(texts: list[bytes]) -> dict[str, list]:
-        if not held:
-            held.append(Encoder(tokens, whole, pattern))
-        return {"ids": [np.array(held[0].encode(t.decode()), np.int32) for t in texts]}
+        encoder = held(token, lambda: Encoder(tokens, whole, pattern))
+        return {"ids": [encoder.encode(t.decode()) for t in texts]}
 
     return per_text(documents, text, keep or [], "ids array<int>", work)
 

@@ -25,6 +25,7 @@ result.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import slices, stored, text_bytes, words_of
+from tidelog.llm.common import held, slices, stored, text_bytes, words_of
 
 HEAD, CLASSES, TAIL, HIDDEN = 512, 16, 32, 16
 #: Words whose counts every task holds; the counts of others are joined.
@@ -393,12 +394,10 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
     size = np.log10(vocabulary.tokens + vocabulary.distinct + 1)
     tail_size = np.log10(vocabulary.tail_tokens + vocabulary.tail_distinct + 1)
     id_type = documents.schema[id_].dataType.simpleString()
-    held: list[Reader] = []
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not held:
-            held.append(Reader(vocabulary))
-        reader = held[0]
+        reader = held(token, lambda: Reader(vocabulary))
         for batch in batches:
             for part in slices(batch):
                 texts, base, known, rest = [], [], [], []

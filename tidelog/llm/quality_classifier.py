@@ -18,6 +18,7 @@ share of label 1.  Null ids take part as the empty id; labels of other values th
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import fold_of, filtered_by_text, per_text
+from tidelog.llm.common import filtered_by_text, fold_of, held, per_text
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -179,12 +180,11 @@ class Scorer:
 def score(documents: DataFrame, model: Classifier, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``score`` (probability of label 1) of every text, after the ``keep`` columns."""
     logits, bias = model.word_logits()
-    held: list[Scorer] = []
+    token = uuid.uuid4().hex
 
     def work(texts: list[bytes]) -> dict[str, list]:
-        if not held:
-            held.append(Scorer(logits, bias))
-        return {"score": [held[0].score(t) for t in texts]}
+        scorer = held(token, lambda: Scorer(logits, bias))
+        return {"score": [scorer.score(t) for t in texts]}
 
     return per_text(documents, text, keep or [], "score double", work)
 
@@ -192,12 +192,11 @@ def score(documents: DataFrame, model: Classifier, text: str = "text", keep: lis
 def accept(documents: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
     """The rows scoring at least ACCEPT_FROM, all columns unchanged."""
     logits, bias = model.word_logits()
-    held: list[Scorer] = []
+    token = uuid.uuid4().hex
 
     def keeps(texts: list[bytes]) -> list[bool]:
-        if not held:
-            held.append(Scorer(logits, bias))
-        return [held[0].score(t) >= ACCEPT_FROM for t in texts]
+        scorer = held(token, lambda: Scorer(logits, bias))
+        return [scorer.score(t) >= ACCEPT_FROM for t in texts]
 
     return filtered_by_text(documents, text, keeps)
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import per_text, words_of
+from tidelog.llm.common import held, per_text, words_of
 
 K, SHINGLE, SEED = 128, 5, 42
 _MEMO, _CHUNK = 400_000, 1 << 20
@@ -127,12 +127,9 @@ def as_text(sketch: np.ndarray) -> str:
 
 def sketches(documents: DataFrame, text: str = "text", keep: list[str] | None = None, k: int = K, shingle: int = SHINGLE) -> DataFrame:
     """``sketch binary`` of every text, after the ``keep`` columns."""
-    held: list[Sketcher] = []
-
     def work(texts: list[bytes]) -> dict[str, list]:
-        if not held:
-            held.append(Sketcher(k, shingle))
-        return {"sketch": [packed(held[0].sketch(t)) for t in texts]}
+        maker = held(("sketch", k, shingle), lambda: Sketcher(k, shingle))
+        return {"sketch": [packed(maker.sketch(t)) for t in texts]}
 
     return per_text(documents, text, keep or [], "sketch binary", work)
 
@@ -147,15 +144,15 @@ def merged_by(parts: DataFrame, by: str, k: int = K) -> DataFrame:
     schema = f"`{by}` {key_type}, sketch binary"
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[object, np.ndarray] = {}
+        kept: dict[object, np.ndarray] = {}
         for frame in frames:
             for value, data in zip(frame[by], frame["sketch"]):
                 value = None if pd.isna(value) else value
-                held[value] = merge([held[value], unpacked(data)], k) if value in held else unpacked(data)
-            if len(held) > 20_000:
-                yield pd.DataFrame({by: list(held), "sketch": list(map(packed, held.values()))}, dtype=object)
-                held = {}
-        yield pd.DataFrame({by: list(held), "sketch": list(map(packed, held.values()))}, dtype=object)
+                kept[value] = merge([kept[value], unpacked(data)], k) if value in kept else unpacked(data)
+            if len(kept) > 20_000:
+                yield pd.DataFrame({by: list(kept), "sketch": list(map(packed, kept.values()))}, dtype=object)
+                kept = {}
+        yield pd.DataFrame({by: list(kept), "sketch": list(map(packed, kept.values()))}, dtype=object)
 
     def last(frame: pd.DataFrame) -> pd.DataFrame:
         whole = merge([unpacked(d) for d in frame["sketch"]], k)
@@ -226,22 +223,22 @@ def with_successor(documents: DataFrame, text: str = "text", id_: str = "doc_id"
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        maker = Sketcher(k, shingle)
-        held = None  # block, id, text, sketch of the row that waits for its successor
+        maker = held(("sketch", k, shingle), lambda: Sketcher(k, shingle))
+        waits = None  # block, id, text, sketch of the row that waits for its successor
         for frame in frames:
             out = []
             for block, border, own, text_ in zip(frame["_block"], frame["_border"], frame["_id"], frame["_text"]):
-                if border and (held is None or held[0] != block):
+                if border and (waits is None or waits[0] != block):
                     continue  # the second border row of a block whose rows are done
                 now = (block, None if pd.isna(own) else int(own), text_, maker.sketch(text_.encode()))
-                if held is not None and held[0] == block:
-                    changed = edited(held[2], text_)
+                if waits is not None and waits[0] == block:
+                    changed = edited(waits[2], text_)
                     other = maker.sketch(changed.encode())
                     out.append((
-                        held[1], len(held[2]), changed, packed(held[3]), packed(other), resemblance(held[3], other, k),
-                        resemblance(held[3], now[3], k), containment(held[3], other, k), distinct(held[3], k),
+                        waits[1], len(waits[2]), changed, packed(waits[3]), packed(other), resemblance(waits[3], other, k),
+                        resemblance(waits[3], now[3], k), containment(waits[3], other, k), distinct(waits[3], k),
                     ))
-                held = None if border else now
+                waits = None if border else now
             if out:
                 made = pd.DataFrame(out, columns=[f.split()[0].strip("`") for f in schema.split(", ")])
                 made[id_] = made[id_].astype("Int64")
