@@ -216,9 +216,8 @@ def _staged_history(where: str) -> str:
 CTES["staged_target"] = _staged_history(f"_commit_timestamp < {CUT_TS}")
 CTES["staged_history"] = _staged_history("true")
 CTES["staged_batch"] = f"""
-  select distinct on (customer_id) {_LANDED_C} from clean_customers
-  where _change_type <> 'UPDATE_BEFORE' and _commit_timestamp >= {CUT_TS}
-  order by customer_id, _commit_timestamp desc, _row_sequence_id desc"""
+  select *, row_number() over (partition by customer_id order by _commit_timestamp, _row_sequence_id) = 1 as is_first
+  from (select {_LANDED_C} from clean_customers where _change_type <> 'UPDATE_BEFORE' and _commit_timestamp >= {CUT_TS}) c"""
 CTES["last_clean_orders"] = f"""
   select distinct on (order_id) {_LANDED_O} from clean_orders order by order_id, _commit_timestamp desc, _row_sequence_id desc"""
 
@@ -376,19 +375,14 @@ Q["scd2_late_events"] = f"""
   where late_reason is not null"""
 _STAGED = "_row_sequence_id, entity_type, _change_type, _commit_timestamp, customer_id, first_name, last_name, email, state, created_at, updated_at"
 Q["scd2_staged_updates"] = f"""
-  select {_STAGED}, customer_id as merge_key from staged_batch
+  select {_STAGED}, customer_id as merge_key from staged_batch where is_first
   union all
   select {_STAGED}, cast(null as string) from staged_batch
-  where _change_type <> 'DELETE' and customer_id in (select customer_id from staged_target where is_current = 1)"""
-Q["scd2_staged_merge"] = f"""
-  select t.customer_id, t.first_name, t.last_name, t.email, t.state, t._commit_timestamp,
-         case when b.customer_id is null then t.is_current else 0 end as is_current, t.valid_from,
-         strftime(coalesce(b._commit_timestamp, t.valid_to), '%Y-%m-%d %H:%M:%S.%f') as valid_to,
-         case when b._change_type = 'DELETE' then 1 else t.is_deleted end as is_deleted
-  from staged_target t left join staged_batch b on b.customer_id = t.customer_id and t.is_current = 1
-  union all
-  select customer_id, first_name, last_name, email, state, _commit_timestamp, 1, _commit_timestamp,
-         strftime({OPEN_END}, '%Y-%m-%d %H:%M:%S.%f'), 0 from staged_batch where _change_type <> 'DELETE'"""
+  where _change_type <> 'DELETE'
+    and (not is_first or customer_id in (select customer_id from staged_target where is_current = 1))"""
+# merging the second part of the log must give the history of the whole log
+Q["scd2_staged_merge"] = """
+  select * replace (strftime(valid_to, '%Y-%m-%d %H:%M:%S.%f') as valid_to) from staged_history"""
 Q["orders_upsert_batch"] = "select * from upserted_orders"
 Q["orders_merge_all"] = "select * from last_clean_orders"
 Q["gold_incremental_upsert"] = f"""

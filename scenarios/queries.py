@@ -249,7 +249,7 @@ def _staged_target(lake: Lake) -> DataFrame:
 
 
 def _staged_source(lake: Lake) -> DataFrame:
-    return merge.one_change_per_key(_from_cut(_split(lake, "customers")[0]), "customer_id")
+    return merge.net_changes(_from_cut(_split(lake, "customers")[0]))
 
 
 @query

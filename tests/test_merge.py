@@ -123,13 +123,13 @@ def _changes(spark):
         event(10, "UPDATE_BEFORE", 9, "moves"), event(11, "UPDATE_AFTER", 9, "moves", "TX"), event(12, "UPDATE_AFTER", 10, "moves", "FL"),
         event(13, "DELETE", 9, "goes"), event(14, "INSERT", 9, "back"), event(15, "INSERT", 9, "new"), event(16, "DELETE", 9, "never"),
     ]
-    return merge.one_change_per_key(spark.createDataFrame(rows, SCHEMA), "customer_id")
+    return merge.net_changes(spark.createDataFrame(rows, SCHEMA))
 
 
 def test_staged_changes_add_null_keys_for_known_writes(spark, rows_of):
     got = rows_of(merge.staged_changes(_target(spark), _changes(spark)), ["customer_id", "merge_key"])
     assert got == [
-        ("back", "back"), ("goes", "goes"), ("moves", "moves"), ("moves", None), ("never", "never"), ("new", "new"),
+        ("back", "back"), ("goes", "goes"), ("moves", "moves"), ("moves", None), ("moves", None), ("never", "never"), ("new", "new"),
     ]
 
 
@@ -137,10 +137,33 @@ def test_staged_merge(spark, rows_of):
     got = rows_of(merge.staged_merge(_target(spark), _changes(spark)), ["customer_id", "state", "is_current", "is_deleted"])
     assert got == [
         ("back", " ny ", 0, 1), ("back", " ny ", 1, 0), ("goes", " ny ", 0, 1), ("moves", " ny ", 0, 0),
-        ("moves", "FL", 1, 0), ("new", " ny ", 1, 0), ("stays", " ny ", 1, 0),
+        ("moves", "FL", 1, 0), ("moves", "TX", 0, 0), ("new", " ny ", 1, 0), ("stays", " ny ", 1, 0),
     ]
 
 
+@pytest.mark.parametrize("hot", [merge.HOT_ROWS, 2])
+def test_staged_merge_in_two_parts_is_the_whole_history(spark, rows_of, hot):
+    """Every change of a key counts, whatever part it comes in."""
+    rng = random.Random(5)
+    rows, known = [], set()
+    for seq in range(300):
+        key = f"k{rng.randint(0, 12)}"
+        kind = rng.choice(["UPDATE_AFTER", "UPDATE_AFTER", "DELETE", "UPDATE_BEFORE"]) if key in known else "INSERT"
+        known.add(key)
+        rows.append(event(seq, kind, seq, key, rng.choice(["NY", "TX"])))
+    first, second = (spark.createDataFrame(part, SCHEMA) for part in (rows[:120], rows[120:]))
+    got = merge.staged_merge(merge.first_load(first), second, hot)
+    assert rows_of(got) == rows_of(merge.first_load(first.unionByName(second)), got.columns)
+
+
+def test_stale_changes_are_told_apart(spark, rows_of):
+    target = merge.first_load(spark.createDataFrame([event(5, "INSERT", 10, "k")], SCHEMA))
+    changes = spark.createDataFrame([event(1, "UPDATE_AFTER", 3, "k"), event(2, "UPDATE_AFTER", 12, "k", "TX")], SCHEMA)
+    assert rows_of(merge.stale_changes(target, changes), ["_row_sequence_id"]) == [(1,)]
+    got = merge.staged_merge(target, changes)
+    assert got.count() == 2 and got.filter("valid_to <= valid_from").count() == 0
+
+
 ORDER = "_row_sequence_id long, _change_type string, _commit_timestamp timestamp_ntz, order_id string, order_status string"
 
 

@@ -27,6 +27,11 @@ def epoch_seconds(at: str) -> str:
     )
 
 
+def epoch_micros(at: str) -> str:
+    """SQL for the microseconds since 1970 of a zone-less timestamp; never decreases with it."""
+    return f"({epoch_seconds(at)} * 1000000L + bigint((extract(second from {at}) - second({at})) * 1000000))"
+
+
 def seconds_between(start: str, end: str) -> Column:
     """Duration in seconds, with microseconds kept."""
     return F.expr(f"timestampdiff(MICROSECOND, {start}, {end}) / 1e6D")
@@ -70,9 +75,9 @@ def digest_key(key: str, at: str) -> Column:
 
 
 def money(amount: str | Column) -> Column:
-    """Exact sum of an amount column: it does not depend on the order of rows."""
+    """Exact sum of an amount column: it does not depend on the order of rows, and only the sum is rounded."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.sum(amount.cast("decimal(18,2)"))
+    return F.sum(amount.cast("decimal(28,10)"))
 
 
 def as_double(exact: str | Column) -> Column:

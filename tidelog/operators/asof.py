@@ -41,10 +41,12 @@ def asof_versions(
         ),
         allowMissingColumns=True,
     )
+    begun = rows
     if closed:
         ends = versions.selectExpr(key, "valid_to as _at", f"{_VERSION} as _lane", f"{taken} as _ended")
         rows = rows.unionByName(ends, allowMissingColumns=True)
-    marked = mark_slices(rows, key, "_at", hot_rows)
+    # the ends of intervals lie as far as year 9999 and say nothing about where rows are
+    marked = mark_slices(rows, key, "_at", hot_rows, counted=begun)
 
     # border rows of hot keys: the version in force when a slice begins
     in_force = f"max(_version) over (partition by {key} order by _slice rows between unbounded preceding and 1 preceding)"

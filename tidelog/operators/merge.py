@@ -15,7 +15,7 @@ from tidelog import schemas as S
 from tidelog.functions import columns as C
 from tidelog.operators.history import HISTORY_COLUMNS
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.skew import HOT_ROWS, mark_slices, with_neighbour
+from tidelog.operators.skew import HOT_ROWS, hot_keys, mark_slices, spread_lookup, with_neighbour
 
 _OPEN, _WRITE, _DELETE = 0, 1, 2
 
@@ -64,17 +64,17 @@ def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
     """
     events = _batch_lane(batch)
     rows = _open_lane(history).unionByName(events)
-    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events, sample_by=["_at", "_seq"]).withColumns(
+    found = hot_keys(events, "customer_id", hot_rows)
+    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events, hot=found).withColumns(
         {
             "_open_from": F.expr(f"if(_kind = {_OPEN}, _at, null)"),
             "_slice": F.expr(f"if(_kind = {_OPEN}, 0L, _slice)"),
         }
     )
     # Border rows of hot keys: the start of the open version for every later slice, and the
-    # first event of the next slice that is not too old.  A hot key has one open version,
-    # so at most MAX_HOT_KEYS rows are broadcast.
+    # first event of the next slice that is not too old.  A hot key has one open version.
     hot = marked.filter("_hot_n is not null")
-    hot_open = F.broadcast(hot.filter(f"_kind = {_OPEN}").select("customer_id", "_open_from"))
+    hot_open = found.hinted(hot.filter(f"_kind = {_OPEN}").select("customer_id", "_open_from"))
     head = f"struct({', '.join(_ORDER)}, _kind, _bronze_batch_id)"
     slices = (
         hot.drop("_open_from").join(hot_open, "customer_id", "left").groupBy("customer_id", "_slice")
@@ -156,7 +156,7 @@ def empty_history(batch: DataFrame) -> DataFrame:
     return spark.createDataFrame([], ", ".join(fields))
 
 
-# --- staged merge: one row per key --------------------------------------------------
+# --- staged merge -------------------------------------------------------------------
 
 STAGED_VERSION_COLUMNS = [
     "customer_id", "first_name", "last_name", "email", "state", "_commit_timestamp",
@@ -164,55 +164,71 @@ STAGED_VERSION_COLUMNS = [
 ]
 
 
-def one_change_per_key(clean: DataFrame, key: str) -> DataFrame:
-    """The last net change of each key: a merge source may hold a key only once."""
-    images = clean.filter(F.col("_change_type") != S.UPDATE_BEFORE)
-    return latest_per_key(images, key, ["_commit_timestamp", "_row_sequence_id"])
+_CHANGE_ORDER = ["_commit_timestamp", "_row_sequence_id"]
+
+
+def net_changes(clean: DataFrame) -> DataFrame:
+    """All changes with a key that can alter the table: no before-images.  A key may have several; each counts."""
+    return clean.filter((F.col("_change_type") != S.UPDATE_BEFORE) & F.col("customer_id").isNotNull())
+
+
+def _first_of_key(changes: DataFrame) -> DataFrame:
+    order = ", ".join(_CHANGE_ORDER)
+    return changes.groupBy("customer_id").agg(F.expr(f"min(struct({order}, _change_type)) as _first"))
 
 
 def staged_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """Merge source: every change under its key, and again under a NULL key where it must insert a version.
+    """Merge source: the first change of each key under it, and under a NULL key what must insert a version.
 
-    The NULL-key copies are the writes that meet a current version; the change
-    itself then closes that version.
+    A merge source may hold a key only once: the first change closes the current
+    version, or inserts where there is none.  The NULL-key rows are the writes that
+    meet a current version and all later writes.
     """
-    current = target.filter("is_current = 1").select("customer_id")
-    writes = changes.filter(F.col("_change_type") != S.DELETE)
-    inserts = writes.join(current, "customer_id", "left_semi")
-    return changes.withColumn("merge_key", F.col("customer_id")).unionByName(
-        inserts.withColumn("merge_key", F.lit(None).cast("string")), allowMissingColumns=True
+    current = target.filter("is_current = 1").select("customer_id", F.lit(True).alias("_known"))
+    first = _first_of_key(changes).select("customer_id", F.col("_first._row_sequence_id").alias("_first_seq"))
+    told = changes.join(first, "customer_id").join(current, "customer_id", "left").withColumn(
+        "_is_first", F.col("_row_sequence_id") == F.col("_first_seq")
     )
+    keyed = told.filter("_is_first").withColumn("merge_key", F.col("customer_id"))
+    inserts = told.filter((F.col("_change_type") != S.DELETE) & (F.expr("_known") | ~F.col("_is_first")))
+    return keyed.unionByName(inserts.withColumn("merge_key", F.lit(None).cast("string"))).drop(
+        "_first_seq", "_known", "_is_first"
+    )
+
+
+def stale_changes(target: DataFrame, changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The changes that ``staged_merge`` leaves out: at or before the start of the current version."""
+    return _timely(target, changes, hot_rows, late=True)
 
 
-def staged_merge(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """The table after the three clauses: retire on write, retire and flag on delete, insert on write.
+def _timely(target: DataFrame, changes: DataFrame, hot_rows: int, late: bool = False) -> DataFrame:
+    begun = target.filter("is_current = 1").select("customer_id", F.col("valid_from").alias("_begun"))
+    told = spread_lookup(changes, begun, "customer_id", "left", "_row_sequence_id", hot_rows)
+    is_late = F.coalesce(F.col("_commit_timestamp") <= F.col("_begun"), F.lit(False))
+    return told.filter(is_late if late else ~is_late).select(changes.columns)
 
-    Writes insert whether or not the key is known, so a key that was deleted and
-    comes back gets a version.  ``changes`` holds each key once.
+
+def staged_merge(target: DataFrame, changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The table after the three clauses for every change of a key in order: retire on write, retire and flag on delete, insert on write.
+
+    The first change of a key closes its current version; the writes then follow
+    each other as in ``first_load``.  Writes insert whether or not the key is known,
+    so a key that was deleted and comes back gets a version.
     """
-    closing = changes.select(
-        "customer_id", F.col("_commit_timestamp").alias("_end"), (F.col("_change_type") == S.DELETE).alias("_gone")
+    timely = _timely(target, net_changes(changes), hot_rows)
+    closing = _first_of_key(timely).selectExpr(
+        "customer_id", "_first._commit_timestamp as _end", f"_first._change_type = '{S.DELETE}' as _gone"
     )
     hit = F.col("_end").isNotNull()
-    current = target.filter("is_current = 1").join(closing, "customer_id", "left")
-    retired = current.withColumns(
+    retired = target.filter("is_current = 1").join(closing, "customer_id", "left").withColumns(
         {
             "valid_to": F.coalesce("_end", "valid_to"),
             "is_current": F.when(hit, 0).otherwise(F.col("is_current")),
             "is_deleted": F.when(F.col("_gone"), 1).otherwise(F.col("is_deleted")),
         }
     )
-    opened = changes.filter(F.col("_change_type") != S.DELETE).withColumns(
-        {
-            "valid_from": F.col("_commit_timestamp"),
-            "valid_to": C.end_of_time(),
-            "is_current": F.lit(1),
-            "is_deleted": F.lit(0),
-        }
-    )
-    parts = [target.filter("is_current = 0"), retired, opened]
-    kept, closed, new = (p.select(STAGED_VERSION_COLUMNS) for p in parts)
-    return kept.unionByName(closed).unionByName(new)
+    kept, closed = (p.select(STAGED_VERSION_COLUMNS) for p in (target.filter("is_current = 0"), retired))
+    return kept.unionByName(closed).unionByName(first_load(timely, hot_rows))
 
 
 def first_load(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -220,9 +236,8 @@ def first_load(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     Rows keep their text as it came: this path neither trims nor masks.
     """
-    images = clean.filter((F.col("_change_type") != S.UPDATE_BEFORE) & F.col("customer_id").isNotNull())
     timed = with_neighbour(
-        images, "customer_id", ["_commit_timestamp", "_row_sequence_id"],
+        net_changes(clean), "customer_id", ["_commit_timestamp", "_row_sequence_id"],
         ["_commit_timestamp", "_change_type"], "next", "_next", hot_rows,
     ).filter(F.col("_change_type") != S.DELETE)
     open_ended = F.col("_next_commit_timestamp").isNull()

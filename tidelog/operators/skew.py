@@ -1,53 +1,56 @@
 """Per-key ordering work that survives a key holding a large part of the rows.
 
 A window over ``partitionBy(key)`` sends all rows of one key to one task.  Here a
-key with more than ``hot_rows`` rows is cut into consecutive *time slices*, and
-windows are partitioned by ``(key, _slice)``.  What a row needs from beyond its
-slice is one row per border, found with a partial aggregation and added to the
-slice as a *border row* before the shuffle.  Keys that are not hot keep slice 0
-and need no border rows, so the usual case costs one narrow count.
-
-Which keys are hot decides how the work is cut, never what comes out: both ways
-give the same result.  So large keys may be found on a sample (of the count only;
-every row is processed).  The set of hot keys is broadcast; at most
-``MAX_HOT_KEYS`` of the largest are taken, which bounds its size, and leaves to the
-ordinary way only keys with less than one part in ``MAX_HOT_KEYS`` of the rows.
+key with more than ``hot_rows`` rows is cut into consecutive *slices* of about as
+many rows, and windows are partitioned by ``(key, _slice)``.  What a row needs from
+beyond its slice is one row per border, found with a partial aggregation and added
+to the slice as a *border row* before the shuffle.  Keys that are not hot keep slice
+0 and need no border rows.
+
+Hot keys are found first, by a count over all rows that is summed map-side, and
+kept as a small table: one row for each key above ``hot_rows``, so at most rows /
+hot_rows.  Without any, the plan is the ordinary one.  The table is broadcast up to
+BROADCAST_KEYS keys; beyond that the join is left to adaptive execution.
+
+Rows of one instant share a slice: a key with more than ``hot_rows`` rows at a single
+instant keeps those in one task.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import epoch_seconds
+from tidelog.functions.columns import epoch_micros
+from tidelog.workspace import new_dir
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+BROADCAST_KEYS = 10_000
+#: A hot key is cut at some of this many quantiles of its instants.
+QUANTILES = 1024
 
 
-def _counted_one_in(hot_rows: int) -> int:
-    """How many rows one counted row stands for: a hot key keeps some ten thousand counted rows."""
-    return max(1, min(64, hot_rows // 10_000))
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys above a threshold (``_hot_key``, ``_hot_n``), stored, and their number."""
 
+    frame: DataFrame
+    n: int
 
-def hot_keys(
-    rows: DataFrame, key: str, sample_by: list[str], hot_rows: int = HOT_ROWS, measures: tuple[str, ...] = ()
-) -> DataFrame:
-    """The at most MAX_HOT_KEYS largest keys above ``hot_rows``, NULL included.
+    def hinted(self, frame: DataFrame) -> DataFrame:
+        """A frame of one row for each hot key, broadcast if there are few."""
+        return F.broadcast(frame) if self.n <= BROADCAST_KEYS else frame
 
-    Rows are counted where a hash of ``sample_by`` says so.  That, and breaking
-    ties at the limit on the key, makes every evaluation give the same set, also
-    when a lost executor has it computed again.
-    """
-    one_in = _counted_one_in(hot_rows)
-    counted = rows if one_in == 1 else rows.filter(f"pmod(xxhash64({', '.join(sample_by)}), {one_in}) = 0")
-    return (
-        counted.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.expr(f"count(*) * {one_in}L as _hot_n"), *map(F.expr, measures))
-        .filter(f"_hot_n > {hot_rows}")
-        .orderBy(F.desc("_hot_n"), "_hot_key")
-        .limit(MAX_HOT_KEYS)
-    )
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys:
+    """All keys with more than ``hot_rows`` rows, NULL included."""
+    counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_hot_n")).filter(f"_hot_n > {hot_rows}")
+    path = new_dir(rows.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    found = rows.sparkSession.read.schema(counts.schema).parquet(path)
+    return HotKeys(found, found.count())
 
 
 def mark_slices(
@@ -56,23 +59,29 @@ def mark_slices(
     at: str,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
-    sample_by: list[str] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``_slice`` (0 unless the key is hot) and ``_hot_n`` (NULL unless hot).
 
-    Slices of a hot key are equally long in time and never decrease with ``at``;
-    rows of the same second share one.  ``counted`` restricts which rows decide
-    what is hot and how long a slice is; rows before its range fall in slice 0.
+    Slices of a hot key are cut at quantiles of its instants, so a burst is cut as
+    finely as it is dense, and never decrease with ``at``.  ``counted`` restricts
+    which rows decide what is hot and where it is cut.
     """
-    second = epoch_seconds(at)
-    span = (f"min({second}) as _hot_from", f"max({second}) as _hot_to")
-    hot = hot_keys(rows if counted is None else counted, key, sample_by or [key, at], hot_rows, span).selectExpr(
-        "_hot_key", "_hot_n", "_hot_from",
-        f"greatest(1L, ceil((_hot_to - _hot_from + 1) / ceil(_hot_n / {hot_rows}))) as _hot_width",
+    counted = rows if counted is None else counted
+    hot = hot_keys(counted, key, hot_rows) if hot is None else hot
+    if hot.n == 0:
+        return rows.selectExpr("*", "cast(null as bigint) as _hot_n", "0L as _slice")
+    micros = epoch_micros(at)
+    shares = ", ".join(f"{i}D / {QUANTILES}" for i in range(1, QUANTILES))
+    cuts = (
+        counted.join(hot.hinted(hot.frame), F.expr(f"{key} <=> _hot_key"))
+        .groupBy("_hot_key", "_hot_n").agg(F.expr(f"percentile_approx({micros}, array({shares}), 10000) as _all_cuts"))
+        .withColumn("_step", F.expr(f"greatest(1L, bigint(floor({QUANTILES} / ceil(_hot_n / {hot_rows}))))"))
+        .selectExpr("_hot_key", "_hot_n", "array_distinct(filter(_all_cuts, (c, i) -> (i + 1) % _step = 0)) as _cuts")
     )
-    # the condition spares the rows of all other keys the time arithmetic
-    number = f"if(_hot_n is null, 0L, greatest(0L, cast(floor(({second} - _hot_from) / _hot_width) as bigint)))"
-    return rows.join(F.broadcast(hot), F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
+    # the condition spares the rows of all other keys the search
+    number = f"if(_hot_n is null, 0L, cast(size(filter(_cuts, c -> c < {micros})) as bigint))"
+    return rows.join(hot.hinted(cuts), F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
         *rows.columns, "_hot_n", f"{number} as _slice"
     )
 
@@ -102,7 +111,7 @@ def with_neighbour(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add, under ``prefix``, the ``carry`` columns of the next or previous row of the key."""
-    marked = mark_slices(rows, key, order[0], hot_rows, sample_by=order)
+    marked = mark_slices(rows, key, order[0], hot_rows)
     borders = border_rows(marked, key, order, carry, step).selectExpr("*", "true as _border")
     both = marked.drop("_hot_n").selectExpr("*", "false as _border").unionByName(borders, allowMissingColumns=True)
     in_order = f"over (partition by {key}, _slice order by {', '.join(order)})"
@@ -117,14 +126,13 @@ def spread_lookup(
     """Equi-join to a side that is unique on ``key``, with hot left keys salted.
 
     Hot keys are spread over ``rows / hot_rows`` buckets by a hash of
-    ``spread_by``; only their right rows (at most MAX_HOT_KEYS) are repeated, once
-    per bucket.  NULL keys are spread as well; they match nothing.
+    ``spread_by``; only their right rows are repeated, once per bucket.  NULL keys
+    are spread as well; they match nothing.
     """
-    hot = F.broadcast(
-        hot_keys(left, key, [spread_by], hot_rows).selectExpr(
-            "_hot_key", f"cast(ceil(_hot_n / {hot_rows}) as int) as _buckets"
-        )
-    )
+    found = hot_keys(left, key, hot_rows)
+    if found.n == 0:
+        return left.join(right, key, how)
+    hot = found.hinted(found.frame.selectExpr("_hot_key", f"cast(ceil(_hot_n / {hot_rows}) as int) as _buckets"))
     salted = left.join(hot, F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
         *left.columns, f"if(_buckets is null, 0, cast(pmod(xxhash64({spread_by}), _buckets) as int)) as _salt"
     )
