@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from tidelog.llm.common import held, per_text
 
 _MIX, _SPREAD, _WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0xFFFFFFFFFFFFFFFF
-_MEMO = 400_000
+_MEMO, _DECODED_ROWS = 400_000, 500
 #: White space of the pre-token pattern (Unicode property White_Space), fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: A space beside other white space or at an end: there words cannot be cut apart by the space alone.
@@ -200,12 +201,16 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids", made: str = "decode
     position = encoded.columns.index(ids)
     schema = T.StructType([*encoded.schema.fields, T.StructField(made, T.BinaryType())])
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.empty(len(tokens), object)
+        table[:] = tokens
         for batch in batches:
-            lists = batch.column(position).fill_null([]) if batch.column(position).null_count else batch.column(position)
-            flat, ends = lists.flatten().to_pylist(), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            found = [b"".join(map(tokens.__getitem__, flat[a:b])) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[f.name for f in schema.fields])
+            for start in range(0, batch.num_rows, _DECODED_ROWS):
+                part = batch.slice(start, _DECODED_ROWS)
+                lists = part.column(position).fill_null([]) if part.column(position).null_count else part.column(position)
+                flat, ends = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()]).tolist()
+                found = [b"".join(table[flat[a:b]].tolist()) for a, b in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=schema.names)
 
     return encoded.mapInArrow(run, schema)
 
