@@ -152,6 +152,14 @@ class Lake:
 
         return self._frame(name, write_and_read)
 
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder that is written once."""
+        path = f"{self.root}/{name}"
+        if name not in self._written:
+            write(path)
+            self._written.add(name)
+        return path
+
     # raw layer -------------------------------------------------------------------
 
     def raw_path(self, entity: str) -> str:

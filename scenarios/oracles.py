@@ -107,8 +107,7 @@ def _history(source: str, key: str) -> str:
          upper(trim(state)) as state, _commit_timestamp as valid_from, coalesce(until, {OPEN_END}) as valid_to,
          cast(until is null and _change_type <> 'DELETE' as integer) as is_current,
          cast(_change_type = 'DELETE' as integer) as is_deleted, _bronze_batch_id
-  from (select *, min(_commit_timestamp) over (partition by customer_id order by _commit_timestamp, _row_sequence_id
-                                               rows between 1 following and 1 following) as until
+  from (select *, lead(_commit_timestamp) over (partition by customer_id order by _commit_timestamp, _row_sequence_id) as until
         from {source} where _change_type in ('INSERT', 'UPDATE_AFTER', 'DELETE')) net"""
 
 
@@ -419,7 +418,8 @@ Q["late_dimension_resolution"] = Q["fact_orders"]
 Q["clustered_fact_write"] = Q["fact_orders"]
 
 Q["executive_summary"] = """select round(cast(sum(cast(order_amount as decimal(18,2))) as double), 2) as total_sales,
-  count(order_id) as total_orders, count(distinct customer_sk) as unique_customers from fact_orders"""
+  count(order_id) as total_orders, count(distinct case when customer_sk <> '-1' then customer_id end) as unique_customers,
+  count(distinct customer_sk) as unique_customer_keys from fact_orders left join dim_customers using (customer_sk)"""
 # the one order without an id is not counted, and neither is it in the per-key counts
 Q["sales_by_state"] = "select state_code, round(cast(sales as double), 2) as sales_amount, order_count from state_sales"
 Q["order_status_breakdown"] = "select order_status, count(order_id) as order_count from fact_orders group by 1"
@@ -448,7 +448,8 @@ Q["sales_by_quarter"] = """select cast(year(created_at) as integer) as year, cas
   from fact_orders group by 1, 2"""
 Q["dashboard_document"] = f"""
   with s as (select cast(sum(cast(order_amount as decimal(18,2))) as decimal(18,2)) as a, count(order_id) as n,
-                    count(distinct customer_sk) as c from fact_orders),
+                    count(distinct customer_sk) as k, count(distinct case when customer_sk <> '-1' then customer_id end) as c
+             from fact_orders left join dim_customers using (customer_sk)),
   st as (select '[' || string_agg('{{"state_code":"' || state_code || '","sales_amount":' || cast(sales as decimal(18,2))
            || ',"order_count":' || order_count || '}}', ',' order by sales desc, state_code) || ']' as j from state_sales),
   os as (select '[' || string_agg('{{"order_status":"' || order_status || '","order_count":' || n || '}}', ','
@@ -460,7 +461,7 @@ Q["dashboard_document"] = f"""
            || strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') || '","status":"' || status || '","records_processed":'
            || records_processed || '}}', ',' order by start_time desc, run_id desc) || ']' as j from rr)
   select '{{"executive_summary":{{"total_sales":' || s.a || ',"total_orders":' || s.n || ',"unique_customers":' || s.c
-    || '}},"sales_by_state":' || st.j || ',"order_status_breakdown":' || os.j || ',"unresolved_orders":{{"count":' || un.n
+    || ',"unique_customer_keys":' || s.k || '}},"sales_by_state":' || st.j || ',"order_status_breakdown":' || os.j || ',"unresolved_orders":{{"count":' || un.n
     || ',"percentage":' || un.p || '}},"pipeline_runs":' || rj.j || ',"generated_at":"{STAMP}"}}' as document
   from s, st, os, un, rj"""
 
@@ -497,6 +498,39 @@ Q["stream_bronze_ingest"] = f"""
   select * replace (case when _commit_timestamp < {CUT_TS} then 'stream-0' else 'stream-1' end as _bronze_batch_id)
   from ({_LANDED_LOG % ('', '')}) l"""
 Q["stream_scd2_apply"] = f"select * exclude (_bronze_batch_id) {_AS_TEXT} from merged_history"
+Q["stream_orders_apply"] = "select * exclude (_bronze_batch_id) from upserted_orders"
+_REFUSED_KEYS = """
+  select entity_type, 'Missing customer_id' as reason, _row_sequence_id from raw_customers where coalesce(trim(customer_id), '') = ''
+  union all
+  select entity_type, case when coalesce(trim(order_id), '') = '' then 'Missing order_id'
+                           when coalesce(trim(customer_id), '') = '' then 'Missing customer_id'
+                           else 'Invalid order_amount: Null order amount' end, _row_sequence_id
+  from raw_orders where coalesce(trim(order_id), '') = '' or coalesce(trim(customer_id), '') = '' or order_amount is null"""
+Q["stream_quarantine"] = _REFUSED_KEYS
+Q["stream_late_events"] = """
+  select _row_sequence_id, customer_id, _commit_timestamp, 'SAME_INSTANT' as late_reason
+  from (select *, lag(_commit_timestamp) over w as pt, lag(_change_type) over w as pct from raw_customers
+        where customer_id is not null and _change_type <> 'UPDATE_BEFORE'
+        window w as (partition by customer_id order by _commit_timestamp, _row_sequence_id)) e
+  where _change_type <> 'DELETE' and pct <> 'DELETE' and pt = _commit_timestamp"""
+# the planted misfits of the feed: see _write_misfits
+_MISFITS = """
+  select *, event_no % 23 = 0 and entity_type = 'orders' as text_amount,
+         case when event_no % 13 = 0 and entity_type = 'customers' then '555-' || cast(event_no as string) end as phone
+  from (select *, cast(floor(_row_sequence_id / 10) as bigint) as event_no from change_log) l"""
+Q["bronze_misfit_ingest"] = f"""
+  with m as ({_MISFITS})
+  select 'landed' as side, entity_type, _row_sequence_id, order_amount, phone, null as reason from m where not text_amount
+  union all
+  select 'refused', entity_type, _row_sequence_id, null, null, 'Invalid order_amount: ' || chr(39) || 'about ' || event_no || chr(39) from m where text_amount
+  union all
+  select 'refused', null, null, null, null, 'Unreadable' from (select distinct floor(event_no / 500) from m) c
+  union all
+  select 'refused', null, null, null, null, 'Unreadable'"""
+Q["schema_drift_unknown"] = f"""
+  with m as ({_MISFITS})
+  select * from (select entity_type, 'loyalty_tier' as column_name, count(loyalty_tier) as rows_filled from m group by 1
+                 union all select entity_type, 'phone', count(phone) from m group by 1) d where rows_filled > 0"""
 _COUNTED = {
     "silver_customers": "silver_customers", "silver_orders": "silver_orders", "dim_customers": "dim_customers",
     "fact_orders": "fact_orders", "dim_date": f"({Q['dim_date']}) x", "agg_daily_sales": "daily",
@@ -508,6 +542,20 @@ Q["full_pipeline"] = " union all ".join(
 )
 
 
+Q["pipeline_audit"] = """
+  select * from (
+    select 'silver' as layer, 'silver_customers' as target_table, 'SUCCESS' as status,
+           count(*) filter (where email like '%@%' and state is not null) as records_processed,
+           count(*) filter (where email not like '%@%' or state is null) as records_quarantined from raw_customers
+    union all select 'silver', 'silver_customers (neither side)', 'SUCCESS', count(*), 0 from raw_customers
+              where email is null and state is not null
+    union all select 'silver', 'silver_orders', 'SUCCESS', count(*) filter (where order_amount >= 0),
+              count(*) filter (where order_amount < 0) from raw_orders
+    union all select 'silver', 'silver_orders (neither side)', 'SUCCESS', count(*), 0 from raw_orders where order_amount is null
+    union all select 'gold', 'fact_orders', 'SUCCESS', count(*), 0 from fact_orders
+    union all select 'gold', 'agg_daily_sales', 'SUCCESS', count(*), 0 from daily) a"""
+
+
 def _names_in(text: str) -> set[str]:
     return set(re.findall(r"[a-z_][a-z_0-9]*", text)) & set(CTES)
 

@@ -88,7 +88,61 @@ def bronze_json_ingest(lake: Lake) -> DataFrame:
     stamped = bronze.stamped(events, ntz(STAMP), F.lit("batch-one"))
     bronze.write_entities(stamped, lambda entity: f"{raw}/{entity}")
     landed = [bronze.read_merged(lake.spark, f"{raw}/{e}") for e in S.ENTITY_COLUMNS]
-    return landed[0].unionByName(landed[1], allowMissingColumns=True)
+    return landed[0].unionByName(landed[1], allowMissingColumns=True).drop(S.EXTRA)
+
+
+def _write_misfits(lake: Lake, path: str) -> None:
+    """The feed as array lines of 500 source events, with planted misfits.
+
+    Every 23rd source event has text for an amount, every 13th an undeclared phone
+    number; each array ends in an element that is no event, and one line is cut off.
+    """
+    no = F.floor(F.col("_row_sequence_id") / 10)
+    log = lake.change_log.withColumns({"_no": no, "_amount": F.col("order_amount").cast("string")})
+    orders, customers = F.col("entity_type") == "orders", F.col("entity_type") == "customers"
+    rows = log.withColumns(
+        {
+            "order_amount": F.when(orders & (F.col("_no") % 23 == 0), F.concat(F.lit("about "), "_no")).otherwise(F.col("_amount")),
+            "phone": F.when(customers & (F.col("_no") % 13 == 0), F.concat(F.lit("555-"), "_no")),
+        }
+    )
+    fields = F.struct(*[c for c in rows.columns if c not in ("_no", "_amount")])
+    texts = rows.select(
+        F.floor(F.col("_no") / 500).alias("chunk"), F.to_json(fields, {"timestampNTZFormat": _MICROS}).alias("j")
+    )
+    arrays = texts.groupBy("chunk").agg(F.concat_ws(",", F.collect_list("j")).alias("j"))
+    arrays.select(F.concat(F.lit("["), "j", F.lit(", 17]")).alias("value")).write.text(path)
+    lake.spark.range(1).select(F.lit('[{"_row_sequence_id": 1, "entity_type": ').alias("value")).write.mode("append").text(path)
+
+
+def _misfits(lake: Lake) -> DataFrame:
+    return feed.read_elements(lake.spark, lake.folder("misfit_feed", lambda path: _write_misfits(lake, path)))
+
+
+@query
+def bronze_misfit_ingest(lake: Lake) -> DataFrame:
+    """Every element of a feed with misfits: landed as a raw row, or refused with its reason."""
+    told, base = _misfits(lake), workspace.new_dir(lake.spark, "misfits")
+    bronze.write_entities(bronze.stamped(feed.typed_events(told), ntz(STAMP), F.lit("one")), lambda e: f"{base}/{e}")
+    quality.write_documents(feed.refused_elements(told, ntz(STAMP)), f"{base}/refused", "one")
+    parts = [
+        bronze.read_raw(lake.spark, f"{base}/{e}", e, [S.EXTRA]).select(
+            F.lit("landed").alias("side"), "entity_type", "_row_sequence_id",
+            (F.col("order_amount") if e == "orders" else F.lit(None).cast("double")).alias("order_amount"),
+            F.col(S.EXTRA)["phone"].alias("phone"), F.lit(None).cast("string").alias("reason"),
+        )
+        for e in S.ENTITY_COLUMNS
+    ]
+    refused = quality.read_documents(lake.spark, f"{base}/refused").select(
+        F.lit("refused").alias("side"), "entity_type",
+        F.get_json_object("record", "$._row_sequence_id").try_cast("long").alias("_row_sequence_id"), "reason",
+    )
+    return parts[0].unionByName(parts[1]).unionByName(refused, allowMissingColumns=True)
+
+
+@query
+def schema_drift_unknown(lake: Lake) -> DataFrame:
+    return bronze.drift_report(feed.typed_events(_misfits(lake)))
 
 
 @query
@@ -364,7 +418,7 @@ def clustered_fact_write(lake: Lake) -> DataFrame:
 
 @query
 def executive_summary(lake: Lake) -> DataFrame:
-    return kpi.executive_summary(lake.fact_orders)
+    return kpi.executive_summary(lake.fact_orders, lake.dim_customers)
 
 
 @query
@@ -536,27 +590,69 @@ def stream_bronze_ingest(lake: Lake) -> DataFrame:
         jobs.ingest_available(spark, topic, raw, f"{base}/checkpoint", ntz(STAMP), archive=f"{base}/archive")
     # nothing new has arrived: this run adds no rows
     jobs.ingest_available(spark, topic, raw, f"{base}/checkpoint", ntz(STAMP), archive=f"{base}/archive")
-    landed = [bronze.read_merged(spark, f"{raw}/{e}").drop("batch") for e in S.ENTITY_COLUMNS]
+    landed = [bronze.read_merged(spark, f"{raw}/{e}").drop("batch", S.EXTRA) for e in S.ENTITY_COLUMNS]
     return landed[0].unionByName(landed[1], allowMissingColumns=True)
 
 
-@query
-def stream_scd2_apply(lake: Lake) -> DataFrame:
-    spark, base = lake.spark, workspace.new_dir(lake.spark, "apply")
-    log = lake.change_log
+def _apply_in_two_batches(lake: Lake, base: str) -> None:
+    spark, log = lake.spark, lake.change_log
     for part in (log.filter(F.col("_commit_timestamp") < ntz(CUT)), log.filter(F.col("_commit_timestamp") >= ntz(CUT))):
         feed.append_topic(part, f"{base}/topic")
         jobs.apply_available(spark, f"{base}/topic", f"{base}/state", f"{base}/checkpoint")
-    return jobs.read_history(spark, f"{base}/state", 1).drop("_bronze_batch_id")
+
+
+def _applied(lake: Lake) -> str:
+    """The state left by one run of the stream, for the queries that read what it kept."""
+    return lake.folder("applied", lambda path: _apply_in_two_batches(lake, path)) + "/state"
 
 
 @query
-def full_pipeline(lake: Lake) -> DataFrame:
+def stream_scd2_apply(lake: Lake) -> DataFrame:
+    base = workspace.new_dir(lake.spark, "apply")
+    _apply_in_two_batches(lake, base)
+    return jobs.read_history(lake.spark, f"{base}/state", 1).drop("_bronze_batch_id")
+
+
+@query
+def stream_orders_apply(lake: Lake) -> DataFrame:
+    return jobs.read_orders(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
+
+
+@query
+def stream_quarantine(lake: Lake) -> DataFrame:
+    rows = quality.read_documents(lake.spark, f"{_applied(lake)}/quarantine")
+    return rows.select("entity_type", "reason", F.get_json_object("record", "$._row_sequence_id").cast("long").alias("_row_sequence_id"))
+
+
+@query
+def stream_late_events(lake: Lake) -> DataFrame:
+    return jobs.read_late(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
+
+
+def _refreshed(lake: Lake) -> tuple[str, str, list[str]]:
+    """A new schema with every table of the chain: its name, its audit folder, its tables."""
     spark = lake.spark
     schema = f"tidelog_{uuid.uuid4().hex[:12]}"
     base = workspace.new_dir(spark, "warehouse")
     spark.sql(f"create database {schema} location '{base}/{schema}'")
-    names = pipeline.refresh(spark, lake.raw_customers, lake.raw_orders, schema, f"{base}/audit")
+    names = pipeline.refresh(spark, lake.raw_customers, lake.raw_orders, schema, f"{base}/audit", f"{base}/runs")
+    return schema, f"{base}/audit", names
+
+
+@query
+def pipeline_audit(lake: Lake) -> DataFrame:
+    schema, audit, _ = _refreshed(lake)
+    rows = lake.spark.read.schema(S.AUDIT_SCHEMA).parquet(audit)
+    return rows.select(
+        "layer", F.replace("target_table", F.lit(f"{schema}."), F.lit("")).alias("target_table"), "status",
+        "records_processed", "records_quarantined",
+    )
+
+
+@query
+def full_pipeline(lake: Lake) -> DataFrame:
+    spark = lake.spark
+    schema, _, names = _refreshed(lake)
     counts = [
         spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
         for n in names

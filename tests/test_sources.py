@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scenarios.feed import ntz
 from tidelog import schemas as S
 from tidelog import workspace
+from tidelog.operators import quality
 from tidelog.plans import pipeline, runs
 from tidelog.sources import bronze, feed, tables
 from tidelog.streaming import jobs
@@ -36,6 +37,41 @@ def test_line_files(spark, tmp_path):
     assert sorted(r._row_sequence_id for r in rows.collect()) == [1, 2, 3]
 
 
+def test_one_bad_value_costs_one_event(spark, tmp_path):
+    line = [record(1, "orders", order_amount="x"), record(2, "orders", order_amount="7.5"), record(3, phone="5", tags=["a"]), 9, None]
+    lines = [json.dumps(line), '{"_row_sequence_id": 4,', json.dumps(record(5)) + " tail", json.dumps(record("six")), "  ", "[]"]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    told = feed.read_elements(spark, str(tmp_path))
+    events = {r._row_sequence_id: r for r in feed.typed_events(told).collect()}
+    assert sorted(events) == [2, 3]
+    assert events[2].order_amount == 7.5 and events[2][S.EXTRA] is None
+    assert events[3][S.EXTRA] == {"phone": "5", "tags": '["a"]'}
+    refused = [(r.reason, r.record[:20]) for r in feed.refused_elements(told, ntz(AT)).collect()]
+    assert sorted(r for r, _ in refused) == [
+        "Invalid _row_sequence_id: 'six'", "Invalid order_amount: 'x'", "Unreadable", "Unreadable", "Unreadable", "Unreadable",
+    ]
+    assert {t for r, t in refused if r == "Unreadable"} == {"9", "null", lines[1][:20], lines[2][:20]}
+    assert told.count() == len(events) + len(refused)
+
+
+def test_a_pretty_printed_array_with_a_bad_value(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([record(1, "orders", order_amount="x"), record(2)], indent=2))
+    told = feed.read_elements(spark, str(tmp_path), whole_file_arrays=True)
+    assert [r._row_sequence_id for r in feed.typed_events(told).collect()] == [2]
+    assert [r.entity_type for r in feed.refused_elements(told, ntz(AT)).collect()] == ["orders"]
+
+
+def test_unknown_columns_are_stored_and_reported(spark, tmp_path):
+    rows = [record(1, phone="5", Email="clash"), record(2, "orders", phone="6"), record(3, "suppliers", phone="7"), record(4)]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(r) for r in rows))
+    events = bronze.stamped(feed.read_change_files(spark, str(tmp_path / "a.json")), ntz(AT), F.lit("b"))
+    report = sorted(tuple(r) for r in bronze.drift_report(events).select("entity_type", "column_name", "rows_filled").collect())
+    assert report == [("customers", "Email", 1), ("customers", "phone", 1), ("orders", "phone", 1)]
+    bronze.write_entities(events, lambda entity: str(tmp_path / entity))
+    landed = bronze.read_raw(spark, str(tmp_path / "customers"), "customers", [S.EXTRA]).orderBy("_row_sequence_id")
+    assert [r[S.EXTRA] for r in landed.collect()] == [{"phone": "5", "Email": "clash"}, None]
+
+
 def _log(spark, *rows):
     return spark.createDataFrame(list(rows), "_row_sequence_id long, _commit_timestamp string").withColumn(
         "_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz")
@@ -102,6 +138,7 @@ def test_stream_resumes_and_archives(spark, lake, tmp_path):
     feed.append_topic(log.filter("entity_type = 'orders'").limit(10), topic)
     (tmp_path / "topic" / "broken.json").write_text('{"_row_sequence_id": ')
     assert run() == 10
+    assert [tuple(r)[1:3] for r in quality.read_documents(spark, f"{raw}/refused").collect()] == [("Unreadable", '{"_row_sequence_id": ')]
     assert run() == 10
     feed.append_topic(log.filter("entity_type = 'orders'").limit(7), topic)
     assert run() == 17
@@ -125,6 +162,31 @@ def test_a_replayed_batch_counts_once(spark, lake, tmp_path, rows_of):
     assert 0 < jobs.read_history(spark, root, 0).count() < len(history)
 
 
+def test_what_a_batch_does_not_apply_is_kept_once(spark, tmp_path, rows_of):
+    root = str(tmp_path / "state")
+
+    def batch(*rows):
+        columns = dict(customer_id=None, order_id=None, order_amount=None)
+        lines = spark.createDataFrame([(json.dumps({**columns, **r}),) for r in rows], "value string")
+        return bronze.stamped(feed.typed_events(feed.elements(lines)), F.col("_commit_timestamp"), F.lit("b"))
+
+    def at(day, r):
+        return {**r, "_commit_timestamp": f"2024-01-{day:02d}T00:00:00"}
+
+    first = batch(at(5, record(1, customer_id="a")), at(5, record(2, customer_id=" ", phone="5")))
+    second = batch(at(3, record(3, customer_id="a")), at(6, record(4, "orders", order_id="o", customer_id="a")))
+    for epoch, rows in ((0, first), (1, second), (1, second)):
+        jobs.apply_batch(rows, epoch, root)
+    refused = quality.read_documents(spark, f"{root}/quarantine").orderBy("reason").collect()
+    assert [(r.entity_type, r.reason) for r in refused] == [
+        ("orders", "Invalid order_amount: Null order amount"), ("customers", "Missing customer_id"),
+    ]
+    assert json.loads(refused[1].record)[S.EXTRA] == {"phone": "5"}
+    assert [(r._row_sequence_id, r.late_reason) for r in jobs.read_late(spark, root, 1).collect()] == [(3, "NOT_AFTER_OPEN_VERSION")]
+    assert jobs.read_late(spark, root, 0).count() == 0
+    assert jobs.read_history(spark, root, 1).count() == 1
+
+
 def test_closed_versions_are_not_rewritten(spark, lake, tmp_path):
     root = str(tmp_path / "state")
     batch = bronze.stamped(lake.change_log, F.col("_commit_timestamp"), F.lit("b"))
@@ -146,20 +208,29 @@ def test_orders_from_the_stream_equal_the_batch(spark, lake, tmp_path, rows_of,
 
 
 def test_pipeline_runs_twice_and_records_failures(spark, lake, tmp_path):
-    schema, audit = "twice", str(tmp_path / "audit")
+    schema, audit, events = "twice", str(tmp_path / "audit"), str(tmp_path / "runs")
     spark.sql(f"create database {schema} location '{tmp_path}/db'")
     for _ in range(2):
-        names = pipeline.refresh(spark, lake.raw_customers, lake.raw_orders, schema, audit)
+        names = pipeline.refresh(spark, lake.raw_customers, lake.raw_orders, schema, audit, events)
     assert "fact_orders" in names and "stg_customers" not in names
     assert spark.table(f"{schema}.silver_customers").count() == 278
     assert spark.table("vw_executive_summary").first().total_orders > 0
     checked = {(r.table_name, r.column_name, r.test_name): r.status for r in pipeline.run_checks(spark, schema).collect()}
     assert checked["fact_orders", "customer_sk", "relationships"] == "pass"
     with pytest.raises(Exception):
-        pipeline.refresh(spark, lake.raw_customers.drop("email"), lake.raw_orders, schema, audit)
+        pipeline.refresh(spark, lake.raw_customers.drop("email"), lake.raw_orders, schema, audit, events)
     log = spark.read.schema(S.AUDIT_SCHEMA).parquet(audit)
-    assert {r.status: r["count"] for r in log.groupBy("status").count().collect()} == {"SUCCESS": 8, "FAILED": 1}
+    assert {r.status: r["count"] for r in log.groupBy("status").count().collect()} == {"SUCCESS": 12, "FAILED": 1}
     assert runs.failed(log, "log_id").first().error_message != ""
+    counted = log.filter("layer = 'silver' and status = 'SUCCESS' and target_table like '%customers%'").agg(
+        F.sum(F.col("records_processed") + F.col("records_quarantined"))
+    )
+    assert counted.first()[0] == 2 * lake.raw_customers.count()
+    runs.append_event(spark, events, "r", "p", "START", dt.datetime(2024, 1, 1))
+    states = runs.run_status(spark.read.schema(S.RUN_EVENT_SCHEMA).parquet(events)).orderBy("start_time").collect()
+    assert [r.status for r in states] == ["RUNNING", "SUCCESS", "SUCCESS", "FAILED"]
+    assert states[1].records_processed == spark.table(f"{schema}.fact_orders").count()
+    assert states[3].error_message != "" and states[3].pipeline_name == pipeline.PIPELINE
 
 
 def test_table_helpers(spark, tmp_path):

@@ -110,7 +110,9 @@ def test_empty_lake_gives_an_empty_document(spark, lake):
     no_runs = runs.run_status(lake.run_events).limit(0)
     text = kpi.dashboard_document(facts, lake.dim_customers.limit(0), no_runs, ntz("2024-02-01")).first().document
     document = json.loads(text)
-    assert document["executive_summary"] == {"total_sales": 0.0, "total_orders": 0, "unique_customers": 0}
+    assert document["executive_summary"] == {
+        "total_sales": 0.0, "total_orders": 0, "unique_customers": 0, "unique_customer_keys": 0
+    }
     assert document["unresolved_orders"] == {"count": 0, "percentage": 0.0}
     assert document["sales_by_state"] == document["pipeline_runs"] == []
 

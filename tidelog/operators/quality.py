@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
 from tidelog.functions import columns as C
 
+_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def _bad_email() -> Column:
     return ~F.col("email").contains("@") | ~F.col("email").contains(".")
@@ -93,16 +95,21 @@ def key_quarantine(rows: DataFrame, entity: str, quarantined_at: Column) -> Data
     """Refused rows as documents with the source row nested as JSON."""
     record = F.to_json(
         F.struct(*rows.columns),
-        {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"},
+        {"ignoreNullFields": "false", "timestampNTZFormat": _MICROS},
     )
     return rows.withColumn("reason", key_problem(entity)).filter(F.col("reason").isNotNull()).select(
         F.lit(entity).alias("entity_type"), "reason", record.alias("record"), quarantined_at.alias("quarantined_at")
     )
 
 
-def write_documents(documents: DataFrame, path: str, batch: str) -> None:
+def write_documents(documents: DataFrame, path: str, batch: str | int) -> None:
     """Refused rows of a batch as JSON lines in a folder of their own, so that a repeated batch replaces them."""
-    documents.write.mode("overwrite").json(f"{path}/batch={batch}")
+    documents.write.mode("overwrite").option("timestampNTZFormat", _MICROS).json(f"{path}/batch={batch}")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The refused rows of all batches."""
+    return spark.read.schema(S.DOCUMENT_SCHEMA).option("timestampNTZFormat", _MICROS).json(f"{path}/batch=*")
 
 
 def keyed_rows(rows: DataFrame, entity: str) -> DataFrame:

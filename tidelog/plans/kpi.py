@@ -22,14 +22,29 @@ def per_customer_key(facts: DataFrame) -> DataFrame:
     return facts.groupBy("customer_sk").agg(C.money("order_amount").alias("_sum"), F.count("order_id").alias("_orders"))
 
 
-def executive_summary(facts: DataFrame) -> DataFrame:
-    """Counting distinct keys over the per-key sums needs no second expansion of the facts."""
-    return per_customer_key(facts).agg(
-        F.sum("_sum").alias("s"), F.sum("_orders").alias("n"), F.count("customer_sk").alias("c")
+def _with_customer(keyed: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Per-key sums with state and customer of the key; the unknown member is no customer."""
+    known = dimension.select(
+        "customer_sk", "state", F.when(F.col("customer_sk") != S.UNKNOWN_KEY, F.col("customer_id")).alias("_customer")
+    )
+    return keyed.join(known, "customer_sk", "left")
+
+
+def executive_summary(facts: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Totals, the customers behind the facts, and their version keys (the unknown one included).
+
+    Customers are counted over the per-key sums, which needs no second pass over the facts.
+    """
+    per_customer = _with_customer(per_customer_key(facts), dimension).groupBy("_customer").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_orders").alias("_orders"), F.count("customer_sk").alias("_keys")
+    )
+    return per_customer.agg(
+        F.sum("_sum").alias("s"), F.sum("_orders").alias("n"), F.count("_customer").alias("c"), F.sum("_keys").alias("k")
     ).select(
         _rounded("s").alias("total_sales"),
         F.coalesce("n", F.lit(0)).cast("long").alias("total_orders"),
         F.col("c").alias("unique_customers"),
+        F.coalesce("k", F.lit(0)).cast("long").alias("unique_customer_keys"),
     )
 
 
@@ -182,11 +197,13 @@ def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame,
     )
     keyed = base.groupBy("customer_sk").agg(*[F.sum(c).alias(c) for c in ("_sum", "_orders", "_rows")])
     unresolved = F.sum(F.when(F.col("customer_sk") == S.UNKNOWN_KEY, F.col("_orders")))
-    totals = keyed.agg(
+    joined = _with_customer(keyed, dimension)
+    totals = joined.agg(
         F.struct(
             F.coalesce(F.sum("_sum"), F.lit(0)).cast(two_places).alias("total_sales"),
             F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
-            F.count("customer_sk").alias("unique_customers"),
+            F.count_distinct("_customer").alias("unique_customers"),
+            F.count("customer_sk").alias("unique_customer_keys"),
         ).alias("executive_summary"),
         F.struct(
             F.coalesce(unresolved, F.lit(0)).alias("count"),
@@ -195,8 +212,7 @@ def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame,
         ).alias("unresolved_orders"),
     )
     states = (
-        keyed.join(dimension.select("customer_sk", "state"), "customer_sk", "left")
-        .groupBy(F.coalesce("state", F.lit("UNKNOWN")).alias("state_code"))
+        joined.groupBy(F.coalesce("state", F.lit("UNKNOWN")).alias("state_code"))
         .agg(F.sum("_sum").cast(two_places).alias("sales_amount"), F.sum("_orders").alias("order_count"))
     )
     statuses = base.groupBy("order_status").agg(F.sum("_orders").alias("order_count"))

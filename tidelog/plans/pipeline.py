@@ -6,6 +6,7 @@ is computed once and read back, also by the next job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.history import customer_history
 from tidelog.operators.latest import current_orders
-from tidelog.operators.quality import rule_counts
 from tidelog.plans import checks, gold, kpi, runs, staging
 from tidelog.sources import tables
 from tidelog.sources.bronze import clustered
@@ -59,9 +59,34 @@ def _row_count(spark: SparkSession, table: str) -> DataFrame:
 
 
 def refresh(
-    spark: SparkSession, raw_customers: DataFrame, raw_orders: DataFrame, schema: str, audit_path: str
+    spark: SparkSession, raw_customers: DataFrame, raw_orders: DataFrame, schema: str, audit_path: str,
+    runs_path: str | None = None,
 ) -> list[str]:
-    """Build or rebuild every table of ``schema``; returns the names of its tables."""
+    """Build or rebuild every table of ``schema``; returns the names of its tables.
+
+    Each layer leaves audit rows whose counts are those of the rows it split or
+    wrote; with ``runs_path`` the run leaves its start and its end.
+    """
+    run_id = uuid.uuid4().hex
+
+    def event(kind: str, records: int | None = None, error: str | None = None) -> None:
+        if runs_path:
+            runs.append_event(spark, runs_path, run_id, PIPELINE, kind, _utc_now(), records, error)
+
+    event("START")
+    try:
+        _refresh(spark, raw_customers, raw_orders, schema, audit_path)
+        facts = spark.table(f"{schema}.fact_orders").count()
+    except Exception as problem:
+        event("FAILED", error=str(problem))
+        raise
+    event("SUCCESS", facts)
+    return tables.permanent_tables(spark, schema, [])
+
+
+def _refresh(
+    spark: SparkSession, raw_customers: DataFrame, raw_orders: DataFrame, schema: str, audit_path: str
+) -> None:
 
     def name(table: str) -> str:
         return f"{schema}.{table}"
@@ -92,7 +117,7 @@ def refresh(
         tables.create_or_replace(kpi.revenue_by_current_state(facts, dimension, current), name("agg_revenue_by_state"))
         tables.create_or_replace(kpi.customer_growth(current), name("agg_customer_growth"))
         views = {
-            "vw_executive_summary": kpi.executive_summary(facts),
+            "vw_executive_summary": kpi.executive_summary(facts, dimension),
             "vw_sales_by_state": kpi.sales_by_state(facts, dimension),
             "vw_order_status_breakdown": kpi.order_status_breakdown(facts),
             "vw_unresolved_orders": kpi.unresolved_orders(facts),
@@ -101,14 +126,13 @@ def refresh(
             tables.as_view(rows, view)
 
     def cleaned() -> DataFrame:
-        return rule_counts(raw_customers, "customers", name("silver_customers")).unionByName(
-            rule_counts(raw_orders, "orders", name("silver_orders"))
+        return staging.side_counts(raw_customers, "customers", name("silver_customers")).unionByName(
+            staging.side_counts(raw_orders, "orders", name("silver_orders"))
         )
 
     _audited(spark, audit_path, "silver", schema, silver, cleaned)
     _audited(spark, audit_path, "gold", schema, star, lambda: _row_count(spark, name("fact_orders")))
     _audited(spark, audit_path, "gold", schema, measures, lambda: _row_count(spark, name("agg_daily_sales")))
-    return tables.permanent_tables(spark, schema, [])
 
 
 def layer_tables(spark: SparkSession, schema: str) -> dict[str, DataFrame]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
@@ -31,6 +33,15 @@ def append_audit(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def append_event(
+    spark: SparkSession, path: str, run_id: str, pipeline: str, kind: str, at: datetime, records: int | None = None,
+    error: str | None = None,
+) -> None:
+    """Record that a run began (START) or how it ended (SUCCESS, FAILED).  A run that dies leaves its START only."""
+    row = spark.createDataFrame([(run_id, pipeline, kind, at, records, error)], S.RUN_EVENT_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
 def run_status(events: DataFrame) -> DataFrame:
     """Start and finish events folded into one row per run; a run without a finish is RUNNING.
 

@@ -15,19 +15,41 @@ def _has_at() -> Column:
     return F.col("email").contains("@")
 
 
+def _sides(entity: str) -> tuple[Column, Column]:
+    """What holds for staged rows and for quarantined rows."""
+    if entity == "customers":
+        return _has_at() & F.col("state").isNotNull(), ~_has_at() | F.col("state").isNull()
+    return F.col("order_amount") >= 0, F.col("order_amount") < 0
+
+
+def side_counts(raw: DataFrame, entity: str, target_table: str) -> DataFrame:
+    """Rows staged and quarantined, and as a row of its own those on neither side, in one pass."""
+    clean, bad = _sides(entity)
+    counts = raw.agg(F.count_if(clean).alias("c"), F.count_if(bad).alias("q"), F.count(F.lit(1)).alias("n"))
+
+    def row(target: str, processed: str, quarantined: str) -> Column:
+        return F.struct(
+            F.lit(target).alias("target_table"), F.expr(processed).alias("records_processed"),
+            F.expr(quarantined).alias("records_quarantined"),
+        )
+
+    rows = F.array(row(target_table, "c", "q"), row(f"{target_table} (neither side)", "n - c - q", "0L"))
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def staged_customers(raw: DataFrame) -> DataFrame:
-    return raw.filter(_has_at() & F.col("state").isNotNull()).select(S.landed_columns("customers"))
+    return raw.filter(_sides("customers")[0]).select(S.landed_columns("customers"))
 
 
 def staged_orders(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("order_amount") >= 0).select(S.landed_columns("orders"))
+    return raw.filter(_sides("orders")[0]).select(S.landed_columns("orders"))
 
 
 def quarantined_customers(raw: DataFrame) -> DataFrame:
-    rows = raw.filter(~_has_at() | F.col("state").isNull())
+    rows = raw.filter(_sides("customers")[1])
     return rows.select(*S.landed_columns("customers"), F.lit(CUSTOMER_REASON).alias("quarantine_reason"))
 
 
 def quarantined_orders(raw: DataFrame) -> DataFrame:
-    rows = raw.filter(F.col("order_amount") < 0)
+    rows = raw.filter(_sides("orders")[1])
     return rows.select(*S.landed_columns("orders"), F.lit(ORDER_REASON).alias("quarantine_reason"))

@@ -21,6 +21,9 @@ ORDER_STATUSES = ["Pending", "Shipped", "Delivered", "Cancelled"]
 
 UNKNOWN_KEY = "-1"
 
+# columns of an event that no schema declares, as a map of name to text
+EXTRA = "_extra_columns"
+
 _TYPES = {
     "_row_sequence_id": T.LongType(),
     "order_amount": T.DoubleType(),
@@ -29,6 +32,7 @@ _TYPES = {
     "updated_at": T.TimestampNTZType(),
     "_bronze_ingested_at": T.TimestampNTZType(),
     "ingest_date": T.DateType(),
+    EXTRA: T.MapType(T.StringType(), T.StringType()),
 }
 
 
@@ -44,6 +48,26 @@ CHANGE_LOG_SCHEMA = struct_of(
     CHANGE_COLUMNS + CUSTOMER_COLUMNS[:5] + ["order_id", "order_amount", "order_status", "created_at", "updated_at", "loyalty_tier"]
 )
 
+DOCUMENT_SCHEMA = T.StructType(
+    [
+        T.StructField("entity_type", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("record", T.StringType()),
+        T.StructField("quarantined_at", T.TimestampNTZType()),
+    ]
+)
+
+RUN_EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("pipeline_name", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("at", T.TimestampNTZType()),
+        T.StructField("records_processed", T.LongType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.StringType()),

@@ -40,7 +40,21 @@ def entity_rows(events: DataFrame, entity: str) -> DataFrame:
 
 
 def drift_report(events: DataFrame) -> DataFrame:
-    """Unexpected columns per entity and how many rows fill them, in one pass over the feed."""
+    """Unexpected columns per entity and how many rows fill them.
+
+    Columns the feed declares are counted in one pass; undeclared ones, kept as a
+    map, by their names.
+    """
+    found = _declared_drift(events.drop(S.EXTRA))
+    if S.EXTRA not in events.columns:
+        return found
+    names = events.filter(F.col("entity_type").isin(*S.ENTITY_COLUMNS)).select(
+        "entity_type", F.explode(F.map_keys(S.EXTRA)).alias("column_name")
+    )
+    return found.unionByName(names.groupBy("entity_type", "column_name").agg(F.count(F.lit(1)).alias("rows_filled")))
+
+
+def _declared_drift(events: DataFrame) -> DataFrame:
     counts = events.groupBy("entity_type").agg(*[F.count(c).alias(c) for c in events.columns if c != "entity_type"])
     filled = counts.unpivot("entity_type", [c for c in counts.columns if c != "entity_type"], "column_name", "rows_filled")
     known = F.lit(False)
@@ -56,23 +70,24 @@ def write_partitioned(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def filled_drift(events: DataFrame) -> dict[str, list[str]]:
-    """Drifted columns per entity that hold a value.  The result has at most columns x entities rows."""
-    found = drift_report(events).select("entity_type", "column_name").collect()
+    """Declared columns per entity that drifted and hold a value: at most columns x entities names."""
+    found = _declared_drift(events.drop(S.EXTRA)).select("entity_type", "column_name").collect()
     return {e: sorted(r.column_name for r in found if r.entity_type == e) for e in S.ENTITY_COLUMNS}
 
 
 def write_entities(events: DataFrame, path_of: Callable[[str], str], mode: str = "append") -> None:
     """Route a stamped feed to one folder per known entity; other entities are not written.
 
-    Each entity gets its own drifted columns only.  The feed is read for the drift
+    Each entity gets its own drifted columns only; undeclared columns stay a map.  The feed is read for the drift
     and for each entity, so it is kept between (in memory or on executor disks; what
     is lost with an executor is parsed again).
     """
     events.persist()
     try:
         drift = filled_drift(events)
+        extra = [c for c in events.columns if c == S.EXTRA]
         for entity in S.ENTITY_COLUMNS:
-            rows = entity_rows(events, entity).select(*S.landed_columns(entity), *drift[entity], "ingest_date")
+            rows = entity_rows(events, entity).select(*S.landed_columns(entity), *drift[entity], *extra, "ingest_date")
             write_partitioned(rows, path_of(entity), mode)
     finally:
         events.unpersist()

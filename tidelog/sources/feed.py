@@ -38,25 +38,75 @@ def entity_changes(log: DataFrame, entity: str) -> DataFrame:
     return log.filter(F.col("entity_type") == entity).select(S.CHANGE_COLUMNS + S.ENTITY_COLUMNS[entity])
 
 
-def read_change_files(
-    spark: SparkSession, path: str, schema: T.StructType = S.CHANGE_LOG_SCHEMA, whole_file_arrays: bool = False
-) -> DataFrame:
-    """JSON change events; what cannot be read is left out.
+# --- files of change events --------------------------------------------------------------
+#
+# Every array element (or line) is told apart first and typed afterwards, so a value
+# that does not fit costs its own event and nothing beside it, and what is refused
+# keeps its text.
+
+
+def read_elements(spark: SparkSession, path: str, whole_file_arrays: bool = False) -> DataFrame:
+    """The elements of JSON change files, as ``elements`` gives them.
 
     Files may hold one event or one array of events per line.  A file that is one
     pretty-printed array needs ``whole_file_arrays``, which makes each file one
     task: keep such files small.
     """
-    corrupt = "_unreadable"
-    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    rows = (
-        spark.read.schema(with_corrupt)
-        .option("multiLine", whole_file_arrays)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", corrupt)
-        .json(path)
+    return elements(spark.read.text(path, wholetext=whole_file_arrays))
+
+
+def elements(lines: DataFrame) -> DataFrame:
+    """One row per array element or single event: its JSON text ``element`` and its fields ``event``, a map of text.
+
+    A line that is no valid JSON stays whole; it and elements that are no object
+    have a NULL ``event``.  Blank lines and empty arrays give nothing.
+    """
+    text = F.col("value")
+    wrapped = F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    read = F.transform(
+        F.from_json(wrapped, "array<string>"),
+        lambda e: F.struct(F.coalesce(e, F.lit("null")).alias("element"), F.lit(True).alias("valid")),
+    )
+    whole = F.array(F.struct(text.alias("element"), F.lit(False).alias("valid")))
+    told = lines.filter(text.rlike(r"\S")).select(F.explode(F.coalesce(read, whole)).alias("e")).select("e.*")
+    is_object = F.col("valid") & F.ltrim("element").startswith("{")
+    return told.select("element", F.when(is_object, F.from_json("element", "map<string,string>")).alias("event"))
+
+
+def _misfit(schema: T.StructType) -> Column:
+    """Why an element is no event: it cannot be read, or a field has a value that is not of its type."""
+    found = [F.when(F.col("event").isNull(), "Unreadable")]
+    for field in schema.fields:
+        given = F.col("event")[field.name]
+        if not isinstance(field.dataType, T.StringType):
+            wrong = given.isNotNull() & given.try_cast(field.dataType).isNull()
+            found.append(F.when(wrong, F.concat(F.lit(f"Invalid {field.name}: '"), given, F.lit("'"))))
+    return F.coalesce(*found)
+
+
+def typed_events(told: DataFrame, schema: T.StructType = S.CHANGE_LOG_SCHEMA) -> DataFrame:
+    """The elements that fit the schema, with its columns and the undeclared ones as a map (NULL without any)."""
+    known = F.array(*[F.lit(c) for c in schema.names])
+    extra = F.map_filter("event", lambda k, v: ~F.array_contains(known, k) & v.isNotNull())
+    columns = [F.col("event")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return told.filter(_misfit(schema).isNull()).select(*columns, F.when(F.size(extra) > 0, extra).alias(S.EXTRA))
+
+
+def refused_elements(
+    told: DataFrame, quarantined_at: Column, schema: T.StructType = S.CHANGE_LOG_SCHEMA
+) -> DataFrame:
+    """The other elements as quarantine documents, with the reason and the text."""
+    return told.withColumn("reason", _misfit(schema)).filter(F.col("reason").isNotNull()).select(
+        F.col("event")["entity_type"].alias("entity_type"), "reason", F.col("element").alias("record"),
+        quarantined_at.alias("quarantined_at"),
     )
-    return rows.filter(F.col(corrupt).isNull()).drop(corrupt)
+
+
+def read_change_files(
+    spark: SparkSession, path: str, schema: T.StructType = S.CHANGE_LOG_SCHEMA, whole_file_arrays: bool = False
+) -> DataFrame:
+    """The events of JSON change files; ``refused_elements`` gives what is left out."""
+    return typed_events(read_elements(spark, path, whole_file_arrays), schema)
 
 
 def append_topic(events: DataFrame, path: str) -> None:

@@ -14,26 +14,18 @@ from pyspark.sql import types as T
 
 from tidelog import schemas as S
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.merge import apply_changes, empty_history
-from tidelog.operators.quality import keyed_rows
+from tidelog.operators.merge import apply_changes, empty_history, late_changes
+from tidelog.operators.quality import key_quarantine, keyed_rows, write_documents
 from tidelog.operators.skew import HOT_ROWS
-from tidelog.sources import bronze
+from tidelog.sources import bronze, feed
 
-_UNREADABLE = "_unreadable"
 
-
-def change_stream(
-    spark: SparkSession, source: str, schema: T.StructType = S.CHANGE_LOG_SCHEMA, archive: str | None = None
-) -> DataFrame:
-    """JSON change files as they arrive; consumed files can be moved to an archive folder."""
-    reader = (
-        spark.readStream.schema(T.StructType([*schema.fields, T.StructField(_UNREADABLE, T.StringType())]))
-        .option("columnNameOfCorruptRecord", _UNREADABLE)
-    )
+def change_stream(spark: SparkSession, source: str, archive: str | None = None) -> DataFrame:
+    """The elements of JSON change files as they arrive; consumed files can be moved to an archive folder."""
+    reader = spark.readStream
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    rows = reader.json(source)
-    return rows.filter(F.col(_UNREADABLE).isNull()).drop(_UNREADABLE)
+    return feed.elements(reader.text(source))
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -47,10 +39,14 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 def ingest_available(
     spark: SparkSession, source: str, raw_root: str, checkpoint: str, ingested_at: Column, archive: str | None = None
 ) -> None:
-    """Land new change files as raw rows under ``raw_root/<entity>/batch=<n>/ingest_date=<d>``."""
+    """Land new change files as raw rows under ``raw_root/<entity>/batch=<n>/ingest_date=<d>``.
+
+    Elements that are no events go to ``raw_root/refused/batch=<n>``.
+    """
 
-    def land(events: DataFrame, epoch: int) -> None:
-        batch = bronze.stamped(events, ingested_at, F.lit(f"stream-{epoch}"))
+    def land(told: DataFrame, epoch: int) -> None:
+        write_documents(feed.refused_elements(told, ingested_at), f"{raw_root}/refused", epoch)
+        batch = bronze.stamped(feed.typed_events(told), ingested_at, F.lit(f"stream-{epoch}"))
         bronze.write_entities(batch, lambda entity: f"{raw_root}/{entity}/batch={epoch}", "overwrite")
 
     run_available(change_stream(spark, source, archive=archive), land, checkpoint)
@@ -68,6 +64,9 @@ def read_landed(spark: SparkSession, raw_root: str, entity: str, extra: list[str
 # ones batch n closed.  Closed versions are written once and never again, so a batch
 # costs the open versions and its own events, not the whole history.
 # orders/v=<n> holds the last change of each order in batch n; readers keep the newest.
+# What a batch does not apply stays beside it: refused/batch=<n> holds elements that are
+# no events, quarantine/batch=<n> rows with a blank key or no amount, and late/v=<n>
+# customer events that came after the version they should have opened.
 
 
 def _version_path(root: str, table: str, epoch: int) -> str:
@@ -84,17 +83,22 @@ def _open_versions(spark: SparkSession, root: str, epoch: int, like: DataFrame)
 def apply_batch(batch: DataFrame, epoch: int, root: str, hot_rows: int = HOT_ROWS) -> None:
     """One batch of a mixed feed on top of the state of the batch before it."""
     spark = batch.sparkSession
-    customers = keyed_rows(batch.filter("entity_type = 'customers'"), "customers")
-    orders = keyed_rows(batch.filter("entity_type = 'orders'"), "orders")
-    versions = apply_changes(_open_versions(spark, root, epoch - 1, batch), customers, hot_rows)
+    rows = {entity: bronze.entity_rows(batch, entity) for entity in S.ENTITY_COLUMNS}
+    bad = [key_quarantine(r, entity, F.col("_bronze_ingested_at")) for entity, r in rows.items()]
+    write_documents(bad[0].unionByName(bad[1]), f"{root}/quarantine", epoch)
+    customers, orders = (keyed_rows(rows[entity], entity) for entity in ("customers", "orders"))
+    known = _open_versions(spark, root, epoch - 1, batch)
+    late_changes(known, customers, hot_rows).write.mode("overwrite").parquet(_version_path(root, "late", epoch))
+    versions = apply_changes(known, customers, hot_rows)
     versions.write.mode("overwrite").partitionBy("is_current").parquet(_version_path(root, "history", epoch))
     last = latest_per_key(orders, "order_id", ["_commit_timestamp", "_row_sequence_id"])
     last.select(S.landed_columns("orders")).write.mode("overwrite").parquet(_version_path(root, "orders", epoch))
 
 
 def apply_available(spark: SparkSession, source: str, root: str, checkpoint: str, hot_rows: int = HOT_ROWS) -> None:
-    def apply(events: DataFrame, epoch: int) -> None:
-        batch = bronze.stamped(events, F.col("_commit_timestamp"), F.lit(f"stream-{epoch}")).persist()
+    def apply(told: DataFrame, epoch: int) -> None:
+        write_documents(feed.refused_elements(told, F.lit(None).cast("timestamp_ntz")), f"{root}/refused", epoch)
+        batch = bronze.stamped(feed.typed_events(told), F.col("_commit_timestamp"), F.lit(f"stream-{epoch}")).persist()
         try:
             apply_batch(batch, epoch, root, hot_rows)
         finally:
@@ -109,6 +113,12 @@ def read_history(spark: SparkSession, root: str, epoch: int) -> DataFrame:
     return rows.filter((F.col("v") <= epoch) & ((F.col("is_current") == 0) | (F.col("v") == epoch))).drop("v")
 
 
+def read_late(spark: SparkSession, root: str, epoch: int) -> DataFrame:
+    """Late customer events of all batches up to ``epoch``."""
+    schema = "_row_sequence_id long, customer_id string, _commit_timestamp timestamp_ntz, late_reason string, _bronze_batch_id string, v int"
+    return spark.read.schema(schema).parquet(f"{root}/late").filter(F.col("v") <= epoch).drop("v")
+
+
 def empty_history_schema(spark: SparkSession) -> T.StructType:
     return T.StructType(empty_history(spark.range(0)).schema.fields)
 
