@@ -160,6 +160,24 @@ def test_labels_of_the_held_out_fold_are_never_read(spark, sf_dir):
     assert np.array_equal(a.vectors, b.vectors) and np.array_equal(a.bias, b.bias)
 
 
+def test_long_words_are_read_whole(monkeypatch):
+    word = bytes(97 + (i * i + i // 7) % 26 for i in range(500))
+    marked = b"<" + word + b">"
+    want = [zlib.crc32(word) % classifier.BUCKETS]
+    want += [zlib.crc32(marked[i : i + n], n) % classifier.BUCKETS for n in classifier.NGRAMS for i in range(len(marked) - n + 1)]
+    assert [b for run in classifier.subwords(word) for b in run] == want
+    for size in (1, 3, 499, 500, 501, 502):
+        monkeypatch.setattr(classifier, "_RUN", size)
+        runs = list(classifier.subwords(word))
+        assert sorted(b for run in runs for b in run) == sorted(want) and len(runs) == -(-502 // size)
+        assert list(classifier.subwords(b"")) != []
+    logits = np.random.default_rng(3).normal(size=classifier.BUCKETS)
+    scorer = classifier.Scorer(logits, 0.5)
+    odds = 0.5 + logits[want].mean()
+    assert scorer.score(word) == pytest.approx(1 / (1 + np.exp(-odds)))
+    assert scorer.place == {} and scorer.score(b"short") and list(scorer.place) == [b"short"]
+
+
 def test_classifier_edges(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (6, 0), (8, 0), (8, 0), (None, 1), (4, None), (7, 5)], "doc_id bigint, quality int")
     model = classifier.fit(odd, labels, "quality", "true")

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,17 +35,20 @@ NGRAMS = (3, 4)
 PER_LABEL = 1_000
 EPOCHS, BATCH, RATE = 12, 32, 0.5
 ACCEPT_FROM = 0.3
-_MEMO = 400_000
+#: Words remembered, the longest of them in bytes, and n-gram positions handled at once.
+_MEMO, _MEMO_WORD, _RUN = 400_000, 256, 1 << 16
 _AGAIN = b"\x00"
 
 
-def subwords(word: bytes) -> list[int]:
-    """Buckets of a word: the word itself and the byte n-grams of the word between < and >."""
-    marked = b"<" + word[:64] + b">" if len(word) > 64 else b"<" + word + b">"
-    out = [zlib.crc32(word) % BUCKETS]
-    for n in NGRAMS:
-        out += [zlib.crc32(marked[i : i + n], n) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
+def subwords(word: bytes) -> Iterator[list[int]]:
+    """Buckets of a word, in runs of bounded size: the word itself and all byte n-grams of the word between < and >."""
+    marked = b"<" + word + b">"
+    for begin in range(0, len(marked), _RUN):
+        out = [] if begin else [zlib.crc32(word) % BUCKETS]
+        for n in NGRAMS:
+            until = min(begin + _RUN, len(marked) - n + 1)
+            out += [zlib.crc32(marked[i : i + n], n) % BUCKETS for i in range(begin, until)]
+        yield out
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -61,7 +65,8 @@ def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     for word in tokens(text):
         counts[word] = counts.get(word, 0) + 1
     for word, n in counts.items():
-        np.add.at(total, subwords(word), n)
+        for at in subwords(word):
+            np.add.at(total, at, n)
     at = np.flatnonzero(total)
     return at.astype(np.int32), (total[at] / max(total.sum(), 1)).astype(np.float32)
 
@@ -161,14 +166,18 @@ class Scorer:
 
     def _words(self, words: list[bytes]) -> tuple[list[float], list[int]]:
         place = self.place
-        if len(place) > _MEMO:
+        if len(self.sums) > _MEMO:
             place.clear(), self.sums.clear(), self.sizes.clear()
-        for word in set(words).difference(place):
-            at = subwords(word)
+        new = set(words).difference(place)
+        for word in new:
+            runs = [(float(self.logits[at].sum()), len(at)) for at in subwords(word)]
             place[word] = len(self.sums)
-            self.sums.append(float(self.logits[at].sum()))
-            self.sizes.append(len(at))
+            self.sums.append(sum(s for s, _ in runs))
+            self.sizes.append(sum(n for _, n in runs))
         found = [place[w] for w in words]
+        for word in new:
+            if len(word) > _MEMO_WORD:
+                del place[word]
         return [self.sums[i] for i in found], [self.sizes[i] for i in found]
 
     def score(self, text: bytes) -> float:
