@@ -302,11 +302,12 @@ _LANDED_LOG = f"""select * exclude (_bronze_ingested_at, _bronze_batch_id, inges
   select * exclude (_bronze_ingested_at, _bronze_batch_id, ingest_date), {STAMP_TS} as _bronze_ingested_at,
     '%s' as _bronze_batch_id, cast({STAMP_TS} as date) as ingest_date from raw_orders"""
 Q["bronze_json_ingest"] = _LANDED_LOG % ("batch-one", "batch-one")
-Q["bronze_full_scan"] = "select * from raw_customers"
+Q["bronze_full_scan"] = "select * from raw_customers union all by name select * from raw_orders"
 Q["bronze_pending_batches"] = f"""select distinct _bronze_batch_id from
   (select _bronze_batch_id, ingest_date from raw_customers union all select _bronze_batch_id, ingest_date from raw_orders) b
   where ingest_date >= date '{CUT}'"""
-Q["bronze_conform"] = "select * exclude (ingest_date) from raw_customers"
+Q["bronze_conform"] = """select * exclude (ingest_date) from raw_customers
+  union all by name select * exclude (ingest_date) from raw_orders"""
 Q["schema_drift_report"] = """select * from (select 'customers' as entity_type, 'loyalty_tier' as column_name,
   count(loyalty_tier) as rows_filled from raw_customers) c where rows_filled > 0"""
 

@@ -148,8 +148,10 @@ def schema_drift_unknown(lake: Lake) -> DataFrame:
 @query
 def bronze_full_scan(lake: Lake) -> DataFrame:
     path = workspace.new_dir(lake.spark, "refresh")
-    bronze.replace_table(bronze.read_merged(lake.spark, lake.raw_path("customers")), path)
-    return lake.spark.read.parquet(path)
+    for entity in S.ENTITY_COLUMNS:
+        bronze.replace_table(bronze.read_merged(lake.spark, lake.raw_path(entity)), f"{path}/{entity}")
+    customers, orders = (lake.spark.read.parquet(f"{path}/{entity}") for entity in ("customers", "orders"))
+    return customers.unionByName(orders, allowMissingColumns=True)
 
 
 @query
@@ -160,7 +162,8 @@ def bronze_pending_batches(lake: Lake) -> DataFrame:
 
 @query
 def bronze_conform(lake: Lake) -> DataFrame:
-    return bronze.conformed(lake.raw_customers, "customers")
+    customers, orders = bronze.conformed(lake.raw_customers, "customers"), bronze.conformed(lake.raw_orders, "orders")
+    return customers.unionByName(orders, allowMissingColumns=True)
 
 
 @query
