@@ -228,6 +228,16 @@ def _snapshot(until: str) -> str:
     order by order_id, _commit_timestamp desc, _row_sequence_id desc) s where _change_type <> 'DELETE'"""
 
 
+def _customer_snapshot(until: str) -> str:
+    return f"""
+  select customer_id, first_name, last_name, email, state, created_at, updated_at from (
+    select distinct on (customer_id) * from raw_customers
+    where customer_id is not null and _commit_timestamp < timestamp '{until}'
+    order by customer_id, _commit_timestamp desc, _row_sequence_id desc) s where _change_type <> 'DELETE'"""
+
+
+CTES["customers_old"] = _customer_snapshot(CUT)
+CTES["customers_new"] = _customer_snapshot(TODAY)
 CTES["orders_old"] = _snapshot(CUT)
 CTES["orders_new"] = _snapshot(TODAY)
 
@@ -390,11 +400,21 @@ Q["gold_incremental_upsert"] = f"""
   facts_then as ({_facts('upserted_orders_at_cut', 'dim_then')}), facts_now as ({_facts('upserted_orders', 'dim_now')})
   select * from facts_now union all
   select * from facts_then where order_id not in (select order_id from facts_now)"""
-Q["cdc_snapshot_diff"] = """
-  select 'INSERT' as _change_type, n.* from orders_new n anti join orders_old o using (order_id)
-  union all select 'DELETE', o.* from orders_old o anti join orders_new n using (order_id)
-  union all select 'UPDATE_BEFORE', * from (select * from orders_old where order_id in (select order_id from orders_new) except all select * from orders_new) b
-  union all select 'UPDATE_AFTER', * from (select * from orders_new where order_id in (select order_id from orders_old) except all select * from orders_old) a"""
+
+
+def _snapshot_diff(entity: str, old: str, new: str, key: str) -> str:
+    return f"""
+  select '{entity}' as entity_type, d.* from (
+    select 'INSERT' as _change_type, n.* from {new} n anti join {old} o using ({key})
+    union all select 'DELETE', o.* from {old} o anti join {new} n using ({key})
+    union all select 'UPDATE_BEFORE', * from (select * from {old} where {key} in (select {key} from {new}) except all select * from {new}) b
+    union all select 'UPDATE_AFTER', * from (select * from {new} where {key} in (select {key} from {old}) except all select * from {old}) a) d"""
+
+
+Q["cdc_snapshot_diff"] = (
+    _snapshot_diff("orders", "orders_old", "orders_new", "order_id") + " union all by name "
+    + _snapshot_diff("customers", "customers_old", "customers_new", "customer_id")
+)
 Q["cdc_cascade_set_null"] = f"""
   with gone as (select customer_id, min(_commit_timestamp) as _commit_timestamp from raw_customers
                 where _change_type = 'DELETE' and customer_id is not null and _commit_timestamp >= {CUT_TS} group by 1)

@@ -343,9 +343,20 @@ def _order_snapshot(lake: Lake, until: str) -> DataFrame:
     return last.filter(F.col("_change_type") != S.DELETE).select(S.ORDER_COLUMNS)
 
 
+def _customer_snapshot(lake: Lake, until: str) -> DataFrame:
+    """Customers as they stood at an instant."""
+    seen = lake.raw_customers.filter(F.col("customer_id").isNotNull() & (F.col("_commit_timestamp") < ntz(until)))
+    last = latest.latest_per_key(seen, "customer_id", ["_commit_timestamp", "_row_sequence_id"])
+    return last.filter(F.col("_change_type") != S.DELETE).select(S.CUSTOMER_COLUMNS)
+
+
 @query
 def cdc_snapshot_diff(lake: Lake) -> DataFrame:
-    return capture.snapshot_changes(_order_snapshot(lake, CUT), _order_snapshot(lake, TODAY), "order_id")
+    orders = capture.snapshot_changes(_order_snapshot(lake, CUT), _order_snapshot(lake, TODAY), "order_id")
+    customers = capture.snapshot_changes(_customer_snapshot(lake, CUT), _customer_snapshot(lake, TODAY), "customer_id")
+    return orders.withColumn("entity_type", F.lit("orders")).unionByName(
+        customers.withColumn("entity_type", F.lit("customers")), allowMissingColumns=True
+    )
 
 
 @query
