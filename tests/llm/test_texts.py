@@ -267,3 +267,25 @@ def test_lm_edges(spark, odd, none):
     assert all(r.score < 0 and r.base_score < 0 for r in rows)
     assert gated_lm.scored(none, fold_of("doc_id", 7) == 2).count() == 0
     assert {r.train_tokens for r in gated_lm.scored(odd, fold_of("doc_id", 1) == 0).collect()} == {0}
+
+
+def test_lm_trains_on_every_training_document(spark, documents, monkeypatch):
+    """The rounds together read each text once, also where rows share an id or have none."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    trained = []
+    plain = DataFrame.toPandas
+
+    def spied(frame):
+        out = plain(frame)
+        trained.append(0 if out.empty else int(out["n"].max()))
+        return out
+
+    rows = [(None if i % 3 else i, t) for i, t in documents]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    vocabulary = gated_lm.vocabulary_of(gated_lm.word_counts(frame, "text"))
+    monkeypatch.setattr(DataFrame, "toPandas", spied)
+    monkeypatch.setattr(gated_lm, "TASK_TOKENS", 10_000)
+    gated_lm.train(frame, "text", "doc_id", vocabulary)
+    assert len(trained) == gated_lm.ROUNDS and min(trained) > 0.3 * vocabulary.tokens
+    assert sum(trained) == vocabulary.tokens == sum(len(words_of((t or "").encode())) + 1 for _, t in rows)

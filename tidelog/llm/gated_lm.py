@@ -11,9 +11,9 @@ softmax over its class, a tail word from the smoothed counts of its class.  So
 sums to one over the known words and one unknown word for each tail class.
 
 Word counts are taken over all training documents.  The weights are trained by
-truncated backpropagation in numpy on a fixed share of them (SHARE, whole texts):
-tasks train copies on their parts and the copies are averaged, ROUNDS times, so the
-work grows with the corpus and spreads over it.  Scoring reads every text whole:
+truncated backpropagation in numpy on all of them: ROUNDS rounds divide the texts
+between them, in each round tasks train copies on their parts and the copies are
+averaged, so the work grows with the corpus and spreads over it.  Scoring reads every text whole:
 lanes of texts run side by side through windows of WINDOW steps, the state goes from
 one window to the next and is cleared only where a new text begins.
 
@@ -43,7 +43,7 @@ from tidelog.llm.common import held, slices, stored, text_bytes, words_of
 HEAD, CLASSES, TAIL, HIDDEN = 512, 16, 32, 16
 #: Words whose counts every task holds; the counts of others are joined.
 KNOWN = 200_000
-SHARE, ROUNDS, EPOCHS = 16, 2, 1
+ROUNDS, EPOCHS = 2, 1
 TASK_TOKENS, LANES, WINDOW, RATE = 1_000_000, 64, 24, 0.01
 #: In an average of trained copies the weights before it count as so many tokens, so few texts move them little.
 START_TOKENS = 20_000
@@ -53,7 +53,7 @@ _IN_CLASS = HEAD // CLASSES
 _OUT = CLASSES + TAIL
 _START = HEAD + TAIL
 _MEMO = 400_000
-#: Biases that hold the counts of all training words; what a sample of texts says cannot better them.
+#: Biases that hold the counts of all training words; what a task's texts say cannot better them.
 _FIXED = frozenset(("cb", "wb"))
 
 
@@ -350,13 +350,14 @@ class Reader:
 
 
 def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights after ROUNDS of training on tasks of about TASK_TOKENS tokens each and averaging."""
+    """Weights after ROUNDS of training on tasks of about TASK_TOKENS tokens each and averaging; every text is in one round."""
     p = weights_of(vocabulary)
     names, shapes = list(p), {k: v.shape for k, v in p.items()}
-    tasks = max(1, round(vocabulary.tokens / SHARE / TASK_TOKENS))
-    row = F.xxhash64(F.lit("lm"), F.col(id_))
+    tasks = max(1, round(vocabulary.tokens / ROUNDS / TASK_TOKENS))
+    # the text as well: rows that share an id, or have none, are not one task's
+    row = F.xxhash64(F.lit("lm"), F.col(id_), text_bytes(text))
     for turn in range(ROUNDS):
-        part = documents.filter(F.pmod(row, F.lit(SHARE)) == turn).select(text_bytes(text).alias("_text"), row.alias("_row"))
+        part = documents.filter(F.pmod(row, F.lit(ROUNDS)) == turn).select(text_bytes(text).alias("_text"), row.alias("_row"))
         start = p
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
