@@ -64,6 +64,17 @@ def test_html_layouts():
     assert html_text.main_text("<p>a<p>b<div>c</p>d") == "a\nb\nc\nd"
 
 
+def test_html_raw_elements_end_at_their_own_tag():
+    after = "<article><h1>Title</h1><p>It's the text of the article, with enough words to be one.</p></article>"
+    want = "Title\nIt's the text of the article, with enough words to be one."
+    for raw in (
+        "<script>for(i=0;i<n;i++){a.push(i)}</script>", "<script>if(a<b)x='it\\'s'; // don't</SCRIPT >", "<script><!-- if (a<b) '</script>", "<style>a<b '{}</style\n>",
+        "<title>a <b 'c</title>", "<script>'</scripts>'</script>", "<textarea><!-- <p a='</textarea>", "<script>i<n</script><script>i<n'</script>",
+    ):
+        assert html_text.main_text(raw + after) == want
+    assert html_text.main_text(after + "<script>i<n") == want
+
+
 def test_minimum_cut_against_all_labellings():
     draw = random.Random(4)
     for _ in range(300):

@@ -31,7 +31,9 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup or never shown.
 HIDDEN = frozenset("script style noscript template iframe object svg canvas head textarea select option title math audio video".split())
+#: Elements whose content is characters up to their own closing tag, whatever these look like.
 _RAW = frozenset("script style textarea title noscript iframe".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 #: Elements that end an open one of these names.
 _CLOSES = {
     "li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -105,7 +107,6 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
     root = Element("", None, 0.0, False)
     at, links, block = root, 0, Block(root)
     out: list[tuple[str, Element, float]] = []
-    skip = ""
 
     def flush() -> None:
         nonlocal block
@@ -114,10 +115,12 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
             out.append((text, block.element, min(1.0, block.linked / len(text))))
         block = Block(at)
 
-    for token in _TOKEN.finditer(page):
+    place = 0
+    while (token := _TOKEN.match(page, place)) is not None:
+        place = token.end()
         closing, name, rest = token.group(1), token.group(2), token.group(3)
         if name is None:
-            if skip or at.hidden:
+            if at.hidden:
                 continue
             text = token.group()
             if text[0] != "<" or text == "<":
@@ -125,10 +128,6 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
                 block.linked += len(text) if links else 0
             continue
         name = name.lower()
-        if skip:
-            if not (closing and name == skip):
-                continue
-            skip = ""
         if name in INLINE:
             if name == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -158,10 +157,11 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
             if rest and re.search(r"(?:^|\s)hidden(?:\s|$)", rest):
                 attributes["hidden"] = ""
             at = Element(name, at, cue_of(name, attributes, at.cue), at.hidden or name in HIDDEN)
-            if name in _RAW:
-                skip = name
         flush()
-        if rest.endswith("/") and name not in VOID and not skip:
+        if name in _RAW:
+            end = _RAW_END[name].search(page, place)
+            place = end.start() if end else len(page)
+        elif rest.endswith("/") and name not in VOID:
             at = at.parent
     flush()
     return out
