@@ -75,6 +75,24 @@ def test_html_raw_elements_end_at_their_own_tag():
     assert html_text.main_text(after + "<script>i<n") == want
 
 
+def test_html_names_made_from_titles_are_no_boilerplate():
+    long_ = "This paragraph is a part of the article and says in rather many words what its authors have found out about the matter, and why."
+    for names in ('id="related-work"', 'id="legal-history"', 'class="search-algorithms"', 'id="search"', 'id="pagination"', 'id="cookies" class="level2"'):
+        page = f"<article><h1>Title</h1><p>{long_}</p><section {names}><h2>Part of it</h2><p>{long_}</p><p>{long_}</p></section><p>End.</p></article>"
+        got = html_text.main_text(page).split("\n")
+        assert got.count(long_) == 3 and got[0] == "Title" and got[-1] == "End.", names
+        # a whole name may cost the short heading, a part of one may not
+        assert "Part of it" in got or names in ('id="search"', 'id="pagination"', 'id="cookies" class="level2"')
+    page = f"<article><h2 id='legal'>Legal</h2><p>{long_}</p><div class='related-posts'><p>{long_}</p></div><div class='share'>Share this</div><p>End.</p></article>"
+    assert html_text.main_text(page) == f"Legal\n{long_}\nEnd."
+
+
+def test_html_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding='application/x-tex'>x = 1</annotation></semantics></math>"
+    assert html_text.main_text(f"<article><p>If {formula}, then stop.</p></article>") == "If x=1, then stop."
+    assert html_text.main_text("<article><p>If <math><mi>y</mi><annotation>y</math> then</p></article>") == "If y then"
+
+
 def test_minimum_cut_against_all_labellings():
     draw = random.Random(4)
     for _ in range(300):

@@ -26,11 +26,16 @@ from tidelog.llm.common import per_text
 #: Elements whose text is part of the block around them; all others begin and end blocks.
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var wbr".split()
+    "sub sup time tt u var wbr "
+    # formulas are read as words of the sentence around them
+    "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr maction".split()
 )
+#: A formula once more in another notation, not shown; its text is left out and the block goes on after it.
+_NOTATION_END = {name: re.compile(rf"</{name}\s*>|(?=</math[\s>])", re.I) for name in ("annotation", "annotation-xml")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup or never shown.
-HIDDEN = frozenset("script style noscript template iframe object svg canvas head textarea select option title math audio video".split())
+HIDDEN = frozenset("script style noscript template iframe object svg canvas head textarea select option title audio video".split())
 #: Elements whose content is characters up to their own closing tag, whatever these look like.
 _RAW = frozenset("script style textarea title noscript iframe".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
@@ -46,12 +51,24 @@ BOILERPLATE_ELEMENTS = {
     "nav": 6.0, "footer": 6.0, "header": 4.0, "aside": 6.0, "form": 6.0, "button": 6.0, "menu": 6.0, "dialog": 6.0, "fieldset": 5.0,
     "address": 2.0,
 }
-_BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menus?|breadcrumbs?|footer|header|masthead|banner|side-?bar|aside|widgets?|ads?|advert\w*|adv|"
-    r"promo\w*|sponsor\w*|cookies?|consent|notices?|notification|popup|modal|overlay|newsletter|subscribe|signup|login|search|"
-    r"share|sharing|social|comments?|replies|reply|respond|disqus|related|recommended|toolbar|pagination|pager|skip|alert|gdpr|legal|copyright)"
-    r"(?:$|[\s_-])"
+#: Names of page furniture that no part of a text is named after.
+_FURNITURE = (
+    r"nav|navbar|breadcrumbs?|masthead|side-?bar|ads?|advert\w*|adv|promo\w*|sponsor\w*|cookies?|popup|modal|newsletter|disqus|comments|toolbar|"
+    r"pagination|pager|widgets?|gdpr"
 )
+_BAD = (
+    rf"(?:{_FURNITURE}|navigation|menus?|footer|header|banner|aside|consent|notices?|notification|overlay|subscribe|signup|login|search|share|"
+    r"sharing|social|comment|replies|reply|respond|related|recommended|skip|alert|legal|copyright)"
+)
+#: What furniture names are made of besides: 'related-posts', 'share-buttons'.
+_PLACE = (
+    r"(?:site|page|top|bottom|left|right|inner|outer|area|box|bar|block|container|wrapper|wrap|list|links?|items?|buttons?|section|panel|form|icons?|"
+    r"posts|articles|stories|this|primary|secondary|global|\d+)"
+)
+_BAD_PART = re.compile(rf"(?:^|[_-]){_BAD}(?:$|[_-])")
+_BAD_WHOLE = re.compile(rf"(?:{_PLACE}[_-]+)*{_BAD}(?:[_-]+(?:{_BAD}|{_PLACE}))*")
+_BAD_ALONE = re.compile(_BAD)
+_CLEAR = re.compile(_FURNITURE)
 _GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])")
 _BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
@@ -62,13 +79,15 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 
 NEIGHBOURS, SIBLINGS = 0.6, 1.2
+#: Evidence of a doubtful name: for the whole name, for a part of it.  It fades with the words of a block up to LONG.
+WHOLE, PART, LONG = -4.0, -2.0, 24
 
 
 class Element:
-    __slots__ = ("name", "parent", "cue", "depth", "hidden")
+    __slots__ = ("name", "parent", "cue", "doubt", "depth", "hidden")
 
-    def __init__(self, name: str, parent: Element | None, cue: float, hidden: bool):
-        self.name, self.parent, self.cue, self.hidden = name, parent, cue, hidden
+    def __init__(self, name: str, parent: Element | None, cue: float, doubt: float, hidden: bool):
+        self.name, self.parent, self.cue, self.doubt, self.hidden = name, parent, cue, doubt, hidden
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -81,30 +100,57 @@ class Block:
         self.linked = 0
 
 
-def cue_of(name: str, attributes: dict[str, str], parent: float) -> float:
-    """Evidence that text in the element is content (positive) or boilerplate; the nearest clear element decides."""
+def named(name: str, attributes: dict[str, str], content: bool) -> float:
+    """Evidence of class names and id for boilerplate: -6 if clear, WHOLE or PART if doubtful, 0 for none.
+
+    Around the content a class with one bad part, or a bad id, is clear.  Within it ids
+    are made from titles ('related-work', 'search'): there a part of an id says nothing,
+    a whole id little, and only classes that are page furniture as a whole are clear.
+    """
+    if name in ("html", "body", "article", "main"):
+        return 0.0
+    found = 0.0
+    for token in attributes.get("class", "").lower().split():
+        if _BAD_PART.search(token):
+            if not content or _CLEAR.fullmatch(token) or _BAD_WHOLE.fullmatch(token) and not _BAD_ALONE.fullmatch(token):
+                return -6.0
+            found = min(found, WHOLE if _BAD_ALONE.fullmatch(token) else PART)
+    own = attributes.get("id", "").strip().lower()
+    # a heading's id is its title
+    if own and name not in ("h1", "h2", "h3", "h4", "h5", "h6") and _BAD_PART.search(own):
+        whole = _BAD_WHOLE.fullmatch(own)
+        if whole and not content:
+            return -6.0
+        if whole or not content:
+            found = min(found, WHOLE if whole else PART)
+    return found
+
+
+def cue_of(name: str, attributes: dict[str, str], parent: float) -> tuple[float, float]:
+    """Evidence that text in the element is content (positive) or boilerplate, the nearest clear element decides; and doubtful evidence."""
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
-        return -8.0
+        return -8.0, 0.0
     if attributes.get("role", "").lower() in _BAD_ROLES:
-        return -6.0
+        return -6.0, 0.0
     if name in BOILERPLATE_ELEMENTS and not (name == "header" and parent > 0):
-        return -BOILERPLATE_ELEMENTS[name]
-    if name not in ("html", "body", "article", "main") and names != " " and _BAD_NAMES.search(names):
-        return -6.0
+        return -BOILERPLATE_ELEMENTS[name], 0.0
+    doubt = named(name, attributes, parent > 0) if names != " " else 0.0
+    if doubt == -6.0:
+        return -6.0, 0.0
     # what lies inside boilerplate stays boilerplate: comments hold articles of their own
     if parent < 0:
-        return parent
+        return parent, 0.0
     if name in CONTENT_ELEMENTS:
-        return max(parent, CONTENT_ELEMENTS[name])
+        return max(parent, CONTENT_ELEMENTS[name]), doubt
     if attributes.get("role", "").lower() in ("main", "article") or names != " " and _GOOD_NAMES.search(names):
-        return max(parent, 2.5)
-    return parent
+        return max(parent, 2.5), doubt
+    return parent, doubt
 
 
 def blocks_of(page: str) -> list[tuple[str, Element, float]]:
     """Text, element and share of linked characters of every block, in page order."""
-    root = Element("", None, 0.0, False)
+    root = Element("", None, 0.0, 0.0, False)
     at, links, block = root, 0, Block(root)
     out: list[tuple[str, Element, float]] = []
 
@@ -128,6 +174,10 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
                 block.linked += len(text) if links else 0
             continue
         name = name.lower()
+        if name in _NOTATION_END:
+            end = None if closing or rest.endswith("/") else _NOTATION_END[name].search(page, place)
+            place = end.end() if end else place
+            continue
         if name in INLINE:
             if name == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -156,7 +206,8 @@ def blocks_of(page: str) -> list[tuple[str, Element, float]]:
             attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(rest)} if "=" in rest else {}
             if rest and re.search(r"(?:^|\s)hidden(?:\s|$)", rest):
                 attributes["hidden"] = ""
-            at = Element(name, at, cue_of(name, attributes, at.cue), at.hidden or name in HIDDEN)
+            cue, doubt = cue_of(name, attributes, at.cue)
+            at = Element(name, at, cue, 0.0 if cue < 0 else min(doubt, at.doubt), at.hidden or name in HIDDEN)
         flush()
         if name in _RAW:
             end = _RAW_END[name].search(page, place)
@@ -171,6 +222,8 @@ def costs(text: str, element: Element, linked: float) -> tuple[float, float]:
     """Cost of calling the block boilerplate, and of calling it content."""
     n = text.count(" ") + 1
     score = element.cue
+    if element.doubt:
+        score -= (score - element.doubt) * max(0.0, 1 - n / LONG)
     # long running text speaks for content, linked text against it
     score += 0.25 + min(1.5, n / 20) - 3.0 * linked
     if element.name in ("h1", "h2", "h3", "p", "blockquote", "pre"):
