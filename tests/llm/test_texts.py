@@ -189,6 +189,19 @@ def test_files_hold_equal_sequences_and_masks(spark, documents, monkeypatch):
     assert sum(map(len, stream)) == sum(r.n_tokens for r in rows)
 
 
+def test_added_tokens_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.BPE_JSON)
+    library, own = Tokenizer.from_file(path), token_files.LibraryEncoder(path)
+    added = {i: t.content for i, t in library.get_added_tokens_decoder().items()}
+    token = next(iter(added.values()))
+    texts = [f"one two{token}three  four", token, f" {token} five {token}{token}\nsix", "one two three", f"seven {token[:-1]} {token[1:]}", ""]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert set(added) & set(want[0]) and [ids.tolist() for ids in own.encode(texts, None)] == want
+    assert [ids.tolist() for ids in own.encode(texts, 2)] == [[*ids, 2] for ids in want]
+
+
 def test_token_file_edges(spark, odd, none):
     index = token_files.write(odd, public_tokenizers.path(queries.BPE_JSON), new_dir(spark, "files"))
     rows = token_files.read(index).collect()

@@ -47,7 +47,8 @@ class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct chunk between single spaces once.
 
     No pre-token of a byte-level tokenizer crosses such a space, so the ids are
-    those of the whole text.  Ids are kept as the bytes that the files hold; the
+    those of the whole text.  The library finds its added tokens before it
+    pre-tokenizes, so a text that holds one is encoded whole.  Ids are kept as the bytes that the files hold; the
     memo takes new chunks until it is full.
     """
 
@@ -56,7 +57,9 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # chunks set side by side must not make an added token
+        self.joined = 1 if any(_ANY_SPACE.search(a) for a in self.added) else _JOINED
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.after_space = np.array([(self.tokenizer.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
@@ -72,7 +75,7 @@ class LibraryEncoder:
         with a space then begins a chunk.
         """
         plain = [c for c in chunks_ if _ANY_SPACE.search(c) is None]
-        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        groups = [plain[i : i + self.joined] for i in range(0, len(plain), self.joined)]
         out: dict[str, bytes] = {}
         alone = [c for c in chunks_ if _ANY_SPACE.search(c) is not None]
         for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
@@ -87,7 +90,7 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
         """The ids of each text, followed by ``end`` if given."""
-        parts = [chunks(t) for t in texts]
+        parts = [[t] if any(a in t for a in self.added) else chunks(t) for t in texts]
         firsts = [p.pop(0) for p in parts]
         found = self._encode_chunks(list(set(chain.from_iterable(parts)).difference(self.memo)))
         if len(self.memo) < _MEMO:
