@@ -25,7 +25,7 @@ from tidelog.llm.common import stored
 
 
 def test_registered():
-    assert [n for n in entry.queries() if n.startswith("op")] == list(queries.QUERIES)[:10] and "pipeline" in entry.queries()
+    assert [n for n in entry.queries() if n.startswith("op")] == [n for n in queries.QUERIES if n != "pipeline"] and "pipeline" in entry.queries()
 
 
 def test_mixing_query_equals_sql(spark, sf_dir, duck):

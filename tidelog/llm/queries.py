@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, gated_lm, html_text, mixing, quality_classifier, quality_rules, simhash, sketch, token_files, url_filter
+from tidelog.llm import byte_bpe, gated_lm, html_text, mixing, quality_classifier, quality_rules, resampling, simhash, sketch, token_files, url_filter
 from tidelog.llm.common import fold_of, table
 
 #: The listed URLs of op1: host, path, verdict (fixed values).
@@ -99,6 +99,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,6 +120,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_resampling": op11_resampling,
     "pipeline": pipeline,
 }
 
@@ -165,4 +170,35 @@ times as (select *, whole + case when part > 0 and earlier < part then 1 else 0
 select doc_id, unnest(generate_series(0, n::bigint - 1))::int as epoch, n_tokens, domain, lang, source from times where n > 0
 """
 
-ORACLES = {"op1_url_filter": _OP1_SQL, "op4_mixing": _OP4_SQL}
+_OP11_SQL = r"""
+with recursive bits(i, c, step) as (
+    select i::bigint, i::bigint, 0 from range(256) r(i)
+    union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from bits where step < 8),
+crc as (select list(c order by i) as t from bits where step = 8),
+words as (
+    select 'd' as part, doc_id, row_number() over () as row_no, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    union all select 't', item_id, row_number() over (), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+line as (select part, row_no, unnest(w) as word, generate_subscripts(w, 1) as pos from words),
+grams as (
+    select part, row_no, word as f from line
+    union all select part, row_no, word || ' ' || lead(word) over (partition by part, row_no order by pos) from line),
+tally as (select part, row_no, f, count(*) as n from grams where f is not null group by all),
+known as (select f, hex(encode(f)) as h from (select distinct f from tally)),
+bucket as (
+    select f, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, length(h)::bigint, 2), lambda i: ('0x' || substr(h, i + 1, 2))::bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c & 255, b) + 1)::int])), 4294967295) % 10000 as b
+    from known, crc),
+placed as (select part, row_no, b, n from tally join bucket using (f)),
+sums as (select b, coalesce(sum(n) filter (part = 'd'), 0)::double as s, coalesce(sum(n) filter (part = 't'), 0)::double as t from placed group by b),
+gain as (select b, floor(1000 * ln(((t + 1) * (sum(s) over () + 10000)) / ((s + 1) * (sum(t) over () + 10000))))::bigint as g from sums),
+mean as (select row_no, sum(n)::bigint as n_features, floor(sum(n * g) / sum(n))::bigint as weight from placed join gain using (b) where part = 'd' group by row_no),
+scored as (
+    select doc_id, row_no, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+    from words left join mean using (row_no) where part = 'd'),
+drawn as (select row_no, row_number() over (order by score desc, doc_id) as r from scored where n_words >= 20)
+select doc_id, n_features, weight, score, case when r <= (select 25 * count(*) // 100 from drawn) then r end as rank
+from scored left join drawn using (row_no)
+"""
+
+ORACLES = {"op1_url_filter": _OP1_SQL, "op4_mixing": _OP4_SQL, "op11_resampling": _OP11_SQL}
