@@ -42,8 +42,8 @@ ORDER, BUCKETS, SEED, SHARE, MIN_WORDS = 2, 10_000, 7, 25, 20
 #: Bytes of words: 0-9, a-z and all of characters above 127; A-Z are lower-cased, the rest parts words.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
-#: Bytes of a text, and of texts together, whose features are interned at once.
-_PIECE = 1 << 20
+#: Bytes of a text, and of texts together, whose features are interned at once; their table fits into a core's cache.
+_PIECE = 1 << 17
 
 #: Bytes of a feature that are compared in NumPy; longer ones are compared one by one as well.
 _INLINE = 32
@@ -78,7 +78,7 @@ class Interned:
         self.count = np.bincount(self.place, minlength=size)
         taken = np.flatnonzero(owner >= 0)
         self.bucket = np.zeros(size, np.int64)
-        self.bucket[taken] = np.fromiter((zlib.crc32(features[i]) % buckets for i in owner[taken].tolist()), np.int64, len(taken))
+        self.bucket[taken] = np.fromiter(map(zlib.crc32, map(features.__getitem__, owner[taken].tolist())), np.int64, len(taken)) % buckets
 
 
 def pieces(text: bytes, size: int = _PIECE) -> Iterator[list[bytes]]:
