@@ -28,11 +28,14 @@ table gives an empty result.  Columns other than these three are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+import re
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,12 +45,12 @@ from tidelog.llm.common import slices, stored, text_bytes
 MIN_DOCS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 
 #: Length of the first prefixes, in bytes; each level doubles it.
-FIRST_LEVEL = 4
+FIRST_LEVEL = 8
 
 #: Bits for each kept prefix in the bitmap, and its largest size (16 MB).
 BITS_PER_PREFIX, MAX_WORDS = 16, 1 << 21
 
-#: A task hands on its counts, and forgets what it knows of terms, at this many entries.
+#: A task hands on its counts, and forgets the terms it has met, at this many of them.
 HELD_ENTRIES = 400_000
 
 END = b" "
@@ -79,33 +82,67 @@ class Bitmap:
         words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
         return cls(words.view(np.uint64))
 
-    def has(self, lang: bytes, prefix: bytes) -> bool:
-        h = xxhash.xxh64_intdigest(lang + b"\0" + prefix, 42)  # the hash and seed of xxhash64 in SQL
-        bits = 1 << (h & 63) | 1 << (h >> 6 & 63)
-        return int(self.words[(h >> 12) % len(self.words)]) & bits == bits
+    def has(self, lang: bytes, prefixes: list[bytes]) -> np.ndarray:
+        """Which of the prefixes of a language may have been put in; all that were."""
+        head = lang + b"\0"  # hash and seed are those of xxhash64 in SQL
+        h = np.fromiter((xxhash.xxh64_intdigest(head + p, 42) for p in prefixes), np.uint64, len(prefixes))
+        one, low = np.uint64(1), np.uint64(63)
+        bits = one << (h & low) | one << (h >> np.uint64(6) & low)
+        return self.words[(h >> np.uint64(12)) % np.uint64(len(self.words))] & bits == bits
 
 
-class _Prefixes(dict):
-    """Of each term of a language its prefix at this level, or None where an earlier level dropped or completed it."""
+class _Meanings:
+    """Numbers for the terms of a language that a task meets, and for what they mean to it.
 
-    def __init__(self, lang: bytes, length: int, before: int, kept: Bitmap | None):
-        self.lang, self.length, self.before, self.kept = lang, length, before, kept
+    ``meaning`` gives for new terms, all at once, what counts for each, or None.
+    """
+
+    def __init__(self, lang: str, meaning: Callable[[bytes, list[bytes]], list[bytes | None]]):
+        self.lang, self.meaning = lang.encode(), meaning
+        self.terms: dict[bytes, int] = defaultdict(count().__next__)
+        self.names: dict[bytes, int] = defaultdict(count().__next__)
+        self.of_term = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.terms)
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        if self.kept is None or len(term) >= self.before and self.kept.has(self.lang, term[: self.before]):
-            found = (term + END)[: self.length]
-        else:
-            found = None
-        if len(self) < HELD_ENTRIES:
-            self[term] = found
-        return found
+    def numbers(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The number of what each term means, -1 for nothing, over all texts."""
+        found = np.fromiter(map(self.terms.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        known = len(self.of_term)
+        if len(self.terms) > known:
+            means = self.meaning(self.lang, list(islice(self.terms, known, None)))
+            new = np.fromiter((-1 if m is None else self.names[m] for m in means), np.int64, len(means))
+            self.of_term = np.concatenate([self.of_term, new])
+        return self.of_term[found]
 
 
-def _counts(names: list[str], counts: dict[tuple, Counter]) -> pa.RecordBatch:
-    """Rows of a key's strings, a counted byte string and its count."""
-    keys = [pa.array([k[i] for k, c in counts.items() for _ in range(len(c))], pa.string()) for i in range(len(names) - 2)]
-    values = pa.array([t for c in counts.values() for t in c], pa.binary())
-    return pa.RecordBatch.from_arrays([*keys, values, pa.array([n for c in counts.values() for n in c.values()], pa.int64())], names=names)
+def _by_language(
+    batches: Iterator[pa.RecordBatch], shortest: int, meaning: Callable, take: Callable[[str, _Meanings, np.ndarray, np.ndarray, list], None]
+) -> Iterator[bool]:
+    """Hand what the texts of a batch mean, by language, to ``take``: numbers, and for each the row of its text.
+
+    After each part of a batch it says whether the caller has to hand on and forget what it counted.
+    """
+    terms_of = re.compile(rb"[^ ]{%d,}" % shortest).findall if shortest > 1 else bytes.split
+    known: dict[str, _Meanings] = {}
+    for batch in batches:
+        for part in slices(batch):
+            texts, *keys = (c.to_pylist() for c in part.columns)
+            of_lang: dict[str, list[int]] = defaultdict(list)
+            for row, lang in enumerate(keys[0]):
+                of_lang[lang].append(row)
+            for lang, rows in of_lang.items():
+                held = [terms_of(texts[row].translate(_TERMS)) for row in rows]
+                meanings = known.setdefault(lang, _Meanings(lang, meaning))
+                numbers = meanings.numbers(held)
+                owner = np.repeat(np.arange(len(rows)), list(map(len, held)))
+                take(lang, meanings, numbers[numbers >= 0], owner[numbers >= 0], [keys[-1][row] for row in rows])
+            full = sum(map(len, known.values())) > HELD_ENTRIES
+            if full:
+                known.clear()
+            yield full
+    yield True
 
 
 def level(rows: DataFrame, length: int, before: int, kept: Bitmap | None, min_docs: int) -> DataFrame:
@@ -113,25 +150,32 @@ def level(rows: DataFrame, length: int, before: int, kept: Bitmap | None, min_do
 
     Looks at terms longer than ``before`` bytes whose prefix of that length the bitmap has.
     """
-    names = ["lang", "prefix", "n"]
+
+    def meaning(lang: bytes, terms: list[bytes]) -> list[bytes | None]:
+        """The prefix of this level of terms that the level before neither dropped nor completed."""
+        prefixes = [(t + END)[:length] for t in terms]
+        if kept is None:
+            return prefixes
+        return [p if has else None for p, has in zip(prefixes, kept.has(lang, [t[:before] for t in terms]).tolist())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, _Prefixes] = {}
-        found: dict[tuple, Counter] = defaultdict(Counter)
-        for batch in batches:
-            for part in slices(batch):
-                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if lang not in known:
-                        known[lang] = _Prefixes(lang.encode(), length, before, kept)
-                    prefixes = set(map(known[lang].__getitem__, set(text.translate(_TERMS).split())))
-                    prefixes.discard(None)
-                    found[(lang,)].update(prefixes)
-                if sum(map(len, found.values())) > HELD_ENTRIES:
-                    yield _counts(names, found)
-                    found.clear()
-                if sum(map(len, known.values())) > HELD_ENTRIES:
-                    known.clear()
-        yield _counts(names, found)
+        found: dict[str, tuple[_Meanings, np.ndarray]] = {}
+
+        def take(lang: str, meanings: _Meanings, numbers: np.ndarray, owner: np.ndarray, _: list) -> None:
+            n = len(meanings.names)
+            once = np.unique(owner * n + numbers) % max(n, 1)  # a text counts once for a prefix
+            sums = np.bincount(once, minlength=n)
+            if lang in found:
+                sums[: len(found[lang][1])] += found[lang][1]
+            found[lang] = (meanings, sums)
+
+        for full in _by_language(batches, before, meaning, take):
+            if full:
+                for lang, (meanings, sums) in found.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(sums), pa.string()), pa.array(list(meanings.names), pa.binary()), pa.array(sums, pa.int64())], names=["lang", "prefix", "n"]
+                    )
+                found.clear()
 
     counted = rows.select("_text", "lang").mapInArrow(run, "lang string, prefix binary, n bigint")
     return counted.groupBy("lang", "prefix").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("lang", "prefix")
@@ -152,54 +196,78 @@ def kept_terms(documents: DataFrame, text: str = "text", lang: str = "lang", min
         length, before, kept = 2 * length, length, Bitmap.of(still)
 
 
-class _Kept(dict):
-    """Of each term of a language the term itself if the bitmap has it, else None."""
+_HELD = "array<struct<place: int, n: bigint>>"
 
-    def __init__(self, lang: bytes, kept: Bitmap):
-        self.lang, self.kept = lang, kept
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        found = term if self.kept.has(self.lang, term) else None
-        if len(self) < HELD_ENTRIES:
-            self[term] = found
-        return found
+def _lists(lang: pa.Array, term: pa.Array, owner: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of a term with its list of places and counts; ``owner`` is the row of each, ascending."""
+    ends = np.cumsum(np.bincount(owner, minlength=len(term)))
+    items = pa.StructArray.from_arrays([pa.array(place, pa.int32()), pa.array(n, pa.int64())], names=["place", "n"])
+    held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), items)
+    return pa.RecordBatch.from_arrays([lang, term, held], names=["lang", "term", "held"])
 
 
-def occurrences(rows: DataFrame, terms: DataFrame, places: DataFrame) -> DataFrame:
+def occurrences(rows: DataFrame, terms: DataFrame, places: dict[str, dict[str, int]]) -> DataFrame:
     """``lang``, ``term`` and ``held``, the (place of a source, occurrences) of the sources that have it, for each kept term.
 
     The bitmap spares the shuffle most other terms, a join all of them.  A task hands
-    on one row at most for a term of a group, so a frequent term is no hot key.
+    on a term of a language with its counts in one row, and the rows of a term, which
+    come sorted, are added up one after the other: a frequent term is no hot key and no
+    list of all its rows is made.
     """
     kept = Bitmap.of(terms.withColumnRenamed("term", "prefix"))
-    names = ["lang", "source", "term", "n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, _Kept] = {}
-        found: dict[tuple, Counter] = defaultdict(Counter)
-
-        def taken() -> pa.RecordBatch:
-            for counts in found.values():
-                counts.pop(None, None)
-            return _counts(names, found)
+    def meaning(lang: bytes, found: list[bytes]) -> list[bytes | None]:
+        return [t if has else None for t, has in zip(found, kept.has(lang, found).tolist())]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, tuple[_Meanings, np.ndarray, np.ndarray]] = {}
+
+        def take(lang: str, meanings: _Meanings, numbers: np.ndarray, owner: np.ndarray, sources: list) -> None:
+            place = np.array([places[lang][s] for s in sources], np.int64)
+            codes, n = np.unique(numbers * len(places[lang]) + place[owner], return_counts=True)
+            if lang in found:
+                codes, at = np.unique(np.concatenate([found[lang][1], codes]), return_inverse=True)
+                sums = np.zeros(len(codes), np.int64)
+                np.add.at(sums, at, np.concatenate([found[lang][2], n]))
+                n = sums
+            found[lang] = (meanings, codes, n)
+
+        for full in _by_language(batches, 1, meaning, take):
+            if full:
+                for lang, (meanings, codes, n) in found.items():
+                    term, place = np.divmod(codes, len(places[lang]))
+                    yield _lists(pa.array([lang] * len(meanings.names), pa.string()), pa.array(list(meanings.names), pa.binary()), term, place, n)
+                found.clear()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one term after each other made one; the last term of a batch waits for the next batch."""
+        waiting: pa.RecordBatch | None = None
         for batch in batches:
-            for part in slices(batch):
-                for body, lang, source in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    if lang not in known:
-                        known[lang] = _Kept(lang.encode(), kept)
-                    found[lang, source].update(map(known[lang].__getitem__, body.translate(_TERMS).split()))
-                if sum(map(len, found.values())) > HELD_ENTRIES:
-                    yield taken()
-                    found.clear()
-                if sum(map(len, known.values())) > HELD_ENTRIES:
-                    known.clear()
-        yield taken()
-
-    counted = rows.mapInArrow(run, "lang string, source string, term binary, n bigint").repartition("lang", "term")
-    placed = counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).join(places, ["lang", "source"])
-    by_term = placed.groupBy("lang", "term").agg(F.collect_list(F.struct("place", "n")).alias("held"))
-    return by_term.join(terms, ["lang", "term"], "left_semi")
+            rows_ = [b for b in (waiting, batch) if b is not None and b.num_rows]
+            if not rows_:
+                continue
+            whole = pa.Table.from_batches(rows_).combine_chunks().to_batches()[0]
+            lang, term, held = whole.columns
+            fresh = np.ones(len(term), bool)
+            fresh[1:] = ~(pc.equal(lang.slice(1), lang.slice(0, len(lang) - 1)).to_numpy(False) & pc.equal(term.slice(1), term.slice(0, len(term) - 1)).to_numpy(False))
+            owner = np.repeat(np.cumsum(fresh) - 1, np.diff(held.offsets.to_numpy()))
+            items = held.flatten()
+            place, n = items.field("place").to_numpy().astype(np.int64), items.field("n").to_numpy()
+            width = int(place.max(initial=0)) + 1
+            codes, at = np.unique(owner * width + place, return_inverse=True)
+            sums = np.zeros(len(codes), np.int64)
+            np.add.at(sums, at, n)
+            first = pa.array(np.flatnonzero(fresh))
+            made = _lists(lang.take(first), term.take(first), codes // width, codes % width, sums)
+            yield made.slice(0, made.num_rows - 1)
+            waiting = made.slice(made.num_rows - 1)
+        if waiting is not None:
+            yield waiting
+
+    schema = f"lang string, term binary, held {_HELD}"
+    dealt = rows.mapInArrow(run, schema).repartition("lang", "term").sortWithinPartitions("lang", "term")
+    return dealt.mapInArrow(add, schema).join(terms, ["lang", "term"], "left_semi")
 
 
 def shares(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -271,15 +339,18 @@ def audit(
 
     Part ``pair`` has the group's difference from each other source of its language,
     part ``term`` the ``top`` kept terms it has more of than its language.  Both are
-    ranked by value, then by item.  One number for each group comes to the driver; the
-    result has one row for each pair of them.
+    ranked by value, then by item.  Names and sizes of the groups come to the driver; the
+    result has a row for each pair of them.
     """
     rows = _rows(documents, text, lang, source)
     terms = stored(kept_terms(documents, text, lang, min_docs, first), "kept-terms")
     in_language = Window.partitionBy("lang").orderBy("source")
     places = rows.select("lang", "source").distinct().withColumn("place", F.row_number().over(in_language) - 1)
     places = stored(places, "sources")
-    by_term = stored(occurrences(rows, terms, places), "term-counts")
+    place_of: dict[str, dict[str, int]] = defaultdict(dict)
+    for r in places.collect():
+        place_of[r.lang][r.source] = r.place
+    by_term = stored(occurrences(rows, terms, dict(place_of)), "term-counts")
 
     each = by_term.select("lang", "term", F.inline("held"))
     vocabulary = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
