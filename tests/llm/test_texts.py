@@ -152,7 +152,6 @@ def test_bpe_edges(odd, none):
 
 def test_token_files_equal_the_library(spark, sf_dir, documents):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(queries.BPE_JSON))
-    tokenizer.encode_special_tokens = True
     got = {r.doc_id: r for r in queries.op9_token_files(spark, sf_dir).collect()}
     start = 0
     for doc_id, text in documents:
@@ -202,6 +201,19 @@ def test_added_tokens_are_those_of_the_library():
     assert [ids.tolist() for ids in own.encode(texts, 2)] == [[*ids, 2] for ids in want]
 
 
+def test_forgotten_chunks_are_encoded_again(documents, monkeypatch):
+    """An encoder that keeps a few chunks, and one that keeps none, give the library's ids."""
+    path = public_tokenizers.path(queries.BPE_JSON)
+    texts = [t or "" for _, t in documents[:60]] + ["a  b\tc", " x ", "\n", "one two", "two\none three"]
+    library = Tokenizer.from_file(path)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for limit in (0, 50, 3_000):
+        monkeypatch.setattr(token_files, "_MEMO", limit)
+        own = token_files.LibraryEncoder(path)
+        for _ in range(2):
+            assert [ids.tolist() for i in range(0, len(texts), 7) for ids in own.encode(texts[i : i + 7], None)] == want
+
+
 def test_token_file_edges(spark, odd, none):
     index = token_files.write(odd, public_tokenizers.path(queries.BPE_JSON), new_dir(spark, "files"))
     rows = token_files.read(index).collect()

@@ -22,9 +22,9 @@ import os
 import re
 import uuid
 import zlib
-from collections import ChainMap
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -43,13 +43,15 @@ _ANY_SPACE = re.compile(f"[{SPACE}]")
 #: How a byte-level vocabulary writes a space (fixed value).
 _SPACE_MARK = "Ġ"
 
+
 class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct chunk between single spaces once.
 
     No pre-token of a byte-level tokenizer crosses such a space, so the ids are
     those of the whole text.  The library finds its added tokens before it
-    pre-tokenizes, so a text that holds one is encoded whole.  Ids are kept as the bytes that the files hold; the
-    memo takes new chunks until it is full.
+    pre-tokenizes, so a text that holds one is encoded whole.  Chunks get numbers, and
+    the ids of all of them lie in one array; those of a text are gathered from it.  At
+    _MEMO chunks the ones met once are forgotten, or all if that is not enough.
     """
 
     def __init__(self, path: str):
@@ -63,46 +65,72 @@ class LibraryEncoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.after_space = np.array([(self.tokenizer.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
-        self.memo: dict[str, bytes] = {}
+        self._keep([])
+
+    def _keep(self, kept: list[tuple[str, np.ndarray]]) -> None:
+        """Forget all chunks but the given ones."""
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        for chunk, _ in kept:
+            self.numbers[chunk]
+        self.ids = np.concatenate([np.zeros(0, self.kind), *[ids for _, ids in kept]])
+        self.length = np.array([len(ids) for _, ids in kept], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.uses = np.zeros(len(kept), np.int64)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks_: list[str]) -> dict[str, bytes]:
-        """Ids of chunks, each with a space before it.
+    def _encode_chunks(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of chunks, each with a space before it, how many each has, and at which place of these it is.
 
         Chunks without white space are encoded many in one text: an id that begins
         with a space then begins a chunk.
         """
-        plain = [c for c in chunks_ if _ANY_SPACE.search(c) is None]
+        spaced = np.fromiter((_ANY_SPACE.search(c) is not None for c in new), bool, len(new))
+        plain, alone = np.flatnonzero(~spaced).tolist(), np.flatnonzero(spaced).tolist()
         groups = [plain[i : i + self.joined] for i in range(0, len(plain), self.joined)]
-        out: dict[str, bytes] = {}
-        alone = [c for c in chunks_ if _ANY_SPACE.search(c) is not None]
-        for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
-            starts = np.flatnonzero(self.after_space[ids])
+        ids, lengths, order = [], [], []
+        for group, found in zip(groups, self._encode([" " + " ".join(map(new.__getitem__, g)) for g in groups])):
+            starts = np.flatnonzero(self.after_space[found])
             if len(starts) == len(group) and starts[0] == 0:
-                raw, cuts = ids.tobytes(), [*(starts * self.kind.itemsize).tolist(), ids.nbytes]
-                out.update(zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+                ids.append(found)
+                lengths.append(np.diff(starts, append=len(found)))
+                order += group
             else:
                 alone += group
-        out.update(zip(alone, (ids.tobytes() for ids in self._encode([" " + c for c in alone]))))
-        return out
+        rest = self._encode([" " + new[i] for i in alone])
+        place = np.argsort(np.array(order + alone, np.int64))
+        return np.concatenate([np.zeros(0, self.kind), *ids, *rest]), np.concatenate([*lengths, np.array([len(r) for r in rest], np.int64)]), place
+
+    def _numbered(self, parts: list[list[str]]) -> np.ndarray:
+        """The numbers of all chunks, in order; new ones are encoded."""
+        if len(self.length) > _MEMO:
+            again = np.flatnonzero(self.uses > 1)
+            chunks_ = list(self.numbers)
+            self._keep([(chunks_[i], self.ids[self.start[i] : self.start[i] + self.length[i]]) for i in again.tolist()] if len(again) <= _MEMO // 2 else [])
+        known = len(self.length)
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        if len(self.numbers) > known:
+            ids, lengths, place = self._encode_chunks(list(islice(self.numbers, known, None)))
+            starts = len(self.ids) + np.cumsum(lengths) - lengths
+            self.ids = np.concatenate([self.ids, ids])
+            self.start, self.length = np.concatenate([self.start, starts[place]]), np.concatenate([self.length, lengths[place]])
+            self.uses = np.concatenate([self.uses, np.zeros(len(place), np.int64)])
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        return numbers
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
         """The ids of each text, followed by ``end`` if given."""
         parts = [[t] if any(a in t for a in self.added) else chunks(t) for t in texts]
-        firsts = [p.pop(0) for p in parts]
-        found = self._encode_chunks(list(set(chain.from_iterable(parts)).difference(self.memo)))
-        if len(self.memo) < _MEMO:
-            self.memo.update(found)
-            found = {}
-        # of a full memo and new chunks, most are in the memo
-        known = ChainMap(self.memo, found).__getitem__ if found else self.memo.__getitem__
-        tail = b"" if end is None else np.array([end], self.kind).tobytes()
-        return [
-            np.frombuffer(b"".join([first.tobytes(), *map(known, part), tail]), self.kind)
-            for first, part in zip(self._encode(firsts), parts)
-        ]
+        firsts = self._encode([p.pop(0) for p in parts])
+        numbers = self._numbered(parts)
+        lengths = self.length[numbers]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        # each chunk's ids lie in one piece: its place in the array, less its place in the text, plus 0, 1, 2 ...
+        ids = self.ids[np.repeat(self.start[numbers] - upto[:-1], lengths) + np.arange(upto[-1])]
+        cuts = upto[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
+        tail = np.array([] if end is None else [end], self.kind)
+        return [np.concatenate([first, ids[a:b], tail]) for first, a, b in zip(firsts, cuts.tolist(), cuts[1:].tolist())]
 
 
 def sequence_schema(kind: np.dtype) -> pa.Schema:
