@@ -38,12 +38,24 @@ from tidelog.workspace import new_dir
 
 SEQUENCE, RECORD, END_ID = 2_048, 256, 2
 BLOCK_ROWS, MAX_BLOCKS = 500, 10_000
-_MEMO, _JOINED = 500_000, 256
+_MEMO, _JOINED = 800_000, 256
+#: Texts encoded at once by a task.
+_TEXTS = 1_000
 _ANY_SPACE = re.compile(f"[{SPACE}]")
 #: How a byte-level vocabulary writes a space (fixed value).
 _SPACE_MARK = "Ġ"
 
 
+_OTHER_SPACE = [c for c in SPACE if c != " "]
+
+
+def _even(text: str) -> bool:
+    """Whether every space stands alone between words, so that the text can be cut at each."""
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in _OTHER_SPACE)
+
+
 class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct chunk between single spaces once.
 
@@ -83,11 +95,11 @@ class LibraryEncoder:
     def _encode_chunks(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of chunks, each with a space before it, how many each has, and at which place of these it is.
 
-        Chunks without white space are encoded many in one text: an id that begins
-        with a space then begins a chunk.
+        Chunks without a space, and without other white space at their ends, are encoded
+        many in one text: an id that begins with a space then begins a chunk.
         """
-        spaced = np.fromiter((_ANY_SPACE.search(c) is not None for c in new), bool, len(new))
-        plain, alone = np.flatnonzero(~spaced).tolist(), np.flatnonzero(spaced).tolist()
+        fits = np.fromiter((" " not in c and c.strip() == c for c in new), bool, len(new))
+        plain, alone = np.flatnonzero(fits).tolist(), np.flatnonzero(~fits).tolist()
         groups = [plain[i : i + self.joined] for i in range(0, len(plain), self.joined)]
         ids, lengths, order = [], [], []
         for group, found in zip(groups, self._encode([" " + " ".join(map(new.__getitem__, g)) for g in groups])):
@@ -121,7 +133,7 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
         """The ids of each text, followed by ``end`` if given."""
-        parts = [[t] if any(a in t for a in self.added) else chunks(t) for t in texts]
+        parts = [[t] if any(a in t for a in self.added) else t.split(" ") if _even(t) else chunks(t) for t in texts]
         firsts = self._encode([p.pop(0) for p in parts])
         numbers = self._numbered(parts)
         lengths = self.length[numbers]
@@ -245,8 +257,8 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
 
         for frame in frames:
             out = []
-            for at in range(0, len(frame), 500):
-                some = frame.iloc[at : at + 500]
+            for at in range(0, len(frame), _TEXTS):
+                some = frame.iloc[at : at + _TEXTS]
                 for number, own, ids_ in zip(some["_block"], some["_id"], encoder.encode(some["_text"].tolist(), end)):
                     if number != block:
                         close()
