@@ -192,3 +192,24 @@ def test_unknown_change_kinds_are_ignored(spark):
     batch = spark.createDataFrame([event(1, "TRUNCATE", 0, "k")], SCHEMA)
     assert merge.apply_changes(merge.empty_history(batch), batch).count() == 0
     assert S.UPDATE_BEFORE == "UPDATE_BEFORE"
+
+
+@pytest.mark.parametrize("hot", [merge.HOT_ROWS, 2])
+def test_staged_changes_are_what_the_merge_applies(spark, rows_of, hot):
+    """Rows under a key end a current version or insert; rows under NULL insert: versions and source agree."""
+    rng = random.Random(8)
+    rows = [event(seq, rng.choice(["INSERT", "UPDATE_AFTER", "DELETE"]), seq // 2, f"k{rng.randint(0, 6)}") for seq in range(120)]
+    target = merge.first_load(spark.createDataFrame(rows[:50], SCHEMA))
+    target = spark.createDataFrame(target.collect(), target.schema)
+    changes = spark.createDataFrame(rows[40:], SCHEMA)
+    source = merge.staged_changes(target, changes, hot)
+    assert source.filter("merge_key is not null").groupBy("merge_key").count().filter("count > 1").count() == 0
+    stale = {r._row_sequence_id for r in merge.stale_changes(target, changes, hot).collect()}
+    assert stale and stale.isdisjoint(r._row_sequence_id for r in source.collect())
+    known = {r.customer_id for r in target.filter("is_current = 1").collect()}
+    inserted = [r for r in source.collect() if r._change_type != "DELETE" and (r.merge_key is None or r.customer_id not in known)]
+    merged = merge.staged_merge(target, changes, hot)
+    assert merged.count() == target.count() + len(inserted)
+    begun = {(r.customer_id, r.valid_from) for r in target.filter("is_current = 1").collect()}
+    closed = {r.customer_id for r in merged.filter("is_current = 0").collect() if (r.customer_id, r.valid_from) in begun}
+    assert closed == {r.merge_key for r in source.collect()} & known

@@ -141,3 +141,63 @@ def test_hot_keys_beyond_the_broadcast_limit(limit, monkeypatch, spark, rows_of)
 def test_keys_with_all_rows_at_one_instant_are_found(spark):
     rows = spark.range(4_000).selectExpr("cast(id % 20 as string) as k", "timestamp_ntz'2024-01-01' as at")
     assert skew.hot_keys(rows, "k", 100).n == 20
+
+
+def _half_at_one_instant(spark, n):
+    """Rows of one key, half of them at one instant, and of some small keys."""
+    return spark.range(n).selectExpr(
+        "if(id % 50 = 0, concat('k', id % 7), 'hot') as k", "id as seq",
+        "timestamp_ntz'2024-01-01' + if(id % 2 = 0, make_dt_interval(1), make_dt_interval(0, 0, 0, id * 0.5)) as at",
+    )
+
+
+def test_an_instant_is_cut_and_slices_are_not_bounded_in_number(spark):
+    """5,000 times the threshold, half of it at one instant: no slice is above the threshold, and order is kept."""
+    marked = skew.mark_slices(_half_at_one_instant(spark, 51_000), "k", ["at", "seq"], hot_rows=10)
+    sizes = marked.groupBy("k", "_slice").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("at", "seq")).alias("a"), F.max(F.struct("at", "seq")).alias("z"))
+    hot = sizes.filter("k = 'hot'").orderBy("_slice").collect()
+    assert len(hot) >= 4_998 and max(r.n for r in hot) <= 10
+    assert all(x.z < y.a for x, y in zip(hot, hot[1:]))
+    assert marked.count() == 51_000
+
+
+def test_neighbours_across_a_cut_instant(spark, rows_of):
+    rows = _half_at_one_instant(spark, 3_000)
+    columns = ["k", "seq", "next_seq"]
+    plain = rows_of(skew.with_neighbour(rows, "k", ["at", "seq"], ["seq"]), columns)
+    assert rows_of(skew.with_neighbour(rows, "k", ["at", "seq"], ["seq"], hot_rows=40), columns) == plain
+
+
+def test_repeated_rows_are_cut(spark):
+    rows = spark.range(4_000).selectExpr("'hot' as k", "1 as seq", "timestamp_ntz'2024-01-01' as at")
+    sizes = skew.mark_slices(rows, "k", ["at", "seq"], hot_rows=100).groupBy("_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] == 100 and sizes.count() == 40
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_point_in_time_join_with_half_the_facts_at_one_instant(closed, spark, rows_of):
+    """Facts of an instant in many slices see the version in force and every version that ends there."""
+    facts = _half_at_one_instant(spark, 3_000)
+    versions = spark.createDataFrame(
+        [("hot", "2024-01-01 00:00:00", "2024-01-01 00:10:00", "v1"), ("hot", "2024-01-01 00:10:00", "2024-01-02 00:00:00", "v2"),
+         ("hot", "2024-01-02 00:00:00", "2024-01-02 00:00:00", "v3"), ("hot", "2024-01-02 00:00:00", "9999-12-31 00:00:00", "v4"),
+         ("k1", "2024-01-01 12:00:00", "2024-01-02 00:00:00", "w1"), ("never", "2024-01-01 00:00:00", "2024-01-02 00:00:00", "x")],
+        "k string, a string, z string, v string",
+    ).selectExpr("k", "cast(a as timestamp_ntz) as valid_from", "cast(z as timestamp_ntz) as valid_to", "v")
+    want = rows_of(asof.asof_versions(facts, versions, "k", "at", ["v"], closed=closed), ["k", "seq", "v"])
+    got = rows_of(asof.asof_versions(facts, versions, "k", "at", ["v"], hot_rows=25, closed=closed), ["k", "seq", "v"])
+    assert got == want
+    at_cut = [v for k, seq, v in got if k == "hot" and seq == 2]
+    assert at_cut == (["v2", "v3", "v4"] if closed else ["v4"])
+
+
+def test_batch_order_across_a_cut_instant(spark, rows_of):
+    """Writes and deletes of one instant, cut in slices of a few rows, are ruled as in one window."""
+    from tests.test_merge import SCHEMA, event
+
+    rows = [event(i, ("INSERT", "UPDATE_AFTER", "DELETE", "UPDATE_AFTER")[i * 7 % 4], 5 if i % 3 else 5 + i // 30, "k", "NY") for i in range(10, 150)]
+    known = merge.apply_changes(merge.empty_history(spark.range(0)), spark.createDataFrame([event(1, "INSERT", 4, "k"), event(2, "INSERT", 5, "b")], SCHEMA))
+    batch = spark.createDataFrame(rows + [event(200 + i, "UPDATE_AFTER", i, "b") for i in range(9)], SCHEMA)
+    for hot in (2, 7, 50):
+        assert rows_of(merge.merge_history(known, batch, hot)) == rows_of(merge.merge_history(known, batch))
+        assert rows_of(merge.late_changes(known, batch, hot)) == rows_of(merge.late_changes(known, batch))

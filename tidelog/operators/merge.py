@@ -15,7 +15,7 @@ from tidelog import schemas as S
 from tidelog.functions import columns as C
 from tidelog.operators.history import HISTORY_COLUMNS
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.skew import HOT_ROWS, hot_keys, mark_slices, spread_lookup, with_neighbour
+from tidelog.operators.skew import HOT_ROWS, border_rows, hot_keys, kept, mark_slices, with_neighbour
 
 _OPEN, _WRITE, _DELETE = 0, 1, 2
 
@@ -56,58 +56,69 @@ _TOO_OLD = (
 _REPEATED = f"if(_kind = {_WRITE} and _before_kind = {_WRITE} and _before_at = _at, 'SAME_INSTANT', null)"
 
 
-def _ruled(history: DataFrame, batch: DataFrame, hot_rows: int) -> DataFrame:
-    """Open versions and events of each key in order, with ``_late`` set on events that come too late.
+def _in_context(rows: DataFrame, events: DataFrame, hot_rows: int) -> tuple[DataFrame, bool]:
+    """Rows of each key in order with the start of its open version, and kind and instant of the row before; whether a key is hot.
 
-    Late is a write at or before the start of the open version, a delete before
-    it, and every write but the first of several at the same instant.
+    An open version comes before the events of its key.
     """
-    events = _batch_lane(batch)
-    rows = _open_lane(history).unionByName(events)
     found = hot_keys(events, "customer_id", hot_rows)
-    marked = mark_slices(rows, "customer_id", "_at", hot_rows, counted=events, hot=found).withColumns(
-        {
-            "_open_from": F.expr(f"if(_kind = {_OPEN}, _at, null)"),
-            "_slice": F.expr(f"if(_kind = {_OPEN}, 0L, _slice)"),
-        }
+    marked = mark_slices(rows, "customer_id", _ORDER, hot_rows, hot=found).withColumn(
+        "_open_from", F.expr(f"if(_kind = {_OPEN}, _at, null)")
     )
-    # Border rows of hot keys: the start of the open version for every later slice, and the
-    # first event of the next slice that is not too old.  A hot key has one open version.
-    hot = marked.filter("_hot_n is not null")
-    hot_open = found.hinted(hot.filter(f"_kind = {_OPEN}").select("customer_id", "_open_from"))
-    head = f"struct({', '.join(_ORDER)}, _kind, _bronze_batch_id)"
-    slices = (
-        hot.drop("_open_from").join(hot_open, "customer_id", "left").groupBy("customer_id", "_slice")
-        .agg(F.expr(f"min(if(({_TOO_OLD}) is null, {head}, null)) as _head"), F.max("_open_from").alias("_open_from"))
-    )
-    starts = slices.filter("_slice > 0 and _open_from is not null").selectExpr(
-        "customer_id", "_slice", "_open_from", "-1 as _rank", "_open_from as _at", "-1L as _seq"
-    )
-    heads = (
-        slices.selectExpr(
-            "customer_id", "_slice", "lead(_head) ignore nulls over (partition by customer_id order by _slice) as _head"
-        ).filter("_head is not null").select("customer_id", "_slice", "_head.*")
-    )
-    both = (
-        marked.drop("_hot_n").selectExpr("*", "false as _border")
-        .unionByName(starts.selectExpr("*", "true as _border"), allowMissingColumns=True)
-        .unionByName(heads.selectExpr("*", "true as _border"), allowMissingColumns=True)
+    # Border rows of hot keys, before every slice: the start of the open version, which lies in the
+    # first slice, and kind and instant of the last row of the slice before.
+    tail = f"struct({', '.join(_ORDER)}, _kind)"
+    borders = (
+        marked.filter("_hot_n is not null").groupBy("customer_id", "_slice")
+        .agg(F.expr(f"max({tail}) as _tail"), F.max("_open_from").alias("_open_from"))
+        .selectExpr(
+            "customer_id", "_slice", "lag(_tail) over (partition by customer_id order by _slice) as _tail",
+            "max(_open_from) over (partition by customer_id order by _slice) as _open_from",
+        ).filter("_tail is not null")
+        .selectExpr(
+            "customer_id", "_slice", "_open_from", "_tail._kind as _tail_kind", "-1 as _rank", "_tail._at as _at", "_tail._seq as _seq"
+        )
     )
+    both = marked.unionByName(borders, allowMissingColumns=True)
     placed = both.withColumns(
         {
             "_open_from": F.expr(f"max(_open_from) over ({_IN_ORDER} rows unbounded preceding)"),
-            "_before_kind": F.expr(f"lag(_kind) over ({_IN_ORDER})"),
+            "_before_kind": F.expr(f"lag(coalesce(_kind, _tail_kind)) over ({_IN_ORDER})"),
             "_before_at": F.expr(f"lag(_at) over ({_IN_ORDER})"),
         }
     ).filter("_kind is not null")
-    return placed.withColumn("_late", F.expr(f"coalesce({_TOO_OLD}, {_REPEATED})")).drop(
-        "_open_from", "_before_kind", "_before_at"
-    )
+    return placed.drop("_tail_kind"), found.n > 0
+
+
+def _with_end(timely: DataFrame, carry: list[str]) -> DataFrame:
+    """``_end``, and ``carry`` columns under ``_end``, of the next row of the key; border rows are left out."""
+    ends = border_rows(timely, "customer_id", [*_ORDER, *carry], [], "next").withColumn("_border", F.lit(True))
+    both = timely.drop("_hot_n").withColumn("_border", F.lit(False)).unionByName(ends, allowMissingColumns=True)
+    taken = {f"_end{c}": F.expr(f"lead({c}) over ({_IN_ORDER})") for c in carry}
+    return both.withColumns({"_end": F.expr(f"lead(_at) over ({_IN_ORDER})"), **taken}).filter("not _border")
+
+
+def ruled_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Open versions and events of each key in order, with ``_late`` set on events that come too late.
+
+    Late is a write at or before the start of the open version, a delete before
+    it, and every write but the first of several at the same instant.  ``late_of``
+    and ``versions_of`` read the result; a job that wants both stores it between.
+    """
+    events = _batch_lane(batch)
+    placed, hot = _in_context(_open_lane(history).unionByName(events), events, hot_rows)
+    ruled = placed.withColumn("_late", F.expr(f"coalesce({_TOO_OLD}, {_REPEATED})")).drop("_open_from", "_before_kind", "_before_at")
+    return kept(ruled, "ruled") if hot else ruled
 
 
 def late_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The events of the batch that ``apply_changes`` leaves out, with the reason."""
-    return _ruled(history, batch, hot_rows).filter("_late is not null and not _border").selectExpr(
+    return late_of(ruled_changes(history, batch, hot_rows))
+
+
+def late_of(ruled: DataFrame) -> DataFrame:
+    """The late events of ruled rows."""
+    return ruled.filter("_late is not null").selectExpr(
         "_seq as _row_sequence_id", "customer_id", "_at as _commit_timestamp", "_late as late_reason", "_bronze_batch_id"
     )
 
@@ -119,13 +130,12 @@ def apply_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS
     and does nothing where none is open.  Closed versions of ``history`` are not
     part of the result.
     """
-    closed = _ruled(history, batch, hot_rows).filter("_late is null").withColumns(
-        {
-            "_end": F.expr(f"lead(_at) over ({_IN_ORDER})"),
-            "_end_kind": F.expr(f"lead(_kind) over ({_IN_ORDER})"),
-            "_end_batch": F.expr(f"lead(_bronze_batch_id) over ({_IN_ORDER})"),
-        }
-    ).filter(f"not _border and _kind != {_DELETE}")
+    return versions_of(ruled_changes(history, batch, hot_rows))
+
+
+def versions_of(ruled: DataFrame) -> DataFrame:
+    """The versions that ruled rows make."""
+    closed = _with_end(ruled.filter("_late is null"), ["_kind", "_bronze_batch_id"]).filter(f"_kind != {_DELETE}")
     deleted = f"coalesce(_end_kind = {_DELETE}, false)"
     return closed.withColumns(
         {
@@ -133,7 +143,7 @@ def apply_changes(history: DataFrame, batch: DataFrame, hot_rows: int = HOT_ROWS
             "valid_to": F.expr(f"coalesce(_end, {C.END_OF_TIME})"),
             "is_current": F.expr("cast(_end is null as int)"),
             "is_deleted": F.expr(f"cast({deleted} as int)"),
-            "_bronze_batch_id": F.expr(f"if({deleted}, _end_batch, _bronze_batch_id)"),
+            "_bronze_batch_id": F.expr(f"if({deleted}, _end_bronze_batch_id, _bronze_batch_id)"),
         }
     ).select(HISTORY_COLUMNS)
 
@@ -164,71 +174,74 @@ STAGED_VERSION_COLUMNS = [
 ]
 
 
-_CHANGE_ORDER = ["_commit_timestamp", "_row_sequence_id"]
-
-
 def net_changes(clean: DataFrame) -> DataFrame:
     """All changes with a key that can alter the table: no before-images.  A key may have several; each counts."""
     return clean.filter((F.col("_change_type") != S.UPDATE_BEFORE) & F.col("customer_id").isNotNull())
 
 
-def _first_of_key(changes: DataFrame) -> DataFrame:
-    order = ", ".join(_CHANGE_ORDER)
-    return changes.groupBy("customer_id").agg(F.expr(f"min(struct({order}, _change_type)) as _first"))
+def _staged(target: DataFrame, changes: DataFrame, hot_rows: int) -> tuple[DataFrame, bool]:
+    """Current versions and net changes of each key in order, in one pass; whether a key is hot.
+
+    ``_stale`` changes lie at or before the start of the current version, ``_is_first``
+    is the first change of a key that does not.  ``_version`` and ``_change`` hold the rows.
+    """
+    events = net_changes(changes).select(
+        "customer_id", F.expr("_commit_timestamp as _at"), F.expr("_row_sequence_id as _seq"), F.lit(1).alias("_rank"),
+        F.expr(f"if(_change_type = '{S.DELETE}', {_DELETE}, {_WRITE}) as _kind"), F.struct(*changes.columns).alias("_change"),
+    )
+    current = target.filter("is_current = 1").select(
+        "customer_id", F.expr("valid_from as _at"), F.lit(-1).cast("bigint").alias("_seq"), F.lit(0).alias("_rank"),
+        F.lit(_OPEN).alias("_kind"), F.struct(*STAGED_VERSION_COLUMNS).alias("_version"),
+    )
+    placed, hot = _in_context(current.unionByName(events, allowMissingColumns=True), events, hot_rows)
+    stale, follows = f"_kind != {_OPEN} and coalesce(_at <= _open_from, false)", "_before_at > coalesce(_open_from, timestamp_ntz'0001-01-01')"
+    told = placed.withColumn("_stale", F.expr(stale)).withColumn(
+        "_is_first", F.expr(f"_kind != {_OPEN} and not _stale and not coalesce(_before_kind != {_OPEN} and {follows}, false)")
+    ).withColumn("_known", F.col("_open_from").isNotNull()).drop("_open_from", "_before_kind", "_before_at")
+    return (kept(told, "staged") if hot else told), hot
 
 
-def staged_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
+def staged_changes(target: DataFrame, changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Merge source: the first change of each key under it, and under a NULL key what must insert a version.
 
     A merge source may hold a key only once: the first change closes the current
     version, or inserts where there is none.  The NULL-key rows are the writes that
-    meet a current version and all later writes.
+    meet a current version and all later writes.  Stale changes are no part of it.
     """
-    current = target.filter("is_current = 1").select("customer_id", F.lit(True).alias("_known"))
-    first = _first_of_key(changes).select("customer_id", F.col("_first._row_sequence_id").alias("_first_seq"))
-    told = changes.join(first, "customer_id").join(current, "customer_id", "left").withColumn(
-        "_is_first", F.col("_row_sequence_id") == F.col("_first_seq")
-    )
-    keyed = told.filter("_is_first").withColumn("merge_key", F.col("customer_id"))
-    inserts = told.filter((F.col("_change_type") != S.DELETE) & (F.expr("_known") | ~F.col("_is_first")))
-    return keyed.unionByName(inserts.withColumn("merge_key", F.lit(None).cast("string"))).drop(
-        "_first_seq", "_known", "_is_first"
-    )
+    told = _staged(target, changes, hot_rows)[0].filter(f"_kind != {_OPEN} and not _stale")
+    inserts = F.expr(f"_kind = {_WRITE} and (_known or not _is_first)")
+    keys = F.array_compact(F.array(F.when(F.col("_is_first"), F.struct(F.col("customer_id").alias("k"))), F.when(inserts, F.struct(F.lit(None).cast("string").alias("k")))))
+    return told.select("_change.*", F.explode(keys).alias("_key")).withColumn("merge_key", F.col("_key.k")).drop("_key")
 
 
 def stale_changes(target: DataFrame, changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The changes that ``staged_merge`` leaves out: at or before the start of the current version."""
-    return _timely(target, changes, hot_rows, late=True)
-
-
-def _timely(target: DataFrame, changes: DataFrame, hot_rows: int, late: bool = False) -> DataFrame:
-    begun = target.filter("is_current = 1").select("customer_id", F.col("valid_from").alias("_begun"))
-    told = spread_lookup(changes, begun, "customer_id", "left", "_row_sequence_id", hot_rows)
-    is_late = F.coalesce(F.col("_commit_timestamp") <= F.col("_begun"), F.lit(False))
-    return told.filter(is_late if late else ~is_late).select(changes.columns)
+    return _staged(target, changes, hot_rows)[0].filter("_stale").select("_change.*")
 
 
 def staged_merge(target: DataFrame, changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The table after the three clauses for every change of a key in order: retire on write, retire and flag on delete, insert on write.
 
-    The first change of a key closes its current version; the writes then follow
-    each other as in ``first_load``.  Writes insert whether or not the key is known,
-    so a key that was deleted and comes back gets a version.
+    These are the rows of ``staged_changes`` with the change that follows each: the
+    first change of a key ends its current version, the writes follow each other as in
+    ``first_load``.  Writes insert whether or not the key is known, so a key that was
+    deleted and comes back gets a version.  Current versions and changes are sorted
+    once; versions that are not current are carried over as they are.
     """
-    timely = _timely(target, net_changes(changes), hot_rows)
-    closing = _first_of_key(timely).selectExpr(
-        "customer_id", "_first._commit_timestamp as _end", f"_first._change_type = '{S.DELETE}' as _gone"
-    )
-    hit = F.col("_end").isNotNull()
-    retired = target.filter("is_current = 1").join(closing, "customer_id", "left").withColumns(
-        {
-            "valid_to": F.coalesce("_end", "valid_to"),
-            "is_current": F.when(hit, 0).otherwise(F.col("is_current")),
-            "is_deleted": F.when(F.col("_gone"), 1).otherwise(F.col("is_deleted")),
+    told, _ = _staged(target, changes, hot_rows)
+    ended = _with_end(told.filter("not _stale").drop("_stale", "_is_first", "_known"), ["_kind"]).filter(f"_kind != {_DELETE}")
+    was, gone, open_ended = F.col("_kind") == _OPEN, F.coalesce(F.col("_end_kind") == _DELETE, F.lit(False)), F.col("_end").isNull()
+    taken = {c: F.when(was, F.col("_version")[c]).otherwise(F.col("_change")[c]) for c in ["first_name", "last_name", "email", "state", "_commit_timestamp"]}
+    merged = ended.withColumns(
+        taken
+        | {
+            "is_current": F.when(was & open_ended, F.col("_version.is_current")).otherwise(open_ended.cast("int")),
+            "valid_from": F.col("_at"),
+            "valid_to": F.coalesce(F.col("_end"), F.when(was, F.col("_version.valid_to")), C.end_of_time()),
+            "is_deleted": F.when(gone, 1).when(was, F.col("_version.is_deleted")).otherwise(0),
         }
     )
-    kept, closed = (p.select(STAGED_VERSION_COLUMNS) for p in (target.filter("is_current = 0"), retired))
-    return kept.unionByName(closed).unionByName(first_load(timely, hot_rows))
+    return target.filter("is_current = 0").select(STAGED_VERSION_COLUMNS).unionByName(merged.select(STAGED_VERSION_COLUMNS))
 
 
 def first_load(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

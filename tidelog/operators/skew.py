@@ -1,9 +1,9 @@
 """Per-key ordering work that survives a key holding a large part of the rows.
 
 A window over ``partitionBy(key)`` sends all rows of one key to one task.  Here a
-key with more than ``hot_rows`` rows is cut into consecutive *slices* of about as
-many rows, and windows are partitioned by ``(key, _slice)``.  What a row needs from
-beyond its slice is one row per border, found with a partial aggregation and added
+key with more than ``hot_rows`` rows is cut by rank into consecutive *slices* of at
+most as many rows, and windows are partitioned by ``(key, _slice)``.  What a row needs
+from beyond its slice is one row per border, found with a partial aggregation and added
 to the slice as a *border row* before the shuffle.  Keys that are not hot keep slice
 0 and need no border rows.
 
@@ -12,8 +12,13 @@ kept as a small table: one row for each key above ``hot_rows``, so at most rows
 hot_rows.  Without any, the plan is the ordinary one.  The table is broadcast up to
 BROADCAST_KEYS keys; beyond that the join is left to adaptive execution.
 
-Rows of one instant share a slice: a key with more than ``hot_rows`` rows at a single
-instant keeps those in one task.
+Slices come in two levels.  The rows of all hot keys are sorted into ranges of about
+RANGE_SLICES slices in the whole order of the operator, sequence included, and a row's
+slice is its place within its range divided by ``hot_rows``.  So rows of one instant, or
+repeated rows, are cut like any others, and no slice is larger than ``hot_rows``, however
+many rows a key has.  There are at most MAX_RANGES ranges (of the range borders the driver
+holds a sample); a key beyond MAX_RANGES * RANGE_SLICES slices has more slices in a range,
+whose sort spills.  Sliced rows are written once, so that all readers see the same slices.
 """
 
 from __future__ import annotations
@@ -23,67 +28,69 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import epoch_micros
 from tidelog.workspace import new_dir
 
 HOT_ROWS = 1_000_000
 BROADCAST_KEYS = 10_000
-#: A hot key is cut at some of this many quantiles of its instants.
-QUANTILES = 1024
+RANGE_SLICES, MAX_RANGES = 8, 4_096
+#: ``monotonically_increasing_id`` holds the place within a partition in so many bits (fixed value).
+_PLACE_BITS = 33
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys above a threshold (``_hot_key``, ``_hot_n``), stored, and their number."""
+    """The keys above a threshold (``_hot_key``, ``_hot_n``), stored, their number and that of their rows."""
 
     frame: DataFrame
     n: int
+    rows: int
 
     def hinted(self, frame: DataFrame) -> DataFrame:
         """A frame of one row for each hot key, broadcast if there are few."""
         return F.broadcast(frame) if self.n <= BROADCAST_KEYS else frame
 
 
+def kept(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written below the shared folder and read back."""
+    path = new_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys:
     """All keys with more than ``hot_rows`` rows, NULL included."""
     counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_hot_n")).filter(f"_hot_n > {hot_rows}")
-    path = new_dir(rows.sparkSession, "hot-keys")
-    counts.write.parquet(path)
-    found = rows.sparkSession.read.schema(counts.schema).parquet(path)
-    return HotKeys(found, found.count())
+    found = kept(counts, "hot-keys")
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_hot_n"), F.lit(0)).alias("rows")).first()
+    return HotKeys(found, size["n"], size["rows"])
 
 
 def mark_slices(
     rows: DataFrame,
     key: str,
-    at: str,
+    order: list[str] | str,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``_slice`` (0 unless the key is hot) and ``_hot_n`` (NULL unless hot).
 
-    Slices of a hot key are cut at quantiles of its instants, so a burst is cut as
-    finely as it is dense, and never decrease with ``at``.  ``counted`` restricts
-    which rows decide what is hot and where it is cut.
+    Slices of a hot key never decrease in the ``order`` of its rows.  ``counted``
+    restricts which rows decide what is hot.
     """
-    counted = rows if counted is None else counted
+    counted, order = rows if counted is None else counted, [order] if isinstance(order, str) else order
     hot = hot_keys(counted, key, hot_rows) if hot is None else hot
     if hot.n == 0:
         return rows.selectExpr("*", "cast(null as bigint) as _hot_n", "0L as _slice")
-    micros = epoch_micros(at)
-    shares = ", ".join(f"{i}D / {QUANTILES}" for i in range(1, QUANTILES))
-    cuts = (
-        counted.join(hot.hinted(hot.frame), F.expr(f"{key} <=> _hot_key"))
-        .groupBy("_hot_key", "_hot_n").agg(F.expr(f"percentile_approx({micros}, array({shares}), 10000) as _all_cuts"))
-        .withColumn("_step", F.expr(f"greatest(1L, bigint(floor({QUANTILES} / ceil(_hot_n / {hot_rows}))))"))
-        .selectExpr("_hot_key", "_hot_n", "array_distinct(filter(_all_cuts, (c, i) -> (i + 1) % _step = 0)) as _cuts")
-    )
-    # the condition spares the rows of all other keys the search
-    number = f"if(_hot_n is null, 0L, cast(size(filter(_cuts, c -> c < {micros})) as bigint))"
-    return rows.join(hot.hinted(cuts), F.expr(f"{key} <=> _hot_key"), "left").selectExpr(
-        *rows.columns, "_hot_n", f"{number} as _slice"
+    told = rows.join(hot.hinted(hot.frame), F.expr(f"{key} <=> _hot_key"), "left").select(*rows.columns, "_hot_n")
+    ranges = max(1, min(MAX_RANGES, -(-hot.rows // (hot_rows * RANGE_SLICES))))
+    in_order = (
+        told.filter("_hot_n is not null").repartitionByRange(ranges, key, *order).sortWithinPartitions(key, *order)
+        .withColumn("_row", F.monotonically_increasing_id())
     )
+    place = f"(_row & {(1 << _PLACE_BITS) - 1}L)"
+    sliced = kept(in_order.selectExpr(*rows.columns, "_hot_n", f"_row - {place} % {hot_rows} + 1 as _slice"), "hot-slices")
+    return told.filter("_hot_n is null").withColumn("_slice", F.lit(0).cast("bigint")).unionByName(sliced)
 
 
 def border_rows(marked: DataFrame, key: str, order: list[str], carry: list[str], step: str) -> DataFrame:
@@ -111,7 +118,7 @@ def with_neighbour(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add, under ``prefix``, the ``carry`` columns of the next or previous row of the key."""
-    marked = mark_slices(rows, key, order[0], hot_rows)
+    marked = mark_slices(rows, key, order, hot_rows)
     borders = border_rows(marked, key, order, carry, step).selectExpr("*", "true as _border")
     both = marked.drop("_hot_n").selectExpr("*", "false as _border").unionByName(borders, allowMissingColumns=True)
     in_order = f"over (partition by {key}, _slice order by {', '.join(order)})"
