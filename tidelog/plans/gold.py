@@ -85,6 +85,26 @@ def refreshed_facts(
     return kept.unionByName(order_facts(stale, dimension, hot_rows))
 
 
+def facts_after_batch(
+    facts: DataFrame, orders: DataFrame, dimension: DataFrame, changed_orders: DataFrame, changed_versions: DataFrame,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Facts after a batch, from those before it; equal to ``order_facts`` over everything.
+
+    ``changed_orders`` holds each order_id of the batch once, ``changed_versions`` each
+    customer_id whose history changed once, with the instant ``since`` from which on it did.  Those
+    orders, and orders of such customers created since then, are resolved again or, if they
+    are gone, dropped; no other order meets the dimension, and no other customer's versions are read.
+    """
+    known = orders.filter(F.col("customer_id").isNotNull())
+    moved = spread_lookup(known, changed_versions, "customer_id", "inner", "order_id", hot_rows).filter("created_at >= since")
+    again = changed_orders.select("order_id").unionByName(moved.select("order_id")).distinct()
+    resolved = orders.join(again, "order_id", "left_semi")
+    versions = dimension.join(resolved.select("customer_id").distinct(), "customer_id", "left_semi")
+    kept = facts.join(again, "order_id", "left_anti")
+    return kept.unionByName(order_facts(resolved, versions, hot_rows))
+
+
 def date_dimension(first: Column, last: Column, rows: DataFrame) -> DataFrame:
     """One row per calendar day from ``first`` to ``last``, both taken from the one row of ``rows``."""
     days = rows.select(F.explode(F.sequence(first, last)).alias("calendar_date"))

@@ -68,6 +68,26 @@ RUN_EVENT_SCHEMA = T.StructType(
     ]
 )
 
+LANDED_SCHEMA = T.StructType(
+    [
+        T.StructField("entity_type", T.StringType()),
+        T.StructField("ingest_date", T.DateType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_id", T.LongType()),
+        T.StructField("columns", T.ArrayType(T.StringType())),
+        T.StructField("landed_at", T.TimestampNTZType()),
+    ]
+)
+
+APPLIED_SCHEMA = T.StructType(
+    [
+        T.StructField("_bronze_batch_id", T.StringType()),
+        T.StructField("version", T.IntegerType()),
+        T.StructField("applied_at", T.TimestampNTZType()),
+    ]
+)
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.StringType()),

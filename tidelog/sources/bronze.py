@@ -75,22 +75,34 @@ def filled_drift(events: DataFrame) -> dict[str, list[str]]:
     return {e: sorted(r.column_name for r in found if r.entity_type == e) for e in S.ENTITY_COLUMNS}
 
 
-def write_entities(events: DataFrame, path_of: Callable[[str], str], mode: str = "append") -> None:
-    """Route a stamped feed to one folder per known entity; other entities are not written.
-
-    Each entity gets its own drifted columns only; undeclared columns stay a map.  The feed is read for the drift
-    and for each entity, so it is kept between (in memory or on executor disks; what
-    is lost with an executor is parsed again).
+def write_entities(
+    events: DataFrame, path_of: Callable[[str], str], mode: str = "append", leave_out: tuple[str, ...] = ()
+) -> dict[str, list[str]]:
+    """Route a stamped feed to one folder per known entity; returns the columns of each.
+
+    Each entity gets its own drifted columns only; undeclared columns stay a map.  The
+    columns ``leave_out``, which the folder tells, are not written.  Other entities have
+    no folder: ``unknown_entities`` counts them.  The feed is read for the drift and for
+    each entity, so it is kept between (in memory or on executor disks; what is lost
+    with an executor is parsed again).
     """
     events.persist()
+    written = {}
     try:
         drift = filled_drift(events)
         extra = [c for c in events.columns if c == S.EXTRA]
         for entity in S.ENTITY_COLUMNS:
-            rows = entity_rows(events, entity).select(*S.landed_columns(entity), *drift[entity], *extra, "ingest_date")
-            write_partitioned(rows, path_of(entity), mode)
+            written[entity] = [c for c in [*S.landed_columns(entity), *drift[entity], *extra] if c not in leave_out]
+            write_partitioned(entity_rows(events, entity).select(*written[entity], "ingest_date"), path_of(entity), mode)
     finally:
         events.unpersist()
+    return written
+
+
+def unknown_entities(events: DataFrame) -> DataFrame:
+    """How many events belong to entities that have no raw table."""
+    others = events.filter(~F.col("entity_type").isin(*S.ENTITY_COLUMNS))
+    return others.groupBy("entity_type").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def read_raw(spark: SparkSession, path: str, entity: str, extra: list[str] | None = None) -> DataFrame:
@@ -121,6 +133,35 @@ def pending_batches(batches: DataFrame, processed: DataFrame) -> DataFrame:
     return batches.join(processed, "_bronze_batch_id", "left_anti")
 
 
+def _rank_among(column: str, cuts: list) -> Column:
+    """How many of the ascending cuts are below the value, by halving: a comparison for each bit of the rank."""
+    if not cuts:
+        return F.lit(0)
+    middle = len(cuts) // 2
+    upper, lower = _rank_among(column, cuts[middle + 1 :]), _rank_among(column, cuts[:middle])
+    return F.when(F.col(column) > F.lit(cuts[middle]), upper + middle + 1).otherwise(lower)
+
+
+def interleaved(rows: DataFrame, columns: list[str], partitions: int, bits: int = 6, sampled: int = 10_000) -> DataFrame:
+    """Range-partition by several columns at once, so that files are narrow in each of them.
+
+    A value's rank among 2^bits quantiles of its column gives ``bits`` bits; those of all
+    columns are interleaved, highest first, and files are ranges of the result.  The
+    quantiles come from the ``sampled`` rows of lowest hash; NULL ranks lowest.
+    """
+    sample = rows.select(columns).orderBy(F.xxhash64(*columns)).limit(sampled).collect()
+    place = F.lit(0).cast("bigint")
+    for i, column in enumerate(columns):
+        values = sorted(r[column] for r in sample if r[column] is not None)
+        cuts = sorted({values[len(values) * k // (1 << bits)] for k in range(1, 1 << bits)}) if values else []
+        rank = F.coalesce(_rank_among(column, cuts), F.lit(0))
+        for bit in range(bits):
+            shift = bit * len(columns) + len(columns) - 1 - i
+            place = place + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint"), shift)
+    ranged = rows.withColumn("_place", place).repartitionByRange(partitions, "_place", *columns)
+    return ranged.sortWithinPartitions("_place", *columns).drop("_place")
+
+
 def clustered(rows: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort, so that file statistics let readers skip files.
 

@@ -74,32 +74,54 @@ def elements(lines: DataFrame) -> DataFrame:
 
 
 def _misfit(schema: T.StructType) -> Column:
-    """Why an element is no event: it cannot be read, or a field has a value that is not of its type."""
+    """Why an element is no event: it cannot be read, says not what changed when, or has a value that is not of its field's type.
+
+    Numbers must be finite and small enough to be summed as money.
+    """
     found = [F.when(F.col("event").isNull(), "Unreadable")]
     for field in schema.fields:
         given = F.col("event")[field.name]
+        if field.name in S.CHANGE_COLUMNS:
+            found.append(F.when(given.isNull() | (F.trim(given) == ""), f"Missing {field.name}"))
         if not isinstance(field.dataType, T.StringType):
-            wrong = given.isNotNull() & given.try_cast(field.dataType).isNull()
+            typed = given.try_cast(field.dataType)
+            wrong = given.isNotNull() & typed.isNull()
+            if isinstance(field.dataType, T.DoubleType):
+                wrong = wrong | ~C.is_money(typed)
             found.append(F.when(wrong, F.concat(F.lit(f"Invalid {field.name}: '"), given, F.lit("'"))))
     return F.coalesce(*found)
 
 
-def typed_events(told: DataFrame, schema: T.StructType = S.CHANGE_LOG_SCHEMA) -> DataFrame:
-    """The elements that fit the schema, with its columns and the undeclared ones as a map (NULL without any)."""
+def read_as(told: DataFrame, schema: T.StructType = S.CHANGE_LOG_SCHEMA) -> DataFrame:
+    """All elements judged once: ``reason`` (NULL for events), ``element`` and the typed fields; ``events_in`` and ``refused_in`` divide them."""
     known = F.array(*[F.lit(c) for c in schema.names])
     extra = F.map_filter("event", lambda k, v: ~F.array_contains(known, k) & v.isNotNull())
     columns = [F.col("event")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    return told.filter(_misfit(schema).isNull()).select(*columns, F.when(F.size(extra) > 0, extra).alias(S.EXTRA))
+    reason = _misfit(schema)
+    return told.select(
+        reason.alias("reason"), F.when(reason.isNotNull(), F.col("element")).alias("element"), *columns,
+        F.when(F.size(extra) > 0, extra).alias(S.EXTRA),
+    )
+
+
+def events_in(judged: DataFrame) -> DataFrame:
+    return judged.filter("reason is null").drop("reason", "element")
+
+
+def refused_in(judged: DataFrame, quarantined_at: Column) -> DataFrame:
+    return judged.filter("reason is not null").select("entity_type", "reason", F.col("element").alias("record"), quarantined_at.alias("quarantined_at"))
+
+
+def typed_events(told: DataFrame, schema: T.StructType = S.CHANGE_LOG_SCHEMA) -> DataFrame:
+    """The elements that fit the schema, with its columns and the undeclared ones as a map (NULL without any)."""
+    return events_in(read_as(told, schema))
 
 
 def refused_elements(
     told: DataFrame, quarantined_at: Column, schema: T.StructType = S.CHANGE_LOG_SCHEMA
 ) -> DataFrame:
     """The other elements as quarantine documents, with the reason and the text."""
-    return told.withColumn("reason", _misfit(schema)).filter(F.col("reason").isNotNull()).select(
-        F.col("event")["entity_type"].alias("entity_type"), "reason", F.col("element").alias("record"),
-        quarantined_at.alias("quarantined_at"),
-    )
+    return refused_in(read_as(told, schema), quarantined_at)
 
 
 def read_change_files(

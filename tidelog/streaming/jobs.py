@@ -1,7 +1,8 @@
 """Incremental jobs on Structured Streaming.
 
 Progress lives in the checkpoint folder.  A micro-batch that is run again after a
-failure overwrites its own output, so each batch counts once.
+failure overwrites its own output, so each batch counts once.  A backlog is taken in
+batches of ``files_per_batch`` files if that is given.
 """
 
 from __future__ import annotations
@@ -13,18 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog import schemas as S
-from tidelog.operators.latest import latest_per_key
-from tidelog.operators.merge import apply_changes, empty_history, late_changes
-from tidelog.operators.quality import key_quarantine, keyed_rows, write_documents
+from tidelog.operators.quality import write_documents
 from tidelog.operators.skew import HOT_ROWS
+from tidelog.plans import state
 from tidelog.sources import bronze, feed
 
 
-def change_stream(spark: SparkSession, source: str, archive: str | None = None) -> DataFrame:
+def change_stream(
+    spark: SparkSession, source: str, archive: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
     """The elements of JSON change files as they arrive; consumed files can be moved to an archive folder."""
     reader = spark.readStream
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return feed.elements(reader.text(source))
 
 
@@ -36,20 +40,36 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     query.awaitTermination()
 
 
+def _parsed(told: DataFrame, path: str) -> DataFrame:
+    """The elements of a batch, parsed once: written and read back."""
+    judged = feed.read_as(told)
+    judged.write.mode("overwrite").parquet(path)
+    return told.sparkSession.read.schema(judged.schema).parquet(path)
+
+
 def ingest_available(
-    spark: SparkSession, source: str, raw_root: str, checkpoint: str, ingested_at: Column, archive: str | None = None
+    spark: SparkSession,
+    source: str,
+    raw_root: str,
+    checkpoint: str,
+    ingested_at: Column,
+    archive: str | None = None,
+    files_per_batch: int | None = None,
 ) -> None:
     """Land new change files as raw rows under ``raw_root/<entity>/batch=<n>/ingest_date=<d>``.
 
-    Elements that are no events go to ``raw_root/refused/batch=<n>``.
+    Elements that are no events go to ``raw_root/refused/batch=<n>``; events of entities
+    without a raw table are counted in ``raw_root/unknown/batch=<n>``.
     """
 
     def land(told: DataFrame, epoch: int) -> None:
-        write_documents(feed.refused_elements(told, ingested_at), f"{raw_root}/refused", epoch)
-        batch = bronze.stamped(feed.typed_events(told), ingested_at, F.lit(f"stream-{epoch}"))
+        judged = _parsed(told, f"{raw_root}/parsed/batch={epoch}")
+        write_documents(feed.refused_in(judged, ingested_at), f"{raw_root}/refused", epoch)
+        batch = bronze.stamped(feed.events_in(judged), ingested_at, F.lit(f"stream-{epoch}"))
+        bronze.unknown_entities(batch).write.mode("overwrite").parquet(f"{raw_root}/unknown/batch={epoch}")
         bronze.write_entities(batch, lambda entity: f"{raw_root}/{entity}/batch={epoch}", "overwrite")
 
-    run_available(change_stream(spark, source, archive=archive), land, checkpoint)
+    run_available(change_stream(spark, source, archive, files_per_batch), land, checkpoint)
 
 
 def read_landed(spark: SparkSession, raw_root: str, entity: str, extra: list[str] | None = None) -> DataFrame:
@@ -58,76 +78,32 @@ def read_landed(spark: SparkSession, raw_root: str, entity: str, extra: list[str
     return spark.read.schema(schema).parquet(f"{raw_root}/{entity}").drop("batch")
 
 
-# --- change application ---------------------------------------------------------------
-#
-# history/v=<n>/is_current=1 holds the versions open after batch n, is_current=0 the
-# ones batch n closed.  Closed versions are written once and never again, so a batch
-# costs the open versions and its own events, not the whole history.
-# orders/v=<n> holds the last change of each order in batch n; readers keep the newest.
-# What a batch does not apply stays beside it: refused/batch=<n> holds elements that are
-# no events, quarantine/batch=<n> rows with a blank key or no amount, and late/v=<n>
-# customer events that came after the version they should have opened.
-
-
-def _version_path(root: str, table: str, epoch: int) -> str:
-    return f"{root}/{table}/v={epoch}"
+def read_unknown(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Events of entities without a raw table, counted by batch."""
+    return spark.read.schema("entity_type string, row_count long, batch int").parquet(f"{raw_root}/unknown")
 
 
-def _open_versions(spark: SparkSession, root: str, epoch: int, like: DataFrame) -> DataFrame:
-    if epoch < 0:
-        return empty_history(like)
-    schema = empty_history(like).schema
-    return spark.read.schema(schema).parquet(_version_path(root, "history", epoch)).filter("is_current = 1")
-
-
-def apply_batch(batch: DataFrame, epoch: int, root: str, hot_rows: int = HOT_ROWS) -> None:
+def apply_batch(batch: DataFrame, epoch: int, root: str, hot_rows: int = HOT_ROWS, buckets: int = state.BUCKETS) -> None:
     """One batch of a mixed feed on top of the state of the batch before it."""
-    spark = batch.sparkSession
     rows = {entity: bronze.entity_rows(batch, entity) for entity in S.ENTITY_COLUMNS}
-    bad = [key_quarantine(r, entity, F.col("_bronze_ingested_at")) for entity, r in rows.items()]
-    write_documents(bad[0].unionByName(bad[1]), f"{root}/quarantine", epoch)
-    customers, orders = (keyed_rows(rows[entity], entity) for entity in ("customers", "orders"))
-    known = _open_versions(spark, root, epoch - 1, batch)
-    late_changes(known, customers, hot_rows).write.mode("overwrite").parquet(_version_path(root, "late", epoch))
-    versions = apply_changes(known, customers, hot_rows)
-    versions.write.mode("overwrite").partitionBy("is_current").parquet(_version_path(root, "history", epoch))
-    last = latest_per_key(orders, "order_id", ["_commit_timestamp", "_row_sequence_id"])
-    last.select(S.landed_columns("orders")).write.mode("overwrite").parquet(_version_path(root, "orders", epoch))
-
-
-def apply_available(spark: SparkSession, source: str, root: str, checkpoint: str, hot_rows: int = HOT_ROWS) -> None:
-    def apply(told: DataFrame, epoch: int) -> None:
-        write_documents(feed.refused_elements(told, F.lit(None).cast("timestamp_ntz")), f"{root}/refused", epoch)
-        batch = bronze.stamped(feed.typed_events(told), F.col("_commit_timestamp"), F.lit(f"stream-{epoch}")).persist()
-        try:
-            apply_batch(batch, epoch, root, hot_rows)
-        finally:
-            batch.unpersist()
-
-    run_available(change_stream(spark, source), apply, checkpoint)
+    state.apply_batch(rows, epoch, root, hot_rows, buckets)
 
 
-def read_history(spark: SparkSession, root: str, epoch: int) -> DataFrame:
-    """History after batch ``epoch``: everything closed so far and what is open now (partition-pruned)."""
-    rows = spark.read.schema(empty_history_schema(spark).add("v", T.IntegerType())).parquet(f"{root}/history")
-    return rows.filter((F.col("v") <= epoch) & ((F.col("is_current") == 0) | (F.col("v") == epoch))).drop("v")
-
-
-def read_late(spark: SparkSession, root: str, epoch: int) -> DataFrame:
-    """Late customer events of all batches up to ``epoch``."""
-    schema = "_row_sequence_id long, customer_id string, _commit_timestamp timestamp_ntz, late_reason string, _bronze_batch_id string, v int"
-    return spark.read.schema(schema).parquet(f"{root}/late").filter(F.col("v") <= epoch).drop("v")
-
-
-def empty_history_schema(spark: SparkSession) -> T.StructType:
-    return T.StructType(empty_history(spark.range(0)).schema.fields)
+def apply_available(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    checkpoint: str,
+    hot_rows: int = HOT_ROWS,
+    buckets: int = state.BUCKETS,
+    files_per_batch: int | None = None,
+) -> None:
+    """Apply new change files to the state below ``root``; what is no event goes to ``root/refused/batch=<n>``."""
 
+    def apply(told: DataFrame, epoch: int) -> None:
+        judged = _parsed(told, f"{root}/parsed/batch={epoch}")
+        write_documents(feed.refused_in(judged, F.lit(None).cast("timestamp_ntz")), f"{root}/refused", epoch)
+        events = bronze.stamped(feed.events_in(judged), F.col("_commit_timestamp"), F.lit(f"stream-{epoch}"))
+        apply_batch(events, epoch, root, hot_rows, buckets)
 
-def read_orders(spark: SparkSession, root: str, epoch: int) -> DataFrame:
-    """Orders after batch ``epoch``: the newest change of each order, deletes removed."""
-    schema = S.struct_of(S.landed_columns("orders")).add("v", T.IntegerType())
-    changes = spark.read.schema(schema).parquet(f"{root}/orders").filter(F.col("v") <= epoch)
-    last = latest_per_key(changes, "order_id", ["v", "_commit_timestamp", "_row_sequence_id"])
-    return last.filter(F.col("_change_type") != S.DELETE).select(
-        "order_id", "customer_id", "order_amount", "order_status", "created_at", "updated_at", "_bronze_batch_id"
-    )
+    run_available(change_stream(spark, source, files_per_batch=files_per_batch), apply, checkpoint)

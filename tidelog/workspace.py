@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -30,3 +32,14 @@ def shared_root(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, purpose: str) -> str:
     """A folder name below the shared root that no other run uses."""
     return f"{shared_root(spark)}/tidelog/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def read_if_any(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    """A Parquet table that may not have been written yet; ``base`` is where its partition folders begin."""
+    reader = spark.read.schema(schema)
+    try:
+        return (reader.option("basePath", base) if base else reader).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
