@@ -8,27 +8,35 @@ pipeline runs.  See FIXTURES.md for the same rules as SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import workspace
+from tidelog.functions import columns as C
 from tidelog.operators.history import customer_history
 from tidelog.operators.latest import current_orders
 from tidelog.operators.skew import HOT_ROWS, with_neighbour
 from tidelog.plans import gold, staging
-from tidelog.sources import bronze
+from tidelog.sources import bronze, ledger
 
 TIER_SINCE = "2024-01-20"
 CUT = "2024-01-15"
 TODAY = "2024-01-31"
 STAMP = "2024-02-01 00:00:00"
+#: The feed is landed in so many batches of a week by commit time; the last takes the rest.
+WEEKS, FIRST_DAY = 5, "2024-01-01"
 
 
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def week_of(at: str) -> Column:
+    return F.least(F.floor(F.datediff(F.to_date(at), F.lit(FIRST_DAY).cast("date")) / 7), F.lit(WEEKS - 1)).cast("int")
+
+
 def _images(*candidates: tuple[Column, Column]) -> Column:
     """Explode the candidate images whose condition holds."""
     return F.explode(F.filter(F.array(*[F.when(c, image) for c, image in candidates]), lambda x: x.isNotNull()))
@@ -134,6 +142,8 @@ class Lake:
         self.root = workspace.new_dir(spark, "lake")
         self._written: set[str] = set()
         self._frames: dict[str, DataFrame] = {}
+        self.names: dict[str, str] = {}
+        self.views: dict[str, DataFrame] = {}
 
     def _frame(self, name: str, read: Callable[[], DataFrame]) -> DataFrame:
         """A scan, listed once: the files of a lake do not change after they are written."""
@@ -192,6 +202,17 @@ class Lake:
         landing = ["_bronze_ingested_at", "_bronze_batch_id", "ingest_date"]
         return self.raw_customers.drop(*landing).unionByName(self.raw_orders.drop(*landing), allowMissingColumns=True)
 
+    def landed(self) -> tuple[str, str]:
+        """Folders of the raw tables and of the lists, with the feed landed in weekly batches."""
+        raw, lists = f"{self.root}/landed/raw", f"{self.root}/landed/lists"
+        if "landed" not in self._written:
+            log = self.change_log
+            for week in range(WEEKS):
+                at = datetime.fromisoformat(FIRST_DAY) + timedelta(weeks=week + 1)
+                ledger.land(log.filter(week_of("_commit_timestamp") == week), f"week-{week}", at, raw, lists, F.col("_commit_timestamp"))
+            self._written.add("landed")
+        return raw, lists
+
     @property
     def run_events(self) -> DataFrame:
         clicks = self.source("events").filter("event_type = 'click'").select("event_id", "ts")
@@ -213,8 +234,13 @@ class Lake:
 
     @property
     def audit_log(self) -> DataFrame:
+        return self.audit_by("day")
+
+    def audit_by(self, unit: str) -> DataFrame:
+        """Audit rows of runs that each took the rows of a day, or of an hour."""
+
         def per_day(raw: DataFrame, table: str, ok: Column, bad: Column) -> DataFrame:
-            counts = raw.groupBy(F.col("ingest_date").alias("d")).agg(
+            counts = raw.groupBy(F.date_trunc(unit, "_commit_timestamp").cast("timestamp_ntz").alias("d")).agg(
                 F.count_if(ok).alias("records_processed"), F.count_if(bad).alias("records_quarantined")
             )
             return counts.withColumn("target_table", F.lit(table))
@@ -226,7 +252,7 @@ class Lake:
         failed = F.col("records_processed") % 7 == 0
         day = F.col("d").cast("timestamp_ntz")
         return n.select(
-            F.concat("target_table", F.lit("-"), F.col("d").cast("string")).alias("log_id"),
+            F.concat("target_table", F.lit("-"), F.date_format("d", "yyyy-MM-dd" if unit == "day" else "yyyy-MM-dd HH")).alias("log_id"),
             F.lit("silver_processing").alias("pipeline_name"), F.lit("silver").alias("layer"), "target_table",
             "records_processed", "records_quarantined",
             F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
@@ -271,6 +297,50 @@ class Lake:
         return {n: getattr(self, n) for n in names}
 
 
+# frames with what a month of clean data does not have ------------------------------------------
+
+SPREAD = 14
+
+
+def _number(id_: str) -> Column:
+    """The number in an id such as O17, 0 without one."""
+    return F.coalesce(F.substring(id_, 2, 20).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def _months_on(at: str, number: Column) -> Column:
+    return F.col(at) + F.make_ym_interval(F.lit(0), (number % SPREAD).cast("int"))
+
+
+def spread_facts(lake: Lake) -> DataFrame:
+    """Facts over more than a year, amounts with thousandths."""
+    n = _number("order_id")
+    moved = lake.fact_orders.withColumn("created_at", _months_on("created_at", n))
+    return moved.withColumns({"date_key": C.date_key("created_at"), "order_amount": F.col("order_amount") + (n % 8) / 1000})
+
+
+def spread_customers(lake: Lake) -> DataFrame:
+    """Current customers who came over more than a year."""
+    return lake.current_customers.withColumn("valid_from", _months_on("valid_from", _number("customer_id")))
+
+
+def faulty_tables(lake: Lake) -> dict[str, DataFrame]:
+    """The tables of the data tests with repeated rows, lost parents, unknown statuses, missing keys and negative amounts."""
+    n, facts, dimension = _number("order_id"), lake.fact_orders, lake.dim_customers
+    broken = facts.withColumns(
+        {
+            "customer_sk": F.when(n % 15 == 0, "ghost").when(n % 47 == 0, None).otherwise(F.col("customer_sk")),
+            "order_status": F.when(n % 30 == 0, "Lost").otherwise(F.col("order_status")),
+            "order_id": F.when(n % 70 != 0, F.col("order_id")),
+        }
+    )
+    orders = lake.silver_orders.withColumn("order_amount", F.when(n % 40 == 0, -F.col("order_amount") - 1).otherwise(F.col("order_amount")))
+    return lake.test_tables | {
+        "fact_orders": broken.unionByName(facts.filter(n % 50 == 0)),
+        "dim_customers": dimension.unionByName(dimension.filter(_number("customer_id") % 20 == 1)),
+        "silver_orders": orders,
+    }
+
+
 _LAKES: dict[tuple[str, str], Lake] = {}
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from scenarios.feed import CUT, STAMP, TODAY
+from scenarios.feed import CUT, FIRST_DAY, SPREAD, STAMP, TODAY, WEEKS
 
 CUT_TS, STAMP_TS = f"timestamp '{CUT}'", f"timestamp '{STAMP}'"
 OPEN_END = "timestamp '9999-12-31 23:59:59'"
@@ -269,6 +269,29 @@ _UNIQUE = [
 ]
 
 
+_NUMBER = "coalesce(try_cast(substr({}, 2) as bigint), 0)"
+CTES["spread_facts"] = f"""
+  select order_id, customer_sk, cast(strftime(moved_at, '%Y%m%d') as integer) as date_key, order_amount + (n % 8) / 1000 as order_amount,
+         order_status, moved_at as created_at
+  from (select *, created_at + to_months(cast(n % {SPREAD} as integer)) as moved_at
+        from (select *, {_NUMBER.format('order_id')} as n from fact_orders) f) g"""
+CTES["spread_growth_months"] = f"""
+  select strftime(valid_from + to_months(cast({_NUMBER.format('customer_id')} % {SPREAD} as integer)), '%Y-%m') as registration_month,
+         count(customer_id) as new_customers
+  from current_customers group by 1"""
+CTES["faulty_facts"] = f"""
+  select case when n % 70 <> 0 then order_id end as order_id,
+         case when n % 15 = 0 then 'ghost' when n % 47 <> 0 then customer_sk end as customer_sk,
+         case when n % 30 = 0 then 'Lost' else order_status end as order_status
+  from (select *, {_NUMBER.format('order_id')} as n from fact_orders) f
+  union all select order_id, customer_sk, order_status from fact_orders where {_NUMBER.format('order_id')} % 50 = 0"""
+CTES["faulty_dimension"] = f"""
+  select customer_sk from dim_customers
+  union all select customer_sk from dim_customers where {_NUMBER.format('customer_id')} % 20 = 1"""
+CTES["faulty_orders"] = f"""
+  select order_id, case when {_NUMBER.format('order_id')} % 40 = 0 then -order_amount - 1 else order_amount end as order_amount from silver_orders"""
+
+
 def _test(table: str, column: str, name: str, failures: str) -> str:
     return f"select '{table}' as table_name, '{column}' as column_name, '{name}' as test_name, ({failures}) as failures"
 
@@ -316,6 +339,22 @@ Q["bronze_full_scan"] = "select * from raw_customers union all by name select *
 Q["bronze_pending_batches"] = f"""select distinct _bronze_batch_id from
   (select _bronze_batch_id, ingest_date from raw_customers union all select _bronze_batch_id, ingest_date from raw_orders) b
   where ingest_date >= date '{CUT}'"""
+
+
+def _week(day: str) -> str:
+    """The weekly batch of a day."""
+    return f"'week-' || cast(least(datediff('day', date '{FIRST_DAY}', {day}) // 7, {WEEKS - 1}) as string)"
+
+
+_WEEK = _week("cast(_commit_timestamp as date)")
+Q["ledger_full_scan"] = f"""select * replace ({_WEEK} as _bronze_batch_id) from
+  (select * from raw_customers union all by name select * from raw_orders) l"""
+Q["ledger_schema_log"] = f"""select entity_type, 'loyalty_tier' as column_name, min({_WEEK}) as since_batch
+  from raw_customers where loyalty_tier is not null group by 1"""
+Q["ledger_changes_after"] = Q["cdc_incremental_extract"]
+Q["ledger_pending"] = f"""select week as _bronze_batch_id, min(cast(_commit_timestamp as date)) as first_date,
+  max(cast(_commit_timestamp as date)) as last_date, count(*) as row_count, min(_row_sequence_id) as first_id, max(_row_sequence_id) as last_id
+  from (select *, {_WEEK} as week from change_log) l where week not in ('week-0', 'week-1') group by week"""
 Q["bronze_conform"] = """select * exclude (ingest_date) from raw_customers
   union all by name select * exclude (ingest_date) from raw_orders"""
 Q["schema_drift_report"] = """select * from (select 'customers' as entity_type, 'loyalty_tier' as column_name,
@@ -334,9 +373,8 @@ Q["dq_orders"] = f"""select *, true as _dq_failed, {STAMP_TS} as _quarantined_at
 Q["dq_customers_clean"] = "select * from clean_customers"
 Q["dq_orders_clean"] = "select * from clean_orders"
 Q["dq_passthrough"] = "select *, 'clean' as side from events"
-Q["dq_quarantine_append"] = Q["dq_customers"].replace(
-    "select *", f"select * replace (case when ingest_date >= date '{CUT}' then loyalty_tier end as loyalty_tier)"
-)
+Q["dq_quarantine_append"] = f"""select * replace (case when ingest_date >= date '{CUT}' then loyalty_tier end as loyalty_tier)
+  from ({Q["dq_customers"]}) c union all by name {Q["dq_orders"]}"""
 Q["dq_run_counts"] = """
   select 'silver_customers' as target_table, count(*) filter (where _quarantine_reason is null) as records_processed,
          count(*) filter (where _quarantine_reason is not null) as records_quarantined from flagged_customers
@@ -467,6 +505,21 @@ Q["top_customers_ltv"] = """select t.customer_id, c.first_name, c.last_name, c.s
 Q["sales_by_quarter"] = """select cast(year(created_at) as integer) as year, cast(quarter(created_at) as integer) as quarter,
   round(cast(sum(cast(order_amount as decimal(18,2))) as double), 2) as sales_amount, count(order_id) as order_count
   from fact_orders group by 1, 2"""
+_ROUNDED = "cast(round(sum(cast(order_amount as decimal(28,10))), 2) as double)"
+_EXACT = "cast(sum(cast(order_amount as decimal(28,10))) as double)"
+Q["spread_daily_sales"] = f"""select cast(created_at as date) as order_date, count(order_id) as total_orders, {_EXACT} as total_revenue
+  from spread_facts group by 1"""
+Q["spread_revenue_trends"] = f"""select customer_sk, {_EXACT} as total_spent, cast(min(created_at) as date) as first_order_date,
+  cast(max(created_at) as date) as last_order_date, count(distinct cast(created_at as date)) as active_days from spread_facts group by 1"""
+Q["spread_sales_by_quarter"] = f"""select cast(year(created_at) as integer) as year, cast(quarter(created_at) as integer) as quarter,
+  {_ROUNDED} as sales_amount, count(order_id) as order_count from spread_facts group by 1, 2"""
+Q["spread_growth"] = """select registration_month as join_date, new_customers,
+  cast(sum(new_customers) over (order by registration_month) as bigint) as cumulative_customers from spread_growth_months"""
+Q["refreshed_history"] = Q["silver_customers"]
+Q["refreshed_facts_table"] = Q["fact_orders"]
+Q["refreshed_quarantine"] = Q["quarantine_customers"]
+Q["refreshed_state_view"] = Q["sales_by_state"]
+Q["interleaved_fact_write"] = Q["fact_orders"]
 Q["dashboard_document"] = f"""
   with s as (select cast(sum(cast(order_amount as decimal(18,2))) as decimal(18,2)) as a, count(order_id) as n,
                     count(distinct customer_sk) as k, count(distinct case when customer_sk <> '-1' then customer_id end) as c
@@ -501,6 +554,21 @@ Q["dq_test_summary"] = """select *, case failures when 0 then 'pass' else 'fail'
   select * from t_not_null union all select * from t_unique union all select * from t_relationships
   union all select * from t_accepted union all select * from t_negative) t"""
 
+_FAULTY = {"fact_orders": "faulty_facts", "dim_customers": "faulty_dimension", "silver_orders": "faulty_orders"}
+
+
+def _of_faulty(text: str) -> str:
+    for table, faulty in _FAULTY.items():
+        text = re.sub(rf"from {table}\b", f"from {faulty}", text)
+    return text
+
+
+Q["dq_test_findings"] = "select *, case failures when 0 then 'pass' else 'fail' end as status from (" + " union all ".join(
+    _of_faulty(CTES[t]) for t in ("t_not_null", "t_unique", "t_relationships", "t_accepted", "t_negative")
+) + ") t"
+Q["orphan_findings"] = _of_faulty(Q["check_orphan_facts"].replace("from dim_customers)", "from dim_customers where customer_sk is not null)"))
+Q["negative_amount_findings"] = _of_faulty(Q["test_non_negative_amount"])
+
 Q["audit_append"] = f"""
   select 'silver_processing' as pipeline_name, 'silver' as layer, c.*, r.status, r.error_message, {STAMP_TS} as start_time,
          timestamp '2024-02-01 00:01:30.250' as end_time, cast(90.25 as double) as duration_seconds
@@ -515,10 +583,27 @@ Q["dq_status_last_7_days"] = f"""select case when bad > 0 then 'Quarantined' els
   cast(sum(ok) as bigint) as total_clean, cast(sum(bad) as bigint) as total_quarantined
   from audit_log where d >= date '{TODAY}' - 7 group by 1"""
 
+Q["dq_status_hourly"] = f"""
+  with h as (
+    select date_trunc('hour', _commit_timestamp) as d, count(*) filter (where email like '%@%' and state is not null) as ok,
+           count(*) filter (where email not like '%@%' or state is null) as bad from raw_customers group by 1
+    union all
+    select date_trunc('hour', _commit_timestamp), count(*) filter (where order_amount >= 0), count(*) filter (where order_amount < 0)
+    from raw_orders group by 1)
+  select case when bad > 0 then 'Quarantined' else 'Clean' end as record_status,
+    cast(sum(ok) as bigint) as total_clean, cast(sum(bad) as bigint) as total_quarantined
+  from h where d >= date '{TODAY}' - 7 group by 1"""
+
 Q["stream_bronze_ingest"] = f"""
   select * replace (case when _commit_timestamp < {CUT_TS} then 'stream-0' else 'stream-1' end as _bronze_batch_id)
   from ({_LANDED_LOG % ('', '')}) l"""
 Q["stream_scd2_apply"] = f"select * exclude (_bronze_batch_id) {_AS_TEXT} from merged_history"
+_WEEK_BATCH = f"{_week('cast(substr(_bronze_batch_id, 7) as date)')} as _bronze_batch_id"
+CTES["dim_of_batches"] = _dimension("merged_history")
+CTES["facts_of_batches"] = _facts("upserted_orders", "dim_of_batches")
+Q["ledger_history"] = f"select * replace ({_WEEK_BATCH}, {_SHOWN_END}) from merged_history"
+Q["ledger_orders"] = f"select * replace ({_WEEK_BATCH}) from upserted_orders"
+Q["ledger_facts"] = "select * from facts_of_batches"
 Q["stream_orders_apply"] = "select * exclude (_bronze_batch_id) from upserted_orders"
 _REFUSED_KEYS = """
   select entity_type, 'Missing customer_id' as reason, _row_sequence_id from raw_customers where coalesce(trim(customer_id), '') = ''
@@ -536,27 +621,37 @@ Q["stream_late_events"] = """
   where _change_type <> 'DELETE' and pct <> 'DELETE' and pt = _commit_timestamp"""
 # the planted misfits of the feed: see _write_misfits
 _MISFITS = """
-  select *, event_no % 23 = 0 and entity_type = 'orders' as text_amount,
+  select * exclude (entity_type), case when event_no % 31 = 0 then null when event_no % 47 = 0 then 'suppliers' else entity_type end as entity_type,
+         case when entity_type <> 'orders' then null when event_no % 23 = 0 then 'about ' || event_no
+              when event_no % 37 = 0 then '1e19' when event_no % 41 = 0 then 'NaN' end as odd_amount,
          case when event_no % 13 = 0 and entity_type = 'customers' then '555-' || cast(event_no as string) end as phone
   from (select *, cast(floor(_row_sequence_id / 10) as bigint) as event_no from change_log) l"""
+_MISFIT_REASONS = f"""
+  select *, case when entity_type is null then 'Missing entity_type' when event_no % 43 = 0 then 'Missing _change_type'
+                 when odd_amount is not null then 'Invalid order_amount: ' || chr(39) || odd_amount || chr(39) end as reason
+  from ({_MISFITS}) o"""
 Q["bronze_misfit_ingest"] = f"""
-  with m as ({_MISFITS})
-  select 'landed' as side, entity_type, _row_sequence_id, order_amount, phone, null as reason from m where not text_amount
+  with m as ({_MISFIT_REASONS})
+  select 'landed' as side, entity_type, _row_sequence_id, order_amount, phone, null as reason, 1 as n from m
+  where reason is null and entity_type <> 'suppliers'
+  union all
+  select 'refused', entity_type, _row_sequence_id, null, null, reason, 1 from m where reason is not null
   union all
-  select 'refused', entity_type, _row_sequence_id, null, null, 'Invalid order_amount: ' || chr(39) || 'about ' || event_no || chr(39) from m where text_amount
+  select 'unknown', entity_type, null, null, null, null, count(*) from m where reason is null and entity_type = 'suppliers' group by 2
   union all
-  select 'refused', null, null, null, null, 'Unreadable' from (select distinct floor(event_no / 500) from m) c
+  select 'refused', null, null, null, null, 'Unreadable', 1 from (select distinct floor(event_no / 500) from m) c
   union all
-  select 'refused', null, null, null, null, 'Unreadable'"""
+  select 'refused', null, null, null, null, 'Unreadable', 1"""
 Q["schema_drift_unknown"] = f"""
-  with m as ({_MISFITS})
+  with m as (select * from ({_MISFIT_REASONS}) r where reason is null and entity_type in ('customers', 'orders'))
   select * from (select entity_type, 'loyalty_tier' as column_name, count(loyalty_tier) as rows_filled from m group by 1
                  union all select entity_type, 'phone', count(phone) from m group by 1) d where rows_filled > 0"""
 _COUNTED = {
     "silver_customers": "silver_customers", "silver_orders": "silver_orders", "dim_customers": "dim_customers",
     "fact_orders": "fact_orders", "dim_date": f"({Q['dim_date']}) x", "agg_daily_sales": "daily",
     "agg_revenue_trends": f"({Q['agg_revenue_trends']}) x", "agg_revenue_by_state": f"({Q['agg_revenue_by_state']}) x",
-    "agg_customer_growth": "growth",
+    "agg_customer_growth": "growth", "quarantine_customers": f"({Q['quarantine_customers']}) x",
+    "quarantine_orders": f"({Q['quarantine_orders']}) x",
 }
 Q["full_pipeline"] = " union all ".join(
     f"select '{name}' as table_name, (select count(*) from {table}) as row_count" for name, table in _COUNTED.items()

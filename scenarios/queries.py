@@ -8,13 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenarios.feed import CUT, STAMP, TODAY, Lake, lake_of, ntz
+from scenarios.feed import CUT, STAMP, TODAY, WEEKS, Lake, faulty_tables, lake_of, ntz, spread_customers, spread_facts
 from tidelog import schemas as S
 from tidelog import workspace
 from tidelog.functions import columns as C
 from tidelog.operators import capture, history, latest, merge, quality
-from tidelog.plans import checks, gold, kpi, pipeline, runs, staging
-from tidelog.sources import bronze, feed
+from tidelog.plans import checks, gold, increments, kpi, pipeline, runs, staging, state
+from tidelog.sources import bronze, feed, ledger
 from tidelog.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,15 +94,19 @@ def bronze_json_ingest(lake: Lake) -> DataFrame:
 def _write_misfits(lake: Lake, path: str) -> None:
     """The feed as array lines of 500 source events, with planted misfits.
 
-    Every 23rd source event has text for an amount, every 13th an undeclared phone
-    number; each array ends in an element that is no event, and one line is cut off.
+    Every 23rd source event has text for an amount, others 1e19 or NaN, every 13th an
+    undeclared phone number; some say no entity or no kind of change, some are of an
+    unknown entity; each array ends in an element that is no event, and one line is cut off.
     """
     no = F.floor(F.col("_row_sequence_id") / 10)
     log = lake.change_log.withColumns({"_no": no, "_amount": F.col("order_amount").cast("string")})
     orders, customers = F.col("entity_type") == "orders", F.col("entity_type") == "customers"
     rows = log.withColumns(
         {
-            "order_amount": F.when(orders & (F.col("_no") % 23 == 0), F.concat(F.lit("about "), "_no")).otherwise(F.col("_amount")),
+            "order_amount": F.when(orders & (no % 23 == 0), F.concat(F.lit("about "), "_no")).when(orders & (no % 37 == 0), "1e19")
+            .when(orders & (no % 41 == 0), "NaN").otherwise(F.col("_amount")),
+            "entity_type": F.when(no % 31 == 0, None).when(no % 47 == 0, "suppliers").otherwise(F.col("entity_type")),
+            "_change_type": F.when(no % 43 != 0, F.col("_change_type")),
             "phone": F.when(customers & (F.col("_no") % 13 == 0), F.concat(F.lit("555-"), "_no")),
         }
     )
@@ -121,23 +125,28 @@ def _misfits(lake: Lake) -> DataFrame:
 
 @query
 def bronze_misfit_ingest(lake: Lake) -> DataFrame:
-    """Every element of a feed with misfits: landed as a raw row, or refused with its reason."""
+    """Every element of a feed with misfits: landed as a raw row, refused with its reason, or counted for an unknown entity."""
     told, base = _misfits(lake), workspace.new_dir(lake.spark, "misfits")
-    bronze.write_entities(bronze.stamped(feed.typed_events(told), ntz(STAMP), F.lit("one")), lambda e: f"{base}/{e}")
+    stamped = bronze.stamped(feed.typed_events(told), ntz(STAMP), F.lit("one"))
+    bronze.write_entities(stamped, lambda e: f"{base}/{e}")
     quality.write_documents(feed.refused_elements(told, ntz(STAMP)), f"{base}/refused", "one")
     parts = [
         bronze.read_raw(lake.spark, f"{base}/{e}", e, [S.EXTRA]).select(
             F.lit("landed").alias("side"), "entity_type", "_row_sequence_id",
             (F.col("order_amount") if e == "orders" else F.lit(None).cast("double")).alias("order_amount"),
-            F.col(S.EXTRA)["phone"].alias("phone"), F.lit(None).cast("string").alias("reason"),
+            F.col(S.EXTRA)["phone"].alias("phone"), F.lit(None).cast("string").alias("reason"), F.lit(1).cast("long").alias("n"),
         )
         for e in S.ENTITY_COLUMNS
     ]
     refused = quality.read_documents(lake.spark, f"{base}/refused").select(
         F.lit("refused").alias("side"), "entity_type",
-        F.get_json_object("record", "$._row_sequence_id").try_cast("long").alias("_row_sequence_id"), "reason",
+        F.get_json_object("record", "$._row_sequence_id").try_cast("long").alias("_row_sequence_id"), "reason", F.lit(1).cast("long").alias("n"),
     )
-    return parts[0].unionByName(parts[1]).unionByName(refused, allowMissingColumns=True)
+    unknown = bronze.unknown_entities(stamped).select(F.lit("unknown").alias("side"), "entity_type", F.col("row_count").alias("n"))
+    sides = parts[0].unionByName(parts[1])
+    for more in (refused, unknown):
+        sides = sides.unionByName(more, allowMissingColumns=True)
+    return sides
 
 
 @query
@@ -171,6 +180,78 @@ def schema_drift_report(lake: Lake) -> DataFrame:
     return bronze.drift_report(lake.change_log)
 
 
+# --- landed batches and what is applied of them ---------------------------------------------
+
+
+@query
+def ledger_full_scan(lake: Lake) -> DataFrame:
+    """Both entities over all batches; the columns come from the ledger, not from footers."""
+    raw, lists = lake.landed()
+    customers, orders = (ledger.read_raw(lake.spark, raw, lists, e) for e in ("customers", "orders"))
+    return customers.unionByName(orders, allowMissingColumns=True)
+
+
+@query
+def ledger_schema_log(lake: Lake) -> DataFrame:
+    return ledger.schema_log(lake.spark, lake.landed()[1])
+
+
+@query
+def ledger_changes_after(lake: Lake) -> DataFrame:
+    """The increment above the mark at the cut, from the folders that hold any of it."""
+    raw, lists = lake.landed()
+    mark = feed.high_water_mark(lake.change_log.filter(F.col("_commit_timestamp") < ntz(f"{CUT} 00:00:00"))).first()
+    parts = [ledger.changes_after(lake.spark, raw, lists, e, mark.last_processed_id) for e in ("customers", "orders")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).drop(ledger.BATCH, "ingest_date", "_bronze_ingested_at")
+
+
+@query
+def ledger_pending(lake: Lake) -> DataFrame:
+    """What is left after a run that was allowed two batches."""
+    raw, lists = lake.landed()
+    job = f"part-{uuid.uuid4().hex[:12]}"
+    increments.apply_pending(lake.spark, raw, lists, workspace.new_dir(lake.spark, "state"), job, limit=2)
+    return ledger.pending(lake.spark, lists, job).drop("landed_at")
+
+
+def _applied_batches(lake: Lake) -> str:
+    """The state after two runs of the job over all batches."""
+
+    def run(path: str) -> None:
+        raw, lists = lake.landed()
+        for limit in (3, None):
+            increments.apply_pending(lake.spark, raw, lists, path, "whole", limit)
+
+    return lake.folder("applied_batches", run)
+
+
+@query
+def ledger_history(lake: Lake) -> DataFrame:
+    return state.read_history(lake.spark, _applied_batches(lake), WEEKS - 1)
+
+
+@query
+def ledger_orders(lake: Lake) -> DataFrame:
+    return state.read_orders(lake.spark, _applied_batches(lake), WEEKS - 1)
+
+
+@query
+def ledger_facts(lake: Lake) -> DataFrame:
+    """Facts kept up batch by batch: only what a batch can have changed meets the dimension again."""
+    spark, root = lake.spark, _applied_batches(lake)
+    facts = None
+    for version in range(WEEKS):
+        orders = state.read_orders(spark, root, version)
+        dimension = gold.customer_dimension(state.read_history(spark, root, version))
+        if facts is None:
+            found = gold.order_facts(orders, dimension)
+        else:
+            changed = state.changed_orders(spark, root, version), state.changed_versions(spark, root, version)
+            found = gold.facts_after_batch(facts, orders, dimension, *changed)
+        facts = lake.stored(f"facts-after-{version}", lambda found=found: found)
+    return facts
+
+
 # --- staging and quality ----------------------------------------------------------------
 
 
@@ -227,11 +308,14 @@ def dq_passthrough(lake: Lake) -> DataFrame:
 
 @query
 def dq_quarantine_append(lake: Lake) -> DataFrame:
-    path = workspace.new_dir(lake.spark, "quarantine")
-    bad = _split(lake, "customers")[1]
-    _before_cut(bad).drop("loyalty_tier").write.mode("append").parquet(path)
-    _from_cut(bad).write.mode("append").parquet(path)
-    return bronze.read_merged(lake.spark, path)
+    """Rejected rows of both entities, appended in two parts of which the first lacks a column."""
+    path, parts = workspace.new_dir(lake.spark, "quarantine"), []
+    for entity in S.ENTITY_COLUMNS:
+        bad = _split(lake, entity)[1]
+        _before_cut(bad).drop("loyalty_tier").write.mode("append").parquet(f"{path}/{entity}")
+        _from_cut(bad).write.mode("append").parquet(f"{path}/{entity}")
+        parts.append(lake.spark.read.schema(bad.schema).parquet(f"{path}/{entity}"))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 @query
@@ -420,6 +504,13 @@ def late_dimension_resolution(lake: Lake) -> DataFrame:
     return gold.refreshed_facts(loaded, lake.silver_orders, lake.dim_customers, touched)
 
 
+@query
+def interleaved_fact_write(lake: Lake) -> DataFrame:
+    path = workspace.new_dir(lake.spark, "interleaved")
+    bronze.interleaved(lake.fact_orders, ["customer_sk", "created_at"], 16).write.parquet(path)
+    return lake.spark.read.parquet(path)
+
+
 @query
 def clustered_fact_write(lake: Lake) -> DataFrame:
     path = workspace.new_dir(lake.spark, "clustered")
@@ -505,6 +596,28 @@ def dashboard_document(lake: Lake) -> DataFrame:
     return kpi.dashboard_document(lake.fact_orders, lake.dim_customers, runs.run_status(lake.run_events), ntz(STAMP))
 
 
+@query
+def spread_daily_sales(lake: Lake) -> DataFrame:
+    """Days of more than a year; amounts have thousandths and only sums are rounded."""
+    return kpi.daily_sales(spread_facts(lake))
+
+
+@query
+def spread_revenue_trends(lake: Lake) -> DataFrame:
+    return kpi.revenue_trends(spread_facts(lake))
+
+
+@query
+def spread_sales_by_quarter(lake: Lake) -> DataFrame:
+    facts = spread_facts(lake)
+    return kpi.sales_by_quarter(facts, gold.date_dimension_for(facts))
+
+
+@query
+def spread_growth(lake: Lake) -> DataFrame:
+    return kpi.cumulative_growth(kpi.customer_growth(spread_customers(lake)))
+
+
 # --- data tests -------------------------------------------------------------------------
 
 
@@ -553,6 +666,24 @@ def dq_test_summary(lake: Lake) -> DataFrame:
     return checks.summary(lake.test_tables)
 
 
+@query
+def dq_test_findings(lake: Lake) -> DataFrame:
+    """Every data test over tables with planted faults."""
+    return checks.summary(faulty_tables(lake))
+
+
+@query
+def orphan_findings(lake: Lake) -> DataFrame:
+    """Facts of lost parents; with a key missing in the dimension NOT IN would find none."""
+    tables = faulty_tables(lake)
+    return checks.orphaned_facts(tables["fact_orders"], tables["dim_customers"].filter("customer_sk is not null"))
+
+
+@query
+def negative_amount_findings(lake: Lake) -> DataFrame:
+    return checks.negative_amounts(faulty_tables(lake)["silver_orders"])
+
+
 # --- runs and audit ---------------------------------------------------------------------
 
 
@@ -591,6 +722,12 @@ def dq_status_last_7_days(lake: Lake) -> DataFrame:
     return runs.quality_by_status(lake.audit_log, F.lit(TODAY).cast("date"))
 
 
+@query
+def dq_status_hourly(lake: Lake) -> DataFrame:
+    """Runs of an hour: many quarantine nothing."""
+    return runs.quality_by_status(lake.audit_by("hour"), F.lit(TODAY).cast("date"))
+
+
 # --- streams and the whole chain ----------------------------------------------------------
 
 
@@ -624,12 +761,12 @@ def _applied(lake: Lake) -> str:
 def stream_scd2_apply(lake: Lake) -> DataFrame:
     base = workspace.new_dir(lake.spark, "apply")
     _apply_in_two_batches(lake, base)
-    return jobs.read_history(lake.spark, f"{base}/state", 1).drop("_bronze_batch_id")
+    return state.read_history(lake.spark, f"{base}/state", 1).drop("_bronze_batch_id")
 
 
 @query
 def stream_orders_apply(lake: Lake) -> DataFrame:
-    return jobs.read_orders(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
+    return state.read_orders(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
 
 
 @query
@@ -640,7 +777,7 @@ def stream_quarantine(lake: Lake) -> DataFrame:
 
 @query
 def stream_late_events(lake: Lake) -> DataFrame:
-    return jobs.read_late(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
+    return state.read_late(lake.spark, _applied(lake), 1).drop("_bronze_batch_id")
 
 
 def _refreshed(lake: Lake) -> tuple[str, str, list[str]]:
@@ -653,6 +790,46 @@ def _refreshed(lake: Lake) -> tuple[str, str, list[str]]:
     return schema, f"{base}/audit", names
 
 
+def _refreshed_twice(lake: Lake) -> str:
+    """A schema built from the rows before the cut, and refreshed with all rows."""
+    spark, schema = lake.spark, f"tidelog_twice_{uuid.uuid4().hex[:12]}"
+
+    def run(base: str) -> None:
+        spark.sql(f"create database {schema} location '{base}/db'")
+        for customers, orders in ((_before_cut(lake.raw_customers), _before_cut(lake.raw_orders)), (lake.raw_customers, lake.raw_orders)):
+            pipeline.refresh(spark, customers, orders, schema, f"{base}/audit")
+        lake.names["refreshed twice"] = schema
+        # by name, before another refresh gives the name to a view of its own
+        lake.views["vw_sales_by_state"] = spark.sql("select * from vw_sales_by_state")
+
+    lake.folder("refreshed_twice", run)
+    return lake.names["refreshed twice"]
+
+
+@query
+def refreshed_history(lake: Lake) -> DataFrame:
+    """The history table after its rows were overwritten."""
+    return lake.spark.table(f"{_refreshed_twice(lake)}.silver_customers")
+
+
+@query
+def refreshed_facts_table(lake: Lake) -> DataFrame:
+    """The fact table after it was replaced."""
+    return lake.spark.table(f"{_refreshed_twice(lake)}.fact_orders")
+
+
+@query
+def refreshed_quarantine(lake: Lake) -> DataFrame:
+    return lake.spark.table(f"{_refreshed_twice(lake)}.quarantine_customers")
+
+
+@query
+def refreshed_state_view(lake: Lake) -> DataFrame:
+    """A measure view that the refresh left; it reads the replaced tables."""
+    _refreshed_twice(lake)
+    return lake.views["vw_sales_by_state"]
+
+
 @query
 def pipeline_audit(lake: Lake) -> DataFrame:
     schema, audit, _ = _refreshed(lake)

@@ -10,7 +10,7 @@ from scenarios.feed import ntz
 from tidelog import schemas as S
 from tidelog import workspace
 from tidelog.operators import quality
-from tidelog.plans import pipeline, runs
+from tidelog.plans import pipeline, runs, state
 from tidelog.sources import bronze, feed, tables
 from tidelog.streaming import jobs
 
@@ -153,13 +153,13 @@ def test_a_replayed_batch_counts_once(spark, lake, tmp_path, rows_of):
     first, second = (batch.filter(f"_commit_timestamp {op} timestamp_ntz'2024-01-15'") for op in ("<", ">="))
     jobs.apply_batch(first, 0, root)
     jobs.apply_batch(second, 1, root)
-    history = rows_of(jobs.read_history(spark, root, 1))
-    orders = rows_of(jobs.read_orders(spark, root, 1))
+    history = rows_of(state.read_history(spark, root, 1))
+    orders = rows_of(state.read_orders(spark, root, 1))
     jobs.apply_batch(second, 1, root)
-    assert rows_of(jobs.read_history(spark, root, 1)) == history
-    assert rows_of(jobs.read_orders(spark, root, 1)) == orders
+    assert rows_of(state.read_history(spark, root, 1)) == history
+    assert rows_of(state.read_orders(spark, root, 1)) == orders
     # the state before the batch can still be read
-    assert 0 < jobs.read_history(spark, root, 0).count() < len(history)
+    assert 0 < state.read_history(spark, root, 0).count() < len(history)
 
 
 def test_what_a_batch_does_not_apply_is_kept_once(spark, tmp_path, rows_of):
@@ -182,18 +182,19 @@ def test_what_a_batch_does_not_apply_is_kept_once(spark, tmp_path, rows_of):
         ("orders", "Invalid order_amount: Null order amount"), ("customers", "Missing customer_id"),
     ]
     assert json.loads(refused[1].record)[S.EXTRA] == {"phone": "5"}
-    assert [(r._row_sequence_id, r.late_reason) for r in jobs.read_late(spark, root, 1).collect()] == [(3, "NOT_AFTER_OPEN_VERSION")]
-    assert jobs.read_late(spark, root, 0).count() == 0
-    assert jobs.read_history(spark, root, 1).count() == 1
+    assert [(r._row_sequence_id, r.late_reason) for r in state.read_late(spark, root, 1).collect()] == [(3, "NOT_AFTER_OPEN_VERSION")]
+    assert state.read_late(spark, root, 0).count() == 0
+    assert state.read_history(spark, root, 1).count() == 1
 
 
-def test_closed_versions_are_not_rewritten(spark, lake, tmp_path):
+def test_versions_a_batch_does_not_touch_are_not_rewritten(spark, lake, tmp_path):
     root = str(tmp_path / "state")
     batch = bronze.stamped(lake.change_log, F.col("_commit_timestamp"), F.lit("b"))
     jobs.apply_batch(batch, 0, root)
     jobs.apply_batch(batch.limit(0), 1, root)
     written = {p.name for p in (tmp_path / "state" / "history" / "v=1").iterdir() if p.is_dir()}
-    assert written == {"is_current=1"}
+    assert written == set()
+    assert state.read_history(spark, root, 1).exceptAll(state.read_history(spark, root, 0)).count() == 0
 
 
 def test_orders_from_the_stream_equal_the_batch(spark, lake, tmp_path, rows_of, sf_dir):
@@ -204,7 +205,7 @@ def test_orders_from_the_stream_equal_the_batch(spark, lake, tmp_path, rows_of,
     for epoch, op in enumerate(("<", ">=")):
         jobs.apply_batch(batch.filter(f"_commit_timestamp {op} timestamp_ntz'2024-01-15'"), epoch, root)
     columns = ["order_id", "customer_id", "order_amount", "order_status", "updated_at"]
-    assert rows_of(jobs.read_orders(spark, root, 1), columns) == rows_of(QUERIES["orders_upsert_batch"](spark, sf_dir), columns)
+    assert rows_of(state.read_orders(spark, root, 1), columns) == rows_of(QUERIES["orders_upsert_batch"](spark, sf_dir), columns)
 
 
 def test_pipeline_runs_twice_and_records_failures(spark, lake, tmp_path):
@@ -248,3 +249,81 @@ def test_table_helpers(spark, tmp_path):
 def test_shared_root_is_the_one_the_session_names(spark):
     assert workspace.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.new_dir(spark, "x") != workspace.new_dir(spark, "x")
+
+
+def test_events_must_say_what_changed_when(spark, tmp_path):
+    """Eight elements: each is landed, refused or counted for an unknown entity."""
+    rows = [
+        record(1), {"foo": 1}, {**record(2), "entity_type": None}, {**record(3), "_change_type": " "}, {**record(4), "_row_sequence_id": None},
+        {**record(5), "_commit_timestamp": None}, record(6, "suppliers"), record(7, "orders", order_amount="3.5"),
+    ]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    told = feed.read_elements(spark, str(tmp_path))
+    events = bronze.stamped(feed.typed_events(told), ntz(AT), F.lit("b"))
+    bronze.write_entities(events, lambda e: str(tmp_path / "raw" / e))
+    landed = sum(bronze.read_raw(spark, str(tmp_path / "raw" / e), e).count() for e in S.ENTITY_COLUMNS)
+    refused = sorted(r.reason for r in feed.refused_elements(told, ntz(AT)).collect())
+    unknown = [tuple(r) for r in bronze.unknown_entities(events).collect()]
+    assert refused == ["Missing _change_type", "Missing _commit_timestamp", *["Missing _row_sequence_id"] * 2, "Missing entity_type"]
+    assert unknown == [("suppliers", 1)] and landed == 2 and landed + len(refused) + 1 == told.count() == 8
+
+
+@pytest.mark.parametrize("amount", ["NaN", "Infinity", "-Infinity", "1e19", "-1e15"])
+def test_amounts_that_are_no_money_stop_no_measure(spark, tmp_path, amount):
+    from tidelog.plans import gold, kpi, staging
+
+    rows = [record(1, "orders", order_id="o1", customer_id="c", order_amount="2.5", created_at=AT.replace(" ", "T")),
+            record(2, "orders", order_id="o2", customer_id="c", order_amount=amount, created_at=AT.replace(" ", "T"))]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    told = feed.read_elements(spark, str(tmp_path))
+    assert [r._row_sequence_id for r in feed.typed_events(told).collect()] == [1]
+    assert [r.reason for r in feed.refused_elements(told, ntz(AT)).collect()] == [f"Invalid order_amount: '{amount}'"]
+    # rows that came to the raw table another way
+    raw = bronze.stamped(feed.typed_events(told), ntz(AT), F.lit("b"))
+    raw = raw.unionByName(raw.withColumns({"order_id": F.lit("o2"), "order_amount": F.lit(amount).cast("double"), "_row_sequence_id": F.lit(2).cast("long")}))
+    assert [r.order_id for r in staging.staged_orders(raw).collect()] == ["o1"]
+    assert [r.order_id for r in staging.quarantined_orders(raw).collect()] == ["o2"]
+    assert [r.reason[:21] for r in quality.key_quarantine(raw, "orders", ntz(AT)).collect()] == ["Invalid order_amount:"]
+    orders = quality.keyed_rows(raw, "orders")
+    facts = gold.order_facts(orders, gold.unknown_member(orders))
+    assert [(r.total_orders, r.total_revenue) for r in kpi.daily_sales(facts).collect()] == [(1, 2.5)]
+
+
+def test_streams_count_unknown_entities(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    (topic / "a.json").write_text("\n".join(json.dumps(record(i, "suppliers" if i % 3 else "orders")) for i in range(9)))
+    jobs.ingest_available(spark, str(topic), str(tmp_path / "raw"), str(tmp_path / "mark"), ntz(AT))
+    assert [tuple(r) for r in jobs.read_unknown(spark, str(tmp_path / "raw")).collect()] == [("suppliers", 6, 0)]
+    assert jobs.read_landed(spark, str(tmp_path / "raw"), "orders").count() == 3
+
+
+def _files_met(spark, path, column, low, high):
+    """Files whose smallest and largest value leave room for the range."""
+    spans = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min(column).alias("a"), F.max(column).alias("z"))
+    return spans.filter((F.col("a") <= F.lit(high)) & (F.col("z") >= F.lit(low))).count()
+
+
+def test_interleaved_files_are_narrow_in_both_columns(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("c"), F.lpad((F.col("id") * 7919 % 1000).cast("string"), 4, "0")).alias("k"), (F.col("id") * 104_729 % 10_000).alias("at")
+    )
+    linear, both = str(tmp_path / "linear"), str(tmp_path / "both")
+    bronze.clustered(rows, ["k", "at"], 64).write.parquet(linear)
+    bronze.interleaved(rows, ["k", "at"], 64).write.parquet(both)
+    assert spark.read.parquet(both).exceptAll(rows).count() == 0 and spark.read.parquet(both).count() == 40_000
+    key, at = ("k", "c0500", "c0510"), ("at", 5000, 5100)
+    assert _files_met(spark, linear, *at) == 64
+    assert _files_met(spark, both, *at) <= 16 and _files_met(spark, both, *key) <= 16
+    nulls = spark.createDataFrame([(None, 1), ("a", None), (None, None)], "k string, at long")
+    assert bronze.interleaved(nulls, ["k", "at"], 4).count() == 3 and bronze.interleaved(nulls.limit(0), ["k", "at"], 4).count() == 0
+
+
+def test_each_table_is_read_once_for_the_tests(lake):
+    from tidelog.plans import checks
+
+    frame = checks.summary(lake.test_tables)
+    frame._jdf.collectToPython()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 6
+    assert final.count("Exchange hashpartitioning") == 1

@@ -74,6 +74,15 @@ def digest_key(key: str, at: str) -> Column:
     return F.md5(F.concat(F.col(key), F.lit("_"), instant_text(at)))
 
 
+#: Amounts of this size and above are no money: a sum of them could not be kept exact.
+MONEY_BELOW = 1e15
+
+
+def is_money(amount: Column) -> Column:
+    """Whether a number is finite and small enough for ``money``; NULL for NULL."""
+    return (amount > -MONEY_BELOW) & (amount < MONEY_BELOW)  # NaN is above every number
+
+
 def money(amount: str | Column) -> Column:
     """Exact sum of an amount column: it does not depend on the order of rows, and only the sum is rounded."""
     amount = F.col(amount) if isinstance(amount, str) else amount

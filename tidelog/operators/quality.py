@@ -88,6 +88,7 @@ def key_problem(entity: str) -> Column:
             _amount().isNull(),
             F.concat(F.lit("Invalid order_amount: could not convert string to float: '"), given, F.lit("'")),
         )
+        .when(~C.is_money(_amount()), F.concat(F.lit("Invalid order_amount: out of range: "), given))
     )
 
 

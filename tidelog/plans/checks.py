@@ -48,7 +48,7 @@ def row_tests(tables: dict[str, DataFrame], kinds: set[str]) -> DataFrame:
     found = []
     for table, tests in ROW_TESTS.items():
         chosen = [(c, kind) for c, kind in tests if kind in kinds]
-        if not chosen:
+        if not chosen or table not in tables:
             continue
         counts = tables[table].agg(*[F.count_if(_FAILS[kind](c)).alias(f"{c}/{kind}") for c, kind in chosen])
         rows = counts.unpivot([], [F.col(f"`{n}`") for n in counts.columns], "test", "failures")
@@ -101,14 +101,52 @@ def negative_amounts(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("order_amount") < 0).select("order_id", "order_amount")
 
 
-def summary(tables: dict[str, DataFrame]) -> DataFrame:
-    every = _union(
-        [
-            row_tests(tables, set(_FAILS)), unique(tables),
-            relationship(tables["fact_orders"], tables["dim_customers"]),
-        ]
+#: Columns whose values are grouped for the summary, by table; values of one column are grouped together over its tables.
+_KEYS = {
+    "silver_customers": ["customer_sk"], "silver_orders": ["order_id"], "dim_customers": ["customer_sk"],
+    "fact_orders": ["order_id", "customer_sk"],
+}
+
+
+def _grouped_tests(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: failures of the row tests, of uniqueness and of the relationship, for tables with keys.
+
+    Each table is read once, each key shuffled once: a row gives its keys, and its own
+    failures with the first of them, to a count by column and value.
+    """
+    tests = {t: [(c, kind) for c, kind in ROW_TESTS[t] if (c, kind) != (c, "not_null") or c not in _KEYS[t]] for t in _KEYS}
+    fails = [f"{t}/{c}/{kind}" for t in _KEYS for c, kind in tests[t]]
+    rows = []
+    for table, columns in _KEYS.items():
+        own = {f"{table}/{c}/{kind}": _FAILS[kind](c).cast("int") for c, kind in tests[table]}
+        keys = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), F.lit(i == 0).alias("first")) for i, c in enumerate(columns)])
+        told = tables[table].select(*[v.alias(n) for n, v in own.items()], F.explode(keys).alias("key"))
+        shown = [F.when(F.col("key.first"), F.col(f"`{n}`")).alias(n) if n in own else F.lit(None).cast("int").alias(n) for n in fails]
+        rows.append(told.select(F.lit(table).alias("table"), "key.column", "key.value", *shown))
+    grouped = _union(rows).groupBy("column", "value").agg(
+        *[F.count_if(F.col("table") == t).alias(t) for t in _KEYS], *[F.sum(f"`{n}`").alias(n) for n in fails]
     )
-    return every.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    empty = F.col("value").isNull()
+    found = {n: F.sum(f"`{n}`") for n in fails}
+    for table, columns in _KEYS.items():
+        for c in columns:
+            is_column = F.col("column") == c
+            found[f"{table}/{c}/not_null"] = F.sum(F.when(is_column & empty, F.col(table)))
+            if c in UNIQUE[table]:
+                found[f"{table}/{c}/unique"] = F.count_if(is_column & ~empty & (F.col(table) > 1))
+    lost = (F.col("column") == "customer_sk") & ~empty & (F.col("dim_customers") == 0)
+    found["fact_orders/customer_sk/relationships"] = F.sum(F.when(lost, F.col("fact_orders")))
+    return grouped.agg(*[F.coalesce(v, F.lit(0)).cast("long").alias(n) for n, v in found.items()])
+
+
+def summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every data test with its failures; each table is read once."""
+    counts = _grouped_tests(tables)
+    rows = counts.unpivot([], [F.col(f"`{n}`") for n in counts.columns], "test", "failures")
+    part = lambda i: F.split_part("test", F.lit("/"), F.lit(i))
+    grouped = rows.select(part(1).alias("table_name"), part(2).alias("column_name"), part(3).alias("test_name"), "failures")
+    staged = row_tests({t: f for t, f in tables.items() if t not in _KEYS}, set(_FAILS))
+    return grouped.unionByName(staged).withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
 def orphaned_facts(facts: DataFrame, dimension: DataFrame) -> DataFrame:

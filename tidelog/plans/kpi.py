@@ -177,6 +177,14 @@ def sales_by_quarter(facts: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+#: Entries of a list in the dashboard document.
+DOCUMENT_ROWS = 1_000
+
+
+def _first(rows: DataFrame, by: str, then: str) -> DataFrame:
+    return rows.orderBy(F.desc(by), then).limit(DOCUMENT_ROWS)
+
+
 def _listed(rows: DataFrame, rank: list[Column]) -> Column:
     """A small result as one array, sorted by ``rank``."""
     ranks = [c.alias(f"_r{i}") for i, c in enumerate(rank)]
@@ -187,8 +195,9 @@ def _listed(rows: DataFrame, rank: list[Column]) -> Column:
 def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame, generated_at: Column) -> DataFrame:
     """One JSON document of all measures.
 
-    The lists hold one entry per state, per status and the ten last runs.  Money is
-    written as decimals so that the text does not depend on number formatting.
+    The lists hold the DOCUMENT_ROWS first states by sales, as many statuses by orders,
+    and the ten last runs, each cut before it becomes a list.  Money is written as
+    decimals so that the text does not depend on number formatting.
     """
     two_places = "decimal(18,2)"
     # one aggregation of the facts feeds every section
@@ -221,8 +230,8 @@ def dashboard_document(facts: DataFrame, dimension: DataFrame, runs: DataFrame,
     )
     body = F.struct(
         "executive_summary",
-        _listed(states, [-F.col("sales_amount"), F.col("state_code")]).alias("sales_by_state"),
-        _listed(statuses, [-F.col("order_count"), F.col("order_status")]).alias("order_status_breakdown"),
+        _listed(_first(states, "sales_amount", "state_code"), [-F.col("sales_amount"), F.col("state_code")]).alias("sales_by_state"),
+        _listed(_first(statuses, "order_count", "order_status"), [-F.col("order_count"), F.col("order_status")]).alias("order_status_breakdown"),
         "unresolved_orders",
         F.reverse(_listed(latest, [F.col("start_time"), F.col("run_id")])).alias("pipeline_runs"),
         F.date_format(generated_at, "yyyy-MM-dd HH:mm:ss").alias("generated_at"),

@@ -1,7 +1,7 @@
 """The whole chain from raw tables to measures, with tables written at the layer borders.
 
-Staging and quarantine are views, everything after them is a table, so each layer
-is computed once and read back, also by the next job.
+Staging is views, everything after it is a table, so each layer is computed once and
+read back, also by the next job.  What staging refuses is stored as a table too.
 """
 
 from __future__ import annotations
@@ -100,6 +100,8 @@ def _refresh(
         if not tables.create_if_absent(spark, history, name("silver_customers")):
             tables.insert_overwrite(history, name("silver_customers"))
         tables.create_or_replace(current_orders(spark.table("stg_orders")), name("silver_orders"))
+        for quarantine in ("quarantine_customers", "quarantine_orders"):
+            tables.create_or_replace(spark.table(quarantine), name(quarantine))
 
     def star() -> None:
         history, orders = spark.table(name("silver_customers")), spark.table(name("silver_orders"))

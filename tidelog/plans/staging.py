@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
+from tidelog.functions import columns as C
 
 CUSTOMER_REASON = "Invalid email format or missing state code"
-ORDER_REASON = "Negative order amount"
+ORDER_REASON, AMOUNT_REASON = "Negative order amount", "Order amount is no amount of money"
 
 
 def _has_at() -> Column:
@@ -19,7 +20,8 @@ def _sides(entity: str) -> tuple[Column, Column]:
     """What holds for staged rows and for quarantined rows."""
     if entity == "customers":
         return _has_at() & F.col("state").isNotNull(), ~_has_at() | F.col("state").isNull()
-    return F.col("order_amount") >= 0, F.col("order_amount") < 0
+    amount = F.col("order_amount")
+    return (amount >= 0) & C.is_money(amount), (amount < 0) | ~C.is_money(amount)
 
 
 def side_counts(raw: DataFrame, entity: str, target_table: str) -> DataFrame:
@@ -52,4 +54,5 @@ def quarantined_customers(raw: DataFrame) -> DataFrame:
 
 def quarantined_orders(raw: DataFrame) -> DataFrame:
     rows = raw.filter(_sides("orders")[1])
-    return rows.select(*S.landed_columns("orders"), F.lit(ORDER_REASON).alias("quarantine_reason"))
+    reason = F.when(C.is_money(F.col("order_amount")), ORDER_REASON).otherwise(AMOUNT_REASON)
+    return rows.select(*S.landed_columns("orders"), reason.alias("quarantine_reason"))
