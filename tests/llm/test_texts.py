@@ -285,7 +285,7 @@ def test_gradients_are_those_of_the_loss():
     used, state = owner >= 0, rng.normal(size=(inputs.shape[1], gated_lm.HIDDEN))
 
     def loss():
-        states = np.stack([s[0] for s in gated_lm.steps(p, inputs, state)])
+        states = gated_lm.forward(p, inputs, state).states
         return -gated_lm.log_probabilities(p, states[used], targets[used]).mean()
 
     g, _ = gated_lm.gradients(p, inputs, targets, used, state)

@@ -57,11 +57,12 @@ def held(token: object, make: Callable[[], object]) -> object:
     return _HELD[1]
 
 
-def slices(batch: pa.RecordBatch, text: int = 0) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of at most BATCH_ROWS rows and about BATCH_BYTES of text (one row at least)."""
+def slices(batch: pa.RecordBatch, text: int = 0, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` (BATCH_ROWS) rows and about BATCH_BYTES of text (one row at least)."""
+    rows = rows or BATCH_ROWS
     start, size = 0, 0
     for i, length in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
-        if i > start and (i - start >= BATCH_ROWS or size + (length or 0) > BATCH_BYTES):
+        if i > start and (i - start >= rows or size + (length or 0) > BATCH_BYTES):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += length or 0

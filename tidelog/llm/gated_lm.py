@@ -27,10 +27,11 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heapify, heapreplace
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,8 @@ ROUNDS, EPOCHS = 2, 1
 TASK_TOKENS, LANES, WINDOW, RATE = 1_000_000, 64, 24, 0.01
 #: In an average of trained copies the weights before it count as so many tokens, so few texts move them little.
 START_TOKENS = 20_000
-SCORE_LANES = 512
+#: Lanes and texts scored at once: a long text costs its steps alone, so many others should run beside it.
+SCORE_LANES, SCORE_ROWS = 512, 4_000
 END = b"\n"
 _IN_CLASS = HEAD // CLASSES
 _OUT = CLASSES + TAIL
@@ -97,12 +99,8 @@ def weights_of(vocabulary: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    high = logits.max(1)
+    high = logits.max(1, initial=-np.inf)
     return high + np.log(np.exp(logits - high[:, None]).sum(1))
 
 
@@ -139,39 +137,76 @@ def laid_out(texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarra
     return inputs, targets, owner
 
 
-def steps(p: dict[str, np.ndarray], inputs: np.ndarray, state: np.ndarray) -> Iterator[tuple]:
-    """States after each step of a window, and what backpropagation needs.  A start input clears the state."""
-    h2 = 2 * HIDDEN
-    table, starts = p["x"] + p["b"], inputs == _START
-    for row, start in zip(inputs, starts):
-        before = state
-        if start.any():
-            before = state.copy()
-            before[start] = 0
-        x, a = table[row], before @ p["u"]
-        gates = _sigmoid(x[:, :h2] + a[:, :h2])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(x[:, h2:] + r * a[:, h2:])
-        state = new + z * (before - new)
-        yield state, before, z, r, new, a[:, h2:]
+@dataclass
+class Window:
+    """What each step and lane of a window gave: the state before and after it, both gates, the new part and its recurrent sum."""
+
+    before: np.ndarray
+    states: np.ndarray
+    gates: np.ndarray
+    new: np.ndarray
+    inner: np.ndarray
+
+
+def forward(p: dict[str, np.ndarray], inputs: np.ndarray, state: np.ndarray) -> Window:
+    """The unit run over a window.  A start input clears the state."""
+    shape, h2 = inputs.shape, 2 * HIDDEN
+    x = (p["x"] + p["b"])[inputs]
+    w = Window(*(np.empty((*shape, n), x.dtype) for n in (HIDDEN, HIDDEN, h2, HIDDEN, HIDDEN)))
+    starts = inputs == _START
+    cleared, u = starts.any(1).tolist(), p["u"]
+    for t in range(len(inputs)):
+        before = w.before[t]
+        before[...] = state
+        if cleared[t]:
+            before[starts[t]] = 0
+        a = before @ u
+        gates, new, state = w.gates[t], w.new[t], w.states[t]
+        np.add(x[t, :, :h2], a[:, :h2], out=gates)
+        # the logistic function by way of tanh, in place
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        w.inner[t] = a[:, h2:]
+        np.multiply(gates[:, HIDDEN:], a[:, h2:], out=new)
+        new += x[t, :, h2:]
+        np.tanh(new, out=new)
+        np.subtract(before, new, out=state)
+        state *= gates[:, :HIDDEN]
+        state += new
+    return w
 
 
 def class_of(targets: np.ndarray) -> np.ndarray:
     return np.where(targets < HEAD, targets // _IN_CLASS, targets - HEAD + CLASSES)
 
 
-def log_probabilities(p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural logarithms of p(class | state), times p(word | class, state) for head words."""
-    logits = states @ p["c"] + p["cb"]
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each target; the head targets in the order of their classes, and where each class begins and ends among them."""
     classes = class_of(targets)
-    out = logits[np.arange(len(targets)), classes] - _log_sum(logits)
     order = np.argsort(classes, kind="stable")
     ends = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+    return classes, order[: ends[-1]], ends
+
+
+def _inner_logits(p: dict[str, np.ndarray], states: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Logits within its class of each head target, given their states in the order of classes."""
+    out = np.empty((len(states), _IN_CLASS), states.dtype)
     for k in range(CLASSES):
-        rows = order[ends[k] : ends[k + 1]]
-        if len(rows):
-            inner = states[rows] @ p["w"][k] + p["wb"][k]
-            out[rows] += inner[np.arange(len(rows)), targets[rows] % _IN_CLASS] - _log_sum(inner)
+        if ends[k] < ends[k + 1]:
+            rows = slice(ends[k], ends[k + 1])
+            np.add(states[rows] @ p["w"][k], p["wb"][k], out=out[rows])
+    return out
+
+
+def log_probabilities(p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Natural logarithms of p(class | state), times p(word | class, state) for head words."""
+    classes, order, ends = _by_class(targets)
+    logits = states @ p["c"] + p["cb"]
+    out = logits[np.arange(len(targets)), classes] - _log_sum(logits)
+    inner = _inner_logits(p, states[order], ends)
+    out[order] += inner[np.arange(len(order)), targets[order] % _IN_CLASS] - _log_sum(inner)
     return out
 
 
@@ -186,7 +221,7 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
         # lanes are sorted by length, so those at their end are the last columns
         live = int((owner[begin] >= 0).sum())
         window = slice(begin, begin + WINDOW)
-        states = np.stack([s[0] for s in steps(p, inputs[window, :live], state[:live])])
+        states = forward(p, inputs[window, :live], state[:live]).states
         state = states[-1]
         used = owner[window, :live] >= 0
         logs = log_probabilities(p, states[used], targets[window, :live][used])
@@ -194,49 +229,64 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
     return total
 
 
+def _softmax_error(logits: np.ndarray, goals: np.ndarray, scale: np.float32) -> np.ndarray:
+    """Derivative of the scaled loss by the logits, in their place."""
+    logits -= logits.max(1, keepdims=True, initial=-np.inf)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    logits[np.arange(len(goals)), goals] -= 1
+    logits *= scale
+    return logits
+
+
 def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, used: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray]:
     """Gradients of the mean loss over one window, and the state after it; what came before the window is a constant."""
-    trace = list(steps(p, inputs, state))
-    states = np.stack([t[0] for t in trace])
-    flat, goals = states[used], targets[used]
-    scale = np.float32(1 / max(len(flat), 1))
+    w = forward(p, inputs, state)
+    flat, goals = w.states[used], targets[used]
+    scale = flat.dtype.type(1 / max(len(flat), 1))
     g = {k: np.zeros_like(v) for k, v in p.items()}
-    classes, rows = class_of(goals), np.arange(len(goals))
-    logits = flat @ p["c"] + p["cb"]
-    d = np.exp(logits - _log_sum(logits)[:, None])
-    d[rows, classes] -= 1
-    d *= scale
+    classes, order, ends = _by_class(goals)
+    d = _softmax_error(flat @ p["c"] + p["cb"], classes, scale)
     g["c"], g["cb"] = flat.T @ d, d.sum(0)
     back = d @ p["c"].T
-    for k in np.unique(classes[classes < CLASSES]):
-        at = np.flatnonzero(classes == k)
-        inner = flat[at] @ p["w"][k] + p["wb"][k]
-        d = np.exp(inner - _log_sum(inner)[:, None])
-        d[np.arange(len(at)), goals[at] % _IN_CLASS] -= 1
-        d *= scale
-        g["w"][k], g["wb"][k] = flat[at].T @ d, d.sum(0)
-        back[at] += d @ p["w"][k].T
-    outer = np.zeros_like(states)
+    head = flat[order]
+    d = _softmax_error(_inner_logits(p, head, ends), goals[order] % _IN_CLASS, scale)
+    inner_back = np.empty_like(head)
+    for k in range(CLASSES):
+        if ends[k] < ends[k + 1]:
+            rows = slice(ends[k], ends[k + 1])
+            g["w"][k], g["wb"][k] = head[rows].T @ d[rows], d[rows].sum(0)
+            np.matmul(d[rows], p["w"][k].T, out=inner_back[rows])
+    back[order] += inner_back
+    outer = np.zeros_like(w.states)
     outer[used] = back
-    dx = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-    later = np.zeros_like(state)
-    h2 = 2 * HIDDEN
+
+    # what a step's error is multiplied by, for all steps at once; the loop goes back through the states
+    z, r = w.gates[..., :HIDDEN], w.gates[..., HIDDEN:]
+    to_new = (1 - z) * (1 - w.new * w.new)
+    to_gates = np.concatenate([(w.before - w.new) * z * (1 - z), to_new * w.inner * r * (1 - r)], axis=2)
+    da, dnew = np.empty((*inputs.shape, 3 * HIDDEN), flat.dtype), np.empty_like(w.new)
+    going_on = (inputs != _START)[..., None].astype(flat.dtype)
+    back_u, later = np.ascontiguousarray(p["u"].T), np.zeros_like(state)
     for t in range(len(inputs) - 1, -1, -1):
-        _, before, z, r, new, an = trace[t]
-        dh = outer[t] + later
-        dnew = dh * (1 - z) * (1 - new * new)
-        dz = dh * (before - new) * z * (1 - z)
-        dr = dnew * an * r * (1 - r)
-        dx[t] = np.concatenate([dz, dr, dnew], axis=1)
-        da = np.concatenate([dz, dr, dnew * r], axis=1)
-        g["u"] += before.T @ da
-        later = np.where((inputs[t] == _START)[:, None], np.float32(0), dh * z + da @ p["u"].T)
-    flat_x = dx.reshape(-1, 3 * HIDDEN)
+        later += outer[t]
+        gates, new = da[t], dnew[t]
+        np.multiply(later, to_gates[t, :, :HIDDEN], out=gates[:, :HIDDEN])
+        np.multiply(later, to_gates[t, :, HIDDEN:], out=gates[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(later, to_new[t], out=new)
+        np.multiply(new, r[t], out=gates[:, 2 * HIDDEN :])
+        later *= z[t]
+        later += gates @ back_u
+        later *= going_on[t]
+    g["u"] = w.before.reshape(-1, HIDDEN).T @ da.reshape(-1, 3 * HIDDEN)
+    da[..., 2 * HIDDEN :] = dnew
+    flat_x = da.reshape(-1, 3 * HIDDEN)
     g["b"] = flat_x.sum(0)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    ids, first = np.unique(inputs.ravel()[order], return_index=True)
+    at = inputs.ravel()
+    order = np.argsort(at, kind="stable")
+    ids, first = np.unique(at[order], return_index=True)
     g["x"][ids] = np.add.reduceat(flat_x[order], first)
-    return g, states[-1]
+    return g, w.states[-1]
 
 
 class Trainer:
@@ -325,28 +375,34 @@ class Reader:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.memo: dict[bytes, int] = {}
-        self.ids: list[int] = []
-        self.logs: list[float] = []
-
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Positions in ``ids`` and ``logs``; log10(count + 1) is NaN for words whose count must be joined."""
-        if len(self.memo) > _MEMO:
-            self.memo.clear(), self.ids.clear(), self.logs.clear()
-        memo, head, known = self.memo, self.v.head, self.v.known
-        for word in set(words).difference(memo):
-            memo[word] = len(self.ids)
-            at = head.get(word)
-            self.ids.append(HEAD + tail_class(word) if at is None else at)
-            count = known.get(word, 0 if word == END or len(known) == self.v.distinct else None)
-            self.logs.append(np.nan if count is None else np.log10(count + 1) if count else -0.0)
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-
-    def text(self, data: bytes) -> np.ndarray:
-        words = words_of(data, lower=True)
-        words.append(END)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
+        self.ids, self.logs = np.zeros(0, np.int32), np.zeros(0)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Model ids of new words, and log10(count + 1), which is NaN for words whose count must be joined."""
+        head, known, missing = self.v.head.get, self.v.known.get, 0 if len(self.v.known) == self.v.distinct else np.nan
+        ids = [i if (i := head(w)) is not None else HEAD + tail_class(w) for w in words]
+        counts = np.fromiter((known(w, 0 if w == END else missing) for w in words), float, len(words))
+        logs = np.where(counts > 0, np.log10(counts + 1), np.where(np.isnan(counts), np.nan, -0.0))
+        self.ids, self.logs = np.concatenate([self.ids, np.array(ids, np.int32)]), np.concatenate([self.logs, logs])
+
+    def places(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Positions in ``ids`` and ``logs`` of the words of all texts, one text after the other."""
+        if len(self.numbers) > _MEMO:
+            self._forget()
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        if len(self.numbers) > len(self.ids):
+            self._learn(list(islice(self.numbers, len(self.ids), None)))
+        return at
+
+    def texts(self, data: list[bytes]) -> list[np.ndarray]:
+        """The model ids of each text."""
+        words = [[*words_of(d, lower=True), END] for d in data]
         at = self.places(words)
-        return np.array(self.ids, np.int32)[at] if len(self.ids) < 4 * len(at) else np.fromiter((self.ids[i] for i in at), np.int32, len(at))
+        return np.split(self.ids[at], np.cumsum([len(w) for w in words])[:-1]) if words else []
 
 
 def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -363,7 +419,7 @@ def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) ->
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             reader, trainer = Reader(vocabulary), Trainer(start)
             for frame in frames:
-                texts = [reader.text(bytes(t)) for t in frame["_text"]]
+                texts = reader.texts([bytes(t) for t in frame["_text"]])
                 for _ in range(EPOCHS):
                     trainer.learn(texts)
             if trainer.tokens:
@@ -400,21 +456,18 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = held(token, lambda: Reader(vocabulary))
         for batch in batches:
-            for part in slices(batch):
-                texts, base, known, rest = [], [], [], []
-                for data in part.column(0).to_pylist():
-                    words = words_of(data, lower=True)
-                    words.append(END)
-                    at = reader.places(words)
-                    logs = np.fromiter((reader.logs[i] for i in at), float, len(at))
-                    ids = np.fromiter((reader.ids[i] for i in at), np.int32, len(at))
-                    open_ = np.isnan(logs)
-                    known.append(int((logs > 0).sum()))
-                    rest.append(Counter([words[i] for i in np.flatnonzero(open_)]))
-                    logs[open_] = 0
-                    tail = ids >= HEAD
-                    texts.append(ids)
-                    base.append((logs.sum() - len(ids) * size, logs[tail].sum() - tail_size[ids[tail] - HEAD].sum()))
+            for part in slices(batch, rows=SCORE_ROWS):
+                words = [[*words_of(data, lower=True), END] for data in part.column(0).to_pylist()]
+                at, ends = reader.places(words), np.cumsum([len(w) for w in words])
+                ids, logs = reader.ids[at], reader.logs[at]
+                texts = np.split(ids, ends[:-1])
+                open_, tail = np.isnan(logs), ids >= HEAD
+                summed = lambda values: np.add.reduceat(values, ends - [len(w) for w in words])
+                known = summed((logs > 0).astype(np.int64)).tolist()
+                logs[open_] = 0
+                outer = np.where(tail, logs - tail_size[np.where(tail, ids - HEAD, 0)], 0)
+                base = list(zip(summed(logs - size), summed(outer)))
+                rest = [Counter(map(w.__getitem__, np.flatnonzero(o).tolist())) for w, o in zip(words, np.split(open_, ends[:-1]))]
                 model = score_texts(weights, texts) / np.log(10)
                 owners, words_, times = [], [], []
                 for i, more in enumerate(rest):
