@@ -45,11 +45,11 @@ HEAD, CLASSES, TAIL, HIDDEN = 512, 16, 32, 16
 #: Words whose counts every task holds; the counts of others are joined.
 KNOWN = 200_000
 ROUNDS, EPOCHS = 2, 1
-TASK_TOKENS, LANES, WINDOW, RATE = 1_000_000, 64, 24, 0.01
+TASK_TOKENS, LANES, WINDOW, RATE = 2_000_000, 128, 24, 0.01
 #: In an average of trained copies the weights before it count as so many tokens, so few texts move them little.
 START_TOKENS = 20_000
 #: Lanes and texts scored at once: a long text costs its steps alone, so many others should run beside it.
-SCORE_LANES, SCORE_ROWS = 512, 4_000
+SCORE_LANES, SCORE_ROWS = 512, 3_000
 END = b"\n"
 _IN_CLASS = HEAD // CLASSES
 _OUT = CLASSES + TAIL
@@ -463,25 +463,23 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
                 texts = np.split(ids, ends[:-1])
                 open_, tail = np.isnan(logs), ids >= HEAD
                 summed = lambda values: np.add.reduceat(values, ends - [len(w) for w in words])
-                known = summed((logs > 0).astype(np.int64)).tolist()
+                known = summed((logs > 0).astype(np.int64))
                 logs[open_] = 0
                 outer = np.where(tail, logs - tail_size[np.where(tail, ids - HEAD, 0)], 0)
-                base = list(zip(summed(logs - size), summed(outer)))
-                rest = [Counter(map(w.__getitem__, np.flatnonzero(o).tolist())) for w, o in zip(words, np.split(open_, ends[:-1]))]
+                base, outside = summed(logs - size), summed(outer)
                 model = score_texts(weights, texts) / np.log(10)
-                owners, words_, times = [], [], []
-                for i, more in enumerate(rest):
-                    owners += [i] * (len(more) + 1)
-                    words_ += [b"\n %d" % i, *more]
-                    times += [0, *more.values()]
-                firsts = np.array(times) == 0
-                spread = lambda values, kind: pa.array(np.where(firsts, np.array(values)[owners], 0), kind)
-                taken = part.select(["_id", "_held", "_hash"]).take(pa.array(owners))
+                # each text's own row, then a row for each of its words whose count must be joined
+                n, size_ = len(words), len(reader.numbers)
+                pairs, times = np.unique(np.repeat(np.arange(n), [len(w) for w in words])[open_] * size_ + at[open_], return_counts=True)
+                met = list(reader.numbers)
+                words_ = [b"\n %d" % i for i in range(n)] + list(map(met.__getitem__, (pairs % max(size_, 1)).tolist()))
+                taken = part.select(["_id", "_held", "_hash"]).take(pa.array(np.concatenate([np.arange(n), pairs // max(size_, 1)])))
+                none = np.zeros(len(pairs), np.int64)
+                spread = lambda values, kind: pa.array(np.concatenate([values, none]).astype(kind))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *taken.columns, pa.array(words_, pa.binary()), pa.array(times, pa.int64()),
-                        spread([len(t) for t in texts], pa.int64()), spread(known, pa.int64()),
-                        spread([b[0] for b in base], pa.float64()), spread([b[1] + m for b, m in zip(base, model)], pa.float64()),
+                        *taken.columns, pa.array(words_, pa.binary()), pa.array(np.concatenate([np.zeros(n, np.int64), times])),
+                        spread([len(t) for t in texts], np.int64), spread(known, np.int64), spread(base, float), spread(outside + model, float),
                     ],
                     names=["_id", "_held", "_hash", "word", "_times", "_tokens", "_known", "_base", "_score"],
                 )
