@@ -151,6 +151,76 @@ def test_scoring_by_words_equals_the_average_of_vectors():
         assert scorer.score(text) == pytest.approx(1 / (1 + np.exp(logits[0] - logits[1])), abs=1e-6)
 
 
+def slow_buckets(word):
+    """The word and its character n-grams, cut from the decoded word."""
+    marked = f"<{word}>"
+    grams = [(n, marked[i : i + n]) for n in classifier.NGRAMS for i in range(len(marked) - n + 1)]
+    return [zlib.crc32(word.encode()) % classifier.BUCKETS] + [zlib.crc32(g.encode(), n) % classifier.BUCKETS for n, g in grams]
+
+
+def test_ngrams_are_of_characters(monkeypatch):
+    words = ["a", "plain", "été", "Привет", "中文", "🙂", "naïve🙂x", "x" * 50 + "é" * 50]
+    for run in (1 << 16, 7):
+        monkeypatch.setattr(classifier, "_RUN", run)
+        for word in words:
+            assert sorted(b for part in classifier.subwords(word.encode()) for b in part) == sorted(slow_buckets(word))
+
+
+def test_gradients_are_those_of_the_weighted_loss():
+    rng = np.random.default_rng(3)
+    model = classifier.Classifier(rng.normal(size=(classifier.BUCKETS, classifier.DIMENSIONS)), rng.normal(size=(2, classifier.DIMENSIONS)), rng.normal(size=2))
+    bags = [classifier.bag(t) for t in (b"some plain words", "été à Paris".encode(), b"", b"words words again")]
+    target, weight = np.array([1, 0, 1, 0]), np.array([0.5, 2.0, 1.0, 1.5])
+
+    def loss():
+        out = 0.0
+        for (ids, shares), t, w in zip(bags, target, weight):
+            logits = model.layer @ (shares @ model.vectors[ids] if len(ids) else np.zeros(classifier.DIMENSIONS)) + model.bias
+            out -= w * (logits[t] - np.log(np.exp(logits).sum()))
+        return out
+
+    layer, bias, touched, vectors = classifier.gradients(model, bags, target, weight)
+    assert set(touched) == {int(i) for ids, _ in bags for i in ids}
+    for array, at, got in [(model.layer, (1, 3), layer[1, 3]), (model.bias, (0,), bias[0]), (model.vectors, (touched[5], 2), vectors[5, 2]), (model.vectors, (touched[-1], 0), vectors[-1, 0])]:
+        array[at] += 1e-6
+        high = loss()
+        array[at] -= 2e-6
+        assert (high - loss()) / 2e-6 == pytest.approx(got, rel=1e-4, abs=1e-8)
+        array[at] += 1e-6
+
+
+def test_training_against_a_loop_over_documents():
+    """The same steps, one document and one bucket at a time."""
+    texts = [b"good plain words here", b"bad bad bad", "des mots français".encode(), b"bad again and again", b"good words"] * 9
+    labels, weights = [int(not t.startswith(b"bad")) for t in texts], [1.0 + i % 3 for i in range(len(texts))]
+    bags = [classifier.bag(t) for t in texts]
+    got = classifier.train(bags, labels, weights, seed=5)
+    rng = np.random.default_rng(5)
+    vectors = rng.uniform(-1 / classifier.DIMENSIONS, 1 / classifier.DIMENSIONS, (classifier.BUCKETS, classifier.DIMENSIONS))
+    share = (np.dot(weights, labels) / sum(weights) * len(bags) + 0.5) / (len(bags) + 1)
+    bias, layer = np.log([1 - share, share]), rng.normal(0, 0.1, (2, classifier.DIMENSIONS))
+    batches = -(-len(bags) // classifier.BATCH)
+    for epoch in range(classifier.EPOCHS):
+        order = rng.permutation(len(bags))
+        for k in range(batches):
+            rate = classifier.RATE * (1 - (epoch * batches + k) / (classifier.EPOCHS * batches))
+            d_layer, d_bias, d_vectors = np.zeros_like(layer), np.zeros(2), {}
+            for i in order[k * classifier.BATCH : (k + 1) * classifier.BATCH]:
+                average = sum(s * vectors[b] for b, s in zip(*bags[i]))
+                p = np.exp(layer @ average + bias)
+                p = p / p.sum()
+                p[labels[i]] -= 1
+                p *= weights[i]
+                d_layer += np.outer(p, average)
+                d_bias += p
+                for b, s in zip(*bags[i]):
+                    d_vectors[b] = d_vectors.get(b, 0) + s * (p @ layer)
+            layer, bias = layer - rate * classifier.LAYER_RATE * d_layer, bias - rate * classifier.BIAS_RATE * d_bias
+            for b, d in d_vectors.items():
+                vectors[b] -= rate * classifier.VECTOR_RATE * d
+    assert np.allclose(got.vectors, vectors, atol=1e-5) and np.allclose(got.layer, layer, atol=1e-5) and np.allclose(got.bias, bias, atol=1e-5)
+
+
 def test_labels_of_the_held_out_fold_are_never_read(spark, sf_dir):
     """Turning every held-out label round changes no score."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")

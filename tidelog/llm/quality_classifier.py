@@ -5,7 +5,10 @@ character n-gram of its words, hashed into a fixed number of buckets.  A word th
 repeats the one before it is read as one special word, whatever it is.  A softmax
 layer over the average gives the label.  Vectors and layer are trained together by
 stochastic gradient descent in numpy on at most ``per_label`` labelled rows of each
-label (the rows with the smallest id hashes); every text is then scored whole.
+label (the rows with the smallest id hashes); every text is then scored whole.  N-grams
+are of characters, not bytes.  The gradient is that of the weighted cross-entropy; its
+steps have a rate of their own for vectors, layer and bias, as averages of many vectors
+give each of them a small gradient.
 
 Scoring is linear up to the softmax, so a word needs only the sum of its vectors
 times the layer and how many vectors it has; both are remembered per word.
@@ -34,6 +37,8 @@ DIMENSIONS = 8
 NGRAMS = (3, 4)
 PER_LABEL = 1_000
 EPOCHS, BATCH, RATE = 12, 32, 0.5
+#: Rates of vectors, layer and bias, as multiples of RATE.
+VECTOR_RATE, LAYER_RATE, BIAS_RATE = 20, 1, 0.02
 ACCEPT_FROM = 0.3
 #: Words remembered, the longest of them in bytes, and n-gram positions handled at once.
 _MEMO, _MEMO_WORD, _RUN = 400_000, 256, 1 << 16
@@ -41,13 +46,16 @@ _AGAIN = b"\x00"
 
 
 def subwords(word: bytes) -> Iterator[list[int]]:
-    """Buckets of a word, in runs of bounded size: the word itself and all byte n-grams of the word between < and >."""
+    """Buckets of a word, in runs of bounded size: the word itself and all character n-grams of the word between < and >."""
     marked = b"<" + word + b">"
-    for begin in range(0, len(marked), _RUN):
+    # where each character begins: every byte but those that continue one
+    starts = range(len(marked)) if word.isascii() else [i for i, b in enumerate(marked) if b & 0xC0 != 0x80]
+    ends = [*starts, len(marked)]
+    for begin in range(0, len(starts), _RUN):
         out = [] if begin else [zlib.crc32(word) % BUCKETS]
         for n in NGRAMS:
-            until = min(begin + _RUN, len(marked) - n + 1)
-            out += [zlib.crc32(marked[i : i + n], n) % BUCKETS for i in range(begin, until)]
+            until = min(begin + _RUN, len(starts) - n + 1)
+            out += [zlib.crc32(marked[ends[i] : ends[i + n]], n) % BUCKETS for i in range(begin, until)]
         yield out
 
 
@@ -84,6 +92,24 @@ class Classifier:
         return self.vectors @ (self.layer[1] - self.layer[0]), float(self.bias[1] - self.bias[0])
 
 
+def gradients(model: Classifier, bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, weight: np.ndarray) -> tuple:
+    """Of the weighted cross-entropy summed over some documents: by layer, bias, and the vectors of the buckets they touch."""
+    ids = np.concatenate([b[0] for b in bags])
+    shares = np.concatenate([b[1] for b in bags])
+    rows = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
+    parts = model.vectors[ids] * shares[:, None]
+    average = np.stack([np.bincount(rows, parts[:, d], len(bags)) for d in range(DIMENSIONS)], axis=1)
+    logits = average @ model.layer.T + model.bias
+    p = np.exp(logits - logits.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(len(bags)), target] -= 1
+    p *= weight[:, None]
+    each = (p @ model.layer)[rows] * shares[:, None]
+    touched, inverse = np.unique(ids, return_inverse=True)
+    by_bucket = np.stack([np.bincount(inverse, each[:, d], len(touched)) for d in range(DIMENSIONS)], axis=1)
+    return p.T @ average, p.sum(0), touched, by_bucket
+
+
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], weights: list[float], seed: int = 7) -> Classifier:
     """Minibatch gradient descent on weighted cross-entropy; the rate falls linearly to zero."""
     rng = np.random.default_rng(seed)
@@ -105,24 +131,10 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], weights:
         for begin in range(0, len(bags), BATCH):
             chosen = order[begin : begin + BATCH]
             rate, step = RATE * (1 - step / steps), step + 1
-            ids = np.concatenate([bags[i][0] for i in chosen])
-            shares = np.concatenate([bags[i][1] for i in chosen])
-            rows = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
-            parts = model.vectors[ids] * shares[:, None]
-            average = np.stack([np.bincount(rows, parts[:, d], len(chosen)) for d in range(DIMENSIONS)], axis=1)
-            logits = average @ model.layer.T + model.bias
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(chosen)), target[chosen]] -= 1
-            p *= weight[chosen][:, None]
-            back = p @ model.layer
-            model.layer -= rate * p.T @ average
-            model.bias -= rate * 0.02 * p.sum(0)
-            # a bucket's gradient is its share of the document; scaled up, as averages make it tiny
-            grads = back[rows] * shares[:, None]
-            touched, inverse = np.unique(ids, return_inverse=True)
-            for d in range(DIMENSIONS):
-                model.vectors[touched, d] -= rate * 20 * np.bincount(inverse, grads[:, d], len(touched))
+            layer, bias, touched, vectors = gradients(model, [bags[i] for i in chosen], target[chosen], weight[chosen])
+            model.layer -= rate * LAYER_RATE * layer
+            model.bias -= rate * BIAS_RATE * bias
+            model.vectors[touched] -= rate * VECTOR_RATE * vectors
     return model
 
 
