@@ -343,3 +343,26 @@ def test_lm_trains_on_every_training_document(spark, documents, monkeypatch):
     gated_lm.train(frame, "text", "doc_id", vocabulary)
     assert len(trained) == gated_lm.ROUNDS and min(trained) > 0.3 * vocabulary.tokens
     assert sum(trained) == vocabulary.tokens == sum(len(words_of((t or "").encode())) + 1 for _, t in rows)
+
+
+PLAIN = "array_join(transform(sequence(0, 90), i -> concat(char(97 + (i * i + id) % 26), 'ord', char(97 + (i * 7 + id) % 26), if(i % 9 = 8, '.', ''))), ' ')"
+
+
+def test_invalid_bytes_in_every_query(spark, tmp_path):
+    """A text that is no UTF-8 runs through every query and the pipeline, as if it held replacement characters."""
+    from tidelog.llm import queries
+
+    ids = spark.range(24).selectExpr("id as doc_id", f"concat(if(id % 6 = 0, cast(unhex('46FF6220') as string), ''), {PLAIN}) as text", "'en' as lang", "concat('s', id % 2) as source", "9L as n_chars")
+    folder = str(tmp_path)
+    ids.write.parquet(f"{folder}/documents.parquet")
+    ids.selectExpr("doc_id", "int(doc_id % 2) as quality", "0 as toxic").write.parquet(f"{folder}/labels.parquet")
+    ids.selectExpr("doc_id as item_id", "text").write.parquet(f"{folder}/benchmark.parquet")
+    ids.selectExpr("doc_id as page_id", "concat('http://a.com/', doc_id) as url", "concat('<html><body><article><p>', text, '</p></article></body></html>') as html").write.parquet(f"{folder}/pages.parquet")
+    ids.selectExpr("doc_id div 2 as conv_id", "doc_id % 2 as turn", "if(doc_id % 2 = 0, 'user', 'assistant') as role", "text").write.parquet(f"{folder}/conversations.parquet")
+    for name, query in queries.QUERIES.items():
+        rows = query(spark, folder).collect()
+        assert rows or name == "pipeline", name
+        if name in ("op8_byte_bpe", "op9_token_files", "op3_fingerprints", "op5_quality_rules"):
+            assert len(rows) == 24
+    pages = queries.op6_html_text(spark, folder).filter("page_id = 0").first()
+    assert pages.text.startswith("F�b ")

@@ -31,6 +31,11 @@ def text_bytes(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def valid_text(column: str) -> Column:
+    """The text, null as empty, with the replacement character for bytes that are no UTF-8."""
+    return F.make_valid_utf8(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")))
+
+
 def words_of(text: bytes, lower: bool = False) -> list[bytes]:
     return (text.translate(LOWER) if lower else text).split()
 
@@ -76,9 +81,10 @@ def per_text(
     """``keep`` columns of every row, followed by the columns ``made`` that ``work`` gives for its text.
 
     ``work`` takes a list of texts as bytes and returns one list for each column
-    of ``made`` (a DDL string).  The text itself does not return to the JVM.
+    of ``made`` (a DDL string).  The texts are valid UTF-8, by replacement characters
+    if need be.  The text itself does not return to the JVM.
     """
-    source = frame.select(text_bytes(text).alias("_text"), *[F.col(f"`{c}`") for c in keep])
+    source = frame.select(valid_text(text).cast("binary").alias("_text"), *[F.col(f"`{c}`") for c in keep])
     added = T._parse_datatype_string(made)
     schema = T.StructType(source.schema.fields[1:] + added.fields)
     names = [f.name for f in added.fields]
@@ -98,13 +104,18 @@ def per_text(
 
 
 def filtered_by_text(frame: DataFrame, text: str, keeps: Callable[[list[bytes]], list[bool]]) -> DataFrame:
-    """The rows, all columns unchanged, whose text ``keeps`` accepts; extra columns may have any name."""
+    """The rows, all columns unchanged, whose text ``keeps`` accepts; extra columns may have any name.
+
+    ``keeps`` sees replacement characters where a text is no valid UTF-8; the row keeps its bytes.
+    """
     position = frame.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, position):
-                texts = [(t or "").encode() for t in part.column(position).to_pylist()]
+                # invalid bytes would stop the conversion to str
+                found = part.column(position).cast(pa.binary()).to_pylist()
+                texts = [(t or b"").decode(errors="replace").encode() for t in found]
                 yield part.filter(pa.array(keeps(texts), type=pa.bool_()))
 
     return frame.mapInArrow(run, frame.schema)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import held, per_text, words_of
+from tidelog.llm.common import held, per_text, valid_text, words_of
 
 K, SHINGLE, SEED = 128, 5, 42
 _MEMO, _CHUNK = 400_000, 1 << 20
@@ -197,7 +197,7 @@ def with_next(documents: DataFrame, text: str, id_: str, block_rows: int = 500)
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(border), *taken.columns], names=["_block", "_border", "_id", "_text"])
 
-    source = documents.select(F.col(id_).cast("bigint").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    source = documents.select(F.col(id_).cast("bigint").alias("_id"), valid_text(text).alias("_text"))
     dealt = source.mapInArrow(deal, "_block int, _border tinyint, _id bigint, _text string")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     return dealt.repartition(min(tasks, last + 1) if last + 1 < tasks else tasks, "_block").sortWithinPartitions(

@@ -12,7 +12,8 @@ Blocks are cut at quantiles of the id, so no task needs a whole order.  A task
 streams a block into its file, RECORD sequences at a time; a file is written under a
 name of its own and renamed when complete, so a repeated task leaves one good file.
 
-Null text: like an empty one, only its end id.  Null ids come first; rows with one
+Null text: like an empty one, only its end id.  Bytes that are no UTF-8 are read as the
+replacement character.  Null ids come first; rows with one
 id are ordered by text.  An empty table gives no files and an empty index.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.byte_bpe import SPACE, chunks
-from tidelog.llm.common import held, stored
+from tidelog.llm.common import held, stored, valid_text
 from tidelog.workspace import new_dir
 
 SEQUENCE, RECORD, END_ID = 2_048, 256, 2
@@ -235,7 +236,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
     def block_of(values: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(starts, values.to_numpy(), side="right").astype(np.int32))
 
-    source = documents.select(F.col(id_).cast("bigint").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    source = documents.select(F.col(id_).cast("bigint").alias("_id"), valid_text(text).alias("_text"))
     tasks = min(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(starts) + 1)
     dealt = source.withColumn("_block", F.when(F.col("_id").isNull(), 0).otherwise(block_of(F.coalesce("_id", F.lit(0))))).repartition(max(tasks, 1), "_block")
     ordered = dealt.sortWithinPartitions("_block", F.col("_id").asc_nulls_first(), "_text")
