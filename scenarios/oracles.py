@@ -453,6 +453,8 @@ Q["cdc_snapshot_diff"] = (
     _snapshot_diff("orders", "orders_old", "orders_new", "order_id") + " union all by name "
     + _snapshot_diff("customers", "customers_old", "customers_new", "customer_id")
 )
+CTES["orders_next_day"] = _snapshot("2024-01-16")
+Q["snapshot_diff_by_digest"] = _snapshot_diff("orders", "orders_old", "orders_next_day", "order_id")
 Q["cdc_cascade_set_null"] = f"""
   with gone as (select customer_id, min(_commit_timestamp) as _commit_timestamp from raw_customers
                 where _change_type = 'DELETE' and customer_id is not null and _commit_timestamp >= {CUT_TS} group by 1)

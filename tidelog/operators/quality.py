@@ -22,7 +22,7 @@ def _amount() -> Column:
     return F.col("order_amount").try_cast("double")
 
 
-# Ordered rules per entity: the first one that holds names the reason.  A rule on a
+# Ordered rules per entity (their names are fixed values): the first one that holds names the reason.  A rule on a
 # NULL value is unknown and so does not hold.
 RULES: dict[str, list[tuple[str, Callable[[], Column]]]] = {
     "customers": [
@@ -76,7 +76,7 @@ def reason_counts(rows: DataFrame, entity: str) -> DataFrame:
 
 
 def key_problem(entity: str) -> Column:
-    """Why the merge path refuses a row: a blank key, or an amount that is no number."""
+    """Why the merge path refuses a row: a blank key, or an amount that is no number.  The texts are fixed values."""
     if entity == "customers":
         return F.when(C.cleaned("customer_id") == "", "Missing customer_id")
     given = F.col("order_amount").cast("string")

@@ -16,7 +16,7 @@ DIM_COLUMNS = [
 
 
 def unknown_member(history: DataFrame) -> DataFrame:
-    """The one row facts without a customer version point to."""
+    """The one row facts without a customer version point to; its values are fixed."""
     return history.sparkSession.range(1).select(
         F.lit(S.UNKNOWN_KEY).alias("customer_sk"),
         F.lit("unknown").alias("customer_id"),

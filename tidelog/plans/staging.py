@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog import schemas as S
 from tidelog.functions import columns as C
 
+# reasons of the quarantine tables; the first two are fixed values
 CUSTOMER_REASON = "Invalid email format or missing state code"
 ORDER_REASON, AMOUNT_REASON = "Negative order amount", "Order amount is no amount of money"
 
