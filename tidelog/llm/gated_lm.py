@@ -54,7 +54,8 @@ END = b"\n"
 _IN_CLASS = HEAD // CLASSES
 _OUT = CLASSES + TAIL
 _START = HEAD + TAIL
-_MEMO = 400_000
+#: Words remembered, and texts whose words are in memory at once.
+_MEMO, _READ = 400_000, 200
 #: Biases that hold the counts of all training words; what a task's texts say cannot better them.
 _FIXED = frozenset(("cb", "wb"))
 
@@ -389,20 +390,26 @@ class Reader:
         logs = np.where(counts > 0, np.log10(counts + 1), np.where(np.isnan(counts), np.nan, -0.0))
         self.ids, self.logs = np.concatenate([self.ids, np.array(ids, np.int32)]), np.concatenate([self.logs, logs])
 
-    def places(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Positions in ``ids`` and ``logs`` of the words of all texts, one text after the other."""
+    def places(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``ids`` and ``logs`` of the words of all texts, one text after the other, and the number of words of each.
+
+        They hold until the next call.  The words of a few texts are in memory at once.
+        """
         if len(self.numbers) > _MEMO:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        at, lengths = [np.zeros(0, np.int64)], []
+        for begin in range(0, len(data), _READ):
+            texts = [[*words_of(d, lower=True), END] for d in data[begin : begin + _READ]]
+            lengths += map(len, texts)
+            at.append(np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts))))
         if len(self.numbers) > len(self.ids):
             self._learn(list(islice(self.numbers, len(self.ids), None)))
-        return at
+        return np.concatenate(at), np.array(lengths, np.int64)
 
     def texts(self, data: list[bytes]) -> list[np.ndarray]:
         """The model ids of each text."""
-        words = [[*words_of(d, lower=True), END] for d in data]
-        at = self.places(words)
-        return np.split(self.ids[at], np.cumsum([len(w) for w in words])[:-1]) if words else []
+        at, lengths = self.places(data)
+        return np.split(self.ids[at], np.cumsum(lengths)[:-1]) if data else []
 
 
 def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -457,29 +464,28 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
         reader = held(token, lambda: Reader(vocabulary))
         for batch in batches:
             for part in slices(batch, rows=SCORE_ROWS):
-                words = [[*words_of(data, lower=True), END] for data in part.column(0).to_pylist()]
-                at, ends = reader.places(words), np.cumsum([len(w) for w in words])
-                ids, logs = reader.ids[at], reader.logs[at]
+                at, lengths = reader.places(part.column(0).to_pylist())
+                ids, logs, ends = reader.ids[at], reader.logs[at], np.cumsum(lengths)
                 texts = np.split(ids, ends[:-1])
                 open_, tail = np.isnan(logs), ids >= HEAD
-                summed = lambda values: np.add.reduceat(values, ends - [len(w) for w in words])
+                summed = lambda values: np.add.reduceat(values, ends - lengths)
                 known = summed((logs > 0).astype(np.int64))
                 logs[open_] = 0
                 outer = np.where(tail, logs - tail_size[np.where(tail, ids - HEAD, 0)], 0)
                 base, outside = summed(logs - size), summed(outer)
                 model = score_texts(weights, texts) / np.log(10)
                 # each text's own row, then a row for each of its words whose count must be joined
-                n, size_ = len(words), len(reader.numbers)
-                pairs, times = np.unique(np.repeat(np.arange(n), [len(w) for w in words])[open_] * size_ + at[open_], return_counts=True)
+                n, size_ = len(lengths), len(reader.numbers)
+                pairs, times = np.unique(np.repeat(np.arange(n), lengths)[open_] * size_ + at[open_], return_counts=True)
                 met = list(reader.numbers)
-                words_ = [b"\n %d" % i for i in range(n)] + list(map(met.__getitem__, (pairs % max(size_, 1)).tolist()))
-                taken = part.select(["_id", "_held", "_hash"]).take(pa.array(np.concatenate([np.arange(n), pairs // max(size_, 1)])))
+                words_ = [b"\n %d" % i for i in range(n)] + list(map(met.__getitem__, (pairs % size_).tolist()))
+                taken = part.select(["_id", "_held", "_hash"]).take(pa.array(np.concatenate([np.arange(n), pairs // size_])))
                 none = np.zeros(len(pairs), np.int64)
                 spread = lambda values, kind: pa.array(np.concatenate([values, none]).astype(kind))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *taken.columns, pa.array(words_, pa.binary()), pa.array(np.concatenate([np.zeros(n, np.int64), times])),
-                        spread([len(t) for t in texts], np.int64), spread(known, np.int64), spread(base, float), spread(outside + model, float),
+                        spread(lengths, np.int64), spread(known, np.int64), spread(base, float), spread(outside + model, float),
                     ],
                     names=["_id", "_held", "_hash", "word", "_times", "_tokens", "_known", "_base", "_score"],
                 )
