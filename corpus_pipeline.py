@@ -3,6 +3,15 @@
 Every stage works on all rows the one before kept, is written as Parquet and read
 again.  Rejected documents, and all but one of each group of near copies, are gone
 for later stages.  All stages but the last return the columns of ``documents``.
+
+Null and empty texts fail the base check of the rules and go; a null language or source
+is a node of its own in the mix.  Texts of any length are read whole; bytes that are no
+UTF-8 are judged and encoded as the replacement character.  Of rows with equal
+fingerprints the smallest id stays, null ids last; of several rows with that id the one
+of smallest hash, so of rows repeated in every column one stays.  A document that the mix
+takes twice is two equal rows.  Extra columns stay until the last stage, which returns
+``doc_id, lang, source, ids, n_tokens``; columns may have any name.  Without documents
+every stage is empty; without labels the classifier gives all documents one score.
 """
 
 from __future__ import annotations
