@@ -199,3 +199,15 @@ def test_run_equals_the_stages(spark, sf_dir):
     got = entry.queries()["pipeline"](spark, folder)
     assert sorted((r.doc_id, r.ids) for r in got.collect()) == sorted((r.doc_id, r.ids) for r in docs.collect())
     assert got.count() > len(rows_of_table("documents", "doc_id")) // 3
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, odd, tmp_path):
+    """Extra columns with the names that operators use inside stay, unchanged, up to the last stage."""
+    folder, docs = str(tmp_path), odd
+    odd.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, folder), "odd-pipeline")
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == odd.columns and all(r.fp == "fp" and r._doc == "_doc" and r.kept == "kept" for r in docs.collect())
+    assert docs.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and docs.count() > 0
