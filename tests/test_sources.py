@@ -54,6 +54,15 @@ def test_one_bad_value_costs_one_event(spark, tmp_path):
     assert told.count() == len(events) + len(refused)
 
 
+def test_an_element_is_parsed_once(spark):
+    """A filter on the reason would otherwise parse the element again for each field it names."""
+    lines = spark.createDataFrame([('[{"_row_sequence_id": 1, "x": "2"}, 17]',)], "value string")
+    for rows in (feed.typed_events(feed.elements(lines)), feed.refused_elements(feed.elements(lines), ntz(AT))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(MapType") == 1
+    assert sorted(r.reason for r in rows.collect()) == ["Missing entity_type", "Unreadable"]
+
+
 def test_a_pretty_printed_array_with_a_bad_value(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([record(1, "orders", order_amount="x"), record(2)], indent=2))
     told = feed.read_elements(spark, str(tmp_path), whole_file_arrays=True)

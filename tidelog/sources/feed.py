@@ -70,7 +70,9 @@ def elements(lines: DataFrame) -> DataFrame:
     whole = F.array(F.struct(text.alias("element"), F.lit(False).alias("valid")))
     told = lines.filter(text.rlike(r"\S")).select(F.explode(F.coalesce(read, whole)).alias("e")).select("e.*")
     is_object = F.col("valid") & F.ltrim("element").startswith("{")
-    return told.select("element", F.when(is_object, F.from_json("element", "map<string,string>")).alias("event"))
+    event = F.when(is_object, F.from_json("element", "map<string,string>")).alias("event")
+    # no filter is pushed below an explode: pushed below a plain column, it would parse the element for each field it names
+    return told.select(F.explode(F.array(F.struct("element", event))).alias("e")).select("e.*")
 
 
 def _misfit(schema: T.StructType) -> Column:
