@@ -171,6 +171,17 @@ def test_a_replayed_batch_counts_once(spark, lake, tmp_path, rows_of):
     assert 0 < state.read_history(spark, root, 0).count() < len(history)
 
 
+def test_topic_files_are_compressed_and_bounded(spark, lake, tmp_path, monkeypatch, rows_of):
+    log = lake.change_log.select("_row_sequence_id", "entity_type", "_change_type", "_commit_timestamp")
+    monkeypatch.setattr(feed, "FILE_EVENTS", 1000)
+    feed.append_topic(log, str(tmp_path / "topic"))
+    files = list((tmp_path / "topic").glob("part-*"))
+    plain = spark.read.text(str(tmp_path / "topic"))
+    assert sum(f.stat().st_size for f in files) * 2 < plain.selectExpr("sum(length(value))").first()[0]
+    assert len(files) >= log.count() / 1000
+    assert rows_of(feed.read_change_files(spark, str(tmp_path / "topic")), log.columns) == rows_of(log)
+
+
 def test_what_a_batch_does_not_apply_is_kept_once(spark, tmp_path, rows_of):
     root = str(tmp_path / "state")
 

@@ -10,6 +10,7 @@ from tidelog import schemas as S
 from tidelog.functions import columns as C
 
 FIRST_ID = 0
+FILE_EVENTS = 200_000
 
 
 def changes_after(log: DataFrame, mark: DataFrame, ordered: bool = False) -> DataFrame:
@@ -134,5 +135,6 @@ def read_change_files(
 
 
 def append_topic(events: DataFrame, path: str) -> None:
-    """Append events to a folder of JSON lines."""
-    events.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    """Append events to a folder of JSON lines, compressed; a file is read by one task, so it has at most FILE_EVENTS."""
+    written = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "compression": "gzip", "maxRecordsPerFile": FILE_EVENTS}
+    events.write.mode("append").options(**written).json(path)
