@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import threading
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scenarios.feed import WEEKS, ntz
 from tidelog import schemas as S
+from tidelog import workspace
 from tidelog.plans import gold, increments, state
 from tidelog.sources import bronze, feed, ledger
 from tidelog.streaming import jobs
@@ -247,3 +249,19 @@ def test_weeks_of_the_scenario(spark, lake):
     assert ledger.landed(spark, lists).select(ledger.BATCH).distinct().count() == WEEKS
     assert ledger.landed(spark, lists).agg(F.sum("row_count")).first()[0] == lake.change_log.count()
     assert ntz("2024-01-01") is not None
+
+
+def test_independent_steps_run_at_the_same_time(spark):
+    meet, ended = threading.Barrier(2, timeout=30), []
+
+    def fails():
+        meet.wait()
+        raise ValueError("first")
+
+    def goes_on():
+        meet.wait()
+        ended.append(spark.range(3).count())
+
+    with pytest.raises(ValueError, match="first"):
+        workspace.side_by_side(spark, fails, goes_on)
+    assert ended == [3]

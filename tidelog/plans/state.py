@@ -28,7 +28,7 @@ from tidelog.operators.latest import latest_per_key
 from tidelog.operators.merge import empty_history, late_of, ruled_changes, versions_of
 from tidelog.operators.quality import key_quarantine, keyed_rows, write_documents
 from tidelog.operators.skew import HOT_ROWS
-from tidelog.workspace import read_if_any
+from tidelog.workspace import read_if_any, side_by_side
 
 BUCKETS, COMPACT_EVERY = 256, 16
 
@@ -82,32 +82,53 @@ def apply_batch(rows: dict[str, DataFrame], version: int, root: str, hot_rows: i
     known, base = _manifest(spark, root, version - 1, buckets)
     if len(known) != buckets:
         raise ValueError(f"the state has {len(known)} buckets, not {buckets}")
-    bad = [key_quarantine(r, entity, F.col("_bronze_ingested_at")) for entity, r in rows.items()]
-    write_documents(bad[0].unionByName(bad[1]), f"{root}/quarantine", version)
     customers, orders = (keyed_rows(rows[entity], entity) for entity in ("customers", "orders"))
+    told: dict[str, list[int] | int] = {}
 
+    def refuse() -> None:
+        bad = [key_quarantine(r, entity, F.col("_bronze_ingested_at")) for entity, r in rows.items()]
+        write_documents(bad[0].unionByName(bad[1]), f"{root}/quarantine", version)
+
+    def merge_customers() -> None:
+        told["places"] = _apply_customers(customers, known, version, root, hot_rows)
+
+    def keep_orders() -> None:
+        told["base"] = _apply_orders(orders, base, version, root)
+
+    side_by_side(spark, refuse, merge_customers, keep_orders)
+    manifest = spark.createDataFrame([(told["places"], told["base"])], _MANIFEST)
+    manifest.coalesce(1).write.mode("overwrite").parquet(_path(root, "manifest", version))
+
+
+def _apply_customers(customers: DataFrame, known: list[int], version: int, root: str, hot_rows: int) -> list[int]:
+    """Write the versions and late events of a batch; returns where each bucket's open versions lie now."""
+    spark, buckets = customers.sparkSession, len(known)
     # at most one number for each bucket
     touched = {r[0] for r in customers.select(bucket_of(C.cleaned("customer_id"), buckets)).distinct().collect()}
     ruled = ruled_changes(_open_versions(spark, root, known, touched), customers, hot_rows)
     ruled_path = _path(root, "ruled", version)
     ruled.write.mode("overwrite").parquet(ruled_path)
     ruled = spark.read.schema(ruled.schema).parquet(ruled_path)
-    late_of(ruled).write.mode("overwrite").parquet(_path(root, "late", version))
     bucket = F.when(F.col("is_current") == 1, bucket_of(F.col("customer_id"), buckets)).otherwise(-1)
-    versions = versions_of(ruled).withColumn("bucket", bucket)
-    versions.hint("rebalance", "is_current", "bucket").write.mode("overwrite").partitionBy("is_current", "bucket").parquet(_path(root, "history", version))
+    versions = versions_of(ruled).withColumn("bucket", bucket).hint("rebalance", "is_current", "bucket")
+    side_by_side(
+        spark,
+        lambda: late_of(ruled).write.mode("overwrite").parquet(_path(root, "late", version)),
+        lambda: versions.write.mode("overwrite").partitionBy("is_current", "bucket").parquet(_path(root, "history", version)),
+    )
+    written = spark.read.schema(_history_schema(spark).add("bucket", T.IntegerType())).parquet(_path(root, "history", version))
+    filled = {r[0] for r in written.filter("is_current = 1").select("bucket").distinct().collect()}
+    return [(version if b in filled else -1) if b in touched else v for b, v in enumerate(known)]
+
 
+def _apply_orders(orders: DataFrame, base: int, version: int, root: str) -> int:
+    """Write the last change of each order of a batch; returns the version of the base, a new one every COMPACT_EVERY versions."""
     last = latest_per_key(orders, "order_id", ["_commit_timestamp", "_row_sequence_id"])
     last.select(S.landed_columns("orders")).write.mode("overwrite").parquet(_path(root, "orders", version))
-    if version % COMPACT_EVERY == COMPACT_EVERY - 1:
-        _orders(spark, root, base, version).write.mode("overwrite").parquet(_path(root, "orders-base", version))
-        base = version
-
-    written = spark.read.schema(_history_schema(spark).add("bucket", T.IntegerType())).parquet(_path(root, "history", version))
-    filled = {r[0] for r in written.filter("is_current = 1").select("bucket").distinct().collect()}
-    places = [(version if b in filled else -1) if b in touched else v for b, v in enumerate(known)]
-    manifest = spark.createDataFrame([(places, base)], _MANIFEST)
-    manifest.coalesce(1).write.mode("overwrite").parquet(_path(root, "manifest", version))
+    if version % COMPACT_EVERY != COMPACT_EVERY - 1:
+        return base
+    _orders(orders.sparkSession, root, base, version).write.mode("overwrite").parquet(_path(root, "orders-base", version))
+    return version
 
 
 def read_history(spark: SparkSession, root: str, version: int) -> DataFrame:

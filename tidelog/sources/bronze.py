@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
+from tidelog.workspace import side_by_side
 
 
 def stamped(events: DataFrame, ingested_at: Column, batch_id: Column) -> DataFrame:
@@ -93,7 +95,11 @@ def write_entities(
         extra = [c for c in events.columns if c == S.EXTRA]
         for entity in S.ENTITY_COLUMNS:
             written[entity] = [c for c in [*S.landed_columns(entity), *drift[entity], *extra] if c not in leave_out]
+
+        def write(entity: str) -> None:
             write_partitioned(entity_rows(events, entity).select(*written[entity], "ingest_date"), path_of(entity), mode)
+
+        side_by_side(events.sparkSession, *[partial(write, entity) for entity in written])
     finally:
         events.unpersist()
     return written

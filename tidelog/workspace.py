@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -43,3 +46,14 @@ def read_if_any(spark: SparkSession, path: str, schema: T.StructType, base: str
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def side_by_side(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Run steps that do not read each other's results at the same time, so that the short jobs of one fill the gaps of another.
+
+    All have ended when this returns or raises the first failure.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
