@@ -244,7 +244,7 @@ def ledger_facts(lake: Lake) -> DataFrame:
     spark, root = lake.spark, _applied_batches(lake)
     facts = None
     for version in range(WEEKS):
-        orders = state.read_orders(spark, root, version)
+        orders = lake.stored(f"orders-after-{version}", lambda v=version: state.read_orders(spark, root, v))
         dimension = gold.customer_dimension(state.read_history(spark, root, version))
         if facts is None:
             found = gold.order_facts(orders, dimension)

@@ -265,3 +265,18 @@ def test_independent_steps_run_at_the_same_time(spark):
     with pytest.raises(ValueError, match="first"):
         workspace.side_by_side(spark, fails, goes_on)
     assert ended == [3]
+
+
+def test_orders_resolved_again_are_kept(spark, tmp_path):
+    """What is resolved again is kept, so the facts it makes do not come from all orders again."""
+    at = dt.datetime(2024, 1, 9)
+    names = "order_id string, customer_id string, order_amount double, order_status string, created_at timestamp_ntz"
+    path = str(tmp_path / "all-orders")
+    spark.createDataFrame([("o1", "a", 1.0, "Pending", at), ("o2", "b", 2.0, "Pending", at)], names).write.parquet(path)
+    orders = spark.read.schema(names).parquet(path)
+    dimension = gold.unknown_member(spark.range(0)).filter("customer_id is null")
+    facts = gold.order_facts(orders.filter("order_id = 'o1'"), dimension)
+    versions = spark.createDataFrame([], "customer_id string, since timestamp_ntz")
+    after = gold.facts_after_batch(facts, orders, dimension, spark.createDataFrame([("o2",)], "order_id string"), versions)
+    assert sorted(r.order_id for r in after.collect()) == ["o1", "o2"]
+    assert len([f for f in after.inputFiles() if "orders-resolved" in f]) > 0

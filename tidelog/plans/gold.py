@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelog import schemas as S
 from tidelog.functions import columns as C
 from tidelog.operators.asof import asof_versions
-from tidelog.operators.skew import HOT_ROWS, spread_lookup
+from tidelog.operators.skew import HOT_ROWS, kept, spread_lookup
 
 DIM_COLUMNS = [
     "customer_sk", "customer_id", "first_name", "last_name", "email", "state", "valid_from", "valid_to", "is_current",
@@ -81,8 +81,8 @@ def refreshed_facts(
         orders.filter(F.col("customer_id").isNotNull()), touched, "customer_id", "left_semi", "order_id", hot_rows
     )
     replaced = stale.select(F.col("order_id").alias("_again"))
-    kept = facts.join(replaced, F.col("order_id").eqNullSafe(F.col("_again")), "left_anti")
-    return kept.unionByName(order_facts(stale, dimension, hot_rows))
+    untouched = facts.join(replaced, F.col("order_id").eqNullSafe(F.col("_again")), "left_anti")
+    return untouched.unionByName(order_facts(stale, dimension, hot_rows))
 
 
 def facts_after_batch(
@@ -98,11 +98,12 @@ def facts_after_batch(
     """
     known = orders.filter(F.col("customer_id").isNotNull())
     moved = spread_lookup(known, changed_versions, "customer_id", "inner", "order_id", hot_rows).filter("created_at >= since")
-    again = changed_orders.select("order_id").unionByName(moved.select("order_id")).distinct()
-    resolved = orders.join(again, "order_id", "left_semi")
+    # both are read several times below; each comes from all orders
+    again = kept(changed_orders.select("order_id").unionByName(moved.select("order_id")).distinct(), "orders-again")
+    resolved = kept(orders.join(again, "order_id", "left_semi"), "orders-resolved")
     versions = dimension.join(resolved.select("customer_id").distinct(), "customer_id", "left_semi")
-    kept = facts.join(again, "order_id", "left_anti")
-    return kept.unionByName(order_facts(resolved, versions, hot_rows))
+    untouched = facts.join(again, "order_id", "left_anti")
+    return untouched.unionByName(order_facts(resolved, versions, hot_rows))
 
 
 def date_dimension(first: Column, last: Column, rows: DataFrame) -> DataFrame:
