@@ -8,6 +8,7 @@ import html
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import rows_of_table
 from tidelog.llm import byte_bpe, gated_lm, html_text, queries, token_files
-from tidelog.llm.common import words_of
+from tidelog.llm.common import split_words, words_of
 from tidelog.workspace import new_dir
 
 RANKS = public_tokenizers.path(queries.BPE_RANKS)
@@ -298,6 +299,50 @@ def test_gradients_are_those_of_the_loss():
         p[name][at] += 1e-5
 
 
+def test_words_of_a_column_are_those_of_each_text():
+    """Also empty words at the ends, bytes that are no UTF-8, white space of other alphabets, parts of a column."""
+    texts = [b"", b" ", b"A b\x0bC\t", b"  \xff\xc3 X\xc2\xa0Y \x1c\x1f\x85 z", b"one", "ÉCOLE é\u3000中 🙂\n".encode(), b"\r\n\x0c", b"last  word"] * 3
+    column = pa.array(texts, pa.binary())
+    for part in (column, column.slice(3), column.slice(4, 7), column.slice(0, 1), column.slice(2, 0)):
+        for lower in (False, True):
+            words, lengths = split_words(part, lower)
+            plain = [words_of(t, lower) for t in part.to_pylist()]
+            assert words.to_pylist() == [w for ws in plain for w in ws] and lengths.tolist() == [len(ws) for ws in plain]
+
+
+def test_reader_finds_ids_and_counts_of_each_word():
+    known = {b"w%d" % i: 900 - i for i in range(800)} | {gated_lm.END: 50}
+    texts = [b"W1 w2 w799 other\xff q ", b"", b"w700 w1 w1 Other q q"]
+    for distinct, missing in ((801, 0.0), (5_000, np.nan)):
+        vocabulary = gated_lm.Vocabulary(9_000, distinct, known, np.ones(gated_lm.TAIL), np.ones(gated_lm.TAIL))
+        words, at, lengths, ids, logs = gated_lm.Reader(vocabulary).read(pa.array(texts, pa.binary()))
+        plain = [[*words_of(t, lower=True), gated_lm.END] for t in texts]
+        every = [w for ws in plain for w in ws]
+        assert lengths.tolist() == [len(ws) for ws in plain]
+        assert [[*words.to_pylist(), gated_lm.END][i] for i in at] == every and len(set(words.to_pylist())) == len(words)
+        assert ids[at].tolist() == [vocabulary.head.get(w, gated_lm.HEAD + gated_lm.tail_class(w)) for w in every]
+        assert np.array_equal(logs[at], [np.log10(known[w] + 1) if w in known else missing for w in every], equal_nan=True)
+
+
+def test_reader_is_faster_than_a_lookup_of_every_word():
+    rng = np.random.default_rng(3)
+    data = [b" ".join(b"Word%d" % i for i in rng.zipf(1.3, 500) % 50_000) for _ in range(1_000)]
+    known = {b"word%d" % i: 50_000 - i for i in range(20_000)} | {gated_lm.END: 1}
+    reader = gated_lm.Reader(gated_lm.Vocabulary(10**6, 10**5, known, np.ones(gated_lm.TAIL), np.ones(gated_lm.TAIL)))
+
+    def seconds(work):
+        times = []
+        for _ in range(5):
+            began = time.process_time()
+            work()
+            times.append(time.process_time() - began)
+        return min(times)
+
+    column = pa.array(data, pa.binary())
+    plain = seconds(lambda: [[known.get(w) for w in words_of(d, lower=True)] for d in data])
+    assert seconds(lambda: reader.texts(column)) < 0.75 * plain
+
+
 def test_windows_and_lanes_do_not_change_scores(monkeypatch):
     rng = np.random.default_rng(1)
     vocabulary = gated_lm.Vocabulary(900, 600, {b"w%d" % i: 600 - i for i in range(600)}, np.ones(gated_lm.TAIL), np.ones(gated_lm.TAIL))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,21 @@ def words_of(text: bytes, lower: bool = False) -> list[bytes]:
     return (text.translate(LOWER) if lower else text).split()
 
 
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` every text of a column without nulls: the words of all, one text after the other, and how many each has."""
+    # its kernels for ASCII leave other bytes as they are, so they need not be valid UTF-8
+    whole = texts.cast(pa.binary()).view(pa.string())
+    found = pc.ascii_split_whitespace(pc.ascii_lower(whole) if lower else whole)
+    words, lengths = found.flatten().view(pa.binary()), pc.list_value_length(found).to_numpy()
+    # white space at an end leaves an empty word there
+    some = pc.binary_length(words).to_numpy() > 0
+    if not some.all():
+        upto = np.concatenate([[0], np.cumsum(some)])
+        ends = np.cumsum(lengths)
+        words, lengths = words.filter(pa.array(some)), upto[ends] - upto[ends - lengths]
+    return words, lengths.astype(np.int64)
+
+
 def fold_of(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds

@@ -27,19 +27,17 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heapify, heapreplace
-from itertools import chain, count, islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import held, slices, stored, text_bytes, words_of
+from tidelog.llm.common import held, slices, split_words, stored, text_bytes
 
 HEAD, CLASSES, TAIL, HIDDEN = 512, 16, 32, 16
 #: Words whose counts every task holds; the counts of others are joined.
@@ -54,8 +52,8 @@ END = b"\n"
 _IN_CLASS = HEAD // CLASSES
 _OUT = CLASSES + TAIL
 _START = HEAD + TAIL
-#: Words remembered, and texts whose words are in memory at once.
-_MEMO, _READ = 400_000, 200
+#: Bytes of words that are counted at once.
+_COUNTED = 48_000_000
 #: Biases that hold the counts of all training words; what a task's texts say cannot better them.
 _FIXED = frozenset(("cb", "wb"))
 
@@ -100,9 +98,15 @@ def weights_of(vocabulary: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     }
 
 
+def _total(rows: np.ndarray) -> np.ndarray:
+    """Sums of the columns, whose number of rows is a multiple of 8, in the order in which numpy sums a contiguous row."""
+    r = rows.reshape(len(rows) // 8, 8, rows.shape[1]).sum(0)
+    return ((r[0] + r[1]) + (r[2] + r[3])) + ((r[4] + r[5]) + (r[6] + r[7]))
+
+
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    high = logits.max(1, initial=-np.inf)
-    return high + np.log(np.exp(logits - high[:, None]).sum(1))
+    high = logits.max(0, initial=-np.inf)
+    return high + np.log(_total(np.exp(logits - high)))
 
 
 def lanes_of(texts: list[np.ndarray], lanes: int) -> list[list[int]]:
@@ -147,36 +151,39 @@ class Window:
     gates: np.ndarray
     new: np.ndarray
     inner: np.ndarray
+    #: Whether any lane's state was cleared at the step.
+    cleared: list[bool]
 
 
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray, state: np.ndarray) -> Window:
     """The unit run over a window.  A start input clears the state."""
     shape, h2 = inputs.shape, 2 * HIDDEN
-    x = (p["x"] + p["b"])[inputs]
-    w = Window(*(np.empty((*shape, n), x.dtype) for n in (HIDDEN, HIDDEN, h2, HIDDEN, HIDDEN)))
+    # the gates are logistic functions by way of tanh, which takes half of their sums
+    table, u = p["x"] + p["b"], p["u"].copy()
+    table[:, :h2] *= 0.5
+    u[:, :h2] *= 0.5
+    x = table.take(inputs, axis=0)
+    befores, states, gates_, news, sums = (np.empty((*shape, n), x.dtype) for n in (HIDDEN, HIDDEN, h2, HIDDEN, h2 + HIDDEN))
     starts = inputs == _START
-    cleared, u = starts.any(1).tolist(), p["u"]
+    cleared = starts.any(1).tolist()
     for t in range(len(inputs)):
-        before = w.before[t]
+        before, gates, new, a = befores[t], gates_[t], news[t], sums[t]
         before[...] = state
         if cleared[t]:
             before[starts[t]] = 0
-        a = before @ u
-        gates, new, state = w.gates[t], w.new[t], w.states[t]
+        np.matmul(before, u, out=a)
+        state = states[t]
         np.add(x[t, :, :h2], a[:, :h2], out=gates)
-        # the logistic function by way of tanh, in place
-        gates *= 0.5
         np.tanh(gates, out=gates)
         gates += 1
         gates *= 0.5
-        w.inner[t] = a[:, h2:]
         np.multiply(gates[:, HIDDEN:], a[:, h2:], out=new)
         new += x[t, :, h2:]
         np.tanh(new, out=new)
         np.subtract(before, new, out=state)
         state *= gates[:, :HIDDEN]
         state += new
-    return w
+    return Window(befores, states, gates_, news, sums[..., h2:], cleared)
 
 
 def class_of(targets: np.ndarray) -> np.ndarray:
@@ -186,28 +193,36 @@ def class_of(targets: np.ndarray) -> np.ndarray:
 def _by_class(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of each target; the head targets in the order of their classes, and where each class begins and ends among them."""
     classes = class_of(targets)
-    order = np.argsort(classes, kind="stable")
+    # narrow numbers are sorted in linear time
+    order = np.argsort(classes.astype(np.uint8), kind="stable")
     ends = np.searchsorted(classes[order], np.arange(CLASSES + 1))
     return classes, order[: ends[-1]], ends
 
 
+def _outer_logits(p: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
+    """Logits of the classes, a column for each state: sums and maxima then run along rows."""
+    logits = p["c"].T @ states.T
+    logits += p["cb"][:, None]
+    return logits
+
+
 def _inner_logits(p: dict[str, np.ndarray], states: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Logits within its class of each head target, given their states in the order of classes."""
-    out = np.empty((len(states), _IN_CLASS), states.dtype)
+    """Logits within its class of each head target, a column for each, given their states in the order of classes."""
+    out = np.empty((_IN_CLASS, len(states)), states.dtype)
     for k in range(CLASSES):
         if ends[k] < ends[k + 1]:
             rows = slice(ends[k], ends[k + 1])
-            np.add(states[rows] @ p["w"][k], p["wb"][k], out=out[rows])
+            np.add(p["w"][k].T @ states[rows].T, p["wb"][k][:, None], out=out[:, rows])
     return out
 
 
 def log_probabilities(p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithms of p(class | state), times p(word | class, state) for head words."""
     classes, order, ends = _by_class(targets)
-    logits = states @ p["c"] + p["cb"]
-    out = logits[np.arange(len(targets)), classes] - _log_sum(logits)
+    logits = _outer_logits(p, states)
+    out = logits[classes, np.arange(len(targets))] - _log_sum(logits)
     inner = _inner_logits(p, states[order], ends)
-    out[order] += inner[np.arange(len(order)), targets[order] % _IN_CLASS] - _log_sum(inner)
+    out[order] += inner[targets[order] % _IN_CLASS, np.arange(len(order))] - _log_sum(inner)
     return out
 
 
@@ -232,10 +247,10 @@ def score_texts(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
 
 def _softmax_error(logits: np.ndarray, goals: np.ndarray, scale: np.float32) -> np.ndarray:
     """Derivative of the scaled loss by the logits, in their place."""
-    logits -= logits.max(1, keepdims=True, initial=-np.inf)
+    logits -= logits.max(0, initial=-np.inf)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    logits[np.arange(len(goals)), goals] -= 1
+    logits /= _total(logits)
+    logits[goals, np.arange(len(goals))] -= 1
     logits *= scale
     return logits
 
@@ -247,11 +262,11 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     scale = flat.dtype.type(1 / max(len(flat), 1))
     g = {k: np.zeros_like(v) for k, v in p.items()}
     classes, order, ends = _by_class(goals)
-    d = _softmax_error(flat @ p["c"] + p["cb"], classes, scale)
-    g["c"], g["cb"] = flat.T @ d, d.sum(0)
-    back = d @ p["c"].T
+    d = _softmax_error(_outer_logits(p, flat), classes, scale)
+    g["c"], g["cb"] = flat.T @ d.T, d.sum(1)
+    back = d.T @ p["c"].T
     head = flat[order]
-    d = _softmax_error(_inner_logits(p, head, ends), goals[order] % _IN_CLASS, scale)
+    d = np.ascontiguousarray(_softmax_error(_inner_logits(p, head, ends), goals[order] % _IN_CLASS, scale).T)
     inner_back = np.empty_like(head)
     for k in range(CLASSES):
         if ends[k] < ends[k + 1]:
@@ -267,7 +282,6 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     to_new = (1 - z) * (1 - w.new * w.new)
     to_gates = np.concatenate([(w.before - w.new) * z * (1 - z), to_new * w.inner * r * (1 - r)], axis=2)
     da, dnew = np.empty((*inputs.shape, 3 * HIDDEN), flat.dtype), np.empty_like(w.new)
-    going_on = (inputs != _START)[..., None].astype(flat.dtype)
     back_u, later = np.ascontiguousarray(p["u"].T), np.zeros_like(state)
     for t in range(len(inputs) - 1, -1, -1):
         later += outer[t]
@@ -278,12 +292,13 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
         np.multiply(new, r[t], out=gates[:, 2 * HIDDEN :])
         later *= z[t]
         later += gates @ back_u
-        later *= going_on[t]
+        if w.cleared[t]:
+            later[inputs[t] == _START] = 0
     g["u"] = w.before.reshape(-1, HIDDEN).T @ da.reshape(-1, 3 * HIDDEN)
     da[..., 2 * HIDDEN :] = dnew
     flat_x = da.reshape(-1, 3 * HIDDEN)
     g["b"] = flat_x.sum(0)
-    at = inputs.ravel()
+    at = inputs.ravel().astype(np.int16)
     order = np.argsort(at, kind="stable")
     ids, first = np.unique(at[order], return_index=True)
     g["x"][ids] = np.add.reduceat(flat_x[order], first)
@@ -329,21 +344,25 @@ def word_counts(documents: DataFrame, text: str) -> DataFrame:
     """``word binary, c`` over all rows, ends included; tasks count what they read before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        waiting: list[pa.Array] = []
+        size = rows = 0
 
         def flushed() -> pa.RecordBatch:
-            words, numbers = list(counts), list(counts.values())
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(numbers, pa.int64())], names=["word", "c"])
+            found = pa.chunked_array(waiting, pa.binary()).value_counts()
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "c"])
 
         for batch in batches:
             for part in slices(batch):
-                for data in part.column(0).to_pylist():
-                    counts.update(words_of(data, lower=True))
-                counts[END] += part.num_rows
-                if len(counts) > 500_000:
+                words, _ = split_words(part.column(0), lower=True)
+                waiting.append(words)
+                size, rows = size + words.nbytes, rows + part.num_rows
+                if size > _COUNTED:
                     yield flushed()
+                    size = 0
         yield flushed()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([rows], pa.int64())], names=["word", "c"])
 
     parts = documents.select(text_bytes(text).alias("_text")).mapInArrow(run, "word binary, c bigint")
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
@@ -372,44 +391,59 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
 
 
 class Reader:
-    """Turns texts into model ids; remembers words met, up to a bound."""
+    """Turns texts into model ids and logarithms of counts, a batch at a time; each distinct word of a batch is looked up once."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
-        self.ids, self.logs = np.zeros(0, np.int32), np.zeros(0)
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Model ids of new words, and log10(count + 1), which is NaN for words whose count must be joined."""
-        head, known, missing = self.v.head.get, self.v.known.get, 0 if len(self.v.known) == self.v.distinct else np.nan
-        ids = [i if (i := head(w)) is not None else HEAD + tail_class(w) for w in words]
-        counts = np.fromiter((known(w, 0 if w == END else missing) for w in words), float, len(words))
-        logs = np.where(counts > 0, np.log10(counts + 1), np.where(np.isnan(counts), np.nan, -0.0))
-        self.ids, self.logs = np.concatenate([self.ids, np.array(ids, np.int32)]), np.concatenate([self.logs, logs])
-
-    def places(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``ids`` and ``logs`` of the words of all texts, one text after the other, and the number of words of each.
-
-        They hold until the next call.  The words of a few texts are in memory at once.
+        head, known = vocabulary.head, vocabulary.known
+        self.known = pa.array(known, pa.binary())
+        self.known_ids = np.array([head[w] if w in head else HEAD + tail_class(w) for w in known], np.int32)
+        self.known_logs = self._logs(known.values())
+        self.end = head[END], self._logs([known.get(END, 0)])[0]
+        # the counts of other words, if there are any, must be joined
+        self.missing = -0.0 if len(known) == vocabulary.distinct else np.nan
+        self.tails = np.array([tail_class(b"%c" % i) for i in range(256)] + [tail_class(i.to_bytes(2)) for i in range(1 << 16)], np.int32)
+
+    @staticmethod
+    def _logs(counts) -> np.ndarray:
+        """log10(count + 1)."""
+        counts = np.fromiter(counts, float)
+        return np.where(counts > 0, np.log10(counts + 1), -0.0)
+
+    def _tail_ids(self, words: pa.Array) -> np.ndarray:
+        """Model ids that words have unless they are in the head: those of their first two bytes."""
+        at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        first, two = at[:-1], np.diff(at) > 1
+        second = np.where(two, first + 1, first)
+        return HEAD + self.tails[np.where(two, 256 + 256 * data[first].astype(np.int32) + data[second], data[first])]
+
+    def read(self, data: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct words of the texts; positions of all words, one text after the other, among them (an end's
+        comes after all of them) and the number of words of each text; model ids and log10(count + 1) by position,
+        the latter NaN for words whose count must be joined.
         """
-        if len(self.numbers) > _MEMO:
-            self._forget()
-        at, lengths = [np.zeros(0, np.int64)], []
-        for begin in range(0, len(data), _READ):
-            texts = [[*words_of(d, lower=True), END] for d in data[begin : begin + _READ]]
-            lengths += map(len, texts)
-            at.append(np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts))))
-        if len(self.numbers) > len(self.ids):
-            self._learn(list(islice(self.numbers, len(self.ids), None)))
-        return np.concatenate(at), np.array(lengths, np.int64)
-
-    def texts(self, data: list[bytes]) -> list[np.ndarray]:
+        words, lengths = split_words(data, lower=True)
+        coded = words.dictionary_encode()
+        distinct, n = coded.dictionary, len(coded.dictionary)
+        lengths = lengths + 1
+        at = np.full(int(lengths.sum()), n, np.int32)
+        inside = np.ones(len(at), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        at[inside] = coded.indices.to_numpy()
+        ids, logs = np.full(n + 1, self.end[0], np.int32), np.full(n + 1, self.end[1])
+        if n:
+            place = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy()
+            found = place >= 0
+            ids[:n] = self._tail_ids(distinct)
+            ids[:n][found] = self.known_ids[place[found]]
+            logs[:n] = self.missing
+            logs[:n][found] = self.known_logs[place[found]]
+        return distinct, at, lengths, ids, logs
+
+    def texts(self, data: pa.Array) -> list[np.ndarray]:
         """The model ids of each text."""
-        at, lengths = self.places(data)
-        return np.split(self.ids[at], np.cumsum(lengths)[:-1]) if data else []
+        _, at, lengths, ids, _ = self.read(data)
+        return np.split(ids[at], np.cumsum(lengths)[:-1]) if len(data) else []
 
 
 def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -423,17 +457,18 @@ def train(documents: DataFrame, text: str, id_: str, vocabulary: Vocabulary) ->
         part = documents.filter(F.pmod(row, F.lit(ROUNDS)) == turn).select(text_bytes(text).alias("_text"), row.alias("_row"))
         start = p
 
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             reader, trainer = Reader(vocabulary), Trainer(start)
-            for frame in frames:
-                texts = reader.texts([bytes(t) for t in frame["_text"]])
-                for _ in range(EPOCHS):
+            for batch in batches:
+                texts = [t for some in slices(batch) for t in reader.texts(some.column(0))]
+                for _ in range(EPOCHS if texts else 0):
                     trainer.learn(texts)
             if trainer.tokens:
                 flat = np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64)
-                yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * trainer.tokens, "n": np.float64(trainer.tokens)})
+                columns = np.arange(len(flat)), flat * trainer.tokens, np.full(len(flat), float(trainer.tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "v", "n"])
 
-        trained = part.repartition(tasks, "_row").sortWithinPartitions("_row", "_text").mapInPandas(run, "i bigint, v double, n double")
+        trained = part.repartition(tasks, "_row").sortWithinPartitions("_row", "_text").mapInArrow(run, "i bigint, v double, n double")
         total = trained.groupBy("i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toPandas().sort_values("i")
         if len(total):
             before = np.concatenate([p[k].ravel() for k in names])
@@ -464,8 +499,8 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
         reader = held(token, lambda: Reader(vocabulary))
         for batch in batches:
             for part in slices(batch, rows=SCORE_ROWS):
-                at, lengths = reader.places(part.column(0).to_pylist())
-                ids, logs, ends = reader.ids[at], reader.logs[at], np.cumsum(lengths)
+                distinct, at, lengths, by_id, by_log = reader.read(part.column(0))
+                ids, logs, ends = by_id[at], by_log[at], np.cumsum(lengths)
                 texts = np.split(ids, ends[:-1])
                 open_, tail = np.isnan(logs), ids >= HEAD
                 summed = lambda values: np.add.reduceat(values, ends - lengths)
@@ -475,16 +510,15 @@ def scored(documents: DataFrame, held_out: Column, text: str = "text", id_: str
                 base, outside = summed(logs - size), summed(outer)
                 model = score_texts(weights, texts) / np.log(10)
                 # each text's own row, then a row for each of its words whose count must be joined
-                n, size_ = len(lengths), len(reader.numbers)
+                n, size_ = len(lengths), max(len(distinct), 1)
                 pairs, times = np.unique(np.repeat(np.arange(n), lengths)[open_] * size_ + at[open_], return_counts=True)
-                met = list(reader.numbers)
-                words_ = [b"\n %d" % i for i in range(n)] + list(map(met.__getitem__, (pairs % size_).tolist()))
+                words_ = pa.concat_arrays([pa.array([END] * n, pa.binary()), distinct.take(pa.array(pairs % size_))])
                 taken = part.select(["_id", "_held", "_hash"]).take(pa.array(np.concatenate([np.arange(n), pairs // size_])))
                 none = np.zeros(len(pairs), np.int64)
                 spread = lambda values, kind: pa.array(np.concatenate([values, none]).astype(kind))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *taken.columns, pa.array(words_, pa.binary()), pa.array(np.concatenate([np.zeros(n, np.int64), times])),
+                        *taken.columns, words_, pa.array(np.concatenate([np.zeros(n, np.int64), times])),
                         spread(lengths, np.int64), spread(known, np.int64), spread(base, float), spread(outside + model, float),
                     ],
                     names=["_id", "_held", "_hash", "word", "_times", "_tokens", "_known", "_base", "_score"],
