@@ -8,6 +8,7 @@ import html
 import itertools
 import random
 import re
+import sys
 import time
 import zlib
 from collections import Counter
@@ -215,6 +216,29 @@ def test_forgotten_chunks_are_encoded_again(documents, monkeypatch):
             assert [ids.tolist() for i in range(0, len(texts), 7) for ids in own.encode(texts[i : i + 7], None)] == want
 
 
+def test_chunks_are_looked_up_once_a_batch(documents):
+    """Even and uneven texts and added tokens in one batch, encoded whole; known chunks are not encoded again, and no chunk costs a step of Python."""
+    path = public_tokenizers.path(queries.BPE_JSON)
+    library, own = Tokenizer.from_file(path), token_files.LibraryEncoder(path)
+    token = next(iter(own.added))
+    texts = [t or "" for _, t in documents[:700]] + ["", " ", "a  b", f"x{token}y z", "one two\u3000 three", "é\tü ß", "one"] * 2
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in own.encode(texts, None)] == want
+    assert len(own.chunks) == len(set(own.chunks.to_pylist())) and len(own.start) == len(own.length) == len(own.uses) == len(own.chunks)
+    before, encoded, plain = len(own.chunks), [], own._encode
+    own._encode = lambda some: encoded.append(len(some)) or plain(some)
+    assert [ids.tolist() for ids in own.encode(texts, 2)] == [[*ids, 2] for ids in want]
+    assert len(own.chunks) == before and encoded == [len(texts)]
+    # the same words a hundred times: their numbers are found without a call for each
+    words, calls = ["one", "two", "three", "four"] * 25_000, []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        own.encode([" ".join(words)], None)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 5_000
+
+
 def test_token_file_edges(spark, odd, none):
     index = token_files.write(odd, public_tokenizers.path(queries.BPE_JSON), new_dir(spark, "files"))
     rows = token_files.read(index).collect()

@@ -23,25 +23,26 @@ import os
 import re
 import uuid
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count, islice
+from itertools import chain, repeat
+from operator import contains, eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.byte_bpe import SPACE, chunks
-from tidelog.llm.common import held, stored, valid_text
+from tidelog.llm.common import held, slices, stored, valid_text
 from tidelog.workspace import new_dir
 
 SEQUENCE, RECORD, END_ID = 2_048, 256, 2
 BLOCK_ROWS, MAX_BLOCKS = 500, 10_000
 _MEMO, _JOINED = 800_000, 256
-#: Texts encoded at once by a task.
-_TEXTS = 1_000
+#: Texts whose chunks a task looks up at once, and texts whose ids it gathers at once.
+_TEXTS, _GATHERED = 5_000, 500
 _ANY_SPACE = re.compile(f"[{SPACE}]")
 #: How a byte-level vocabulary writes a space (fixed value).
 _SPACE_MARK = "Ġ"
@@ -50,11 +51,11 @@ _SPACE_MARK = "Ġ"
 _OTHER_SPACE = [c for c in SPACE if c != " "]
 
 
-def _even(text: str) -> bool:
-    """Whether every space stands alone between words, so that the text can be cut at each."""
+def _even(text: str, others: list[str]) -> bool:
+    """Whether every space stands alone between words, so that the text can be cut at each; ``others`` has its other white space."""
     if "  " in text or text[:1] == " " or text[-1:] == " ":
         return False
-    return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in _OTHER_SPACE)
+    return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in others)
 
 
 class LibraryEncoder:
@@ -63,8 +64,9 @@ class LibraryEncoder:
     No pre-token of a byte-level tokenizer crosses such a space, so the ids are
     those of the whole text.  The library finds its added tokens before it
     pre-tokenizes, so a text that holds one is encoded whole.  Chunks get numbers, and
-    the ids of all of them lie in one array; those of a text are gathered from it.  At
-    _MEMO chunks the ones met once are forgotten, or all if that is not enough.
+    the ids of all of them lie in one array; those of a text are gathered from it.  Each
+    distinct chunk of a batch is looked up once.  At _MEMO chunks the ones met once are
+    forgotten, or all if that is not enough.
     """
 
     def __init__(self, path: str):
@@ -78,17 +80,17 @@ class LibraryEncoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.after_space = np.array([(self.tokenizer.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
-        self._keep([])
-
-    def _keep(self, kept: list[tuple[str, np.ndarray]]) -> None:
-        """Forget all chunks but the given ones."""
-        self.numbers: dict[str, int] = defaultdict(count().__next__)
-        for chunk, _ in kept:
-            self.numbers[chunk]
-        self.ids = np.concatenate([np.zeros(0, self.kind), *[ids for _, ids in kept]])
-        self.length = np.array([len(ids) for _, ids in kept], np.int64)
+        self.chunks, self.ids = pa.array([], pa.string()), np.zeros(0, self.kind)
+        self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _keep(self, numbers: np.ndarray) -> None:
+        """Forget all chunks but those of the given numbers."""
+        self.chunks = self.chunks.take(pa.array(numbers))
+        ids = [self.ids[a : a + n] for a, n in zip(self.start[numbers].tolist(), self.length[numbers].tolist())]
+        self.ids = np.concatenate([np.zeros(0, self.kind), *ids])
+        self.length = self.length[numbers]
         self.start = np.cumsum(self.length) - self.length
-        self.uses = np.zeros(len(kept), np.int64)
+        self.uses = np.zeros(len(numbers), np.int64)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,7 +101,8 @@ class LibraryEncoder:
         Chunks without a space, and without other white space at their ends, are encoded
         many in one text: an id that begins with a space then begins a chunk.
         """
-        fits = np.fromiter((" " not in c and c.strip() == c for c in new), bool, len(new))
+        fits = np.fromiter(map(eq, new, map(str.strip, new)), bool, len(new))
+        fits &= ~np.fromiter(map(contains, new, repeat(" ")), bool, len(new))
         plain, alone = np.flatnonzero(fits).tolist(), np.flatnonzero(~fits).tolist()
         groups = [plain[i : i + self.joined] for i in range(0, len(plain), self.joined)]
         ids, lengths, order = [], [], []
@@ -115,35 +118,60 @@ class LibraryEncoder:
         place = np.argsort(np.array(order + alone, np.int64))
         return np.concatenate([np.zeros(0, self.kind), *ids, *rest]), np.concatenate([*lengths, np.array([len(r) for r in rest], np.int64)]), place
 
-    def _numbered(self, parts: list[list[str]]) -> np.ndarray:
+    def _numbered(self, chunks_: pa.Array) -> np.ndarray:
         """The numbers of all chunks, in order; new ones are encoded."""
-        if len(self.length) > _MEMO:
+        if len(self.chunks) > _MEMO:
             again = np.flatnonzero(self.uses > 1)
-            chunks_ = list(self.numbers)
-            self._keep([(chunks_[i], self.ids[self.start[i] : self.start[i] + self.length[i]]) for i in again.tolist()] if len(again) <= _MEMO // 2 else [])
-        known = len(self.length)
-        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
-        if len(self.numbers) > known:
-            ids, lengths, place = self._encode_chunks(list(islice(self.numbers, known, None)))
+            self._keep(again if len(again) <= _MEMO // 2 else again[:0])
+        coded = chunks_.dictionary_encode()
+        places = coded.indices.to_numpy()
+        numbers = pc.index_in(coded.dictionary, value_set=self.chunks).fill_null(-1).to_numpy().astype(np.int64)
+        fresh = numbers < 0
+        if fresh.any():
+            new = coded.dictionary.filter(pa.array(fresh))
+            numbers[fresh] = len(self.chunks) + np.arange(len(new))
+            ids, lengths, place = self._encode_chunks(new.to_numpy(zero_copy_only=False).tolist())
             starts = len(self.ids) + np.cumsum(lengths) - lengths
-            self.ids = np.concatenate([self.ids, ids])
+            self.chunks, self.ids = pa.concat_arrays([self.chunks, new]), np.concatenate([self.ids, ids])
             self.start, self.length = np.concatenate([self.start, starts[place]]), np.concatenate([self.length, lengths[place]])
             self.uses = np.concatenate([self.uses, np.zeros(len(place), np.int64)])
-        self.uses += np.bincount(numbers, minlength=len(self.uses))
-        return numbers
+        self.uses[numbers] += np.bincount(places, minlength=len(numbers))
+        return numbers[places]
+
+    def _parts(self, texts: list[str]) -> tuple[list[int], list[str], pa.Array, np.ndarray]:
+        """The texts in an order of their own; of each in that order the first chunk; their other chunks and how many each has."""
+        whole = "\n".join(texts)
+        added, others = [a for a in self.added if a in whole], [c for c in _OTHER_SPACE if c in whole]
+        plain = [not any(a in t for a in added) for t in texts] if added else [True] * len(texts)
+        even = [i for i, t in enumerate(texts) if plain[i] and _even(t, others)]
+        rest = sorted(set(range(len(texts))).difference(even))
+        split = pc.split_pattern(pa.array(map(texts.__getitem__, even), pa.string()), " ")
+        lengths, found = pc.list_value_length(split).to_numpy().astype(np.int64), split.flatten()
+        first = np.zeros(len(found), bool)
+        first[np.cumsum(lengths) - lengths] = True
+        parts = [chunks(texts[i]) if plain[i] else [texts[i]] for i in rest]
+        firsts = found.filter(pa.array(first)).to_pylist() + [p.pop(0) for p in parts]
+        later = pa.concat_arrays([found.filter(pa.array(~first)), pa.array(chain.from_iterable(parts), pa.string())])
+        return even + rest, firsts, later, np.concatenate([lengths - 1, np.array([len(p) for p in parts], np.int64)])
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
         """The ids of each text, followed by ``end`` if given."""
-        parts = [[t] if any(a in t for a in self.added) else t.split(" ") if _even(t) else chunks(t) for t in texts]
-        firsts = self._encode([p.pop(0) for p in parts])
-        numbers = self._numbered(parts)
-        lengths = self.length[numbers]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        # each chunk's ids lie in one piece: its place in the array, less its place in the text, plus 0, 1, 2 ...
-        ids = self.ids[np.repeat(self.start[numbers] - upto[:-1], lengths) + np.arange(upto[-1])]
-        cuts = upto[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
-        tail = np.array([] if end is None else [end], self.kind)
-        return [np.concatenate([first, ids[a:b], tail]) for first, a, b in zip(firsts, cuts.tolist(), cuts[1:].tolist())]
+        order, firsts, later, sizes = self._parts(texts)
+        numbers, first_ids = self._numbered(later), self._encode(firsts)
+        ends, tail = np.cumsum(sizes), np.array([] if end is None else [end], self.kind)
+        out: list[np.ndarray] = [tail] * len(texts)
+        for at in range(0, len(order), _GATHERED):
+            some = slice(at, at + _GATHERED)
+            begin = ends[at] - sizes[at]
+            own = numbers[begin : ends[some][-1]]
+            lengths = self.length[own]
+            upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
+            # each chunk's ids lie in one piece: its place in the array, less its place in the texts, plus 0, 1, 2 ...
+            ids = self.ids[np.repeat(self.start[own] - upto[:-1], lengths) + np.arange(upto[-1])]
+            cuts = upto[np.concatenate([[0], ends[some] - begin])].tolist()
+            for i, first, a, b in zip(order[some], first_ids[some], cuts, cuts[1:]):
+                out[i] = np.concatenate([first, ids[a:b], tail])
+        return out
 
 
 def sequence_schema(kind: np.dtype) -> pa.Schema:
@@ -243,7 +271,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
     schema = f"`{id_}` bigint, block int, path string, first bigint, n_tokens bigint"
     names = [id_, "block", "path", "first", "n_tokens"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = held(("tokenizers", tokenizer), lambda: LibraryEncoder(tokenizer))
         system, root = _place(folder)
         system.create_dir(root, recursive=True)
@@ -256,11 +284,11 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
                 sink.close()
                 system.move(made[0], made[1])
 
-        for frame in frames:
-            out = []
-            for at in range(0, len(frame), _TEXTS):
-                some = frame.iloc[at : at + _TEXTS]
-                for number, own, ids_ in zip(some["_block"], some["_id"], encoder.encode(some["_text"].tolist(), end)):
+        for batch in batches:
+            for some in slices(batch, rows=_TEXTS):
+                text_, own, blocks = some.columns
+                paths, firsts, sizes = [], [], []
+                for number, ids_ in zip(blocks.to_pylist(), encoder.encode(text_.to_pylist(), end)):
                     if number != block:
                         close()
                         block = number
@@ -268,13 +296,14 @@ def write(documents: DataFrame, tokenizer: str, folder: str, text: str = "text",
                         made = [f"{root}/.{name}.{uuid.uuid4().hex}", f"{root}/{name}"]
                         sink = system.open_output_stream(made[0])
                         writer = SequenceWriter(sink, encoder.kind)
-                    out.append((None if pd.isna(own) else int(own), int(number), f"{folder}/{name}", writer.append(ids_), len(ids_)))
-            indexed = pd.DataFrame(out, columns=names)
-            indexed[id_] = indexed[id_].astype("Int64")
-            yield indexed
+                    paths.append(f"{folder}/{name}")
+                    firsts.append(writer.append(ids_))
+                    sizes.append(len(ids_))
+                columns = [own, blocks, pa.array(paths, pa.string()), pa.array(firsts, pa.int64()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
         close()
 
-    index = stored(ordered.mapInPandas(run, schema), "token-index")
+    index = stored(ordered.select("_text", "_id", "_block").mapInArrow(run, schema), "token-index")
     totals = index.groupBy("block").agg(F.sum("n_tokens").alias("_n"))
     # one row for each block, at most MAX_BLOCKS
     before = totals.select("block", F.coalesce(F.sum("_n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
