@@ -262,9 +262,10 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     scale = flat.dtype.type(1 / max(len(flat), 1))
     g = {k: np.zeros_like(v) for k, v in p.items()}
     classes, order, ends = _by_class(goals)
-    d = _softmax_error(_outer_logits(p, flat), classes, scale)
-    g["c"], g["cb"] = flat.T @ d.T, d.sum(1)
-    back = d.T @ p["c"].T
+    # a row for each state again: products of few rows depend on the layout in their last digits
+    d = np.ascontiguousarray(_softmax_error(_outer_logits(p, flat), classes, scale).T)
+    g["c"], g["cb"] = flat.T @ d, d.sum(0)
+    back = d @ p["c"].T
     head = flat[order]
     d = np.ascontiguousarray(_softmax_error(_inner_logits(p, head, ends), goals[order] % _IN_CLASS, scale).T)
     inner_back = np.empty_like(head)
