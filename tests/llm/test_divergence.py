@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,6 +89,50 @@ def test_few_held_entries_change_nothing(spark, monkeypatch):
     assert {tuple(r) for r in divergence.audit(frame, min_docs=3, top=4).collect()} == slow_audit(rows, 3, 4)
 
 
+def test_python_meets_each_distinct_term_of_a_part_once():
+    """200,000 occurrences of 182 terms make no object each, at any level."""
+    texts = [" ".join(f"term{chr(97 + i % 26)}{'x' * (i % 7)}" for i in range(k, k + 1000)).upper() for k in range(200)]
+    batch = pa.record_batch([pa.array([t.encode() for t in texts]), pa.array(["en"] * 200)], names=["_text", "lang"])
+    for shortest in (1, 8):
+        met, before = [], sys.getallocatedblocks()
+
+        def meaning(lang, terms):
+            assert lang == b"en" and sys.getallocatedblocks() - before < 20_000
+            met.append(terms.to_pylist())
+            return terms
+
+        [(lang, names, numbers, owner, keys)] = divergence._by_language(iter([batch]), shortest, meaning)
+        want = [[w for w in t.lower().encode().split() if len(w) >= shortest] for t in texts]
+        assert lang == "en" and keys == ["en"] * 200
+        assert sorted(met[0]) == sorted({w for ws in want for w in ws}) and len(met) == 1
+        names = names.to_pylist()
+        assert [(o, names[n]) for o, n in zip(owner.tolist(), numbers.tolist())] == [(i, w) for i, ws in enumerate(want) for w in ws]
+
+
+def test_counts_of_parts_add_up(monkeypatch):
+    """Parts with other numbers for the same names, with none, and counts handed on in between."""
+    rng = np.random.default_rng(2)
+    for held in (1, 7, 1000):
+        monkeypatch.setattr(divergence, "HELD_ENTRIES", held)
+        counts, want, got, width = divergence._Counts({"en": 3, "": 1}.get), Counter(), Counter(), {"en": 3, "": 1}
+
+        def take():
+            for lang, names, codes, n in counts.taken():
+                assert (np.diff(codes) > 0).all()
+                got.update({(lang, names[c // width[lang]].as_py(), c % width[lang]): k for c, k in zip(codes.tolist(), n.tolist())})
+
+        for i in range(40):
+            lang = ("en", "")[i % 2]
+            names = [b"n%d" % k for k in rng.permutation(12)[: i % 9]]
+            codes = np.sort(rng.permutation(len(names) * width[lang])[: 2 * len(names)])
+            n = rng.integers(1, 5, len(codes))
+            want.update({(lang, names[c // width[lang]], c % width[lang]): k for c, k in zip(codes.tolist(), n.tolist())})
+            if counts.add(lang, pa.array(names, pa.binary()), codes, n):
+                take()
+        take()
+        assert got == want and not list(counts.taken())
+
+
 def test_hash_equals_the_one_of_sql(spark):
     kept = spark.createDataFrame([("en", b"theat"), ("", b"\xc3"), ("dé", b"abc")], "lang string, prefix binary")
     bitmap = divergence.Bitmap.of(kept)

@@ -22,16 +22,14 @@ without overflow for up to 9 * 10^15 terms in a group.
 
 Null text, language and source are the empty one; groups without terms have their rows.
 Repeated rows count as documents of their own.  Texts of any length are read whole, with
-one set of distinct terms in memory.  Invalid UTF-8 counts as bytes of terms.  An empty
+its terms as one Arrow column in memory.  Invalid UTF-8 counts as bytes of terms.  An empty
 table gives an empty result.  Columns other than these three are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import slices, stored, text_bytes
+from tidelog.llm.common import slices, split_words, stored, text_bytes
 
 MIN_DOCS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 
@@ -50,7 +48,7 @@ FIRST_LEVEL = 8
 #: Bits for each kept prefix in the bitmap, and its largest size (16 MB).
 BITS_PER_PREFIX, MAX_WORDS = 16, 1 << 21
 
-#: A task hands on its counts, and forgets the terms it has met, at this many of them.
+#: A task hands on its counts at this many terms; it adds up those of its batches at twice as many.
 HELD_ENTRIES = 400_000
 
 END = b" "
@@ -91,58 +89,88 @@ class Bitmap:
         return self.words[(h >> np.uint64(12)) % np.uint64(len(self.words))] & bits == bits
 
 
-class _Meanings:
-    """Numbers for the terms of a language that a task meets, and for what they mean to it.
-
-    ``meaning`` gives for new terms, all at once, what counts for each, or None.
-    """
-
-    def __init__(self, lang: str, meaning: Callable[[bytes, list[bytes]], list[bytes | None]]):
-        self.lang, self.meaning = lang.encode(), meaning
-        self.terms: dict[bytes, int] = defaultdict(count().__next__)
-        self.names: dict[bytes, int] = defaultdict(count().__next__)
-        self.of_term = np.zeros(0, np.int64)
-
-    def __len__(self) -> int:
-        return len(self.terms)
-
-    def numbers(self, texts: list[list[bytes]]) -> np.ndarray:
-        """The number of what each term means, -1 for nothing, over all texts."""
-        found = np.fromiter(map(self.terms.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
-        known = len(self.of_term)
-        if len(self.terms) > known:
-            means = self.meaning(self.lang, list(islice(self.terms, known, None)))
-            new = np.fromiter((-1 if m is None else self.names[m] for m in means), np.int64, len(means))
-            self.of_term = np.concatenate([self.of_term, new])
-        return self.of_term[found]
+def _terms_of(texts: pa.Array, rows: list[int], shortest: int) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Terms of at least ``shortest`` bytes of these rows, one text after the other, and the position in ``rows`` of each."""
+    own = texts.take(pa.array(rows, pa.int64())).cast(pa.binary())  # a copy, so its bytes begin at 0
+    _, ends, data = own.buffers()
+    lowered = pa.py_buffer((data.to_pybytes() if data else b"").translate(_TERMS))
+    words, lengths = split_words(pa.Array.from_buffers(pa.binary(), len(own), [None, ends, lowered]))
+    owner = np.repeat(np.arange(len(own)), lengths)
+    if shortest > 1:
+        enough = pc.greater_equal(pc.binary_length(words), shortest)
+        words, owner = words.filter(enough), owner[enough.to_numpy(zero_copy_only=False)]
+    return words.dictionary_encode(), owner
 
 
 def _by_language(
-    batches: Iterator[pa.RecordBatch], shortest: int, meaning: Callable, take: Callable[[str, _Meanings, np.ndarray, np.ndarray, list], None]
-) -> Iterator[bool]:
-    """Hand what the texts of a batch mean, by language, to ``take``: numbers, and for each the row of its text.
+    batches: Iterator[pa.RecordBatch], shortest: int, meaning: Callable[[bytes, pa.Array], pa.Array]
+) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, list]]:
+    """What the terms of each part of a batch mean, by language.
 
-    After each part of a batch it says whether the caller has to hand on and forget what it counted.
+    ``meaning`` gives what counts for each distinct term, or null.  Yields the language,
+    the distinct meanings, the number of the meaning of each occurrence that has one, the
+    position of its text, and for each text the last column.
     """
-    terms_of = re.compile(rb"[^ ]{%d,}" % shortest).findall if shortest > 1 else bytes.split
-    known: dict[str, _Meanings] = {}
     for batch in batches:
         for part in slices(batch):
-            texts, *keys = (c.to_pylist() for c in part.columns)
+            langs, keys = part.column(1).to_pylist(), part.column(part.num_columns - 1).to_pylist()
             of_lang: dict[str, list[int]] = defaultdict(list)
-            for row, lang in enumerate(keys[0]):
+            for row, lang in enumerate(langs):
                 of_lang[lang].append(row)
             for lang, rows in of_lang.items():
-                held = [terms_of(texts[row].translate(_TERMS)) for row in rows]
-                meanings = known.setdefault(lang, _Meanings(lang, meaning))
-                numbers = meanings.numbers(held)
-                owner = np.repeat(np.arange(len(rows)), list(map(len, held)))
-                take(lang, meanings, numbers[numbers >= 0], owner[numbers >= 0], [keys[-1][row] for row in rows])
-            full = sum(map(len, known.values())) > HELD_ENTRIES
-            if full:
-                known.clear()
-            yield full
-    yield True
+                terms, owner = _terms_of(part.column(0), rows, shortest)
+                means = meaning(lang.encode(), terms.dictionary).dictionary_encode()
+                numbers = means.indices.fill_null(-1).to_numpy().astype(np.int64)[terms.indices.to_numpy()]
+                some = numbers >= 0
+                yield lang, means.dictionary, numbers[some], owner[some], [keys[row] for row in rows]
+
+
+class _Counts:
+    """Counts by language, name and place that a task holds; a code is the number of a name times the language's places, plus the place."""
+
+    def __init__(self, places: Callable[[str], int]):
+        self.places = places
+        self.held: dict[str, list[tuple[pa.Array, np.ndarray, np.ndarray]]] = defaultdict(list)
+        self.size = 0
+
+    def add(self, lang: str, names: pa.Array, codes: np.ndarray, n: np.ndarray) -> bool:
+        """Whether the caller has to hand on what is held."""
+        if len(names):
+            self.held[lang].append((names, codes, n))
+            self.size += len(names)
+        if self.size <= 2 * HELD_ENTRIES:
+            return False
+        self._merge()
+        return self.size > HELD_ENTRIES
+
+    def _merge(self) -> None:
+        """One part for each language, its codes ascending and each there once."""
+        for lang, parts in self.held.items():
+            if len(parts) > 1:
+                width = self.places(lang)
+                whole = pa.concat_arrays([names for names, _, _ in parts]).dictionary_encode()
+                number, first, moved = whole.indices.to_numpy().astype(np.int64), 0, []
+                for names, codes, _ in parts:
+                    term, place = np.divmod(codes, width)
+                    moved.append(number[first + term] * width + place)
+                    first += len(names)
+                self.held[lang] = [(whole.dictionary, *_added(np.concatenate(moved), np.concatenate([n for _, _, n in parts])))]
+                self.size -= len(whole) - len(whole.dictionary)
+
+    def taken(self) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray]]:
+        """Language, names, codes and counts of all that is held, which is forgotten."""
+        self._merge()
+        found, self.held, self.size = self.held, defaultdict(list), 0
+        for lang, [(names, codes, n)] in found.items():
+            yield lang, names, codes, n
+
+
+def _added(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, ascending, and for each the sum of its ``n``."""
+    order = np.argsort(codes)
+    codes = codes[order]
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
 def level(rows: DataFrame, length: int, before: int, kept: Bitmap | None, min_docs: int) -> DataFrame:
@@ -151,31 +179,28 @@ def level(rows: DataFrame, length: int, before: int, kept: Bitmap | None, min_do
     Looks at terms longer than ``before`` bytes whose prefix of that length the bitmap has.
     """
 
-    def meaning(lang: bytes, terms: list[bytes]) -> list[bytes | None]:
+    def meaning(lang: bytes, terms: pa.Array) -> pa.Array:
         """The prefix of this level of terms that the level before neither dropped nor completed."""
-        prefixes = [(t + END)[:length] for t in terms]
+        prefixes = pc.binary_slice(pc.binary_join_element_wise(terms, END, b""), 0, length)
         if kept is None:
             return prefixes
-        return [p if has else None for p, has in zip(prefixes, kept.has(lang, [t[:before] for t in terms]).tolist())]
+        heads = pc.binary_slice(terms, 0, before).dictionary_encode()
+        has = kept.has(lang, heads.dictionary.to_numpy(zero_copy_only=False).tolist())[heads.indices.to_numpy()]
+        return pc.if_else(pa.array(has), prefixes, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, tuple[_Meanings, np.ndarray]] = {}
-
-        def take(lang: str, meanings: _Meanings, numbers: np.ndarray, owner: np.ndarray, _: list) -> None:
-            n = len(meanings.names)
-            once = np.unique(owner * n + numbers) % max(n, 1)  # a text counts once for a prefix
-            sums = np.bincount(once, minlength=n)
-            if lang in found:
-                sums[: len(found[lang][1])] += found[lang][1]
-            found[lang] = (meanings, sums)
-
-        for full in _by_language(batches, before, meaning, take):
-            if full:
-                for lang, (meanings, sums) in found.items():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(sums), pa.string()), pa.array(list(meanings.names), pa.binary()), pa.array(sums, pa.int64())], names=["lang", "prefix", "n"]
-                    )
-                found.clear()
+        counts = _Counts(lambda _: 1)
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, prefixes, number, n in counts.taken():
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(number)), prefixes.take(pa.array(number)), pa.array(n)], names=["lang", "prefix", "n"])
+
+        for lang, prefixes, numbers, owner, _ in _by_language(batches, before, meaning):
+            held = np.sort(owner * len(prefixes) + numbers)
+            once = held[np.diff(held, prepend=-1) > 0] % max(len(prefixes), 1)  # a text counts once for a prefix
+            if counts.add(lang, prefixes, np.arange(len(prefixes)), np.bincount(once, minlength=len(prefixes))):
+                yield from handed_on()
+        yield from handed_on()
 
     counted = rows.select("_text", "lang").mapInArrow(run, "lang string, prefix binary, n bigint")
     return counted.groupBy("lang", "prefix").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("lang", "prefix")
@@ -217,28 +242,22 @@ def occurrences(rows: DataFrame, terms: DataFrame, places: dict[str, dict[str, i
     """
     kept = Bitmap.of(terms.withColumnRenamed("term", "prefix"))
 
-    def meaning(lang: bytes, found: list[bytes]) -> list[bytes | None]:
-        return [t if has else None for t, has in zip(found, kept.has(lang, found).tolist())]
+    def meaning(lang: bytes, found: pa.Array) -> pa.Array:
+        return pc.if_else(pa.array(kept.has(lang, found.to_numpy(zero_copy_only=False).tolist())), found, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, tuple[_Meanings, np.ndarray, np.ndarray]] = {}
+        counts = _Counts(lambda lang: len(places[lang]))
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, found, codes, n in counts.taken():
+                yield _lists(pa.repeat(lang, len(found)), found, *np.divmod(codes, len(places[lang])), n)
 
-        def take(lang: str, meanings: _Meanings, numbers: np.ndarray, owner: np.ndarray, sources: list) -> None:
+        for lang, found, numbers, owner, sources in _by_language(batches, 1, meaning):
             place = np.array([places[lang][s] for s in sources], np.int64)
             codes, n = np.unique(numbers * len(places[lang]) + place[owner], return_counts=True)
-            if lang in found:
-                codes, at = np.unique(np.concatenate([found[lang][1], codes]), return_inverse=True)
-                sums = np.zeros(len(codes), np.int64)
-                np.add.at(sums, at, np.concatenate([found[lang][2], n]))
-                n = sums
-            found[lang] = (meanings, codes, n)
-
-        for full in _by_language(batches, 1, meaning, take):
-            if full:
-                for lang, (meanings, codes, n) in found.items():
-                    term, place = np.divmod(codes, len(places[lang]))
-                    yield _lists(pa.array([lang] * len(meanings.names), pa.string()), pa.array(list(meanings.names), pa.binary()), term, place, n)
-                found.clear()
+            if counts.add(lang, found, codes, n):
+                yield from handed_on()
+        yield from handed_on()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one term after each other made one; the last term of a batch waits for the next batch."""
